@@ -1,7 +1,5 @@
 """Text column expressions. All are native Spark expressions (whole-stage codegen or
-JVM higher-order functions); only accent stripping of characters whose
-decomposition is longer than one letter falls back to an Arrow-batched pandas UDF,
-and that UDF only receives the rare rows that need it.
+JVM higher-order functions); no Python runs per row.
 """
 
 from __future__ import annotations
@@ -9,10 +7,8 @@ from __future__ import annotations
 import unicodedata
 from functools import lru_cache
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
 # Fixed values (must stay exactly as written for results to match).
@@ -72,40 +68,20 @@ def text_length(text: Column) -> Column:
     return F.length(F.coalesce(text, F.lit(""))).cast("bigint")
 
 
-def _strip_one(ch: str) -> str:
-    decomposed = unicodedata.normalize("NFKD", ch)
-    return "".join(c for c in decomposed if not unicodedata.combining(c))
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable.
 
+    Expressions referenced inside a higher-order function's lambda are evaluated
+    per element; binding them first keeps array work linear.
+    """
+    return F.get(F.transform(F.array(value), body), 0)
 
-@lru_cache(maxsize=1)
-def _accent_tables() -> tuple[str, str, str, str]:
-    """Accent tables built by rule over the Basic Multilingual Plane.
 
-    Returns (from_chars, to_chars, delete_chars, multi_chars): characters whose
-    compatibility decomposition minus combining marks is one character, nothing,
-    or several characters.
-    """
-    src, dst, dele, multi = [], [], [], []
-    for cp in range(0x80, 0x10000):
-        if 0xD800 <= cp <= 0xDFFF:
-            continue
-        ch = chr(cp)
-        out = _strip_one(ch)
-        if out == ch:
-            continue
-        if len(out) == 1:
-            src.append(ch)
-            dst.append(out)
-        elif not out:
-            dele.append(ch)
-        else:
-            multi.append(ch)
-    return "".join(src), "".join(dst), "".join(dele), "".join(multi)
-
-
-def _char_class(chars: str) -> str:
-    """Regex class of the given characters, consecutive code points as ranges."""
-    cps = sorted(ord(c) for c in chars)
+@lru_cache(maxsize=1)
+def _combining_class() -> str:
+    """Regex class of every code point with a non-zero canonical combining class."""
+    cps = [cp for cp in range(0x300, 0x110000)
+           if not 0xD800 <= cp <= 0xDFFF and unicodedata.combining(chr(cp))]
     parts, i = [], 0
     while i < len(cps):
         j = i
@@ -113,30 +89,23 @@ def _char_class(chars: str) -> str:
             j += 1
         parts.append(f"\\x{{{cps[i]:X}}}" if i == j else f"\\x{{{cps[i]:X}}}-\\x{{{cps[j]:X}}}")
         i = j + 1
-    return "[" + "".join(parts) + "]"
+    # every such code point is a mark; testing \p{M} first lets letters fail fast
+    return "[\\p{M}&&[" + "".join(parts) + "]]"
 
 
-@F.pandas_udf(T.StringType())
-def _strip_accents_udf(s: pd.Series) -> pd.Series:
-    def one(x):
-        if x is None:
-            return None
-        norm = unicodedata.normalize("NFKD", x)
-        return "".join(c for c in norm if not unicodedata.combining(c))
-    return s.map(one)
+# ICU (shipped with Spark) compatibility decomposition; gives the same code points as
+# Python's unicodedata.normalize("NFKD", ...).
+_ICU_NORMALIZER = "com.ibm.icu.text.Normalizer"
 
 
 def strip_accents(text: Column) -> Column:
-    """Compatibility-decompose and drop combining marks (letters outside the BMP kept).
+    """Compatibility-decompose (NFKD) and drop combining marks, JVM-side.
 
-    One-to-one and deleting mappings run in ``translate``; the rare rows holding a
-    character that decomposes into several letters (ligatures, Hangul...) go to
-    a pandas UDF, which receives null for every other row.
+    ASCII-only text is returned as is without calling the normaliser.
     """
-    src, dst, dele, multi = _accent_tables()
-    fast = F.translate(text, src + dele, dst)
-    needs = text.rlike(_char_class(multi))
-    return F.when(needs, _strip_accents_udf(F.when(needs, text))).otherwise(fast)
+    nfkd = F.reflect(F.lit(_ICU_NORMALIZER), F.lit("decompose"), text, F.lit(True))
+    stripped = F.regexp_replace(nfkd, _combining_class(), "")
+    return F.when(text.rlike("[^\\x00-\\x7F]"), stripped).otherwise(text)
 
 
 def vectorizer_tokens(text: Column) -> Column:
@@ -146,9 +115,11 @@ def vectorizer_tokens(text: Column) -> Column:
 
 def word_ngrams(tokens: Column) -> Column:
     """Unigrams followed by space-joined bigrams of an array of tokens."""
-    bigrams = F.transform(F.slice(tokens, 2, F.greatest(F.size(tokens), F.lit(0))),
-                          lambda nxt, i: F.concat(F.get(tokens, i), F.lit(" "), nxt))
-    return F.concat(tokens, bigrams)
+    def body(toks):
+        bigrams = F.transform(F.slice(toks, 2, F.greatest(F.size(toks), F.lit(0))),
+                              lambda nxt, i: F.concat(F.get(toks, i), F.lit(" "), nxt))
+        return F.concat(toks, bigrams)
+    return let(tokens, body)
 
 
 def term_counts(terms: Column) -> Column:
@@ -156,15 +127,19 @@ def term_counts(terms: Column) -> Column:
 
     Runs inside the row (sort + one pass), so counting needs no shuffle.
     """
-    s = F.array_sort(terms)
-    n = F.size(s)
-    starts = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-                      lambda i: (i == 1) | (F.try_element_at(s, i) != F.try_element_at(s, i - 1)))
-    runs = F.transform(starts, lambda st, j: F.struct(
-        F.try_element_at(s, st).alias("term"),
-        (F.coalesce(F.try_element_at(starts, j + 2), n + 1) - st).cast("bigint").alias("tf")))
     empty = F.array().cast("array<struct<term:string,tf:bigint>>")
-    return F.when(n > 0, runs).otherwise(empty)
+
+    def counted(s):
+        n = F.size(s)
+        starts = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
+                          lambda i: (i == 1) | (F.try_element_at(s, i) != F.try_element_at(s, i - 1)))
+
+        def runs(st_arr):
+            return F.transform(st_arr, lambda st, j: F.struct(
+                F.try_element_at(s, st).alias("term"),
+                (F.coalesce(F.try_element_at(st_arr, j + 2), n + 1) - st).cast("bigint").alias("tf")))
+        return F.when(n > 0, let(starts, runs)).otherwise(empty)
+    return let(F.array_sort(terms), counted)
 
 
 def label_slug(label: Column) -> Column:

@@ -20,9 +20,23 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Hash-repartition by ``key`` only when the scan gives fewer partitions than the
+    cluster can run at once (e.g. one large row group); text work is CPU-bound.
+    At scale the scan already has many splits and this is a no-op."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want, key) if key else df.repartition(want)
+
+
+def documents(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
+    return spread(read_table(spark, sf_dir, "documents").select(*columns), "doc_id")
+
+
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Review table: documents left-joined to labels, with nullable brand and string rating."""
-    d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    d = documents(spark, sf_dir, ["doc_id", "text", "source"])
     lab = read_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     j = d.join(lab, "doc_id", "left")
     sentiment = (F.when(F.col("toxic") == 1, "Negative")
@@ -47,7 +61,7 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def drift_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents split into a labelled reference side and an unlabelled current side."""
-    d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "n_chars")
+    d = documents(spark, sf_dir, ["doc_id", "text", "lang", "n_chars"])
     lab = read_table(spark, sf_dir, "labels").select(F.col("doc_id").alias("l_doc_id"))
     j = d.join(lab, d.doc_id == lab.l_doc_id, "left")
     side = F.when(F.col("l_doc_id").isNull(), "current").otherwise("reference")
