@@ -3,13 +3,15 @@ and the DuckDB SQL oracle for the keys SQL can express."""
 
 from __future__ import annotations
 
-from reviewlab.plans import model_oracle, model_queries, profile_oracle, profile_queries
+from reviewlab.plans import (drift_registry_oracle, drift_registry_queries, model_oracle, model_queries,
+                             profile_oracle, profile_queries)
 
 
 def queries() -> dict:
     out = {}
     out.update(profile_queries.QUERIES)
     out.update(model_queries.QUERIES)
+    out.update(drift_registry_queries.QUERIES)
     return out
 
 
@@ -17,5 +19,6 @@ def oracle_sql() -> dict[str, str]:
     out = {}
     out.update(profile_oracle.SQL)
     out.update(model_oracle.SQL)
+    out.update(drift_registry_oracle.SQL)
     q = queries()
     return {k: v for k, v in out.items() if k in q}
