@@ -109,5 +109,41 @@ def classification_report(spark, sf_dir):
     return rounded(ev.classification_report(tb.predictions(spark, sf_dir)))
 
 
+def _tree_scores(spark, sf_dir, key):
+    from reviewlab.plans.experiment import train_candidates
+    prep = _prepared(spark, sf_dir)
+    out = train_candidates(prep, models=(key,))
+    p = out["predictions"][key]
+    from reviewlab.operators.trees import class_probabilities
+    probs = class_probabilities(p)
+    return p.select(C.id, prep.labels.decode(F.col("pred_id")).alias("prediction"),
+                    F.array_max(probs).alias("confidence"),
+                    F.aggregate(probs, F.lit(0.0), lambda a, b: a + b).alias("probability_sum"))
+
+
+def rf_predict(spark, sf_dir):
+    """Random forest predictions on the validation split with confidence."""
+    return rounded(_tree_scores(spark, sf_dir, "rf"))
+
+
+def gbt_predict(spark, sf_dir):
+    """One-vs-rest boosted-tree predictions on the validation split with confidence."""
+    return rounded(_tree_scores(spark, sf_dir, "xgb"))
+
+
+def model_comparison(spark, sf_dir):
+    from reviewlab.plans.experiment import model_comparison as compare
+    return rounded(compare(_prepared(spark, sf_dir)))
+
+
+def svd_projection(spark, sf_dir):
+    from reviewlab.operators.trees import fit_projection
+    clf = _classifier(spark, sf_dir)
+    f = clf.features(_prepared(spark, sf_dir).frame, C.text, already_clean=True).persist()
+    proj = fit_projection(f, clf.tfidf, FEATURES)
+    x, y = proj.apply(clf.tfidf.dense(F.col(FEATURES)))
+    return rounded(f.select(C.id, C.label, x.alias("x"), y.alias("y")))
+
+
 QUERIES = {name: fn for name, fn in dict(globals()).items()
            if callable(fn) and not name.startswith("_") and getattr(fn, "__module__", None) == __name__}
