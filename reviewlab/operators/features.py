@@ -128,18 +128,69 @@ def vocabulary_counts(docs: DataFrame, text: str) -> DataFrame:
     map-side.
     """
     per_doc = docs.select(F.explode(tx.term_counts(doc_terms(F.col(text)))).alias("x"))
+    return _term_stats(per_doc)
+
+
+def _term_stats(per_doc: DataFrame) -> DataFrame:
     return per_doc.groupBy(F.col("x.term").alias("term")).agg(
         F.count(F.lit(1)).alias("doc_freq"), F.sum("x.tf").alias("term_freq"))
 
 
+def _top(stats: DataFrame, max_features: int, min_df: int) -> DataFrame:
+    return (stats.filter(F.col("doc_freq") >= min_df)
+            .orderBy(F.desc("term_freq"), F.asc("term")).limit(max_features))
+
+
 def vocabulary_frame(docs: DataFrame, text: str, max_features: int = 100, min_df: int = 2) -> DataFrame:
     """Top ``max_features`` terms by total count among terms in >= ``min_df`` documents."""
-    v = vocabulary_counts(docs, text).filter(F.col("doc_freq") >= min_df)
-    return v.orderBy(F.desc("term_freq"), F.asc("term")).limit(max_features)
+    return _top(vocabulary_counts(docs, text), max_features, min_df)
+
+
+def fit_vocabulary(docs: DataFrame, text: str, max_features: int = 100, min_df: int = 2,
+                   max_frequent: int = 100_000) -> list:
+    """Exact top-``max_features`` vocabulary with bigram pruning.
+
+    A bigram occurs at most as often as each of its words. Let T1 be the
+    ``max_features``-th best unigram count (among unigrams in >= min_df docs);
+    the final cut-off is >= T1, so only bigrams whose two words both occur >= T1
+    times can qualify. Unigrams are counted first, then only those bigrams:
+    the shuffle no longer carries every distinct bigram. When the frequent-word
+    set would exceed ``max_frequent`` the pruning is skipped (still exact).
+    """
+    toks = docs.select(tx.vectorizer_tokens(F.col(text)).alias("t")).persist()   # two passes read it
+    uni = _term_stats(toks.select(F.explode(tx.term_counts(F.col("t"))).alias("x"))).persist()
+    top_uni = _top(uni, max_features, min_df).collect()
+    t1 = min((r["term_freq"] for r in top_uni), default=0) if len(top_uni) >= max_features else 0
+    frequent = None
+    if t1 > 0:
+        rows = uni.filter(F.col("term_freq") >= t1).select("term").limit(max_frequent + 1).collect()
+        if len(rows) <= max_frequent:
+            frequent = [r["term"] for r in rows]
+    if frequent is None:
+        bigrams = F.slice(tx.word_ngrams(F.col("t")), F.size("t") + 1, F.greatest(F.size("t"), F.lit(1)))
+        bi = _term_stats(toks.select(F.explode(tx.term_counts(bigrams)).alias("x")))
+    else:
+        # size checked above (<= max_frequent words): broadcast hash joins filter the
+        # word pairs map-side, before any shuffle
+        spark = docs.sparkSession
+        fw = F.broadcast(spark.createDataFrame([(w,) for w in frequent], "w string"))
+        ids = toks.withColumn("_doc", F.monotonically_increasing_id())
+        pairs = ids.select("_doc", F.inline(F.arrays_zip(F.col("t").alias("a"),
+                                                          F.slice("t", 2, F.greatest(F.size("t"), F.lit(1))).alias("b"))))
+        pairs = (pairs.filter(F.col("b").isNotNull())
+                 .join(fw.withColumnRenamed("w", "a"), "a", "left_semi")
+                 .join(fw.withColumnRenamed("w", "b"), "b", "left_semi"))
+        per_doc = (pairs.groupBy("_doc", F.concat("a", F.lit(" "), "b").alias("term"))
+                   .agg(F.count(F.lit(1)).alias("tf")))
+        bi = per_doc.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"), F.sum("tf").alias("term_freq"))
+    rows = _top(uni.unionByName(bi), max_features, min_df).collect()
+    uni.unpersist()
+    toks.unpersist()
+    return rows
 
 
 def fit_tfidf(docs: DataFrame, text: str, max_features: int = 100, min_df: int = 2) -> TfidfModel:
     n_docs = docs.count()
-    rows = vocabulary_frame(docs, text, max_features, min_df).collect()   # <= max_features rows
+    rows = fit_vocabulary(docs, text, max_features, min_df)   # <= max_features rows
     rows = sorted(rows, key=lambda r: r["term"])
     return TfidfModel(tuple(r["term"] for r in rows), tuple(int(r["doc_freq"]) for r in rows), int(n_docs))

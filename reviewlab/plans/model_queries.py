@@ -16,12 +16,16 @@ _FITTED: dict = {}
 
 
 def _prepared(spark, sf_dir):
-    return prepare(tb.reviews(spark, sf_dir))
+    """Prepared training rows, persisted once per session and input."""
+    key = ("prepared", spark.sparkContext.applicationId, sf_dir)
+    if key not in _FITTED:
+        _FITTED[key] = prepare(tb.reviews(spark, sf_dir))
+    return _FITTED[key]
 
 
 def _classifier(spark, sf_dir):
     """The fitted model is a small driver-side object; reuse it within one session."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = ("classifier", spark.sparkContext.applicationId, sf_dir)
     if key not in _FITTED:
         _FITTED[key] = fit_text_classifier(_prepared(spark, sf_dir))
     return _FITTED[key]

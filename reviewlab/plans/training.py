@@ -38,16 +38,23 @@ class Prepared:
 
 
 def prepare(reviews: DataFrame, c: Cols = DEFAULT, test_size: float = 0.2, seed: int = 42,
-            clean: bool = True, checkpoint: bool = False) -> Prepared:
+            clean: bool = True, keep: str | None = "persist") -> Prepared:
+    """``keep``: "persist" caches the prepared rows (memory, spilling to disk) for the
+    several jobs of a fit; "checkpoint" writes them to spark.checkpoint.dir and cuts
+    the lineage (long pipelines, executor loss); None keeps the plan lazy."""
     d = pf.drop_missing(reviews.select(c.id, c.text, c.label), c)
     d = pf.dedupe_keep_first(d, key=c.text, order=c.id)
     if clean:
         d = d.withColumn(c.text, tx.clean_text(F.col(c.text)))
+    if keep:
+        d = d.persist()
     labels = fit_label_index(d, c.label)
     d = d.withColumn(LABEL_ID, labels.encode(F.col(c.label)))
     d = stratified_split(d, c.id, c.label, test_size, seed, out=SPLIT)
-    if checkpoint:
+    if keep == "checkpoint":
         d = d.checkpoint(eager=True)   # reliable checkpoint in spark.checkpoint.dir
+    elif keep == "persist":
+        d = d.persist()
     return Prepared(d, labels, c)
 
 
