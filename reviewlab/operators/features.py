@@ -73,7 +73,8 @@ def stratified_split(df: DataFrame, id_col: str, label: str, test_size: float =
             .withColumn("_k", F.round(F.lit(test_size) * F.sum("_nb").over(per_label))))
     j = d.join(hist.drop("_nb"), [label, "_b"])
     rank = F.col("_before") + F.row_number().over(Window.partitionBy(label, "_b").orderBy("_h", id_col))
-    return j.withColumn(out, F.when(rank <= F.col("_k"), "val").otherwise("train")).drop("_h", "_b", "_before", "_k")
+    split = F.when(rank <= F.col("_k"), "val").otherwise("train").alias(out)
+    return j.select(*[F.col(x) for x in df.columns], split)
 
 
 # ---------------------------------------------------------------- tf-idf
