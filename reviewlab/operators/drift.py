@@ -61,16 +61,17 @@ def numeric_drift(df: DataFrame, side: str, columns: list[str], bins: float | No
                                             F.count_if(F.col("side") == current).alias("c"))
     by_col = Window.partitionBy("column")
     upto = Window.partitionBy("column").orderBy("value")
+    # one row per distinct (column, value); the reference std comes from the same rows
     cdf = (cnt.withColumn("nr", F.sum("r").over(by_col)).withColumn("nc", F.sum("c").over(by_col))
+           .withColumn("_mean", F.sum(F.col("r") * F.col("value")).over(by_col) / F.col("nr"))
            .withColumn("gap", F.abs(F.sum("r").over(upto) / F.col("nr") - F.sum("c").over(upto) / F.col("nc")))
            .withColumn("width", F.lead("value").over(upto) - F.col("value")))
-    stat = cdf.groupBy("column").agg(
+    out = cdf.groupBy("column").agg(
         F.first("nr").alias("n_ref"), F.first("nc").alias("n_cur"),
         F.max("gap").alias("ks"),
-        F.coalesce(F.sum(F.col("gap") * F.col("width")), F.lit(0.0)).alias("wasserstein"))
-    std = (lg.filter(F.col("side") == reference).groupBy("column")
-           .agg(F.stddev_pop("value").alias("ref_std")))
-    out = stat.join(std, "column", "left")
+        F.coalesce(F.sum(F.col("gap") * F.col("width")), F.lit(0.0)).alias("wasserstein"),
+        F.sqrt(F.try_divide(F.sum(F.col("r") * F.pow(F.col("value") - F.col("_mean"), 2)),
+                            F.first("nr"))).alias("ref_std"))
     norm = F.col("wasserstein") / F.greatest(F.coalesce(F.col("ref_std"), F.lit(0.0)), F.lit(STD_FLOOR))
     return out.select(
         "column", "n_ref", "n_cur", "ks",

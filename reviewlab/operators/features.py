@@ -121,20 +121,24 @@ class TfidfModel:
         return spark.createDataFrame(rows, "term string, doc_freq bigint, idf double")
 
 
-def vocabulary_counts(docs: DataFrame, text: str) -> DataFrame:
-    """(term, doc_freq, term_freq) over all uni/bigrams: one shuffle on term.
+def term_doc_stats(df: DataFrame, terms: Column) -> DataFrame:
+    """(term, doc_freq, term_freq) of an array-of-terms column: one shuffle on term.
 
-    Each document's terms are counted inside the row first, so a document
-    contributes one row per distinct term and hot terms are pre-aggregated
-    map-side.
+    Term frequency counts every element, document frequency every distinct
+    element of a row (native ``array_distinct``); both streams go through one
+    aggregation, partially aggregated map-side, so hot terms collapse before
+    the shuffle and no (document, term) pairs are shuffled.
     """
-    per_doc = docs.select(F.explode(tx.term_counts(doc_terms(F.col(text)))).alias("x"))
-    return _term_stats(per_doc)
+    arr = df.select(terms.alias("_t"))
+    every = arr.select(F.explode("_t").alias("term"), F.lit(1).alias("_tf"), F.lit(0).alias("_df"))
+    once = arr.select(F.explode(F.array_distinct("_t")).alias("term"), F.lit(0).alias("_tf"), F.lit(1).alias("_df"))
+    return every.unionByName(once).groupBy("term").agg(
+        F.sum("_df").cast("bigint").alias("doc_freq"), F.sum("_tf").cast("bigint").alias("term_freq"))
 
 
-def _term_stats(per_doc: DataFrame) -> DataFrame:
-    return per_doc.groupBy(F.col("x.term").alias("term")).agg(
-        F.count(F.lit(1)).alias("doc_freq"), F.sum("x.tf").alias("term_freq"))
+def vocabulary_counts(docs: DataFrame, text: str) -> DataFrame:
+    """(term, doc_freq, term_freq) over all uni/bigrams of the documents."""
+    return term_doc_stats(docs, doc_terms(F.col(text)))
 
 
 def _top(stats: DataFrame, max_features: int, min_df: int) -> DataFrame:
@@ -159,7 +163,7 @@ def fit_vocabulary(docs: DataFrame, text: str, max_features: int = 100, min_df:
     set would exceed ``max_frequent`` the pruning is skipped (still exact).
     """
     toks = docs.select(tx.vectorizer_tokens(F.col(text)).alias("t")).persist()   # two passes read it
-    uni = _term_stats(toks.select(F.explode(tx.term_counts(F.col("t"))).alias("x"))).persist()
+    uni = term_doc_stats(toks, F.col("t")).persist()
     top_uni = _top(uni, max_features, min_df).collect()
     t1 = min((r["term_freq"] for r in top_uni), default=0) if len(top_uni) >= max_features else 0
     frequent = None
@@ -169,7 +173,7 @@ def fit_vocabulary(docs: DataFrame, text: str, max_features: int = 100, min_df:
             frequent = [r["term"] for r in rows]
     if frequent is None:
         bigrams = F.slice(tx.word_ngrams(F.col("t")), F.size("t") + 1, F.greatest(F.size("t"), F.lit(1)))
-        bi = _term_stats(toks.select(F.explode(tx.term_counts(bigrams)).alias("x")))
+        bi = term_doc_stats(toks, bigrams)
     else:
         # size checked above (<= max_frequent words): broadcast hash joins filter the
         # word pairs map-side, before any shuffle

@@ -69,16 +69,23 @@ def box_stats(df: DataFrame, value: str, group: str, whis: float = 1.5) -> DataF
 
 
 def top_k_per_group(df: DataFrame, group: list[str], order: list[Column], k: int,
-                    salt_key: Column, salt_buckets: int | None = None,
+                    salt_key: Column | None = None, salt_buckets: int | None = None,
                     rank_col: str = "rank") -> DataFrame:
     """Exact top-k rows per group under a total order, safe when one group is huge.
 
-    Stage 1 ranks inside (group, salt) sub-groups and keeps k rows of each;
-    stage 2 ranks the at most k * salt_buckets survivors per group. The global
-    top-k of a group is always among the survivors, so the result is exact.
+    For k up to ``spark.sql.optimizer.windowGroupLimitThreshold`` Spark plans a
+    partial WindowGroupLimit before the shuffle (a map-side top-k), so a hot
+    group sends at most k rows per map partition. Above it, a salted two-stage
+    rank does the same by hand: rank inside (group, salt) sub-groups, keep k,
+    then rank the at most k * salt_buckets survivors per group.
     """
+    spark = df.sparkSession
+    limit = int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if k <= limit or salt_key is None:
+        w = Window.partitionBy(*group).orderBy(*order)
+        return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
     if salt_buckets is None:
-        salt_buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        salt_buckets = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(salt_key), F.lit(salt_buckets)))
     w1 = Window.partitionBy(*group, "_salt").orderBy(*order)
     stage1 = salted.withColumn("_r1", F.row_number().over(w1)).filter(F.col("_r1") <= k)
