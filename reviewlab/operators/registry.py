@@ -115,3 +115,40 @@ def production_metrics(runs: DataFrame, versions: DataFrame, aliases: DataFrame,
     shown = F.when(F.coalesce(F.col("value"), F.lit(0.0)) == 0, F.lit("-")).otherwise(
         F.concat(F.format_string("%.2f", F.col("value") * 100), F.lit("%")))
     return cards.select("position", "card", F.round(F.col("value") * 100, 2).alias("pct"), shown.alias("display"))
+
+
+def retrain_promotion(new_runs: DataFrame, runs: DataFrame, versions: DataFrame, aliases: DataFrame,
+                      promote: bool = True, alias: str = PRODUCTION) -> DataFrame:
+    """Promotion decision after a retrain batch (one row).
+
+    Best new run by macro_f1 with missing = 0; current production score with
+    missing = 0. With a production model: promote only when asked and strictly
+    better (the old version becomes Staging). Without one: promote the best new
+    run when asked and it has a registered version. The best run and the
+    production model are one-row decisions; the version lookup is a filter.
+    """
+    b = best_run(new_runs, missing=0.0).collect()
+    p = production_model(runs, versions, aliases, alias).collect()
+    best_id = b[0]["run_id"] if b else None
+    best_score = float(b[0]["macro_f1"]) if b else None
+    prod = p[0] if p else None
+    prod_score = float(prod["macro_f1"]) if prod is not None and prod["macro_f1"] is not None else 0.0
+    v = versions.filter(F.col("run_id") == F.lit(best_id)).agg(
+        F.min_by(F.struct("name", "version"), F.col("version")).alias("v"))
+    has_v = F.col("v").isNotNull()
+    if prod is not None:
+        better = promote and best_score is not None and best_score > prod_score
+        promoted = has_v if better else F.lit(False)
+        reason = (F.when(has_v, "promoted over production").otherwise("no registered version for best run")
+                  if better else F.lit("not requested or no improvement"))
+    else:
+        promoted = has_v & F.lit(promote)
+        reason = (F.when(~F.lit(promote), "promotion not requested")
+                  .when(has_v, "first production model").otherwise("no registered version for best run"))
+    return v.select(
+        F.lit(best_id).cast("string").alias("best_run_id"), F.lit(best_score).cast("double").alias("best_score"),
+        F.lit(prod["name"] if prod is not None else None).cast("string").alias("production_name"),
+        F.lit(prod["version"] if prod is not None else None).cast("bigint").alias("production_version"),
+        F.lit(prod_score if prod is not None else None).cast("double").alias("production_score"),
+        F.col("v.name").alias("new_name"), F.col("v.version").cast("bigint").alias("new_version"),
+        promoted.alias("promoted"), reason.alias("reason"))

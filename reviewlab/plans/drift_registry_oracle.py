@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reviewlab.plans.model_oracle import PREP, chain
+from reviewlab.plans.model_oracle import NB, PREP, VOCAB, chain, scores_ctes
 from reviewlab.sources.fixture_sql import with_views
 
 PI = "3.141592653589793"
@@ -147,6 +147,31 @@ FROM (SELECT c.position, c.card, CASE c.col WHEN 'accuracy' THEN r.accuracy WHEN
                    (3, 'F1 Score', 'micro_f1')) AS c(position, card, col)
       CROSS JOIN (SELECT r.* FROM pa JOIN model_versions mv ON mv.name = pa.name AND mv.version = pa.version
                   LEFT JOIN runs r ON r.run_id = mv.run_id) r)""", PROD),
+    "prediction_drift": chain("SELECT \"column\", n_ref, n_cur, round(js_distance, 6) AS js_distance, "
+                              "js_distance >= 0.1 AS drifted FROM cdrift", PREP, VOCAB, NB,
+                              scores_ctes("all_", "(SELECT review_id FROM split)", "tfidf"),
+                              [("pd", "SELECT s.split, l.sentiment AS prediction FROM split s "
+                                      "JOIN all_pred p ON s.review_id = p.review_id "
+                                      "JOIN label_ids l ON p.pred_id = l.label_id")],
+                              categorical_ctes("pd", "split", "prediction", "train", "val")),
+    "retrain_promotion": with_views(REG, """
+SELECT b.run_id AS best_run_id, round(b.s, 6) AS best_score, pm.name AS production_name,
+       pm.version AS production_version, round(coalesce(pm.macro_f1, 0.0), 6) AS production_score,
+       bv.name AS new_name, bv.version AS new_version,
+       CASE WHEN pm.name IS NOT NULL THEN (b.s > coalesce(pm.macro_f1, 0.0) AND bv.version IS NOT NULL)
+            ELSE bv.version IS NOT NULL END AS promoted,
+       CASE WHEN pm.name IS NOT NULL THEN
+              CASE WHEN b.s > coalesce(pm.macro_f1, 0.0) THEN
+                     CASE WHEN bv.version IS NOT NULL THEN 'promoted over production'
+                          ELSE 'no registered version for best run' END
+                   ELSE 'not requested or no improvement' END
+            WHEN bv.version IS NOT NULL THEN 'first production model'
+            ELSE 'no registered version for best run' END AS reason
+FROM bestn b LEFT JOIN bv ON true LEFT JOIN pm ON true""", PROD + [
+        ("bestn", "SELECT run_id, coalesce(macro_f1, 0.0) AS s FROM runs "
+                  "ORDER BY coalesce(macro_f1, 0.0) DESC, start_seq DESC, run_id DESC LIMIT 1"),
+        ("bv", "SELECT name, version FROM model_versions WHERE run_id = (SELECT run_id FROM bestn) "
+               "ORDER BY version LIMIT 1")]),
     "latest_snapshot": with_views(["snapshots"], """
 SELECT snapshot_day, event_id, event_type, round(value, 6) AS value FROM snapshots
 WHERE snapshot_day = (SELECT max(snapshot_day) FROM snapshots)"""),

@@ -98,6 +98,21 @@ def production_metrics(spark, sf_dir):
                                          tb.aliases(spark, sf_dir)))
 
 
+def prediction_drift(spark, sf_dir):
+    """Drift of the model's predicted labels between the training and the validation split."""
+    from reviewlab.plans import model_queries as mq
+    clf = mq._classifier(spark, sf_dir)
+    p = clf.predict(mq._prepared(spark, sf_dir).frame, C.text, already_clean=True)
+    d = dr.categorical_drift(p, SPLIT, ["prediction"], reference="train", current="val")
+    return rounded(d.select("column", "n_ref", "n_cur", "js_distance", "drifted"))
+
+
+def retrain_promotion(spark, sf_dir):
+    """Promotion after a retrain batch (here: every tracked run is the batch)."""
+    runs = tb.runs(spark, sf_dir)
+    return rounded(rg.retrain_promotion(runs, runs, tb.model_versions(spark, sf_dir), tb.aliases(spark, sf_dir)))
+
+
 def latest_snapshot(spark, sf_dir):
     """Rows of the newest snapshot day (max over the partition key, then a filter)."""
     s = tb.snapshots(spark, sf_dir)

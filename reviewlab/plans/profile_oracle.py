@@ -192,3 +192,30 @@ FROM reviews"""),
                     "FROM (SELECT DISTINCT coalesce(sentiment, 'nan') AS label FROM reviews)"),
     "timestamp_tag": "SELECT event_id, strftime(ts, '%Y%m%d_%H%M%S') AS tag FROM events",
 }
+
+
+def _section(name: str, key: str, label: str, metrics: list[str]) -> str:
+    src = SQL[key]
+    return "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS section, '{m}' AS metric, CAST({label} AS VARCHAR) AS label, "
+        f"round(CAST(\"{m}\" AS DOUBLE), 6) AS value FROM ({src})" for m in metrics)
+
+
+_STATS = ["count", "min", "max", "mean", "median", "std"]
+FULL_PROFILE_SECTIONS = [
+    ("shape", "overview_shape", "NULL", ["rows", "columns"]),
+    ("label_summary", "label_summary", "label", ["count"]),
+    ("missing", "missing_summary", "\"column\"", ["missing", "pct"]),
+    ("duplicates_full_rows", "duplicate_full_rows", "NULL", ["duplicates", "pct"]),
+    ("duplicates_text", "duplicate_text_excess", "NULL", ["duplicates", "pct"]),
+    ("rating_outliers", "rating_outliers", "NULL", ["outliers", "pct", "rating_min", "rating_max"]),
+    ("text_length", "text_length_stats", "NULL", _STATS),
+    ("text_length", "text_length_by_label", "sentiment", _STATS),
+    ("rating", "rating_stats", "NULL", _STATS),
+    ("rating", "rating_by_label", "sentiment", _STATS),
+    ("top_words", "top_words_by_label", "label || ':' || word", ["count"]),
+    ("duplicate_summary", "duplicate_summary", "NULL",
+     ["total_rows", "unique_value_count", "duplicate_value_count", "duplicate_rows", "unique_rows"]),
+    ("brand_sentiment", "brand_sentiment_counts", "sentiment || ':' || brand", ["count"]),
+]
+SQL["full_profile"] = "\nUNION ALL\n".join(_section(*s) for s in FULL_PROFILE_SECTIONS)
