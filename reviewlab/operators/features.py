@@ -97,8 +97,11 @@ class TfidfModel:
 
     def weights(self, text: Column) -> Column:
         """L2-normalised tf*idf of the vocabulary terms of one text -> array<struct<term, weight>>."""
+        return self.weights_from_tokens(tx.vectorizer_tokens(text))
+
+    def weights_from_tokens(self, tokens: Column) -> Column:
         vocab = list(self.terms)
-        kept = F.filter(doc_terms(text), lambda t: t.isin(vocab))
+        kept = F.filter(tx.word_ngrams(tokens), lambda t: t.isin(vocab))
         idf = F.create_map(*[x for t, v in zip(self.terms, self.idf) for x in (F.lit(t), F.lit(v))])
 
         def normalise(raw):
@@ -151,8 +154,8 @@ def vocabulary_frame(docs: DataFrame, text: str, max_features: int = 100, min_df
     return _top(vocabulary_counts(docs, text), max_features, min_df)
 
 
-def fit_vocabulary(docs: DataFrame, text: str, max_features: int = 100, min_df: int = 2,
-                   max_frequent: int = 100_000) -> list:
+def fit_vocabulary(docs: DataFrame, text: str | None, max_features: int = 100, min_df: int = 2,
+                   max_frequent: int = 100_000, tokens: str | None = None) -> list:
     """Exact top-``max_features`` vocabulary with bigram pruning.
 
     A bigram occurs at most as often as each of its words. Let T1 be the
@@ -162,7 +165,10 @@ def fit_vocabulary(docs: DataFrame, text: str, max_features: int = 100, min_df:
     the shuffle no longer carries every distinct bigram. When the frequent-word
     set would exceed ``max_frequent`` the pruning is skipped (still exact).
     """
-    toks = docs.select(tx.vectorizer_tokens(F.col(text)).alias("t")).persist()   # two passes read it
+    if tokens is None:
+        toks = docs.select(tx.vectorizer_tokens(F.col(text)).alias("t")).persist()   # two passes read it
+    else:
+        toks = docs.select(F.col(tokens).alias("t"))
     uni = term_doc_stats(toks, F.col("t")).persist()
     top_uni = _top(uni, max_features, min_df).collect()
     t1 = min((r["term_freq"] for r in top_uni), default=0) if len(top_uni) >= max_features else 0
@@ -190,12 +196,15 @@ def fit_vocabulary(docs: DataFrame, text: str, max_features: int = 100, min_df:
         bi = per_doc.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"), F.sum("tf").alias("term_freq"))
     rows = _top(uni.unionByName(bi), max_features, min_df).collect()
     uni.unpersist()
-    toks.unpersist()
+    if tokens is None:
+        toks.unpersist()
     return rows
 
 
-def fit_tfidf(docs: DataFrame, text: str, max_features: int = 100, min_df: int = 2) -> TfidfModel:
+def fit_tfidf(docs: DataFrame, text: str | None, max_features: int = 100, min_df: int = 2,
+              tokens: str | None = None) -> TfidfModel:
+    """Fit on documents given as text, or as an already tokenised column ``tokens``."""
     n_docs = docs.count()
-    rows = fit_vocabulary(docs, text, max_features, min_df)   # <= max_features rows
+    rows = fit_vocabulary(docs, text, max_features, min_df, tokens=tokens)   # <= max_features rows
     rows = sorted(rows, key=lambda r: r["term"])
     return TfidfModel(tuple(r["term"] for r in rows), tuple(int(r["doc_freq"]) for r in rows), int(n_docs))

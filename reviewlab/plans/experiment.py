@@ -54,3 +54,37 @@ def model_comparison(prep: Prepared, **kw) -> DataFrame:
         m = ev.eval_metrics(pairs).select(F.lit(MODEL_NAMES[key]).alias("model_name"), "*")
         rows = m if rows is None else rows.unionByName(m)
     return rows
+
+
+def record_runs(prep: Prepared, table_path: str, experiment: str = "sentiment", max_features: int = 100,
+                min_df: int = 2, test_size: float = 0.2, seed: int = 42, **kw) -> DataFrame:
+    """Train every candidate, then append one row per (run, metric) with the run's metadata
+    (vectoriser settings, split, label map, model parameters) as JSON to ``table_path``.
+
+    Returns the appended rows: run_id, experiment, model_name, metric, value, metadata, started_at.
+    """
+    import json
+    import uuid
+
+    out = train_candidates(prep, max_features=max_features, min_df=min_df, **kw)
+    labels = {i: l for i, l in enumerate(prep.labels.labels)}
+    params = {"nb": {"alpha": kw.get("alpha", 4.0)},
+              "rf": {"num_trees": 10, "max_depth": 3, "feature_subset": "sqrt"},
+              "xgb": {"step": 0.01, "rounds": 10, "max_depth": 6, "subsample": 0.5, "scheme": "one-vs-rest"}}
+    rows = None
+    for key, p in out["predictions"].items():
+        meta = json.dumps({"model_name": MODEL_NAMES[key],
+                           "tfidf": {"max_features": max_features, "ngram_range": [1, 2], "min_df": min_df,
+                                     "vocabulary_size": len(out["tfidf"].terms)},
+                           "params": params[key], "data": {"test_size": test_size, "random_state": seed},
+                           "labels": {"id_to_label": labels}})
+        pairs = p.select(F.col(prep.cols.label).alias("y_true"), prep.labels.decode(F.col("pred_id")).alias("y_pred"))
+        metrics = ev.eval_metrics(pairs)
+        long = metrics.unpivot([], metrics.columns, "metric", "value")
+        r = long.select(F.lit(uuid.uuid4().hex).alias("run_id"), F.lit(experiment).alias("experiment"),
+                        F.lit(MODEL_NAMES[key]).alias("model_name"), "metric", "value",
+                        F.lit(meta).alias("metadata"), F.current_timestamp().alias("started_at"))
+        rows = r if rows is None else rows.unionByName(r)
+    rows.write.mode("append").parquet(table_path)
+    out["features"].unpersist()
+    return rows.sparkSession.read.parquet(table_path)

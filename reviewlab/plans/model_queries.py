@@ -140,6 +140,14 @@ def model_comparison(spark, sf_dir):
     return rounded(compare(_prepared(spark, sf_dir)))
 
 
+def experiment_runs(spark, sf_dir):
+    """Train all candidates and append their metrics + metadata to a runs table."""
+    from reviewlab.plans.experiment import record_runs
+    from reviewlab.session import scratch_path
+    t = record_runs(_prepared(spark, sf_dir), scratch_path(spark, "runs"))
+    return rounded(t.select("model_name", "metric", "value", "metadata"))
+
+
 def svd_projection(spark, sf_dir):
     from reviewlab.operators.trees import fit_projection
     clf = _classifier(spark, sf_dir)

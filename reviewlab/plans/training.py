@@ -92,9 +92,12 @@ class TextClassifier:
 
 def fit_text_classifier(prep: Prepared, max_features: int = 100, min_df: int = 2,
                         alpha: float = 4.0) -> TextClassifier:
+    """Tokenise the training rows once (persisted); the vocabulary and the naive
+    Bayes fit both read those tokens."""
     c = prep.cols
-    train = prep.train()
-    tfidf = fit_tfidf(train, c.text, max_features, min_df)
-    feats = train.withColumn(FEATURES, tfidf.weights(F.col(c.text)))
+    toks = prep.train().select(LABEL_ID, tx.vectorizer_tokens(F.col(c.text)).alias("_tok")).persist()
+    tfidf = fit_tfidf(toks, None, max_features, min_df, tokens="_tok")
+    feats = toks.select(LABEL_ID, tfidf.weights_from_tokens(F.col("_tok")).alias(FEATURES))
     nb = fit_naive_bayes(feats, LABEL_ID, FEATURES, tfidf, alpha)
+    toks.unpersist()
     return TextClassifier(tfidf, nb, prep.labels, clean=True)
