@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from reviewlab.operators import drift as dr
 from reviewlab.operators import registry as rg
 from reviewlab.plans.common import rounded
-from reviewlab.plans.training import SPLIT, prepare
+from reviewlab.plans.training import SPLIT
 from reviewlab.schema import DEFAULT as C
 from reviewlab.sources import tables as tb
 
@@ -41,7 +41,8 @@ def drift_chi2(spark, sf_dir):
 
 def target_drift(spark, sf_dir):
     """Label distribution drift between the training and the validation split."""
-    p = prepare(tb.reviews(spark, sf_dir)).frame
+    from reviewlab.plans import model_queries as mq
+    p = mq._prepared(spark, sf_dir).frame
     d = dr.categorical_drift(p, SPLIT, [C.label], reference="train", current="val")
     return rounded(d.select("column", "n_ref", "n_cur", "js_distance", "drifted"))
 
