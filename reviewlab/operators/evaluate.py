@@ -52,15 +52,19 @@ def eval_metrics(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred")
 def confusion_matrix(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred") -> DataFrame:
     """Every (true, predicted) cell over the label list, zero filled.
 
-    The label list (K labels) is gathered into one small row and expanded twice;
-    the K x K grid is then matched with the confusion counts.
+    The confusion counts (at most K x K cells) are gathered into one row and
+    expanded there: one scan of the input, no join.
     """
     cm = confusion_counts(df, y_true, y_pred)
-    labels = cm.select(F.explode(F.array("y_true", "y_pred")).alias("l")).agg(
-        F.array_sort(F.collect_set("l")).alias("ls"))
-    grid = labels.select(F.explode("ls").alias("y_true"), "ls").select("y_true", F.explode("ls").alias("y_pred"))
-    return (grid.join(cm, ["y_true", "y_pred"], "left")
-            .select("y_true", "y_pred", F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count")))
+    one = cm.agg(F.collect_list(F.struct("y_true", "y_pred", "count")).alias("cells"))
+    one = one.select(
+        F.map_from_entries(F.transform("cells", lambda c: F.struct(
+            F.struct(c["y_true"], c["y_pred"]), c["count"]))).alias("m"),
+        F.array_sort(F.array_distinct(F.concat(F.transform("cells", lambda c: c["y_true"]),
+                                               F.transform("cells", lambda c: c["y_pred"])))).alias("ls"))
+    grid = one.select("m", "ls", F.explode("ls").alias("y_true")).select("m", "y_true", F.explode("ls").alias("y_pred"))
+    n = F.coalesce(F.element_at("m", F.struct(F.col("y_true"), F.col("y_pred"))), F.lit(0)).cast("bigint")
+    return grid.select("y_true", "y_pred", n.alias("count"))
 
 
 def _report_row(name: str, p: str, r: str, f: str):

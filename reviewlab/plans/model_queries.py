@@ -49,7 +49,7 @@ def union_train_val(spark, sf_dir):
 
 
 def ngrams(spark, sf_dir):
-    r = tb.reviews(spark, sf_dir).filter(F.col(C.text).isNotNull())
+    r = tb.review_texts(spark, sf_dir).filter(F.col(C.text).isNotNull())
     x = r.select(C.id, F.explode(tx.term_counts(doc_terms(F.col(C.text)))).alias("x"))
     return x.select(C.id, F.col("x.term").alias("term"), F.col("x.tf").alias("tf"))
 
@@ -84,7 +84,7 @@ def decode_labels(spark, sf_dir):
 
 def batch_predict(spark, sf_dir):
     clf = _classifier(spark, sf_dir)
-    r = tb.reviews(spark, sf_dir).filter(F.col(C.text).isNotNull()).select(C.id, C.text)
+    r = tb.review_texts(spark, sf_dir).filter(F.col(C.text).isNotNull())
     return clf.predict(r, C.text).select(C.id, "prediction")
 
 

@@ -20,12 +20,13 @@ def drop_missing(spark, sf_dir):
 
 
 def dedupe_keep_first(spark, sf_dir):
-    d = pf.dedupe_keep_first(pf.drop_missing(_reviews(spark, sf_dir)), key=C.text, order=C.id)
+    r = _reviews(spark, sf_dir).select(C.id, C.text, C.label)
+    d = pf.dedupe_keep_first(pf.drop_missing(r), key=C.text, order=C.id)
     return d.select(C.id, C.label)
 
 
 def text_length_column(spark, sf_dir):
-    return pf.with_text_length(_reviews(spark, sf_dir)).select(C.id, C.length)
+    return pf.with_text_length(tb.review_texts(spark, sf_dir)).select(C.id, C.length)
 
 
 def rating_numeric(spark, sf_dir):
@@ -57,7 +58,7 @@ def duplicate_full_rows(spark, sf_dir):
 
 
 def duplicate_text_excess(spark, sf_dir):
-    return rounded(pf.duplicate_text_excess(_reviews(spark, sf_dir)))
+    return rounded(pf.duplicate_text_excess(tb.review_texts(spark, sf_dir)))
 
 
 def rating_outliers(spark, sf_dir):
@@ -117,23 +118,23 @@ def wordcloud_weights(spark, sf_dir):
 
 
 def corpus_term_weights(spark, sf_dir):
-    return pf.corpus_term_weights(_reviews(spark, sf_dir), max_words=200)
+    return pf.corpus_term_weights(tb.review_texts(spark, sf_dir), max_words=200)
 
 
 def duplicate_summary(spark, sf_dir):
-    return pf.duplicate_summary(_reviews(spark, sf_dir))
+    return pf.duplicate_summary(tb.review_texts(spark, sf_dir))
 
 
 def duplicated_reviews(spark, sf_dir):
-    return pf.duplicated_reviews(_reviews(spark, sf_dir))
+    return pf.duplicated_reviews(tb.review_texts(spark, sf_dir))
 
 
 def duplicate_examples(spark, sf_dir):
-    return pf.duplicate_examples(_reviews(spark, sf_dir), n=5)
+    return pf.duplicate_examples(tb.review_texts(spark, sf_dir), n=5)
 
 
 def unique_vs_duplicate(spark, sf_dir):
-    return pf.unique_vs_duplicate(_reviews(spark, sf_dir))
+    return pf.unique_vs_duplicate(tb.review_texts(spark, sf_dir))
 
 
 def brand_sentiment_counts(spark, sf_dir):
@@ -165,23 +166,23 @@ def full_profile(spark, sf_dir):
 
 
 def tokenize(spark, sf_dir):
-    r = _reviews(spark, sf_dir).filter(F.col(C.text).isNotNull())
+    r = tb.review_texts(spark, sf_dir).filter(F.col(C.text).isNotNull())
     toks = tx.tokenize(F.col(C.text))
     return r.select(C.id, F.size(toks).cast("bigint").alias("n_tokens"), F.array_join(toks, " ").alias("tokens"))
 
 
 def clean_text(spark, sf_dir):
-    r = _reviews(spark, sf_dir)
+    r = tb.review_texts(spark, sf_dir)
     return r.select(C.id, tx.clean_text(F.col(C.text)).alias("clean_text"))
 
 
 def normalize_space(spark, sf_dir):
-    r = _reviews(spark, sf_dir)
+    r = tb.review_texts(spark, sf_dir)
     return r.select(C.id, tx.normalize_space(F.col(C.text)).alias("normalized"))
 
 
 def strip_accents(spark, sf_dir):
-    r = _reviews(spark, sf_dir)
+    r = tb.review_texts(spark, sf_dir)
     return r.select(C.id, tx.strip_accents(F.lower(F.col(C.text))).alias("stripped"))
 
 

@@ -31,7 +31,14 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
-    return spread(read_table(spark, sf_dir, "documents").select(*columns), "doc_id")
+    d = read_table(spark, sf_dir, "documents").select(*columns)
+    return spread(d, "doc_id") if "text" in columns else d
+
+
+def review_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Just (review_id, review_text): the review table's rows without the label join."""
+    d = documents(spark, sf_dir, ["doc_id", "text"])
+    return d.select(F.col("doc_id").alias("review_id"), F.col("text").alias("review_text"))
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
