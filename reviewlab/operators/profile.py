@@ -147,16 +147,17 @@ def label_distribution(df: DataFrame, c: Cols = DEFAULT, classes=SENTIMENT_ORDER
 
 
 # ---------------------------------------------------------------- text length, ratings
-def text_length_stats(df: DataFrame, c: Cols = DEFAULT) -> DataFrame:
-    """Global length summary plus one per non-null label (one ROLLUP pass)."""
+def text_length_stats(df: DataFrame, c: Cols = DEFAULT, approx: bool = False) -> DataFrame:
+    """Global length summary plus one per non-null label (one ROLLUP pass).
+    ``approx`` uses an approximate median (bounded memory for huge distinct counts)."""
     d = with_text_length(df, c).select(c.label, c.length)
-    return global_and_grouped_stats(d, c.length, c.label)
+    return global_and_grouped_stats(d, c.length, c.label, approx)
 
 
-def rating_stats(df: DataFrame, c: Cols = DEFAULT) -> DataFrame:
+def rating_stats(df: DataFrame, c: Cols = DEFAULT, approx: bool = False) -> DataFrame:
     """Rating summary: global (any label) plus one per non-null label."""
     d = numeric_ratings(df.select(c.label, c.rating), c)
-    return global_and_grouped_stats(d, c.rating, c.label)
+    return global_and_grouped_stats(d, c.rating, c.label, approx)
 
 
 def rating_label_counts(df: DataFrame, c: Cols = DEFAULT) -> DataFrame:

@@ -29,6 +29,21 @@ def test_top_k_exact_with_a_hot_group(spark):
         sorted(map(tuple, brute.select("g", "w", "n", "r").collect()))
 
 
+def test_top_k_salted_path_above_group_limit(spark):
+    rnd = random.Random(11)
+    rows = [("hot" if i % 3 == 0 else f"g{i % 7}", f"w{rnd.randint(0, 300)}", rnd.randint(0, 9)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, w string, n int")
+    before = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "2")   # force the salted two-stage rank
+    try:
+        got = top_k_per_group(df, ["g"], [F.desc("n"), F.asc("w")], 6, salt_key=F.col("w"), salt_buckets=8)
+        got = sorted(map(tuple, got.select("g", "w", "n", "rank").collect()))
+    finally:
+        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", before)
+    brute = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy(F.desc("n"), F.asc("w"))))
+    assert got == sorted(map(tuple, brute.filter("r <= 6").select("g", "w", "n", "r").collect()))
+
+
 def test_stratified_split_equals_ranked_window(spark):
     ids = spark.range(3000).select(F.col("id").alias("review_id"),
                                    F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("c"), (F.col("id") % 5).cast("string"))).alias("label"))
