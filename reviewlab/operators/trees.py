@@ -5,8 +5,9 @@
   GBT (step 0.01, 10 rounds, depth 6, subsample 0.5); OneVsRest emits no
   probability column, so probabilities are the softmax of the per-class raw
   margins. This is not the same loss as a multiclass softmax booster;
-- projection: rank-2 SVD of the uncentred feature matrix (MLlib RowMatrix, a
-  distributed Gramian), then standardised with population statistics.
+- projection: rank-2 SVD of the uncentred feature matrix (top eigenvectors of
+  the Gram matrix built from distributed column statistics), then standardised
+  with population statistics.
 """
 
 from __future__ import annotations
@@ -78,14 +79,24 @@ class Projection:
 
 
 def fit_projection(df: DataFrame, tfidf: TfidfModel, weights: str) -> Projection:
-    """Rank-2 SVD of the (uncentred) TF-IDF matrix via MLlib's distributed RowMatrix."""
-    from pyspark.mllib.linalg import Vectors as MLLibVectors
-    from pyspark.mllib.linalg.distributed import RowMatrix
-
-    dense = df.select(tfidf.dense(F.col(weights)).alias("d"))
-    rows = dense.rdd.map(lambda r: MLLibVectors.dense(r[0]))
-    svd = RowMatrix(rows).computeSVD(2, computeU=False)
-    v = svd.V.toArray().copy()
+    """Rank-2 SVD of the (uncentred) TF-IDF matrix X.
+
+    The right singular vectors are the top eigenvectors of the Gram matrix
+    X'X = (n - 1) * Cov + n * mean mean', assembled from Spark ML's distributed
+    correlation and column summaries (JVM-side); the Gram matrix is
+    vocabulary x vocabulary, so its eigen-decomposition runs on the driver.
+    """
+    import numpy as np
+    from pyspark.ml.stat import Correlation, Summarizer
+
+    vec = df.select(array_to_vector(tfidf.dense(F.col(weights))).alias("v")).persist()
+    corr = np.nan_to_num(Correlation.corr(vec, "v").head()[0].toArray())
+    s = vec.select(Summarizer.metrics("mean", "variance", "count").summary(F.col("v")).alias("s")).head()["s"]
+    vec.unpersist()
+    mean, var, n = s["mean"].toArray(), s["variance"].toArray(), float(s["count"])
+    gram = (n - 1) * corr * np.sqrt(np.outer(var, var)) + n * np.outer(mean, mean)
+    w, vecs = np.linalg.eigh(gram)
+    v = vecs[:, np.argsort(w)[::-1][:2]].copy()
     # deterministic sign: the largest-magnitude loading of each component is positive
     for k in range(v.shape[1]):
         if v[abs(v[:, k]).argmax(), k] < 0:
@@ -93,6 +104,6 @@ def fit_projection(df: DataFrame, tfidf: TfidfModel, weights: str) -> Projection
     vt = tuple((float(v[j, 0]), float(v[j, 1]) if v.shape[1] > 1 else 0.0) for j in range(v.shape[0]))
     proj = Projection(vt, (0.0, 0.0), (1.0, 1.0))
     x, y = proj.apply(tfidf.dense(F.col(weights)))
-    s = df.select(x.alias("x"), y.alias("y")).agg(
+    st = df.select(x.alias("x"), y.alias("y")).agg(
         F.avg("x"), F.avg("y"), F.stddev_pop("x"), F.stddev_pop("y")).collect()[0]
-    return Projection(vt, (float(s[0] or 0.0), float(s[1] or 0.0)), (float(s[2] or 0.0), float(s[3] or 0.0)))
+    return Projection(vt, (float(st[0] or 0.0), float(st[1] or 0.0)), (float(st[2] or 0.0), float(st[3] or 0.0)))
