@@ -307,13 +307,17 @@ def class_distribution(df: DataFrame, c: Cols = DEFAULT) -> DataFrame:
 
 
 # ---------------------------------------------------------------- all in one
-def full_profile(df: DataFrame, c: Cols = DEFAULT, top_n: int = 20) -> DataFrame:
+def full_profile(df: DataFrame, c: Cols = DEFAULT, top_n: int = 20, cache: bool = True) -> DataFrame:
     """Every profile section as tidy rows (section, metric, label, value).
 
-    The input is persisted once and each section reads it, instead of each
-    report scanning the source again.
+    With ``cache`` the input is persisted once and each section reads it, instead
+    of each report scanning the source again. When the input is far larger than
+    the cluster's memory and disk, ``cache=False`` lets each section read only the
+    parquet columns it needs (only the word and duplicate sections read text).
     """
-    base = with_text_length(df, c).persist()
+    base = with_text_length(df, c)
+    if cache:
+        base = base.persist()
     parts: list[DataFrame] = []
 
     def rows(section: str, d: DataFrame, label: Column | None, metrics: list[str]) -> None:
