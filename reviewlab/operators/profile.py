@@ -137,7 +137,16 @@ def rating_outliers(df: DataFrame, c: Cols = DEFAULT) -> DataFrame:
 
 
 def label_distribution(df: DataFrame, c: Cols = DEFAULT, classes=SENTIMENT_ORDER) -> DataFrame:
-    """Counts and percents over a given class order, 0 for absent classes (one aggregate)."""
+    """Counts and percents over a given class order, 0 for absent classes (one aggregate).
+
+    ``classes=None`` uses the classes present instead (null as 'nan'), ordered by
+    count like the label summary, with percents over all rows.
+    """
+    if classes is None:
+        s = label_summary(df, c)
+        w = Window.partitionBy()   # one row per class
+        return s.select((F.col("rank") - 1).alias("position"), "label", "count",
+                        tx.pct(F.col("count"), F.sum("count").over(w)).alias("pct"))
     a = df.agg(*[F.count_if(F.col(c.label) == k).alias(f"_c{i}") for i, k in enumerate(classes)])
     total = sum((F.col(f"_c{i}") for i in range(len(classes))), F.lit(0))
     rows = F.array(*[F.struct(F.lit(i).cast("bigint").alias("position"), F.lit(k).alias("label"),

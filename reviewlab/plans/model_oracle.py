@@ -96,6 +96,12 @@ SCORE_DOCS = ([("sdocs", f"SELECT review_id, {clean_sql('review_text')} AS text,
               + scores_ctes("s_", "sdocs", "stfidf"))
 
 
+RAW_SCORE_DOCS = ([("rdocs", "SELECT review_id, review_text AS text, 0 AS z FROM reviews "
+                             "WHERE review_text IS NOT NULL")]
+                  + terms_ctes("rs", "rdocs", "z") + weights_ctes("rs", "z")
+                  + scores_ctes("rs_", "rdocs", "rstfidf"))
+
+
 def chain(body: str, *parts) -> str:
     extra = []
     for p in parts:
@@ -126,6 +132,9 @@ FROM val_pred p LEFT JOIN label_ids l ON p.pred_id = l.label_id""", PREP, VOCAB,
     "batch_predict": chain("""
 SELECT p.review_id, l.sentiment AS prediction FROM s_pred p JOIN label_ids l ON p.pred_id = l.label_id""",
                            PREP, VOCAB, NB, SCORE_DOCS),
+    "batch_predict_raw": chain("""
+SELECT p.review_id, l.sentiment AS prediction FROM rs_pred p JOIN label_ids l ON p.pred_id = l.label_id""",
+                               PREP, VOCAB, NB, RAW_SCORE_DOCS),
     "predict_proba": chain("""
 SELECT review_id, label, round(p, 6) AS probability, round(max(p) OVER (PARTITION BY review_id), 6) AS confidence
 FROM (SELECT review_id, label, e / sum(e) OVER (PARTITION BY review_id) AS p FROM (

@@ -88,6 +88,14 @@ def batch_predict(spark, sf_dir):
     return clf.predict(r, C.text).select(C.id, "prediction")
 
 
+def batch_predict_raw(spark, sf_dir):
+    """Scoring the raw text (no training clean first), as the original service did."""
+    from dataclasses import replace
+    clf = replace(_classifier(spark, sf_dir), clean=False)
+    r = tb.review_texts(spark, sf_dir).filter(F.col(C.text).isNotNull())
+    return clf.predict(r, C.text).select(C.id, "prediction")
+
+
 def predict_proba(spark, sf_dir):
     clf = _classifier(spark, sf_dir)
     val = _prepared(spark, sf_dir).val().select(C.id, C.text)

@@ -182,3 +182,10 @@ def test_guards(spark, nulls):
         ensure_not_empty(nulls.filter("false"))
     r = pf.rating_available(nulls.drop("rating")).first()
     assert r["rating_available"] is False
+
+
+def test_label_distribution_over_present_classes(nulls):
+    got = {r["label"]: (r["count"], r["pct"]) for r in pf.label_distribution(nulls, classes=None).collect()}
+    assert got == {"Negative": (2, 33.33), "nan": (2, 33.33), "Positive": (1, 16.67), " POSITIVE ": (1, 16.67)}
+    fixed = {r["label"]: r["count"] for r in pf.label_distribution(nulls).collect()}
+    assert fixed == {"Positive": 1, "Neutral": 0, "Negative": 2}
