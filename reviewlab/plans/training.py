@@ -46,15 +46,17 @@ def prepare(reviews: DataFrame, c: Cols = DEFAULT, test_size: float = 0.2, seed:
     d = pf.dedupe_keep_first(d, key=c.text, order=c.id)
     if clean:
         d = d.withColumn(c.text, tx.clean_text(F.col(c.text)))
-    if keep:
-        d = d.persist()
-    labels = fit_label_index(d, c.label)
-    d = d.withColumn(LABEL_ID, labels.encode(F.col(c.label)))
+    base = d.persist() if keep else d   # read by the label-index job and the split
+    labels = fit_label_index(base, c.label)
+    d = base.withColumn(LABEL_ID, labels.encode(F.col(c.label)))
     d = stratified_split(d, c.id, c.label, test_size, seed, out=SPLIT)
     if keep == "checkpoint":
         d = d.checkpoint(eager=True)   # reliable checkpoint in spark.checkpoint.dir
     elif keep == "persist":
         d = d.persist()
+        d.count()
+    if keep:
+        base.unpersist()   # one cached copy of the training text, not two
     return Prepared(d, labels, c)
 
 
