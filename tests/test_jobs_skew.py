@@ -46,3 +46,10 @@ def test_dedupe_and_duplicates_with_a_hot_text(spark):
     assert d.count() == n - n // 3 + 1
     s = pf.duplicate_summary(df).first()
     assert s["duplicate_rows"] == n // 3 and s["duplicate_value_count"] == 1
+
+
+def test_full_profile_same_with_or_without_cache(spark):
+    r = tb.reviews(spark, SMALL)
+    a = sorted(map(tuple, pf.full_profile(r, cache=True).collect()), key=str)
+    b = sorted(map(tuple, pf.full_profile(r, cache=False).collect()), key=str)
+    assert a == b
