@@ -107,3 +107,15 @@ def fit_projection(df: DataFrame, tfidf: TfidfModel, weights: str) -> Projection
     st = df.select(x.alias("x"), y.alias("y")).agg(
         F.avg("x"), F.avg("y"), F.stddev_pop("x"), F.stddev_pop("y")).collect()[0]
     return Projection(vt, (float(st[0] or 0.0), float(st[1] or 0.0)), (float(st[2] or 0.0), float(st[3] or 0.0)))
+
+
+def confidence_columns(scored: DataFrame, names: Column) -> tuple[Column, Column]:
+    """(confidence, label -> probability map) of a scored frame.
+
+    Probabilities come from the model's probability column, else from a softmax
+    of its raw margins; a model with neither gets confidence 1.0 and an empty map.
+    """
+    if "probability" in scored.columns or "rawPrediction" in scored.columns:
+        p = class_probabilities(scored)
+        return F.array_max(p), F.map_from_arrays(names, p)
+    return F.lit(1.0), F.create_map().cast("map<string,double>")

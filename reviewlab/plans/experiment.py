@@ -14,7 +14,7 @@ from reviewlab.operators import evaluate as ev
 from reviewlab.operators import trees
 from reviewlab.operators.features import fit_tfidf
 from reviewlab.operators.naive_bayes import fit_naive_bayes
-from reviewlab.plans.training import FEATURES, LABEL_ID, SPLIT, Prepared, TextClassifier
+from reviewlab.plans.training import FEATURES, LABEL_ID, SPLIT, Prepared, TextClassifier, VectorTextClassifier
 from reviewlab.schema import DEFAULT, Cols
 
 MODEL_NAMES = {"nb": "NaiveBayes", "rf": "RandomForest", "xgb": "XGBoost"}
@@ -39,7 +39,7 @@ def train_candidates(prep: Prepared, max_features: int = 100, min_df: int = 2, a
     for key, est in (("rf", trees.random_forest()), ("xgb", trees.boosted_trees())):
         if key in models:
             m = est.fit(ftrain)
-            fitted[key] = m
+            fitted[key] = VectorTextClassifier(tfidf, m, prep.labels)
             preds[key] = m.transform(fval).withColumn("pred_id", F.col("prediction").cast("bigint")).drop("prediction")
     return {"tfidf": tfidf, "features": feats, "predictions": preds, "models": fitted}
 

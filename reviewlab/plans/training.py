@@ -92,6 +92,39 @@ class TextClassifier:
                 .drop("_p", FEATURES))
 
 
+@dataclass
+class VectorTextClassifier:
+    """Fitted vectoriser + a Spark ML classifier on dense TF-IDF vectors + label map."""
+
+    tfidf: TfidfModel
+    model: object
+    labels: LabelIndex
+    clean: bool = True
+
+    def _scored(self, df: DataFrame, text: str, already_clean: bool) -> DataFrame:
+        from reviewlab.operators import trees
+        t = F.col(text)
+        if self.clean and not already_clean:
+            t = tx.clean_text(t)
+        v = trees.vectors(df.withColumn(FEATURES, self.tfidf.weights(t)), self.tfidf, FEATURES).drop(FEATURES)
+        return self.model.transform(v).drop(trees.FEATURES_VEC)
+
+    def predict(self, df: DataFrame, text: str, out: str = "prediction", already_clean: bool = False) -> DataFrame:
+        s = self._scored(df, text, already_clean)
+        pid = F.col("prediction").cast("bigint")
+        s = s.withColumn("pred_id", pid).drop("prediction", "probability", "rawPrediction")
+        return s.withColumn(out, self.labels.decode(F.col("pred_id")))
+
+    def predict_proba(self, df: DataFrame, text: str, already_clean: bool = False) -> DataFrame:
+        from reviewlab.operators import trees
+        s = self._scored(df, text, already_clean)
+        names = F.array(*[F.lit(x) for x in self.labels.labels])
+        conf, probs = trees.confidence_columns(s, names)
+        return (s.withColumn("confidence", conf).withColumn("probability", probs)
+                .withColumn("prediction", self.labels.decode(F.col("prediction").cast("bigint")))
+                .drop("rawPrediction"))
+
+
 def fit_text_classifier(prep: Prepared, max_features: int = 100, min_df: int = 2,
                         alpha: float = 4.0) -> TextClassifier:
     """Tokenise the training rows once (persisted); the vocabulary and the naive
