@@ -74,7 +74,7 @@ def _report_row(name: str, p: str, r: str, f: str):
 
 def classification_report(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred") -> DataFrame:
     """Per-class precision/recall/F1/support plus accuracy, macro and weighted averages."""
-    pc = per_class(df, y_true, y_pred).persist()
+    pc = per_class(df, y_true, y_pred)   # both branches share one exchange (reused), one scan
     rows = pc.select(F.col("label").alias("class"), "precision", "recall", F.col("f1").alias("f1_score"),
                      F.col("support").cast("bigint").alias("support"))
     sup = F.sum("support")
