@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from reviewlab.plans.model_oracle import NB, PREP, SCORE_DOCS, VOCAB, chain
 from reviewlab.plans.model_oracle import SQL as MODEL_SQL
+from reviewlab.plans.drift_registry_oracle import SQL as REGISTRY_SQL
 from reviewlab.plans.profile_oracle import SQL as PROFILE_SQL
 from reviewlab.plans.profile_oracle import sql_list
 from reviewlab.sources.csv import NA_TOKENS
@@ -26,6 +27,7 @@ WHERE review_text IS NOT NULL AND NOT EXISTS (SELECT 1 FROM aliases WHERE alias
                                               "ORDER BY review_id LIMIT 10 OFFSET 10"),
     "saved_model_predict": MODEL_SQL["nb_predict"],
     "report_json": PROFILE_SQL["full_profile"],
+    "latest_snapshot_file": REGISTRY_SQL["latest_snapshot"],
     "prediction_sink": chain(f"""
 SELECT {na('review_text')}, l.sentiment AS sentiment, 'request0' AS request_id
 FROM reviews r JOIN s_pred p ON r.review_id = p.review_id JOIN label_ids l ON p.pred_id = l.label_id""",
