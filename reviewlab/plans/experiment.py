@@ -15,7 +15,7 @@ from reviewlab.operators import trees
 from reviewlab.operators.features import fit_tfidf
 from reviewlab.operators.naive_bayes import fit_naive_bayes
 from reviewlab.plans.training import FEATURES, LABEL_ID, SPLIT, Prepared, TextClassifier, VectorTextClassifier
-from reviewlab.schema import DEFAULT, Cols
+from reviewlab.schema import Cols
 
 MODEL_NAMES = {"nb": "NaiveBayes", "rf": "RandomForest", "xgb": "XGBoost"}
 
