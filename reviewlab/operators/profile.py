@@ -281,15 +281,21 @@ def brand_sentiment_grid(df: DataFrame, c: Cols = DEFAULT, labels=BRAND_CHART_LA
     """Brand x fixed label counts, zero filled, with a flag for labels that have rows.
 
     One aggregate per brand with a conditional count per label (no join); the flag
-    sums the brand rows of a label, including the null-brand group.
+    sums the brand rows of a label, including the null-brand group. The label totals
+    are a global aggregate over the per-brand rows (one row per label, broadcast), so
+    no task ever holds all brands of a label.
     """
     per_brand = df.groupBy(F.col(c.brand).cast("string").alias("brand")).agg(
         *[F.count_if(F.col(c.label) == k).alias(f"_n{i}") for i, k in enumerate(labels)])
     cells = per_brand.select("brand", F.inline(F.array(*[
         F.struct(F.lit(k).alias("label"), F.col(f"_n{i}").alias("count")) for i, k in enumerate(labels)])))
-    w = Window.partitionBy("label")   # one row per brand and label
-    flagged = cells.withColumn("has_chart", F.sum("count").over(w) > 0)
-    return flagged.filter(F.col("brand").isNotNull()).select("label", "brand", "count", "has_chart")
+    totals = per_brand.agg(*[F.sum(f"_n{i}").alias(f"_n{i}") for i in range(len(labels))])
+    flags = totals.select(F.inline(F.array(*[
+        F.struct(F.lit(k).alias("label"), (F.coalesce(F.col(f"_n{i}"), F.lit(0)) > 0).alias("has_chart"))
+        for i, k in enumerate(labels)])))
+    return (cells.filter(F.col("brand").isNotNull())
+            .join(F.broadcast(flags), "label")   # len(labels) rows
+            .select("label", "brand", "count", "has_chart"))
 
 
 def brand_crosstab(df: DataFrame, c: Cols = DEFAULT, labels=None) -> DataFrame:
