@@ -12,12 +12,14 @@ Per-column tests (choices of published statistics; thresholds are arguments):
 Dataset drift: share of drifted columns > 0.3.
 
 Numeric tests pre-aggregate to one row per distinct (column, value) and run the
-cumulative sums in a window partitioned by column, so no window ever sees raw
-rows. ``bins`` rounds continuous values first when distinct values are too many.
+cumulative sums inside ordered value blocks of a column, so no window ever sees raw
+rows or a whole column. ``bins`` rounds continuous values first when distinct values are too many.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,6 +30,8 @@ TEXT_AUC_THRESHOLD = 0.55
 DATASET_DRIFT_SHARE = 0.3
 KS_TERMS = 100
 STD_FLOOR = 0.001   # the Wasserstein distance is divided by max(reference std, this)
+BLOCKS = 1024       # running sums of a numeric column are split into at most this many value blocks
+QUANTILE_ACCURACY = 20_000
 
 
 def _long(df: DataFrame, side: str, columns: list[str], as_type: str) -> DataFrame:
@@ -50,22 +54,63 @@ def ks_pvalue(d: Column, n: Column, m: Column) -> Column:
     return F.when(d <= 0, F.lit(1.0)).otherwise(F.least(F.greatest(p, F.lit(0.0)), F.lit(1.0)))
 
 
+def _block_of(value: Column, splits: Column, max_splits: int) -> Column:
+    """Number of entries of the sorted array ``splits`` that are <= ``value`` (binary search)."""
+    steps = math.ceil(math.log2(max_splits + 1)) + 1
+
+    def step(acc, _):
+        lo, hi = acc["lo"], acc["hi"]
+        mid = F.floor((lo + hi) / 2).cast("int")
+        right = F.element_at(splits, mid + 1) <= value
+        return (F.when(lo >= hi, acc)
+                .when(right, F.struct((mid + 1).alias("lo"), hi.alias("hi")))
+                .otherwise(F.struct(lo.alias("lo"), mid.alias("hi"))))
+
+    init = F.struct(F.lit(0).alias("lo"), F.size(splits).alias("hi"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
+
+
 def numeric_drift(df: DataFrame, side: str, columns: list[str], bins: float | None = None,
                   threshold: float = NUMERIC_THRESHOLD, reference: str = REFERENCE,
-                  current: str = CURRENT) -> DataFrame:
-    """column, n_ref, n_cur, ks, ks_pvalue, wasserstein, wasserstein_norm, drifted."""
+                  current: str = CURRENT, blocks: int = BLOCKS) -> DataFrame:
+    """column, n_ref, n_cur, ks, ks_pvalue, wasserstein, wasserstein_norm, drifted.
+
+    Exact running sums without a window over a whole column: the distinct values of
+    each column are cut into at most ``blocks`` ordered blocks at approximate
+    quantiles (the cut points only balance the work; the result does not depend on
+    them). A small per-block table (columns x blocks rows, broadcast) carries the
+    counts before each block and the first value of the next block; the running
+    sums then run inside (column, block). ``blocks`` bounds that table; each
+    block's window holds about 1/blocks of the column's distinct values.
+    """
     lg = _long(df, side, columns, "double").filter(F.col("value").isNotNull() & ~F.isnan("value"))
     if bins:
         lg = lg.withColumn("value", F.round(F.col("value") / bins) * bins)
     cnt = lg.groupBy("column", "value").agg(F.count_if(F.col("side") == reference).alias("r"),
                                             F.count_if(F.col("side") == current).alias("c"))
-    by_col = Window.partitionBy("column")
-    upto = Window.partitionBy("column").orderBy("value")
-    # one row per distinct (column, value); the reference std comes from the same rows
-    cdf = (cnt.withColumn("nr", F.sum("r").over(by_col)).withColumn("nc", F.sum("c").over(by_col))
-           .withColumn("_mean", F.sum(F.col("r") * F.col("value")).over(by_col) / F.col("nr"))
-           .withColumn("gap", F.abs(F.sum("r").over(upto) / F.col("nr") - F.sum("c").over(upto) / F.col("nc")))
-           .withColumn("width", F.lead("value").over(upto) - F.col("value")))
+    blocks = max(2, blocks)
+    probs = [i / blocks for i in range(1, blocks)]
+    cuts = cnt.groupBy("column").agg(   # one row per column, < blocks doubles
+        F.array_sort(F.array_distinct(F.percentile_approx("value", probs, QUANTILE_ACCURACY))).alias("_cuts"))
+    cb = (cnt.join(F.broadcast(cuts), "column")
+          .select("column", "value", "r", "c", _block_of(F.col("value"), F.col("_cuts"), len(probs)).alias("blk")))
+    per_block = cb.groupBy("column", "blk").agg(
+        F.sum("r").alias("br"), F.sum("c").alias("bc"),
+        F.sum(F.col("r") * F.col("value")).alias("brv"), F.min("value").alias("bmin"))
+    by_col = Window.partitionBy("column")                    # <= blocks rows per column
+    before = by_col.orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (per_block.select(
+        "column", "blk",
+        F.coalesce(F.sum("br").over(before), F.lit(0)).alias("r0"),
+        F.coalesce(F.sum("bc").over(before), F.lit(0)).alias("c0"),
+        F.lead("bmin").over(by_col.orderBy("blk")).alias("next_min"),
+        F.sum("br").over(by_col).alias("nr"), F.sum("bc").over(by_col).alias("nc"),
+        (F.sum("brv").over(by_col) / F.sum("br").over(by_col)).alias("_mean")))
+    upto = Window.partitionBy("column", "blk").orderBy("value")
+    cdf = (cb.join(F.broadcast(offsets), ["column", "blk"])  # columns x blocks rows
+           .withColumn("gap", F.abs((F.col("r0") + F.sum("r").over(upto)) / F.col("nr")
+                                    - (F.col("c0") + F.sum("c").over(upto)) / F.col("nc")))
+           .withColumn("width", F.coalesce(F.lead("value").over(upto), F.col("next_min")) - F.col("value")))
     out = cdf.groupBy("column").agg(
         F.first("nr").alias("n_ref"), F.first("nc").alias("n_cur"),
         F.max("gap").alias("ks"),
@@ -86,8 +131,8 @@ def categorical_drift(df: DataFrame, side: str, columns: list[str], threshold: f
     lg = _long(df, side, columns, "string").filter(F.col("value").isNotNull())
     cnt = lg.groupBy("column", "value").agg(F.count_if(F.col("side") == reference).alias("r"),
                                             F.count_if(F.col("side") == current).alias("c"))
-    by_col = Window.partitionBy("column")   # one row per category
-    shares = (cnt.withColumn("nr", F.sum("r").over(by_col)).withColumn("nc", F.sum("c").over(by_col))
+    totals = cnt.groupBy("column").agg(F.sum("r").alias("nr"), F.sum("c").alias("nc"))   # one row per column
+    shares = (cnt.join(F.broadcast(totals), "column")
               .withColumn("p", F.col("r") / F.col("nr")).withColumn("q", F.col("c") / F.col("nc"))
               .withColumn("m", (F.col("p") + F.col("q")) / 2))
 
