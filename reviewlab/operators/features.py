@@ -155,7 +155,7 @@ def vocabulary_frame(docs: DataFrame, text: str, max_features: int = 100, min_df
 
 
 def fit_vocabulary(docs: DataFrame, text: str | None, max_features: int = 100, min_df: int = 2,
-                   max_frequent: int = 100_000, tokens: str | None = None) -> list:
+                   max_frequent: int = 100_000, tokens: str | None = None, id_col: str | None = None) -> list:
     """Exact top-``max_features`` vocabulary with bigram pruning.
 
     A bigram occurs at most as often as each of its words. Let T1 be the
@@ -164,16 +164,20 @@ def fit_vocabulary(docs: DataFrame, text: str | None, max_features: int = 100, m
     times can qualify. Unigrams are counted first, then only those bigrams:
     the shuffle no longer carries every distinct bigram. When the frequent-word
     set would exceed ``max_frequent`` the pruning is skipped (still exact).
+    The pruned path groups word pairs per document, so it needs a unique,
+    deterministic document key ``id_col`` (a re-run task must key its rows the
+    same way); without one the bigrams are counted unpruned.
     """
+    doc = F.col(id_col) if id_col else F.lit(None).cast("bigint")
     if tokens is None:
-        toks = docs.select(tx.vectorizer_tokens(F.col(text)).alias("t")).persist()   # two passes read it
+        toks = docs.select(doc.alias("_doc"), tx.vectorizer_tokens(F.col(text)).alias("t")).persist()   # two passes
     else:
-        toks = docs.select(F.col(tokens).alias("t"))
+        toks = docs.select(doc.alias("_doc"), F.col(tokens).alias("t"))
     uni = term_doc_stats(toks, F.col("t")).persist()
     top_uni = _top(uni, max_features, min_df).collect()
     t1 = min((r["term_freq"] for r in top_uni), default=0) if len(top_uni) >= max_features else 0
     frequent = None
-    if t1 > 0:
+    if t1 > 0 and id_col:
         rows = uni.filter(F.col("term_freq") >= t1).select("term").limit(max_frequent + 1).collect()
         if len(rows) <= max_frequent:
             frequent = [r["term"] for r in rows]
@@ -185,8 +189,7 @@ def fit_vocabulary(docs: DataFrame, text: str | None, max_features: int = 100, m
         # word pairs map-side, before any shuffle
         spark = docs.sparkSession
         fw = F.broadcast(spark.createDataFrame([(w,) for w in frequent], "w string"))
-        ids = toks.withColumn("_doc", F.monotonically_increasing_id())
-        pairs = ids.select("_doc", F.inline(F.arrays_zip(F.col("t").alias("a"),
+        pairs = toks.select("_doc", F.inline(F.arrays_zip(F.col("t").alias("a"),
                                                           F.slice("t", 2, F.greatest(F.size("t"), F.lit(1))).alias("b"))))
         pairs = (pairs.filter(F.col("b").isNotNull())
                  .join(fw.withColumnRenamed("w", "a"), "a", "left_semi")
@@ -202,9 +205,10 @@ def fit_vocabulary(docs: DataFrame, text: str | None, max_features: int = 100, m
 
 
 def fit_tfidf(docs: DataFrame, text: str | None, max_features: int = 100, min_df: int = 2,
-              tokens: str | None = None) -> TfidfModel:
-    """Fit on documents given as text, or as an already tokenised column ``tokens``."""
+              tokens: str | None = None, id_col: str | None = None) -> TfidfModel:
+    """Fit on documents given as text, or as an already tokenised column ``tokens``;
+    ``id_col`` (unique document key) enables the pruned bigram count."""
     n_docs = docs.count()
-    rows = fit_vocabulary(docs, text, max_features, min_df, tokens=tokens)   # <= max_features rows
+    rows = fit_vocabulary(docs, text, max_features, min_df, tokens=tokens, id_col=id_col)   # <= max_features rows
     rows = sorted(rows, key=lambda r: r["term"])
     return TfidfModel(tuple(r["term"] for r in rows), tuple(int(r["doc_freq"]) for r in rows), int(n_docs))

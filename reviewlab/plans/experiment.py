@@ -25,7 +25,7 @@ def train_candidates(prep: Prepared, max_features: int = 100, min_df: int = 2, a
     """Returns {"tfidf", "features" (persisted), "predictions": {key: DataFrame}, "models": {...}}."""
     c: Cols = prep.cols
     train = prep.train()
-    tfidf = fit_tfidf(train, c.text, max_features, min_df)
+    tfidf = fit_tfidf(train, c.text, max_features, min_df, id_col=c.id)
     feats = prep.frame.withColumn(FEATURES, tfidf.weights(F.col(c.text)))
     feats = trees.vectors(feats, tfidf, FEATURES, LABEL_ID).persist()
     ftrain = feats.filter(F.col(SPLIT) == "train")

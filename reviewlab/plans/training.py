@@ -130,8 +130,8 @@ def fit_text_classifier(prep: Prepared, max_features: int = 100, min_df: int = 2
     """Tokenise the training rows once (persisted); the vocabulary and the naive
     Bayes fit both read those tokens."""
     c = prep.cols
-    toks = prep.train().select(LABEL_ID, tx.vectorizer_tokens(F.col(c.text)).alias("_tok")).persist()
-    tfidf = fit_tfidf(toks, None, max_features, min_df, tokens="_tok")
+    toks = prep.train().select(c.id, LABEL_ID, tx.vectorizer_tokens(F.col(c.text)).alias("_tok")).persist()
+    tfidf = fit_tfidf(toks, None, max_features, min_df, tokens="_tok", id_col=c.id)
     feats = toks.select(LABEL_ID, tfidf.weights_from_tokens(F.col("_tok")).alias(FEATURES))
     nb = fit_naive_bayes(feats, LABEL_ID, FEATURES, tfidf, alpha)
     toks.unpersist()

@@ -59,8 +59,9 @@ def test_stratified_split_equals_ranked_window(spark):
 def test_pruned_vocabulary_equals_plain(spark):
     p = mq._prepared(spark, MEDIUM)
     plain = vocabulary_frame(p.train(), C.text).collect()
-    pruned = fit_vocabulary(p.train(), C.text)
-    assert sorted(map(tuple, plain)) == sorted(map(tuple, pruned))
+    pruned = fit_vocabulary(p.train(), C.text, id_col=C.id)
+    unpruned = fit_vocabulary(p.train(), C.text)
+    assert sorted(map(tuple, plain)) == sorted(map(tuple, pruned)) == sorted(map(tuple, unpruned))
 
 
 def test_tfidf_and_nb_against_numpy(spark):
