@@ -90,22 +90,24 @@ def numeric_drift(df: DataFrame, side: str, columns: list[str], bins: float | No
                                             F.count_if(F.col("side") == current).alias("c"))
     blocks = max(2, blocks)
     probs = [i / blocks for i in range(1, blocks)]
-    cuts = cnt.groupBy("column").agg(   # one row per column, < blocks doubles
-        F.array_sort(F.array_distinct(F.percentile_approx("value", probs, QUANTILE_ACCURACY))).alias("_cuts"))
+    # one row per column: cut points (< blocks doubles), totals and the reference mean;
+    # it reads all of cnt's columns, so cnt's shuffle is shared with the branch below
+    cuts = cnt.groupBy("column").agg(
+        F.array_sort(F.array_distinct(F.percentile_approx("value", probs, QUANTILE_ACCURACY))).alias("_cuts"),
+        F.sum("r").alias("nr"), F.sum("c").alias("nc"),
+        (F.sum(F.col("r") * F.col("value")) / F.sum("r")).alias("_mean"))
     cb = (cnt.join(F.broadcast(cuts), "column")
-          .select("column", "value", "r", "c", _block_of(F.col("value"), F.col("_cuts"), len(probs)).alias("blk")))
-    per_block = cb.groupBy("column", "blk").agg(
-        F.sum("r").alias("br"), F.sum("c").alias("bc"),
-        F.sum(F.col("r") * F.col("value")).alias("brv"), F.min("value").alias("bmin"))
-    by_col = Window.partitionBy("column")                    # <= blocks rows per column
-    before = by_col.orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (per_block.select(
+          .select("column", "value", "r", "c", "nr", "nc", "_mean",
+                  _block_of(F.col("value"), F.col("_cuts"), len(probs)).alias("blk")))
+    per_block = cb.groupBy("column", "blk").agg(F.sum("r").alias("br"), F.sum("c").alias("bc"),
+                                                F.min("value").alias("bmin"))
+    by_col = Window.partitionBy("column").orderBy("blk")    # <= blocks rows per column
+    before = by_col.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_block.select(
         "column", "blk",
         F.coalesce(F.sum("br").over(before), F.lit(0)).alias("r0"),
         F.coalesce(F.sum("bc").over(before), F.lit(0)).alias("c0"),
-        F.lead("bmin").over(by_col.orderBy("blk")).alias("next_min"),
-        F.sum("br").over(by_col).alias("nr"), F.sum("bc").over(by_col).alias("nc"),
-        (F.sum("brv").over(by_col) / F.sum("br").over(by_col)).alias("_mean")))
+        F.lead("bmin").over(by_col).alias("next_min"))
     upto = Window.partitionBy("column", "blk").orderBy("value")
     cdf = (cb.join(F.broadcast(offsets), ["column", "blk"])  # columns x blocks rows
            .withColumn("gap", F.abs((F.col("r0") + F.sum("r").over(upto)) / F.col("nr")
