@@ -287,14 +287,16 @@ def brand_sentiment_grid(df: DataFrame, c: Cols = DEFAULT, labels=BRAND_CHART_LA
     """
     per_brand = df.groupBy(F.col(c.brand).cast("string").alias("brand")).agg(
         *[F.count_if(F.col(c.label) == k).alias(f"_n{i}") for i, k in enumerate(labels)])
-    cells = per_brand.select("brand", F.inline(F.array(*[
-        F.struct(F.lit(k).alias("label"), F.col(f"_n{i}").alias("count")) for i, k in enumerate(labels)])))
+    # null brands yield no cells; dropping them inside the generator (not by a filter,
+    # which the optimizer would push below this branch's aggregate only) keeps the two
+    # branches' aggregates identical, so Spark runs that shuffle once
+    grid = F.array(*[F.struct(F.lit(k).alias("label"), F.col(f"_n{i}").alias("count")) for i, k in enumerate(labels)])
+    cells = per_brand.select("brand", F.inline(F.when(F.col("brand").isNotNull(), grid)))
     totals = per_brand.agg(*[F.sum(f"_n{i}").alias(f"_n{i}") for i in range(len(labels))])
     flags = totals.select(F.inline(F.array(*[
         F.struct(F.lit(k).alias("label"), (F.coalesce(F.col(f"_n{i}"), F.lit(0)) > 0).alias("has_chart"))
         for i, k in enumerate(labels)])))
-    return (cells.filter(F.col("brand").isNotNull())
-            .join(F.broadcast(flags), "label")   # len(labels) rows
+    return (cells.join(F.broadcast(flags), "label")   # len(labels) rows
             .select("label", "brand", "count", "has_chart"))
 
 
