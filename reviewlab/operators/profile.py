@@ -324,13 +324,13 @@ def class_distribution(df: DataFrame, c: Cols = DEFAULT) -> DataFrame:
 
 
 # ---------------------------------------------------------------- all in one
-def full_profile(df: DataFrame, c: Cols = DEFAULT, top_n: int = 20, cache: bool = True) -> DataFrame:
+def full_profile(df: DataFrame, c: Cols = DEFAULT, top_n: int = 20, cache: bool = False) -> DataFrame:
     """Every profile section as tidy rows (section, metric, label, value).
 
-    With ``cache`` the input is persisted once and each section reads it, instead
-    of each report scanning the source again. When the input is far larger than
-    the cluster's memory and disk, ``cache=False`` lets each section read only the
-    parquet columns it needs (only the word and duplicate sections read text).
+    By default each section reads only the parquet columns it needs (only the word
+    and duplicate sections read text), so no copy of the table is kept. ``cache=True``
+    persists the input once for all sections (the caller unpersists it); worth it
+    only when the input is expensive to recompute and fits the cluster's storage.
     """
     base = with_text_length(df, c)
     if cache:
