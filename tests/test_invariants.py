@@ -175,3 +175,11 @@ def test_svd_projection_matches_numpy(spark):
         assert abs(abs(float(v[:, k] @ vt[k])) - 1.0) < 1e-6
     xs = f.select(p.apply(clf.tfidf.dense(F.col(FEATURES)))[0].alias("x")).toPandas()["x"]
     assert abs(xs.mean()) < 1e-9 and abs(xs.std(ddof=0) - 1.0) < 1e-9
+
+
+def test_confusion_matrix_class_guard(spark):
+    from reviewlab.operators import evaluate as ev
+    df = spark.createDataFrame([("a", "b"), ("a", "a"), ("c", "a")], "y_true string, y_pred string")
+    assert ev.confusion_matrix(df, max_classes=3).count() == 9
+    with pytest.raises(Exception, match="more than 2 labels"):
+        ev.confusion_matrix(df, max_classes=2).collect()
