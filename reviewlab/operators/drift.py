@@ -88,7 +88,16 @@ def numeric_drift(df: DataFrame, side: str, columns: list[str], bins: float | No
         lg = lg.withColumn("value", F.round(F.col("value") / bins) * bins)
     cnt = lg.groupBy("column", "value").agg(F.count_if(F.col("side") == reference).alias("r"),
                                             F.count_if(F.col("side") == current).alias("c"))
+    return drift_from_counts(cnt, threshold, blocks)
+
+
+def drift_from_counts(cnt: DataFrame, threshold: float = NUMERIC_THRESHOLD, blocks: int = BLOCKS) -> DataFrame:
+    """Numeric drift per column from counts (column, value, r, c): ``r`` reference and
+    ``c`` current rows equal to ``value``, one row per distinct (column, value)."""
     blocks = max(2, blocks)
+    # a non-nullable join key: otherwise the joins below infer an IS NOT NULL filter
+    # that is pushed under one branch's aggregate only, and cnt is computed twice
+    cnt = cnt.select(F.coalesce(F.col("column").cast("string"), F.lit("")).alias("column"), "value", "r", "c")
     probs = [i / blocks for i in range(1, blocks)]
     # one row per column: cut points (< blocks doubles), totals and the reference mean;
     # it reads all of cnt's columns, so cnt's shuffle is shared with the branch below
@@ -127,6 +136,38 @@ def numeric_drift(df: DataFrame, side: str, columns: list[str], bins: float | No
         (F.coalesce(norm, F.lit(0.0)) >= threshold).alias("drifted"))
 
 
+def sparse_feature_drift(df: DataFrame, side: str, features: str, terms: list[str],
+                         threshold: float = NUMERIC_THRESHOLD, reference: str = REFERENCE,
+                         current: str = CURRENT, blocks: int = BLOCKS) -> DataFrame:
+    """Numeric drift of every feature column of a sparse vector, one row per term.
+
+    ``features`` holds only the non-zero entries (array<struct<term, weight>>); a
+    row without a term has weight 0 there. Non-zero weights are exploded and
+    counted per (term, weight); the zeros of a term are one mass, the side's row
+    count minus the term's non-zero count. Nothing is densified.
+    """
+    sizes = df.agg(F.count_if(F.col(side) == reference).alias("n"),
+                   F.count_if(F.col(side) == current).alias("m")).first()   # two scalars
+    is_r = F.when(F.col("side") == reference, 1).otherwise(0).cast("bigint")
+    is_c = F.when(F.col("side") == current, 1).otherwise(0).cast("bigint")
+    nz = (df.select(F.col(side).alias("side"), F.inline(features))
+          .select("side", F.col("term").alias("column"), F.col("weight").cast("double").alias("value"))
+          .filter(F.col("value").isNotNull() & ~F.isnan("value") & F.col("column").isin(list(terms))))
+    # each non-zero entry counts once at its weight and takes one row off its term's
+    # zero mass; every term starts with all rows of each side at weight 0. One pass
+    # over the features, one aggregate.
+    moves = nz.select("column", F.inline(F.array(
+        F.struct(F.col("value").alias("value"), is_r.alias("r"), is_c.alias("c")),
+        F.struct(F.lit(0.0).alias("value"), (-is_r).alias("r"), (-is_c).alias("c")))))
+    start = df.sparkSession.createDataFrame(   # <= vocabulary size rows
+        [(t, 0.0, int(sizes["n"] or 0), int(sizes["m"] or 0)) for t in terms],
+        "column string, value double, r bigint, c bigint")
+    cnt = (moves.unionByName(start).groupBy("column", "value")
+           .agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
+           .filter((F.col("r") + F.col("c")) > 0))
+    return drift_from_counts(cnt, threshold, blocks)
+
+
 def categorical_drift(df: DataFrame, side: str, columns: list[str], threshold: float = CATEGORICAL_THRESHOLD,
                       reference: str = REFERENCE, current: str = CURRENT) -> DataFrame:
     """column, n_ref, n_cur, categories, js_distance, chi2, dof, drifted."""

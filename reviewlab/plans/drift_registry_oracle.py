@@ -41,6 +41,45 @@ FROM nstat s LEFT JOIN nstd t ON s."column" = t."column" """),
     ]
 
 
+def counts_drift_ctes(counts: str, ref_n: str = "n_ref", cur_n: str = "n_cur"):
+    """Numeric drift per column from a counts CTE ("column", value, r, c)."""
+    return [
+        ("kcdf", f"""
+SELECT *, abs(sum(r) OVER w / sum(r) OVER (PARTITION BY "column") - sum(c) OVER w / sum(c) OVER (PARTITION BY "column")) AS gap,
+       lead(value) OVER w - value AS width,
+       sum(r) OVER (PARTITION BY "column") AS nr, sum(c) OVER (PARTITION BY "column") AS nc,
+       sum(r * value) OVER (PARTITION BY "column") / sum(r) OVER (PARTITION BY "column") AS m
+FROM {counts} WINDOW w AS (PARTITION BY "column" ORDER BY value)"""),
+        ("kstat", """
+SELECT "column", CAST(first(nr) AS BIGINT) AS n_ref, CAST(first(nc) AS BIGINT) AS n_cur, max(gap) AS ks,
+       coalesce(sum(gap * width), 0.0) AS wasserstein, sqrt(sum(r * pow(value - m, 2)) / first(nr)) AS ref_std
+FROM kcdf GROUP BY "column" """),
+        ("kdrift", f"""
+SELECT "column", n_ref, n_cur, ks, {ks_pvalue_sql('ks', 'CAST(n_ref AS DOUBLE)', 'CAST(n_cur AS DOUBLE)')} AS ks_pvalue,
+       wasserstein, wasserstein / greatest(coalesce(ref_std, 0.0), 0.001) AS wasserstein_norm,
+       wasserstein / greatest(coalesce(ref_std, 0.0), 0.001) >= 0.1 AS drifted
+FROM kstat"""),
+    ]
+
+
+# TF-IDF feature columns, train vs validation: non-zero weights per (term, weight) and
+# one zero mass per vocabulary term
+FEATURE_COUNTS = [
+    ("fnz", """
+SELECT term AS "column", weight AS value, count(*) FILTER (WHERE split = 'train') AS r,
+       count(*) FILTER (WHERE split = 'val') AS c FROM tfidf GROUP BY term, weight"""),
+    ("fsides", "SELECT count(*) FILTER (WHERE split = 'train') AS n, count(*) FILTER (WHERE split = 'val') AS m FROM split"),
+    ("fzero", """
+SELECT v.term AS "column", CAST(0 AS DOUBLE) AS value, s.n - coalesce(z.r, 0) AS r, s.m - coalesce(z.c, 0) AS c
+FROM vocab v CROSS JOIN fsides s
+LEFT JOIN (SELECT "column", sum(r) AS r, sum(c) AS c FROM fnz GROUP BY "column") z ON z."column" = v.term"""),
+    ("fcnt", """
+SELECT "column", value, sum(r) AS r, sum(c) AS c FROM (
+  SELECT "column", value, r, c FROM fnz UNION ALL SELECT "column", value, r, c FROM fzero WHERE r + c > 0)
+GROUP BY "column", value"""),
+]
+
+
 def categorical_ctes(source: str, side: str, column: str, ref: str = "reference", cur: str = "current"):
     return [
         ("clg", f"SELECT {side} AS side, '{column}' AS \"column\", CAST({column} AS VARCHAR) AS value FROM {source} "
@@ -111,6 +150,9 @@ SQL: dict[str, str] = {
     "target_drift": chain("SELECT \"column\", n_ref, n_cur, round(js_distance, 6) AS js_distance, "
                           "js_distance >= 0.1 AS drifted FROM cdrift",
                           PREP, categorical_ctes("split", "split", "sentiment", "train", "val")),
+    "feature_drift": chain("SELECT \"column\", n_ref, n_cur, round(ks, 6) AS ks, round(ks_pvalue, 6) AS ks_pvalue, "
+                           "round(wasserstein_norm, 6) AS wasserstein_norm, drifted FROM kdrift",
+                           PREP, VOCAB, FEATURE_COUNTS, counts_drift_ctes("fcnt")),
     "drift_columns": D("SELECT * FROM dcols", ALL_DRIFT),
     "drift_share": D("SELECT n_columns, n_drifted, round(share, 6) AS share, share > 0.3 AS dataset_drift FROM dshare",
                      ALL_DRIFT),

@@ -108,6 +108,16 @@ def prediction_drift(spark, sf_dir):
     return rounded(d.select("column", "n_ref", "n_cur", "js_distance", "drifted"))
 
 
+def feature_drift(spark, sf_dir):
+    """Drift of every TF-IDF feature column between the training and the validation split."""
+    from reviewlab.plans import model_queries as mq
+    from reviewlab.plans.training import FEATURES
+    clf = mq._classifier(spark, sf_dir)
+    f = clf.features(mq._prepared(spark, sf_dir).frame, C.text, already_clean=True)
+    d = dr.sparse_feature_drift(f, SPLIT, FEATURES, list(clf.tfidf.terms), reference="train", current="val")
+    return rounded(d.select("column", "n_ref", "n_cur", "ks", "ks_pvalue", "wasserstein_norm", "drifted"))
+
+
 def retrain_promotion(spark, sf_dir):
     """Promotion after a retrain batch (here: every tracked run is the batch)."""
     runs = tb.runs(spark, sf_dir)

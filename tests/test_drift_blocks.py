@@ -45,3 +45,32 @@ def test_block_search(spark):
     arr = F.array(*[F.lit(c) for c in cuts])
     got = [r[0] for r in df.select(dr._block_of(F.col("v"), arr, len(cuts))).collect()]
     assert got == [int(np.searchsorted(cuts, v, side="right")) for v in vals]
+
+
+@pytest.mark.parametrize("blocks", [2, 5, 1024])
+def test_sparse_feature_drift_matches_dense(spark, blocks):
+    rng = np.random.default_rng(11)
+    terms = ["a", "b", "c", "never"]
+    rows, dense = [], {t: {"train": [], "val": []} for t in terms}
+    for i in range(400):
+        side = "train" if i % 3 else "val"
+        feats = []
+        for t in terms[:3]:
+            if rng.random() < (0.5 if t != "c" else 0.05):
+                w = float(np.round(rng.random(), 3)) or 0.5
+                feats.append((t, w))
+                dense[t][side].append(w)
+            else:
+                dense[t][side].append(0.0)
+        dense["never"][side].append(0.0)
+        rows.append((side, feats))
+    df = spark.createDataFrame(rows, "split string, f array<struct<term:string,weight:double>>")
+    got = {r["column"]: r for r in dr.sparse_feature_drift(df, "split", "f", terms, reference="train",
+                                                            current="val", blocks=blocks).collect()}
+    assert set(got) == set(terms)
+    for t in terms:
+        ks, w, std = _direct(dense[t]["train"], dense[t]["val"])
+        assert got[t]["n_ref"] == len(dense[t]["train"]) and got[t]["n_cur"] == len(dense[t]["val"])
+        assert math.isclose(got[t]["ks"], ks, abs_tol=1e-9)
+        assert math.isclose(got[t]["wasserstein"], w, rel_tol=1e-9, abs_tol=1e-9)
+        assert math.isclose(got[t]["wasserstein_norm"], w / max(std, dr.STD_FLOOR), rel_tol=1e-9, abs_tol=1e-9)
