@@ -34,3 +34,20 @@ def test_numeric_drift_windows_are_blocked(spark):
     value_windows = [ln for ln in plan.splitlines() if "Window [" in ln and re.search(r"value#\d+ ASC", ln)]
     assert value_windows and all(re.search(r"windowspecdefinition\(column#\d+, blk#\d+, value", ln)
                                  for ln in value_windows)
+
+
+def test_no_cross_join_in_any_plan(spark):
+    """Every join of every registered query is an equi-join (no Cartesian or nested-loop join)."""
+    import os
+    import sys
+    import __spark_entry__ as entry
+    sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
+    from plan_report import SKIP
+    bad = []
+    for key, fn in sorted(entry.queries().items()):
+        if key in SKIP:   # they write files, stream or fit Spark ML models
+            continue
+        plan = fn(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+        if "CartesianProduct" in plan or "BroadcastNestedLoopJoin" in plan:
+            bad.append(key)
+    assert bad == []
