@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewlab.llm import language_id, token_files
+from reviewlab.llm import jaccard_join, language_id, token_files
 from reviewlab.llm.common import table
 
 
@@ -16,9 +16,14 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_token_files": op2_token_files,
     "op8_language_id": op8_language_id,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 SQL: dict[str, str] = {}
