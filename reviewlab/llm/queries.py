@@ -4,14 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewlab.llm import jaccard_join, language_id, token_files
+from reviewlab.llm import decontamination, jaccard_join, language_id, mixing, token_files
 from reviewlab.llm.common import table
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_output(table(spark, sf_dir, "documents"))
 
 
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.sample(table(spark, sf_dir, "documents"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
@@ -21,7 +29,9 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op2_token_files": op2_token_files,
+    "op3_source_mixing": op3_source_mixing,
     "op8_language_id": op8_language_id,
     "op10_jaccard_join": op10_jaccard_join,
 }

@@ -24,6 +24,7 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _WORD_BASE = 0xD6E8FEB86659FD93
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+SYMBOLS = ~np.isin(np.arange(256), [*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)])   # separators of plain words
 _POWERS = {}
 
 
@@ -65,11 +66,11 @@ class Words:
     ``first[i]:first[i + 1]`` are the words of text i; ``start``/``end`` are byte positions in ``data``.
     """
 
-    def __init__(self, texts: list[bytes], lower: bool):
+    def __init__(self, texts: list[bytes], lower: bool, separators: np.ndarray = _SPACE):
         blob = b" ".join(texts)
         self.data = data = np.frombuffer(blob, np.uint8)
         ends = np.cumsum([len(t) + 1 for t in texts])
-        word = ~_SPACE[data]
+        word = ~separators[data]
         edge = np.flatnonzero(np.diff(np.concatenate([[False], word, [False]]).view(np.int8)))
         self.start, self.end = edge[0::2], edge[1::2]
         up, down = _powers(len(data) + 1)
@@ -98,24 +99,40 @@ class Words:
             return out, bounds
         few = np.flatnonzero((counts > 0) & (counts < size))
         if len(few):
-            extra = np.empty(len(few), np.uint64)
-            for j, i in enumerate(few):
-                v, power = int(counts[i]), 1
-                for x in w[first[i]:first[i + 1]].tolist():
-                    v = (v + x * power) % (1 << 64)
-                    power = power * _WORD_BASE % (1 << 64)
-                extra[j] = v
-            out = np.insert(out, bounds[few], mix(extra ^ np.uint64(0xA5A5A5A5A5A5A5A5)))
+            extra = np.array([self._whole(int(first[i]), int(counts[i])) for i in few], np.uint64)
+            out = np.insert(out, bounds[few], extra)
             own[few] = 1
             bounds = np.concatenate([[0], np.cumsum(own)])
         return out, bounds
 
+    def _whole(self, start: int, size: int) -> int:
+        return int(_short_hash(self.hash[start:start + size], size)[0])
+
+    def short_windows(self, size: int) -> np.ndarray:
+        """Hash of every run of ``size`` words, of the kind ``short`` gives whole short texts."""
+        return _short_hash(self.hash, size)
+
+
+def _short_hash(words: np.ndarray, size: int) -> np.ndarray:
+    n = max(0, len(words) - size + 1)
+    roll = np.full(n, size, np.uint64)
+    power = 1
+    for k in range(size):
+        roll += words[k:k + n] * np.uint64(power)
+        power = power * _WORD_BASE % (1 << 64)
+    return mix(roll ^ np.uint64(0xA5A5A5A5A5A5A5A5))
+
 
 def words_of(column: pa.Array, lower: bool) -> Words:
     """Words of a slice of a string column; a null text has none."""
     return Words([b"" if v is None else v for v in column.cast(pa.binary()).to_pylist()], lower)
 
 
+def plain_words_of(column: pa.Array) -> Words:
+    """Lower-cased words without ASCII punctuation; a null text has none."""
+    return Words([b"" if v is None else v.lower().encode() for v in column.to_pylist()], False, SYMBOLS)
+
+
 def distinct_per_text(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each text's distinct values in rising order, with new bounds."""
     row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
