@@ -116,12 +116,16 @@ def fit_rows(languages: list[str], presences: list[bytes]) -> LanguageModel | No
 def fit(labelled: DataFrame, per_language: int = SAMPLE) -> LanguageModel | None:
     """Fit on ``per_language`` different texts of every language: those with the smallest hashes.
 
-    Hashes alone are ranked; the texts that pass are turned into presence bits by tasks, so the driver holds
-    languages x per_language bit vectors and no text."""
+    A share of hash space that holds about twice as many texts is read off each language's count of different
+    texts; only hashes inside it are ranked. The texts that pass are turned into presence bits by tasks, so the
+    driver holds languages x per_language bit vectors and no text."""
     rows = labelled.where("lang is not null and text is not null").select("lang", "text", F.xxhash64("text").alias("h"))
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("k"))
+    reach = counts.select("lang", F.when(F.col("k") <= 4 * per_language, F.lit(float(1 << 63)))
+                          .otherwise(F.lit(float(1 << 63)) * (4 * per_language / F.col("k") - 1)).alias("reach"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    last = (rows.select("lang", "h").distinct().withColumn("rank", rank).where(F.col("rank") <= per_language)
-            .groupBy("lang").agg(F.max("h").alias("last")))
+    last = (rows.select("lang", "h").join(reach, "lang").where(F.col("h") <= F.col("reach")).select("lang", "h").distinct()
+            .withColumn("rank", rank).where(F.col("rank") <= per_language).groupBy("lang").agg(F.max("h").alias("last")))
     chosen = rows.join(last, "lang").where("h <= last").dropDuplicates(["lang", "h"]).select("lang", "text")
 
     def bits(batch: pa.RecordBatch) -> pa.RecordBatch | None:
