@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewlab.llm import decontamination, jaccard_join, language_id, mixing, token_files
+from reviewlab.llm import (decontamination, html_text, jaccard_join, language_id, mixing, nn_descent, substring_dedup,
+                           token_files, toxicity, url_rules)
 from reviewlab.llm.common import table
 
 
@@ -20,10 +21,30 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.sample(table(spark, sf_dir, "documents"))
 
 
+def op4_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxic_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.verdicts(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.removal_digest(table(spark, sf_dir, "documents"))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_components(table(spark, sf_dir, "documents"))
 
@@ -32,7 +53,12 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_token_files": op2_token_files,
     "op3_source_mixing": op3_source_mixing,
+    "op4_nn_descent": op4_nn_descent,
+    "op5_html_text": op5_html_text,
+    "op6_toxicity": op6_toxicity,
+    "op7_url_rules": op7_url_rules,
     "op8_language_id": op8_language_id,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_jaccard_join": op10_jaccard_join,
 }
 

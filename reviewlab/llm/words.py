@@ -79,6 +79,15 @@ class Words:
         h = (total[self.end] - total[self.start]) * down[self.start]
         self.hash = mix(h ^ (self.end - self.start).astype(np.uint64))
         self.first = np.concatenate([[0], np.searchsorted(self.start, ends)]).astype(np.int64)
+        self._total, self._down = total, down
+
+    def prefix_hash(self, size: int) -> np.ndarray:
+        """Hash of each word's first ``size`` bytes; 0 for a word that has no more than these."""
+        long = self.end - self.start > size
+        at = self.start[long]
+        out = np.zeros(len(self.start), np.uint64)
+        out[long] = mix((self._total[at + size] - self._total[at]) * self._down[at] ^ np.uint64(size << 32))
+        return out
 
     def windows(self, size: int, short: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """(hash of every ``size``-word window, row bounds); with ``short`` a text of 1..size-1 words gives one
