@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewlab.llm.common import arrow_map, staged, texts_of
+from reviewlab.llm.common import arrow_map, keep_rows, staged, texts_of
 from reviewlab.llm.words import Words, plain_words_of, text_slices
 
 K1, B = 1.2, 0.75
@@ -201,36 +201,48 @@ def item_shards(benchmark: DataFrame) -> Iterator[ItemIndex]:
         yield ItemIndex(s, (count, length / count), df)
 
 
+def _leaked(index: ItemIndex, texts: pa.Array) -> Iterator[tuple[int, int, float, float]]:
+    """(row, item position, question overlap, answer overlap) of every verified item in the texts."""
+    lengths = {int(n) for p in index.parts for n in np.diff(p.first) if 0 < n < SHINGLE}
+    for lo, hi in text_slices(texts):
+        words = plain_words_of(texts.slice(lo, hi - lo))
+        last, held = None, None
+        for t, item in zip(*index.retrieve(words)):
+            if t != last:
+                last, held = t, _held(words, t, lengths)
+            q, a = index.overlap(0, item, held), index.overlap(1, item, held)
+            if q >= OVERLAP and a >= OVERLAP:
+                yield lo + int(t), int(item), q, a
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, question_overlap, answer_overlap of every leaked item in every document."""
     schema = "doc_id long, item_id long, question_overlap double, answer_overlap double"
     spark = docs.sparkSession
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     out = spark.createDataFrame([], schema)
     for index in item_shards(benchmark):
         shipped = spark.sparkContext.broadcast(index)
 
         def run(batch: pa.RecordBatch, shipped=shipped) -> pa.RecordBatch:
-            index = shipped.value
-            lengths = {int(n) for p in index.parts for n in np.diff(p.first) if 0 < n < SHINGLE}
-            texts, ids = texts_of(batch.column("text")), batch.column("doc_id")
-            rows = []
-            for lo, hi in text_slices(texts):
-                words = plain_words_of(texts.slice(lo, hi - lo))
-                last, held = None, None
-                for t, item in zip(*index.retrieve(words)):
-                    if t != last:
-                        last, held = t, _held(words, t, lengths)
-                    q, a = index.overlap(0, item, held), index.overlap(1, item, held)
-                    if q >= OVERLAP and a >= OVERLAP:
-                        rows.append((ids[lo + int(t)].as_py(), int(index.ids[item]), q, a))
-            cols = list(zip(*rows)) if rows else [[], [], [], []]
+            ids = batch.column("doc_id")
+            found = [(ids[r].as_py(), int(shipped.value.ids[i]), q, a) for r, i, q, a in _leaked(shipped.value, texts_of(batch.column("text")))]
+            cols = list(zip(*found)) or [[], [], [], []]
             return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64()), pa.array(cols[3], pa.float64())],
                                               names=["doc_id", "item_id", "question_overlap", "answer_overlap"])
-        out = out.unionByName(arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, schema))
+        out = out.unionByName(arrow_map(rows, run, schema))
     return out
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Pipeline stage: drop every document that holds a benchmark item; columns stay."""
-    bad = staged(leaks(docs, benchmark).select("doc_id").distinct(), "leaked-documents")
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    """Pipeline stage: drop every document that holds a benchmark item; columns stay, nothing is shuffled."""
+    for index in item_shards(benchmark):
+        shipped = docs.sparkSession.sparkContext.broadcast(index)
+
+        def wanted(batch: pa.RecordBatch, shipped=shipped) -> np.ndarray:
+            keep = np.ones(batch.num_rows, bool)
+            for row, *_ in _leaked(shipped.value, texts_of(batch.column("text"))):
+                keep[row] = False
+            return keep
+        docs = keep_rows(docs, wanted)
+    return docs

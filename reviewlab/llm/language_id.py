@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewlab.llm.common import arrow_map, texts_of
+from reviewlab.llm.common import arrow_map, keep_rows, texts_of
 
 UNKNOWN = "und"
 SAMPLE = 400          # fitting rows per language
@@ -137,28 +137,27 @@ def fit(labelled: DataFrame, per_language: int = SAMPLE) -> LanguageModel | None
     return fit_rows([r[0] for r in got], [bytes(r[1]) for r in got])
 
 
-def predict(docs: DataFrame, model: LanguageModel | None, keep: list[str] | None = None) -> DataFrame:
-    """Add lang_pred and score to the ``keep`` columns (default: doc_id) of every row."""
-    keep = ["doc_id"] if keep is None else keep
+def _judged(texts: list[str], model: LanguageModel | None) -> tuple[list[str], np.ndarray]:
+    """(language, score) of every text."""
+    lang, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
+    known = [i for i, t in enumerate(texts) if model is not None and has_letter(t)]
+    if known:
+        s = model.scores([texts[i] for i in known])
+        best = s.argmax(1)
+        for j, i in enumerate(known):
+            lang[i], score[i] = model.languages[best[j]], s[j, best[j]]
+    return lang, score
+
+
+def predict(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
+    """doc_id, lang_pred and score of every row."""
     shipped = docs.sparkSession.sparkContext.broadcast(model)
-    fields = [docs.schema[c] for c in keep]
-    rows = docs.select(*keep, F.col("text").alias("__text"))
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["lang_pred string", "score double"])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        m = shipped.value
-        texts = texts_of(batch.column("__text")).to_pylist()
-        lang, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
-        known = [i for i, t in enumerate(texts) if m is not None and has_letter(t)]
-        if known:
-            s = m.scores([texts[i] for i in known])
-            best = s.argmax(1)
-            for j, i in enumerate(known):
-                lang[i], score[i] = m.languages[best[j]], s[j, best[j]]
-        names = batch.schema.names[:-1]
-        return pa.RecordBatch.from_arrays([batch.column(c) for c in names] + [pa.array(lang, pa.string()), pa.array(score)],
-                                          names=names + ["lang_pred", "score"])
-    return arrow_map(rows, run, schema)
+        lang, score = _judged(texts_of(batch.column("text")).to_pylist(), shipped.value)
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(lang, pa.string()), pa.array(score)], names=["doc_id", "lang_pred", "score"])
+    return arrow_map(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), run,
+                     "doc_id long, lang_pred string, score double")
 
 
 def training_rows(docs: DataFrame) -> DataFrame:
@@ -169,13 +168,21 @@ def training_rows(docs: DataFrame) -> DataFrame:
 def identify(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every document; fitted on the rows that are not held out."""
     model = fit(training_rows(docs))
-    out = predict(docs, model)
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
-    return out.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+    return predict(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
 def language_filter(docs: DataFrame, labelled: DataFrame | None = None, least: float = 0.0) -> DataFrame:
-    """Pipeline stage: drop documents in no known language (``und``) or scored under ``least``; columns stay."""
+    """Pipeline stage: drop documents in no known language (``und``) or scored under ``least``; columns stay.
+
+    Where nothing is labelled no language is known, and all documents with a letter stay."""
     model = fit(training_rows(docs) if labelled is None else labelled)
-    tagged = predict(docs, model, docs.columns)
-    return tagged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*docs.columns)
+    shipped = docs.sparkSession.sparkContext.broadcast(model)
+
+    def wanted(batch: pa.RecordBatch) -> np.ndarray:
+        texts = texts_of(batch.column("text")).to_pylist()
+        if shipped.value is None:
+            return np.array([has_letter(t) for t in texts])
+        lang, score = _judged(texts, shipped.value)
+        return np.array([x != UNKNOWN and s >= least for x, s in zip(lang, score)])
+    return keep_rows(docs, wanted)

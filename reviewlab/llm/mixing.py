@@ -108,11 +108,11 @@ def plan(docs: DataFrame, budget: float | None = None, entropy: float = ENTROPY,
 
 
 def keyed(docs: DataFrame, table: DataFrame) -> DataFrame:
-    """Documents with their source's row of ``table`` and their place in its last pass: block, the block's rank hash
-    ``turn`` and the document's hash ``ticket``. Rows of one doc_id and text share their place."""
+    """Documents (struct ``row``) with their source's line of ``table``, their words, and their place in its last pass:
+    block, the block's rank hash ``turn`` and the document's hash ``ticket``. Rows of one doc_id share their place."""
     text = F.coalesce(F.col("text"), F.lit(""))
     own = docs.select(_key().alias("key"), word_count(F.col("text")).alias("words"),
-                      F.coalesce(F.col("doc_id").cast("string"), F.md5(text)).alias("name"), *[F.col(c).alias(f"__{c}") for c in docs.columns])
+                      F.coalesce(F.col("doc_id").cast("string"), F.md5(text)).alias("name"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     own = own.join(table.drop("source", "words"), "key").withColumn("pass_key", F.col("passes").cast("string"))
     own = own.withColumn("block", _hash("name") % BLOCKS)
     return (own.withColumn("turn", _hash("key", "pass_key", F.col("block").cast("string")))
@@ -120,24 +120,21 @@ def keyed(docs: DataFrame, table: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame, table: DataFrame) -> DataFrame:
-    """Every taken copy: the columns of ``docs`` and __key, __words, __copy (its pass, from 0), __turn, __ticket."""
-    last = (F.col("turn") < F.col("cut_block")) | (F.col("cut_block") == -1) & (F.col("passes") == 0) \
-        | ((F.col("turn") == F.col("cut_block")) & (F.col("ticket") <= F.col("cut_doc")))
+    """Every taken copy: row (the document), key, words, weight, copy (its pass, from 0), turn and ticket."""
+    last = (F.col("turn") < F.col("cut_block")) | ((F.col("turn") == F.col("cut_block")) & (F.col("ticket") <= F.col("cut_doc")))
     copies = F.col("passes") + F.when((F.col("words") > 0) & last | (F.col("words") == 0) & (F.col("passes") == 0), 1).otherwise(0)
     rows = keyed(docs, table).withColumn("copies", copies).where("copies > 0")
-    rows = rows.withColumn("__copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
-    return rows.select(*[F.col(f"__{c}").alias(c) for c in docs.columns], F.col("key").alias("__key"), F.col("words").alias("__words"), "__copy",
-                       F.col("turn").alias("__turn"), F.col("ticket").alias("__ticket"), F.col("weight").alias("__weight"))
+    return (rows.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+            .select("row", "key", "words", "weight", "copy", "turn", "ticket"))
 
 
 def mix(docs: DataFrame, budget: float | None = None) -> DataFrame:
     """Pipeline stage: the mixed corpus, a row for every taken copy; columns stay."""
-    return mixed(docs, staged(plan(docs, budget), "mix-plan")).select(*docs.columns)
+    return mixed(docs, staged(plan(docs, budget), "mix-plan")).select("row.*")
 
 
 def sample(docs: DataFrame, budget: float | None = None) -> DataFrame:
     """doc_id, source, copy, n_words, weight and the place (pass, block turn, ticket) of every taken copy."""
     slim = docs.select("doc_id", "source", "text")
     out = mixed(slim, staged(plan(slim, budget), "mix-plan"))
-    return out.select("doc_id", "source", F.col("__copy").alias("copy"), F.col("__words").alias("n_words"), F.col("__weight").alias("weight"),
-                      F.col("__turn").alias("turn"), F.col("__ticket").alias("ticket"))
+    return out.select("row.doc_id", "row.source", "copy", F.col("words").alias("n_words"), "weight", "turn", "ticket")

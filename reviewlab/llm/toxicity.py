@@ -27,8 +27,8 @@ from reviewlab.llm.words import Words, plain_words_of, text_slices
 
 FIT_ROWS = 8000            # texts of each label
 PREFIXES = (4, 5, 6, 7)    # bytes of a word's beginning that can stand for it
-LEAST_ROWS = 4             # toxic texts that a lexicon entry needs
-LEAST_SHARE = 0.4          # lower confidence bound of the toxic share among texts with the entry
+LEAST_ROWS = 5             # toxic texts that a lexicon entry needs
+LEAST_SHARE = 0.5          # lower confidence bound of the toxic share among texts with the entry
 LEXICON = 20_000           # entries, at most
 REACH = 3
 THRESHOLD = 0.3
@@ -41,7 +41,10 @@ THREATS = "kill hurt beat destroy murder shoot stab burn hang crush attack smash
 INTENTS = "will shall gonna going must should werde werden sollte muss vais va vas allons voy vamos debería".split()
 
 OTHER, INSULT, THREAT, INTENT, TARGET, NEGATION, REPORT = range(7)
-KINDS = ("plain", "targeted", "negated", "reported", "threat")
+PLAIN, TARGETED, NEGATED, REPORTED, THREATENED = range(5)       # kinds of matches
+# Features of a text and the sign that a weight may have: a match never makes a text less toxic, negation and
+# reported speech never more.
+SIGNS = np.array([1, 1, 1, 1, -1, -1])     # all matches, strongest match, targeted, threats, negated, reported
 _CLAUSE = np.zeros(256, bool)
 _CLAUSE[[10, 13, *b".!?;:|,()\"["]] = True
 
@@ -95,10 +98,10 @@ def clause_matches(symbols: list[int], weights: list[float]) -> list[tuple[int,
         states = tuple(m.step(s, symbol) for m, s in zip(MACHINE, states))
         negated, intent, _, reported = states
         if symbol == INSULT:
-            kind = 2 if negated else 3 if reported else 1 if target else 0
+            kind = NEGATED if negated else REPORTED if reported else TARGETED if target else PLAIN
             out.append((kind, weight))
         elif symbol == THREAT and intent and target and not negated and not reported:
-            out.append((4, 1.0))
+            out.append((THREATENED, 1.0))
     return out
 
 
@@ -107,14 +110,15 @@ class ToxicityModel:
     """Sorted lexicon hashes with weights, logistic coefficients and their intercept."""
     lexicon: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    coef: np.ndarray = field(default_factory=lambda: np.zeros(2 * len(KINDS) + 1))
+    coef: np.ndarray = field(default_factory=lambda: np.zeros(len(SIGNS)))
     base: float = -20.0
 
     def features(self, words: Words) -> np.ndarray:
-        """A row per text: summed and largest weight of each kind of match, and the log of the number of matches."""
-        rows = np.zeros((len(words.first) - 1, 2 * len(KINDS) + 1))
+        """A row per text of what SIGNS names: the sums as logarithms, and the largest weight."""
+        sums = np.zeros((len(words.first) - 1, 5))
+        top = np.zeros(len(sums))
         if not len(words.hash):
-            return rows
+            return np.zeros((len(sums), len(SIGNS)))
         weight = np.zeros(len(words.hash))
         for h in _word_features(words):
             weight = np.maximum(weight, _lookup(self.lexicon, self.weights, h))
@@ -128,14 +132,10 @@ class ToxicityModel:
         edge = np.searchsorted(clause, np.arange(clause[-1] + 2))
         for c in np.unique(clause[(symbol == INSULT) | (symbol == THREAT)]).tolist():
             lo, hi = edge[c], edge[c + 1]
-            row = rows[text[lo]]
             for kind, w in clause_matches(symbol[lo:hi].tolist(), weight[lo:hi].tolist()):
-                row[2 * kind] += w
-                row[2 * kind + 1] = max(row[2 * kind + 1], w)
-                row[-1] += 1
-        rows[:, -1] = np.log1p(rows[:, -1])
-        rows[:, 0:-1:2] = np.log1p(rows[:, 0:-1:2])
-        return rows
+                sums[text[lo], kind] += w
+                top[text[lo]] = max(top[text[lo]], w)
+        return np.column_stack([np.log1p(sums.sum(1)), top, *np.log1p(sums[:, [TARGETED, THREATENED, NEGATED, REPORTED]]).T])
 
     def scores(self, words: Words) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.features(words) @ self.coef + self.base, -30, 30)))
@@ -188,13 +188,15 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
             totals[min(r.toxic, 1), r.fold] += r.n
         if not totals.sum(1).all():
             return ToxicityModel(base=20.0 if totals[1].sum() else -20.0)
-        bad = _counted(sample.where("toxic >= 1"), None, LEAST_ROWS)
+        seen = {r.toxic: r.n for r in labels.where("toxic is not null").groupBy((F.col("toxic") > 0).cast("int").alias("toxic")).agg(F.count("*").alias("n")).collect()}
+        scale = float((seen[0] / totals[0].sum()) / (seen[1] / totals[1].sum()))
+        bad = _counted(sample.where("toxic >= 1"), None, 3)
         good = _counted(sample.where("toxic = 0"), np.sort(bad[0]), 0)
         order = np.argsort(good[0])
         n_good = np.stack([_lookup(good[0][order], good[1][order, k], bad[0]) for k in (0, 1)], 1)
         # each fold's rows get features from the other fold's lexicon; the model keeps the lexicon of both
-        by_fold = [_lexicon(bad[0], bad[1][:, 1 - k], n_good[:, 1 - k], totals[:, 1 - k]) for k in (0, 1)]
-        model = _lexicon(bad[0], bad[1].sum(1), n_good.sum(1), totals.sum(1))
+        by_fold = [_lexicon(bad[0], bad[1][:, 1 - k], n_good[:, 1 - k], totals[:, 1 - k], scale) for k in (0, 1)]
+        model = _lexicon(bad[0], bad[1].sum(1), n_good.sum(1), totals.sum(1), scale)
         shipped = spark.sparkContext.broadcast(by_fold)
 
         def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -208,7 +210,6 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     x = flat_blobs(got.column("x"), np.float64)[0].reshape(got.num_rows, -1)
     y = (got.column("toxic").to_numpy() > 0).astype(float)
     # the sample holds up to FIT_ROWS texts of each label; weigh rows back to the labels' own shares
-    seen = {r.toxic: r.n for r in labels.where("toxic is not null").groupBy((F.col("toxic") > 0).cast("int").alias("toxic")).agg(F.count("*").alias("n")).collect()}
     size = np.bincount(y.astype(int), minlength=2)
     w = np.array([seen.get(k, 0) / max(size[k], 1) for k in (0, 1)])[y.astype(int)]
     w *= len(y) / w.sum()
@@ -239,32 +240,39 @@ def _counted(sample: DataFrame, only: np.ndarray | None, least: int) -> tuple[np
     return got.column("f").to_numpy().view(np.uint64), np.stack([got.column(c).to_numpy() for c in ("n0", "n1")], 1).reshape(-1, 2)
 
 
-def _lexicon(f: np.ndarray, n_bad: np.ndarray, n_good: np.ndarray, totals: np.ndarray) -> ToxicityModel:
+def _lexicon(f: np.ndarray, n_bad: np.ndarray, n_good: np.ndarray, totals: np.ndarray, scale: float) -> ToxicityModel:
     """The features whose toxic share is high beyond doubt, weighted by its lower confidence bound."""
-    # toxic share as if both labels were equally frequent
-    n, z = np.maximum(n_bad + n_good * totals[1] / max(totals[0], 1), 1e-9), 1.64
+    # counts of clean texts as if the sample held the labels in their own proportions
+    n, z = np.maximum(n_bad + n_good * scale, 1e-9), 1.64
     share = n_bad / n
     bound = (share + z * z / (2 * n) - z * np.sqrt(share * (1 - share) / n + z * z / (4 * n * n))) / (1 + z * z / n)
-    keep = np.flatnonzero((n_bad >= min(LEAST_ROWS, 2 + totals[1] // 50)) & (bound >= LEAST_SHARE) & (n_bad * totals[0] >= 6 * n_good * totals[1]))
+    keep = np.flatnonzero((n_bad >= min(LEAST_ROWS, 3 + totals[1] // 50)) & (bound >= LEAST_SHARE))
     keep = keep[np.lexsort((f[keep], -bound[keep]))][:LEXICON]
     order = np.argsort(f[keep])
     return ToxicityModel(f[keep][order], np.clip(np.log(bound[keep] / (1.02 - bound[keep])) + 1, 0.1, None)[order])
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 0.05) -> tuple[np.ndarray, float]:
-    """Weighted ridge logistic regression by damped Newton steps; rows are used in a fixed order."""
+    """Weighted ridge logistic regression with signed weights, by damped Newton steps over the weights that are not held
+    at zero; rows are used in a fixed order."""
     order = np.lexsort(np.vstack([x.T, y]))
     x, y, w = np.hstack([x[order], np.ones((len(x), 1))]), y[order], w[order]
-    beta = np.zeros(x.shape[1])
+    beta, sign = np.zeros(x.shape[1]), np.append(SIGNS, 0)
     penalty = np.full(x.shape[1], ridge)
     penalty[-1] = 1e-6
-    for _ in range(40):
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
         grad = x.T @ (w * (p - y)) + penalty * beta
-        step = np.linalg.solve((x * (w * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + np.diag(penalty), grad)
-        beta -= step * min(1.0, 2.0 / max(1e-9, np.abs(step).max()))
-        if np.abs(step).max() < 1e-8:
+        free = (beta != 0) | (sign == 0) | (grad * sign < 0)
+        z = x[:, free]
+        step = np.linalg.solve((z * (w * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ z + np.diag(penalty[free]), grad[free])
+        step *= min(1.0, 2.0 / max(1e-9, np.abs(step).max()))
+        new = beta.copy()
+        new[free] -= step
+        new[new * sign < 0] = 0
+        if np.abs(new - beta).max() < 1e-8:
             break
+        beta = new
     return beta[:-1], float(beta[-1])
 
 
