@@ -12,8 +12,9 @@ A document's set is its distinct 5-word shingles (64-bit hashes); two documents
 4. Answers of a highly similar set are reused: every index list is first compared with one pivot (its set with the
    fewest unshared shingles). Verified links are contracted; sets in one component need no further comparison.
 5. The remaining pairs are exact: entries outside a list's largest component meet the list's size blocks; blocks and
-   entries are skipped when positions (unshared shingles before the entry) or the number of shared prefix
-   shingles can no longer reach the needed overlap. What is left is verified on whole texts.
+   entries are skipped when positions (unshared shingles before the entry), the number of shared prefix
+   shingles or the difference of parity sketches exclude the needed overlap. Pairs that meet in no short list must reach it on long lists
+   alone. What is left is verified on whole texts.
 
 Index rows of a hot shingle are spread over many tasks, never gathered in one. Defined cases: null, empty or
 white-space text is an empty set, linked with nothing; fewer than five words make one shingle of the whole
@@ -37,6 +38,8 @@ from reviewlab.llm.words import distinct_per_text, mix, text_slices, words_of
 WORDS = 5
 HOT_LIMIT = 1 << 20        # entries of the broadcast frequency table (16 bytes each)
 HOT_LEAST = 4              # smallest frequency that can enter it
+SKETCH = 8                 # 64-bit words of a set's parity sketch
+SHORT_LIST = 16            # entries up to which an index list proposes all its pairs; longer lists have bounds of their own
 BUCKET_TOKENS = 1 << 20    # shingles per counting or index bucket
 FLUSH_TOKENS = 1 << 21     # shingles a task holds before it hands them on
 
@@ -47,17 +50,27 @@ def shingle_sets(texts: pa.Array, size: int = WORDS) -> tuple[np.ndarray, np.nda
 
 
 def set_digests(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, digest) of every document's set."""
+    """(doc_id, n, digest, sketch) of every document's set.
+
+    The sketch has a bit per hash class: whether an odd number of the set's shingles fall in it. The bits in which two
+    sketches differ are at most as many as the shingles that are in one of the sets only."""
     def run(batch: pa.RecordBatch) -> pa.Table:
         texts, out = texts_of(batch.column("text")), []
         for lo, hi in text_slices(texts):
             v, b = shingle_sets(texts.slice(lo, hi - lo))
             raw = memoryview(v.tobytes())
             marks = [hashlib.blake2b(raw[8 * x:8 * y], digest_size=16).digest() for x, y in zip(b[:-1].tolist(), b[1:].tolist())]
-            out.append(pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), pa.array(np.diff(b)), pa.array(marks, pa.binary())],
-                                                  names=["doc_id", "n", "digest"]))
+            row, bit = np.repeat(np.arange(hi - lo), np.diff(b)), (mix(v) >> np.uint64(40)) % np.uint64(64 * SKETCH)
+            odd = np.zeros((hi - lo) * 64 * SKETCH, np.uint8)
+            cell, times = np.unique(row * (64 * SKETCH) + bit.astype(np.int64), return_counts=True)
+            odd[cell] = times & 1
+            sketch = np.packbits(odd).view(np.int64)
+            out.append(pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").slice(lo, hi - lo), pa.array(np.diff(b)), pa.array(marks, pa.binary()),
+                 pa.ListArray.from_arrays(pa.array(np.arange(0, len(sketch) + 1, SKETCH, dtype=np.int32)), pa.array(sketch))],
+                names=["doc_id", "n", "digest", "sketch"]))
         return pa.Table.from_batches(out)
-    return arrow_map(docs.select("doc_id", "text"), run, "doc_id long, n long, digest binary")
+    return arrow_map(docs.select("doc_id", "text"), run, "doc_id long, n long, digest binary, sketch array<long>")
 
 
 def _new_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -199,12 +212,38 @@ def _block(n):
     return F.floor(F.log(n.cast("double")) / F.log(F.lit(1.05)))
 
 
-def _possible(a: str, b: str):
+def _possible(a: str, b: str, held: str = "shared"):
     """Bounds that every shared prefix shingle of two similar sets meets."""
     c = lambda s, x: F.col(f"{s}.{x}")
     na, nb = c(a, "n"), c(b, "n")
+    apart = sum((F.bit_count(c(a, "sketch")[i].bitwiseXOR(c(b, "sketch")[i])) for i in range(SKETCH)), F.lit(0))
     return ((5 * F.least(na, nb) >= 4 * F.greatest(na, nb)) & (9 * (c(a, "lone") + c(b, "lone")) <= na + nb)
-            & (F.least(c(a, "shared"), c(b, "shared")) >= _needed(na, nb) - F.greatest(_tail(na), _tail(nb))))
+            & (F.least(c(a, held), c(b, held)) >= _needed(na, nb) - F.greatest(_tail(na), _tail(nb)))
+            & (9 * apart <= na + nb))
+
+
+def _across(lists: DataFrame, long: bool) -> DataFrame:
+    """Pairs (a, b) of different components that share enough of the lists' prefix shingles to be similar.
+
+    Short lists propose every pair that shares one; such a pair may share all its long lists too. Pairs that share no
+    short list must reach the needed number on long lists alone, which is known of each set before they meet."""
+    n, held = F.col("n"), "frequent" if long else "shared"
+    span = F.sequence(_block(F.ceil(n * 4 / 5)), _block(F.floor(n * 5 / 4)))
+
+    def reachable(block):
+        least, most = F.pow(F.lit(1.05), block) - 1, F.pow(F.lit(1.05), block + 1) + 1
+        # the needed number of shared prefix shingles is smallest at one end of the block
+        need = [_needed(n, m) - F.greatest(_tail(n), _tail(m)) - 2 for m in (least, n, most)]
+        return F.col(held) >= F.least(*need)
+    probes = lists.where("component <> main").withColumn("block", F.explode(F.filter(span, reachable)))
+    others = lists.withColumn("block", _block(n))
+    need = lambda na, nb: _needed(na, nb) - F.greatest(_tail(na), _tail(nb))
+    met = (probes.alias("x").join(others.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.block") == F.col("y.block"))
+                                  & (F.col("x.component") != F.col("y.component")) & _possible("x", "y", held)
+                                  & ((F.col("y.component") == F.col("y.main")) | (F.col("x.rep") < F.col("y.rep"))))
+           .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"), need(F.col("x.n"), F.col("y.n")).alias("need"),
+                   (F.lit(0).cast("long") if long else F.least("x.frequent", "y.frequent")).alias("more")))
+    return met.groupBy("a", "b", "need", "more").agg(F.count("*").alias("common")).where("common + more >= need").select("a", "b")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -247,7 +286,7 @@ def similar_components(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
     sets = staged(set_digests(docs), "shingle-sets")
     classes = sets.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("k")).where("k > 1")
-    members = staged(sets.join(classes, "digest", "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")), "shingle-members")
+    members = staged(sets.join(classes, "digest", "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"), "sketch"), "shingle-members")
     prefixes = members.select(F.sum(F.col("n") - F.ceil(F.col("n") * 4 / 5) + 1)).first()[0] or 0
     buckets = max(64, int(prefixes * 2 // BUCKET_TOKENS))
 
@@ -258,7 +297,8 @@ def similar_components(docs: DataFrame) -> DataFrame:
     lists = staged(entries, "shingle-index")
     useful = lists.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token")
     own = Window.partitionBy("rep")
-    entries = (lists.join(useful, "token")
+    sketches = members.where("doc_id = rep").select("rep", "sketch").dropDuplicates(["rep"])
+    entries = (lists.join(useful, "token").join(sketches, "rep")
                .withColumn("lone", F.col("pos") - F.row_number().over(own.orderBy("pos")) + 1)
                .withColumn("shared", F.count("*").over(own)))
     entries = staged(entries, "shingle-entries")
@@ -266,8 +306,8 @@ def similar_components(docs: DataFrame) -> DataFrame:
                       "doc_id", "shingle-texts")
 
     # links of one pivot per list
-    pivots = (entries.groupBy("token").agg(F.min(F.struct((F.col("n") - F.col("shared") - _tail(F.col("n"))) / F.col("n"), "rep", "n", "lone", "shared")).alias("p"))
-              .select("token", "p.rep", "p.n", "p.lone", "p.shared"))
+    pivots = (entries.groupBy("token").agg(F.min(F.struct((F.col("n") - F.col("shared") - _tail(F.col("n"))) / F.col("n"), "rep", "n", "lone", "shared", "sketch")).alias("p"))
+              .select("token", "p.rep", "p.n", "p.lone", "p.shared", "p.sketch"))
     first = (entries.alias("x").join(pivots.alias("y"), F.col("x.token") == F.col("y.token"))
              .where((F.col("x.rep") != F.col("y.rep")) & _possible("x", "y"))
              .select(F.col("y.rep").alias("a"), F.col("x.rep").alias("b"))
@@ -278,32 +318,16 @@ def similar_components(docs: DataFrame) -> DataFrame:
 
     # pairs across components: entries outside a list's largest component against the list's size blocks
     marked = entries.join(label.select(F.col("id").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    marked = staged(marked, "shingle-marked")
+    marked = staged(marked.drop("lone", "shared"), "shingle-marked")
     sizes = marked.groupBy("token", "component").agg(F.count("*").alias("k"))
-    main = (sizes.groupBy("token").agg(F.count("*").alias("parts"), F.max(F.struct("k", "component")).alias("m"))
-            .where("parts > 1").select("token", F.col("m.component").alias("main")))
-    open_lists = marked.join(main, "token")
-    n = F.col("n")
-    span = F.sequence(_block(F.ceil(n * 4 / 5)), _block(F.floor(n * 5 / 4)))
-
-    def reachable(block):
-        least, most = F.pow(F.lit(1.05), block) - 1, F.pow(F.lit(1.05), block + 1) + 1
-        # the needed number of shared prefix shingles is smallest at one end of the block
-        need = [_needed(n, m) - F.greatest(_tail(n), _tail(m)) - 2 for m in (least, n, most)]
-        return F.col("shared") >= F.least(*need)
-    probes = (open_lists.where("component <> main")
-              .withColumn("block", F.explode(F.filter(span, reachable))))
-    others = open_lists.withColumn("block", _block(n))
-    again = (probes.alias("x").join(others.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.block") == F.col("y.block"))
-                                    & (F.col("x.component") != F.col("y.component")) & _possible("x", "y")
-                                    & ((F.col("y.component") == F.col("y.main")) | (F.col("x.rep") < F.col("y.rep"))))
-             .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"),
-                     F.least("x.n", "y.n").alias("na"), F.greatest("x.n", "y.n").alias("nb"))
-             .groupBy("a", "b", "na", "nb").agg(F.count("*").alias("common"))
-             .where(F.col("common") >= _needed(F.col("na"), F.col("nb")) - F.greatest(_tail(F.col("na")), _tail(F.col("nb"))))
-             .select("a", "b"))
-    tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    second = staged(again.join(tried, ["a", "b"], "left_anti"), "cross-pairs")
+    main = (sizes.groupBy("token").agg(F.count("*").alias("parts"), F.sum("k").alias("total"), F.max(F.struct("k", "component")).alias("m"))
+            .where("parts > 1").select("token", F.col("m.component").alias("main"), (F.col("total") > SHORT_LIST).alias("long")))
+    # shingles that only one component's sets hold in their prefixes are no common ground of two components
+    open_lists = staged(marked.join(main, "token")
+                        .withColumn("lone", F.col("pos") - F.row_number().over(own.orderBy("pos")) + 1)
+                        .withColumn("shared", F.count("*").over(own)).withColumn("frequent", F.sum(F.col("long").cast("long")).over(own)), "open-lists")
+    second = staged(_across(open_lists.where("not long"), False).unionByName(_across(open_lists.where("long"), True)).distinct()
+                    .join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "cross-pairs")
     links = links.unionByName(_verified(second, texts))
     label = components(links)
 
