@@ -98,49 +98,11 @@ def _combining_class() -> str:
 _ICU_NORMALIZER = "com.ibm.icu.text.Normalizer"
 
 
-@lru_cache(maxsize=1)
-def _translate_table() -> tuple[str, str]:
-    """Characters of the Basic Multilingual Plane whose decomposition without marks is
-    one character (mapped) or nothing (deleted), built by rule."""
-    src, dst, dele = [], [], []
-    for cp in range(0x80, 0x10000):
-        if 0xD800 <= cp <= 0xDFFF:
-            continue
-        ch = chr(cp)
-        out = "".join(x for x in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(x))
-        if out == ch:
-            continue
-        if len(out) == 1:
-            src.append(ch)
-            dst.append(out)
-        elif not out:
-            dele.append(ch)
-    return "".join(src) + "".join(dele), "".join(dst)
-
-
-ACCENTS_CONF = "reviewlab.stripAccents"   # "icu" (default) or "table"
-
-
-def strip_accents(text: Column, method: str | None = None) -> Column:
-    """Compatibility-decompose (NFKD) and drop combining marks, JVM-side.
-
-    "icu": ICU's normaliser (shipped with Spark) through ``reflect``; exact.
-    "table": one ``translate`` with a rule-built table; exact except for the
-    characters that decompose into several letters (ligatures, Hangul), which
-    stay as they are. Use it where ``reflect`` is not allowed. The method comes
-    from the session setting ``reviewlab.stripAccents`` when not given.
-    ASCII-only text is returned as is.
-    """
-    if method is None:
-        from pyspark.sql import SparkSession
-        active = SparkSession.getActiveSession()
-        method = active.conf.get(ACCENTS_CONF, "icu") if active is not None else "icu"
-    if method == "table":
-        src, dst = _translate_table()
-        stripped = F.translate(text, src, dst)
-    else:
-        nfkd = F.reflect(F.lit(_ICU_NORMALIZER), F.lit("decompose"), text, F.lit(True))
-        stripped = F.regexp_replace(nfkd, _combining_class(), "")
+def strip_accents(text: Column) -> Column:
+    """Compatibility-decompose (NFKD) and drop combining marks, JVM-side, with ICU's
+    normaliser (shipped with Spark) through ``reflect``. ASCII-only text is returned as is."""
+    nfkd = F.reflect(F.lit(_ICU_NORMALIZER), F.lit("decompose"), text, F.lit(True))
+    stripped = F.regexp_replace(nfkd, _combining_class(), "")
     return F.when(text.rlike("[^\\x00-\\x7F]"), stripped).otherwise(text)
 
 

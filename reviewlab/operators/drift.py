@@ -35,7 +35,7 @@ QUANTILE_ACCURACY = 20_000
 
 
 def _long(df: DataFrame, side: str, columns: list[str], as_type: str) -> DataFrame:
-    arr = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast(as_type).alias("value")) for c in columns])
+    arr = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).try_cast(as_type).alias("value")) for c in columns])
     return df.select(F.col(side).alias("side"), F.inline(arr))
 
 
@@ -104,8 +104,8 @@ def drift_from_counts(cnt: DataFrame, threshold: float = NUMERIC_THRESHOLD, bloc
     cuts = cnt.groupBy("column").agg(
         F.array_sort(F.array_distinct(F.percentile_approx("value", probs, QUANTILE_ACCURACY))).alias("_cuts"),
         F.sum("r").alias("nr"), F.sum("c").alias("nc"),
-        (F.sum(F.col("r") * F.col("value")) / F.sum("r")).alias("_mean"))
-    cb = (cnt.join(F.broadcast(cuts), "column")
+        F.try_divide(F.sum(F.col("r") * F.col("value")), F.sum("r")).alias("_mean"))
+    cb = (cnt.join(cuts, "column")
           .select("column", "value", "r", "c", "nr", "nc", "_mean",
                   _block_of(F.col("value"), F.col("_cuts"), len(probs)).alias("blk")))
     per_block = cb.groupBy("column", "blk").agg(F.sum("r").alias("br"), F.sum("c").alias("bc"),
@@ -118,20 +118,22 @@ def drift_from_counts(cnt: DataFrame, threshold: float = NUMERIC_THRESHOLD, bloc
         F.coalesce(F.sum("bc").over(before), F.lit(0)).alias("c0"),
         F.lead("bmin").over(by_col).alias("next_min"))
     upto = Window.partitionBy("column", "blk").orderBy("value")
-    cdf = (cb.join(F.broadcast(offsets), ["column", "blk"])  # columns x blocks rows
-           .withColumn("gap", F.abs((F.col("r0") + F.sum("r").over(upto)) / F.col("nr")
-                                    - (F.col("c0") + F.sum("c").over(upto)) / F.col("nc")))
+    cdf = (cb.join(offsets, ["column", "blk"])  # columns x blocks rows; broadcast by Spark where small
+           .withColumn("gap", F.abs(F.try_divide(F.col("r0") + F.sum("r").over(upto), F.col("nr"))
+                                    - F.try_divide(F.col("c0") + F.sum("c").over(upto), F.col("nc"))))
            .withColumn("width", F.coalesce(F.lead("value").over(upto), F.col("next_min")) - F.col("value")))
     out = cdf.groupBy("column").agg(
         F.first("nr").alias("n_ref"), F.first("nc").alias("n_cur"),
         F.max("gap").alias("ks"),
-        F.coalesce(F.sum(F.col("gap") * F.col("width")), F.lit(0.0)).alias("wasserstein"),
+        F.when((F.first("nr") > 0) & (F.first("nc") > 0), F.coalesce(F.sum(F.col("gap") * F.col("width")), F.lit(0.0))).alias("wasserstein"),
         F.sqrt(F.try_divide(F.sum(F.col("r") * F.pow(F.col("value") - F.col("_mean"), 2)),
                             F.first("nr"))).alias("ref_std"))
+    # a side without values has no distance to the other: nulls, and not drifted
     norm = F.col("wasserstein") / F.greatest(F.coalesce(F.col("ref_std"), F.lit(0.0)), F.lit(STD_FLOOR))
     return out.select(
         "column", "n_ref", "n_cur", "ks",
-        ks_pvalue(F.col("ks"), F.col("n_ref").cast("double"), F.col("n_cur").cast("double")).alias("ks_pvalue"),
+        F.when((F.col("n_ref") > 0) & (F.col("n_cur") > 0),
+               ks_pvalue(F.col("ks"), F.greatest("n_ref", F.lit(1)).cast("double"), F.greatest("n_cur", F.lit(1)).cast("double"))).alias("ks_pvalue"),
         "wasserstein", norm.alias("wasserstein_norm"),
         (F.coalesce(norm, F.lit(0.0)) >= threshold).alias("drifted"))
 
@@ -175,8 +177,8 @@ def categorical_drift(df: DataFrame, side: str, columns: list[str], threshold: f
     cnt = lg.groupBy("column", "value").agg(F.count_if(F.col("side") == reference).alias("r"),
                                             F.count_if(F.col("side") == current).alias("c"))
     totals = cnt.groupBy("column").agg(F.sum("r").alias("nr"), F.sum("c").alias("nc"))   # one row per column
-    shares = (cnt.join(F.broadcast(totals), "column")
-              .withColumn("p", F.col("r") / F.col("nr")).withColumn("q", F.col("c") / F.col("nc"))
+    shares = (cnt.join(totals, "column")
+              .withColumn("p", F.try_divide("r", "nr")).withColumn("q", F.try_divide("c", "nc"))
               .withColumn("m", (F.col("p") + F.col("q")) / 2))
 
     def kl_part(x: Column) -> Column:
@@ -188,11 +190,13 @@ def categorical_drift(df: DataFrame, side: str, columns: list[str], threshold: f
         F.sum(0.5 * kl_part(F.col("p")) + 0.5 * kl_part(F.col("q"))).alias("_jsd"),
         F.sum(F.when(expected > 0, F.pow(F.col("c") - expected, 2) / expected)).alias("chi2"),
         F.count_if(expected > 0).alias("_k"))
-    js = F.sqrt(F.greatest(F.col("_jsd"), F.lit(0.0)))
+    # a side without values has no distance to the other: null, and not drifted
+    both = (F.col("n_ref") > 0) & (F.col("n_cur") > 0)
+    js = F.when(both, F.sqrt(F.greatest(F.col("_jsd"), F.lit(0.0))))
     return stat.select("column", "n_ref", "n_cur", "categories", js.alias("js_distance"),
                        F.coalesce(F.col("chi2"), F.lit(0.0)).alias("chi2"),
                        (F.col("_k") - 1).cast("bigint").alias("dof"),
-                       (js >= threshold).alias("drifted"))
+                       F.coalesce(js >= threshold, F.lit(False)).alias("drifted"))
 
 
 def drift_table(df: DataFrame, side: str, numeric: list[str], categorical: list[str],

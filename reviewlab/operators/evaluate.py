@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_MATRIX_CLASSES = 1000   # a confusion grid has K x K cells
-
 def confusion_counts(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred") -> DataFrame:
     d = df.filter(F.col(y_true).isNotNull() & F.col(y_pred).isNotNull())
     return d.groupBy(F.col(y_true).alias("y_true"), F.col(y_pred).alias("y_pred")).agg(
@@ -51,29 +49,22 @@ def eval_metrics(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred")
 
 
 def confusion_matrix(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred",
-                     max_classes: int = MAX_MATRIX_CLASSES) -> DataFrame:
+                     labels: list[str] | None = None) -> DataFrame:
     """Every (true, predicted) cell over the label list, zero filled.
 
-    The confusion counts (at most K x K cells) are gathered into one row and
-    expanded there: one scan of the input, no join. The grid is K x K by
-    definition, so K is checked inside the plan: more than ``max_classes``
-    labels fails the query instead of emitting an unbounded grid.
+    ``labels`` gives the list (other labels are left out, as a chosen axis does);
+    by default it is every label seen. The list is expanded twice to the K x K cells
+    of the result, to which the counts are joined by key.
     """
     cm = confusion_counts(df, y_true, y_pred)
-    one = cm.agg(F.collect_list(F.struct("y_true", "y_pred", "count")).alias("cells"))
-    too_many = F.raise_error(F.lit(f"confusion matrix over more than {max_classes} labels"))
-    one = one.select(F.when(F.size("cells") <= max_classes * max_classes, F.col("cells"))
-                     .otherwise(too_many.cast(one.schema["cells"].dataType)).alias("cells"))
-    one = one.select(
-        F.map_from_entries(F.transform("cells", lambda c: F.struct(
-            F.struct(c["y_true"], c["y_pred"]), c["count"]))).alias("m"),
-        F.array_sort(F.array_distinct(F.concat(F.transform("cells", lambda c: c["y_true"]),
-                                               F.transform("cells", lambda c: c["y_pred"])))).alias("ls"))
-    one = one.select("m", F.when(F.size("ls") <= max_classes, F.col("ls"))
-                     .otherwise(too_many.cast("array<string>")).alias("ls"))
-    grid = one.select("m", "ls", F.explode("ls").alias("y_true")).select("m", "y_true", F.explode("ls").alias("y_pred"))
-    n = F.coalesce(F.element_at("m", F.struct(F.col("y_true"), F.col("y_pred"))), F.lit(0)).cast("bigint")
-    return grid.select("y_true", "y_pred", n.alias("count"))
+    if labels is None:
+        names = cm.select(F.explode(F.array("y_true", "y_pred")).alias("label")).agg(
+            F.array_sort(F.collect_set("label")).alias("ls"))           # one value per label
+    else:
+        names = df.sparkSession.createDataFrame([(sorted(set(labels)),)], "ls array<string>")
+    grid = names.select("ls", F.explode("ls").alias("y_true")).select("y_true", F.explode("ls").alias("y_pred"))
+    return (grid.join(cm, ["y_true", "y_pred"], "left")
+            .select("y_true", "y_pred", F.coalesce("count", F.lit(0)).cast("bigint").alias("count")))
 
 
 def _report_row(name: str, p: str, r: str, f: str):

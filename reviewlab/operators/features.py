@@ -38,12 +38,9 @@ class LabelIndex:
         return spark.createDataFrame(list(enumerate(self.labels)), "label_id bigint, label string")
 
 
-def fit_label_index(df: DataFrame, label: str, max_classes: int = 10_000) -> LabelIndex:
-    """Collect the distinct labels (bounded: fails beyond ``max_classes``)."""
-    rows = (df.select(label).filter(F.col(label).isNotNull()).distinct()
-            .limit(max_classes + 1).collect())
-    if len(rows) > max_classes:
-        raise ValueError(f"more than {max_classes} distinct labels")
+def fit_label_index(df: DataFrame, label: str) -> LabelIndex:
+    """The distinct labels, sorted (one driver value per class of the classifier)."""
+    rows = df.select(label).filter(F.col(label).isNotNull()).distinct().collect()
     return LabelIndex(tuple(sorted(r[0] for r in rows)))
 
 
@@ -154,49 +151,38 @@ def vocabulary_frame(docs: DataFrame, text: str, max_features: int = 100, min_df
     return _top(vocabulary_counts(docs, text), max_features, min_df)
 
 
+def _counted(docs: DataFrame, counts: Column) -> DataFrame:
+    """(term, doc_freq, term_freq) from one array<struct<term, tf>> per document: one explode, one shuffle on term."""
+    return (docs.select(F.inline(counts)).groupBy("term")
+            .agg(F.count(F.lit(1)).alias("doc_freq"), F.sum("tf").cast("bigint").alias("term_freq")))
+
+
 def fit_vocabulary(docs: DataFrame, text: str | None, max_features: int = 100, min_df: int = 2,
-                   max_frequent: int = 100_000, tokens: str | None = None, id_col: str | None = None) -> list:
+                   tokens: str | None = None, id_col: str | None = None) -> list:
     """Exact top-``max_features`` vocabulary with bigram pruning.
 
     A bigram occurs at most as often as each of its words. Let T1 be the
     ``max_features``-th best unigram count (among unigrams in >= min_df docs);
-    the final cut-off is >= T1, so only bigrams whose two words both occur >= T1
-    times can qualify. Unigrams are counted first, then only those bigrams:
-    the shuffle no longer carries every distinct bigram. When the frequent-word
-    set would exceed ``max_frequent`` the pruning is skipped (still exact).
-    The pruned path groups word pairs per document, so it needs a unique,
-    deterministic document key ``id_col`` (a re-run task must key its rows the
-    same way); without one the bigrams are counted unpruned.
+    the final cut-off is >= T1, so only bigrams of two words that both occur >= T1
+    times can qualify. Unigrams are counted first; bigrams are then counted inside
+    each document's row, and only those of frequent words reach the shuffle. The
+    frequent words are a semi join's side, not a broadcast: their number is not bounded.
     """
-    doc = F.col(id_col) if id_col else F.lit(None).cast("bigint")
     if tokens is None:
-        toks = docs.select(doc.alias("_doc"), tx.vectorizer_tokens(F.col(text)).alias("t")).persist()   # two passes
+        toks = docs.select(tx.vectorizer_tokens(F.col(text)).alias("t")).persist()   # two passes
     else:
-        toks = docs.select(doc.alias("_doc"), F.col(tokens).alias("t"))
-    uni = term_doc_stats(toks, F.col("t")).persist()
+        toks = docs.select(F.col(tokens).alias("t"))
+    uni = _counted(toks, tx.term_counts(F.col("t"))).persist()
     top_uni = _top(uni, max_features, min_df).collect()
     t1 = min((r["term_freq"] for r in top_uni), default=0) if len(top_uni) >= max_features else 0
-    frequent = None
-    if t1 > 0 and id_col:
-        rows = uni.filter(F.col("term_freq") >= t1).select("term").limit(max_frequent + 1).collect()
-        if len(rows) <= max_frequent:
-            frequent = [r["term"] for r in rows]
-    if frequent is None:
-        bigrams = F.slice(tx.word_ngrams(F.col("t")), F.size("t") + 1, F.greatest(F.size("t"), F.lit(1)))
-        bi = term_doc_stats(toks, bigrams)
-    else:
-        # size checked above (<= max_frequent words): broadcast hash joins filter the
-        # word pairs map-side, before any shuffle
-        spark = docs.sparkSession
-        fw = F.broadcast(spark.createDataFrame([(w,) for w in frequent], "w string"))
-        pairs = toks.select("_doc", F.inline(F.arrays_zip(F.col("t").alias("a"),
-                                                          F.slice("t", 2, F.greatest(F.size("t"), F.lit(1))).alias("b"))))
-        pairs = (pairs.filter(F.col("b").isNotNull())
-                 .join(fw.withColumnRenamed("w", "a"), "a", "left_semi")
-                 .join(fw.withColumnRenamed("w", "b"), "b", "left_semi"))
-        per_doc = (pairs.groupBy("_doc", F.concat("a", F.lit(" "), "b").alias("term"))
-                   .agg(F.count(F.lit(1)).alias("tf")))
-        bi = per_doc.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"), F.sum("tf").alias("term_freq"))
+    bigrams = F.slice(tx.word_ngrams(F.col("t")), F.size("t") + 1, F.greatest(F.size("t"), F.lit(1)))
+    bi = _counted(toks, tx.term_counts(bigrams))
+    if t1 > 0:
+        frequent = uni.filter(F.col("term_freq") >= t1).select(F.col("term").alias("w"))
+        word = lambda i: F.element_at(F.split("term", " "), i)
+        bi = (bi.filter(F.col("term_freq") >= t1).withColumn("a", word(1)).withColumn("b", word(2))
+              .join(frequent.withColumnRenamed("w", "a"), "a", "left_semi")
+              .join(frequent.withColumnRenamed("w", "b"), "b", "left_semi").select("term", "doc_freq", "term_freq"))
     rows = _top(uni.unionByName(bi), max_features, min_df).collect()
     uni.unpersist()
     if tokens is None:

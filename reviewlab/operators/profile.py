@@ -35,13 +35,20 @@ def drop_missing(df: DataFrame, c: Cols = DEFAULT) -> DataFrame:
 def dedupe_keep_first(df: DataFrame, key: str, order: str) -> DataFrame:
     """Keep, per distinct ``key``, the row with the smallest ``order`` (file order).
 
-    ``min_by`` is a partial aggregate: each map task reduces a hot key to one row
-    before the shuffle, so a key holding a third of all rows costs nothing extra.
+    Keys are grouped by their SHA-256, a fixed-width hash aggregate that combines
+    map-side (a text holding a third of all rows is one row per map task), and the
+    chosen rows come back by a semi join on digest and order (``order`` tells rows of one
+    key apart). Null keys are one group.
     """
-    others = [x for x in df.columns if x != key]
-    best = F.min_by(F.struct(*[F.col(x) for x in others]), F.col(order)).alias("_first")
-    return df.groupBy(key).agg(best).select(key, *[F.col(f"_first.{x}").alias(x) for x in others]) \
-             .select(*df.columns)
+    d = df.withColumn("_digest", digest(F.col(key)))
+    first = d.groupBy("_digest").agg(F.min(order).alias("_order"))
+    kept = d.join(first, (d["_digest"] == first["_digest"]) & d[order].eqNullSafe(first["_order"]), "left_semi")
+    return kept.select(*df.columns)
+
+
+def digest(value: Column) -> Column:
+    """SHA-256 of a value's text, told apart from null."""
+    return F.sha2(F.coalesce(F.concat(F.lit("v"), value.cast("string")), F.lit("n")), 256)
 
 
 def with_text_length(df: DataFrame, c: Cols = DEFAULT) -> DataFrame:
@@ -106,8 +113,10 @@ def missing_summary(df: DataFrame, c: Cols = DEFAULT) -> DataFrame:
 
 
 def _excess_duplicates(df: DataFrame, subset: list[str]) -> DataFrame:
-    """Rows beyond the first of each group of equal ``subset`` values (nulls equal)."""
-    g = df.groupBy(*subset).agg(F.count(F.lit(1)).alias("_n"))
+    """Rows beyond the first of each group of equal ``subset`` values (nulls equal); the
+    shuffle carries a digest of the values, not the values."""
+    mark = F.sha2(F.concat_ws("|", *[digest(F.col(x)) for x in subset]), 256)
+    g = df.groupBy(mark.alias("_digest")).agg(F.count(F.lit(1)).alias("_n"))
     return g.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicates"),
                  F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("rows"))
 
@@ -136,23 +145,21 @@ def rating_outliers(df: DataFrame, c: Cols = DEFAULT) -> DataFrame:
                     F.lit(lo).cast("bigint").alias("expected_low"), F.lit(hi).cast("bigint").alias("expected_high"))
 
 
-def label_distribution(df: DataFrame, c: Cols = DEFAULT, classes=SENTIMENT_ORDER) -> DataFrame:
-    """Counts and percents over a given class order, 0 for absent classes (one aggregate).
+def label_distribution(df: DataFrame, c: Cols = DEFAULT, classes=None) -> DataFrame:
+    """Counts and percents of every label present (null as 'nan'), ordered by count like
+    the label summary, with percents over all rows.
 
-    ``classes=None`` uses the classes present instead (null as 'nan'), ordered by
-    count like the label summary, with percents over all rows.
+    ``classes`` gives a fixed order instead: these labels first, 0 for absent ones, then
+    every other label by count; percents are over all rows in either case.
     """
-    if classes is None:
-        s = label_summary(df, c)
-        w = Window.partitionBy()   # one row per class
-        return s.select((F.col("rank") - 1).alias("position"), "label", "count",
-                        tx.pct(F.col("count"), F.sum("count").over(w)).alias("pct"))
-    a = df.agg(*[F.count_if(F.col(c.label) == k).alias(f"_c{i}") for i, k in enumerate(classes)])
-    total = sum((F.col(f"_c{i}") for i in range(len(classes))), F.lit(0))
-    rows = F.array(*[F.struct(F.lit(i).cast("bigint").alias("position"), F.lit(k).alias("label"),
-                              F.col(f"_c{i}").alias("count")) for i, k in enumerate(classes)])
-    return (a.withColumn("_total", total).select(F.inline(rows), "_total")
-            .select("position", "label", "count", tx.pct(F.col("count"), F.col("_total")).alias("pct")))
+    s = label_summary(df, c)
+    total = F.sum("count").over(Window.partitionBy())   # one row per class
+    if classes is not None:
+        spark = df.sparkSession
+        order = spark.createDataFrame(list(enumerate(classes)), "fixed int, label string")
+        s = s.join(order, "label", "full").withColumn("count", F.coalesce("count", F.lit(0)))
+        s = s.withColumn("rank", F.row_number().over(Window.orderBy(F.col("fixed").asc_nulls_last(), "rank")))
+    return s.select((F.col("rank") - 1).cast("bigint").alias("position"), "label", "count", tx.pct(F.col("count"), total).alias("pct"))
 
 
 # ---------------------------------------------------------------- text length, ratings
@@ -230,8 +237,8 @@ def corpus_term_weights(df: DataFrame, c: Cols = DEFAULT, max_words: int = 200,
 
 # ---------------------------------------------------------------- duplicates
 def _text_groups(df: DataFrame, c: Cols) -> DataFrame:
-    return (df.groupBy(F.coalesce(F.col(c.text), F.lit("nan")).alias("text"))
-            .agg(F.count(F.lit(1)).alias("count")))
+    """(digest, count) of every different text (null counted as the value 'nan')."""
+    return df.groupBy(digest(F.coalesce(F.col(c.text), F.lit("nan"))).alias("digest")).agg(F.count(F.lit(1)).alias("count"))
 
 
 def duplicate_summary(df: DataFrame, c: Cols = DEFAULT) -> DataFrame:
@@ -246,8 +253,11 @@ def duplicate_summary(df: DataFrame, c: Cols = DEFAULT) -> DataFrame:
 
 
 def duplicated_reviews(df: DataFrame, c: Cols = DEFAULT) -> DataFrame:
-    """Every repeated text with its count."""
-    return _text_groups(df, c).filter(F.col("count") > 1)
+    """Every repeated text with its count; texts are fetched for repeated digests only."""
+    text = F.coalesce(F.col(c.text), F.lit("nan"))
+    repeated = _text_groups(df, c).filter(F.col("count") > 1)
+    texts = df.select(text.alias("text"), digest(text).alias("digest")).join(repeated, "digest")
+    return texts.groupBy("digest").agg(F.any_value("text").alias("text"), F.any_value("count").alias("count")).select("text", "count")
 
 
 def duplicate_examples(df: DataFrame, c: Cols = DEFAULT, n: int = 5) -> DataFrame:
@@ -300,22 +310,24 @@ def brand_sentiment_grid(df: DataFrame, c: Cols = DEFAULT, labels=BRAND_CHART_LA
             .select("label", "brand", "count", "has_chart"))
 
 
-def brand_crosstab(df: DataFrame, c: Cols = DEFAULT, labels=None) -> DataFrame:
-    """Brand x label crosstab (rows null in either dropped); a fixed label list skips
-    the distinct-values job of ``pivot``."""
-    labels = sorted(labels or SENTIMENT_ORDER)
-    d = df.select(c.brand, c.label).na.drop(subset=[c.brand, c.label])
-    p = d.groupBy(c.brand).pivot(c.label, labels).count()
-    return p.select(c.brand, *[F.coalesce(F.col(k), F.lit(0)).cast("bigint").alias(k) for k in labels])
+def brand_crosstab(df: DataFrame, c: Cols = DEFAULT) -> DataFrame:
+    """Brand x label crosstab as tidy rows (brand, label, count) over every label present;
+    rows null in either are dropped, empty cells have no row."""
+    d = df.select(F.col(c.brand).alias("brand"), F.col(c.label).alias("label")).na.drop()
+    return d.groupBy("brand", "label").agg(F.count(F.lit(1)).alias("count"))
+
+
+def brand_crosstab_pct(df: DataFrame, c: Cols = DEFAULT) -> DataFrame:
+    """Row-normalised crosstab: each cell's share of its brand's rows over all labels."""
+    cells = brand_crosstab(df, c)
+    totals = cells.groupBy("brand").agg(F.sum("count").alias("total"))
+    return (cells.join(totals, "brand")
+            .select("brand", "label", F.round(F.col("count").cast("double") / F.col("total"), 6).alias("pct")))
 
 
-def brand_crosstab_pct(df: DataFrame, c: Cols = DEFAULT, labels=None) -> DataFrame:
-    """Row-normalised crosstab, 0 where a row sums to 0."""
-    labels = sorted(labels or SENTIMENT_ORDER)
-    ct = brand_crosstab(df, c, labels)
-    total = sum((F.col(k) for k in labels), F.lit(0))
-    return ct.select(c.brand, *[F.round(F.coalesce(F.try_divide(F.col(k).cast("double"), total), F.lit(0.0)), 6).alias(k)
-                                for k in labels])
+def wide_crosstab(cells: DataFrame, value: str = "count") -> DataFrame:
+    """One column per label, 0 for empty cells (labels are read from the cells)."""
+    return cells.groupBy("brand").pivot("label").agg(F.first(value)).na.fill(0)
 
 
 def class_distribution(df: DataFrame, c: Cols = DEFAULT) -> DataFrame:

@@ -46,9 +46,11 @@ def box_stats(df: DataFrame, value: str, group: str, whis: float = 1.5) -> DataF
     fence table has one row per group and is joined back on the group key.
     """
     v = F.col(value).cast("double")
-    base = df.select(F.col(group), v.alias("_v")).filter(F.col(group).isNotNull() & F.col("_v").isNotNull())
+    rows = df.select(F.col(group), v.alias("_v")).filter(F.col(group).isNotNull() & F.col("_v").isNotNull())
+    # one row per distinct value first: a hot group sends its values, not its rows
+    base = rows.groupBy(group, "_v").agg(F.count(F.lit(1)).alias("_n"))
     q = (base.groupBy(group)
-         .agg(F.percentile("_v", [0.25, 0.5, 0.75]).alias("_q"))
+         .agg(F.percentile("_v", [0.25, 0.5, 0.75], F.col("_n")).alias("_q"))
          .select(group, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3")))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     q = (q.withColumn("_lo", F.col("q1") - whis * F.col("iqr"))
@@ -59,8 +61,8 @@ def box_stats(df: DataFrame, value: str, group: str, whis: float = 1.5) -> DataF
          .agg(F.min(F.when(F.col("_v") >= F.col("_lo"), F.col("_v"))).alias("_wl"),
               F.max(F.when(F.col("_v") <= F.col("_hi"), F.col("_v"))).alias("_wh"),
               F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"),
-              F.count("*").alias("n"),
-              F.count_if(~inside).alias("_out_fence")))
+              F.sum("_n").alias("n"),
+              F.sum(F.when(inside, 0).otherwise(F.col("_n"))).alias("_out_fence")))
     wl = F.coalesce(F.col("_wl"), F.col("q1"))
     wh = F.coalesce(F.col("_wh"), F.col("q3"))
     return w.select(group, "n", "q1", "median", "q3", (F.col("q3") - F.col("q1")).alias("iqr"),
@@ -73,17 +75,14 @@ def top_k_per_group(df: DataFrame, group: list[str], order: list[Column], k: int
                     rank_col: str = "rank") -> DataFrame:
     """Exact top-k rows per group under a total order, safe when one group is huge.
 
-    For k up to ``spark.sql.optimizer.windowGroupLimitThreshold`` Spark plans a
-    partial WindowGroupLimit before the shuffle (a map-side top-k), so a hot
-    group sends at most k rows per map partition. Above it, a salted two-stage
-    rank does the same by hand: rank inside (group, salt) sub-groups, keep k,
-    then rank the at most k * salt_buckets survivors per group.
+    A salted two-stage rank: rank inside (group, salt) sub-groups, keep k, then rank
+    the at most k * salt_buckets survivors per group. Spark adds its own map-side
+    limit to either stage where k allows it; the result is the same for every k.
+    ``salt_key`` defaults to all columns.
     """
     spark = df.sparkSession
-    limit = int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if k <= limit or salt_key is None:
-        w = Window.partitionBy(*group).orderBy(*order)
-        return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
+    if salt_key is None:
+        salt_key = F.struct(*[F.col(x) for x in df.columns])
     if salt_buckets is None:
         salt_buckets = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(salt_key), F.lit(salt_buckets)))

@@ -20,6 +20,9 @@ def na(col: str) -> str:
 SQL: dict[str, str] = {
     "csv_roundtrip": with_views(["reviews"], f"""
 SELECT review_id, {na('review_text')}, {na('sentiment')}, {na('brand')}, {na('rating')} FROM reviews"""),
+    "csv_by_name": with_views(["reviews"], f"""
+SELECT review_id, {na('review_text')}, {na('sentiment')},
+       CASE WHEN review_id % 2 = 1 THEN 'x' END AS extra FROM reviews"""),
     "score_without_model": with_views(["reviews", "aliases"], """
 SELECT review_id, 'model_not_found' AS sentiment FROM reviews
 WHERE review_text IS NOT NULL AND NOT EXISTS (SELECT 1 FROM aliases WHERE alias = 'Shadow')"""),

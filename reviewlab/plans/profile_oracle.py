@@ -115,11 +115,16 @@ SELECT o AS outliers, {pct_sql('o', 'n')} AS pct, round(mn, 6) AS rating_min, ro
 FROM (SELECT count(*) AS n, count(*) FILTER (WHERE rating IS NOT NULL AND NOT (rating BETWEEN 1 AND 5)) AS o,
              min(rating) AS mn, max(rating) AS mx FROM {NUMERIC})"""),
     "label_distribution": R(f"""
-SELECT position, label, "count", {pct_sql('"count"', 'total')} AS pct FROM (
-  SELECT position, label, "count", sum("count") OVER () AS total FROM (
-    SELECT CAST(c.position AS BIGINT) AS position, c.label,
-           (SELECT count(*) FROM reviews r WHERE r.sentiment = c.label) AS "count"
-    FROM (VALUES (0, 'Positive'), (1, 'Neutral'), (2, 'Negative')) AS c(position, label)))"""),
+SELECT CAST(row_number() OVER (ORDER BY "count" DESC, label) - 1 AS BIGINT) AS position, label, "count",
+       {pct_sql('"count"', 'total')} AS pct
+FROM (SELECT label, "count", sum("count") OVER () AS total
+      FROM (SELECT coalesce(sentiment, 'nan') AS label, count(*) AS "count" FROM reviews GROUP BY 1))"""),
+    "label_distribution_lang": R(f"""
+SELECT CAST(row_number() OVER (ORDER BY "count" DESC, label) - 1 AS BIGINT) AS position, label, "count",
+       {pct_sql('"count"', 'total')} AS pct
+FROM (SELECT label, "count", sum("count") OVER () AS total
+      FROM (SELECT coalesce(CASE WHEN doc_id % 13 = 0 THEN NULL ELSE lang END, 'nan') AS label, count(*) AS "count"
+            FROM documents GROUP BY 1))"""),
     "text_length_stats": R(stats_sql(LEN, "reviews", None)),
     "text_length_by_label": R(stats_sql(LEN, "reviews", "sentiment")),
     "rating_stats": R(stats_sql("rating", f"{NUMERIC} WHERE rating IS NOT NULL", None)),
@@ -164,18 +169,16 @@ CROSS JOIN {BRAND_LABELS}
 LEFT JOIN reviews r ON r.brand = b.brand AND r.sentiment = lab.label
 GROUP BY lab.label, b.brand"""),
     "brand_crosstab": R("""
-SELECT brand, count(*) FILTER (WHERE sentiment = 'Negative') AS "Negative",
-       count(*) FILTER (WHERE sentiment = 'Neutral') AS "Neutral",
-       count(*) FILTER (WHERE sentiment = 'Positive') AS "Positive"
-FROM reviews WHERE brand IS NOT NULL AND sentiment IS NOT NULL GROUP BY brand"""),
+SELECT brand, sentiment AS label, count(*) AS "count"
+FROM reviews WHERE brand IS NOT NULL AND sentiment IS NOT NULL GROUP BY brand, sentiment"""),
     "brand_crosstab_pct": R("""
-SELECT brand, round(coalesce(ng / nullif(t, 0), 0.0), 6) AS "Negative", round(coalesce(nu / nullif(t, 0), 0.0), 6) AS "Neutral",
-       round(coalesce(po / nullif(t, 0), 0.0), 6) AS "Positive"
-FROM (SELECT brand, CAST(count(*) FILTER (WHERE sentiment = 'Negative') AS DOUBLE) AS ng,
-             CAST(count(*) FILTER (WHERE sentiment = 'Neutral') AS DOUBLE) AS nu,
-             CAST(count(*) FILTER (WHERE sentiment = 'Positive') AS DOUBLE) AS po,
-             count(*) FILTER (WHERE sentiment IN ('Negative', 'Neutral', 'Positive')) AS t
-      FROM reviews WHERE brand IS NOT NULL AND sentiment IS NOT NULL GROUP BY brand)"""),
+SELECT brand, label, round(CAST("count" AS DOUBLE) / sum("count") OVER (PARTITION BY brand), 6) AS pct
+FROM (SELECT brand, sentiment AS label, count(*) AS "count"
+      FROM reviews WHERE brand IS NOT NULL AND sentiment IS NOT NULL GROUP BY brand, sentiment)"""),
+    "brand_crosstab_lang": R("""
+SELECT source AS brand, lang AS label, count(*) AS "count"
+FROM (SELECT source, CASE WHEN doc_id % 13 = 0 THEN NULL ELSE lang END AS lang FROM documents)
+WHERE source IS NOT NULL AND lang IS NOT NULL GROUP BY source, lang"""),
     "class_distribution": R("SELECT sentiment, count(*) AS \"count\" FROM reviews WHERE sentiment IS NOT NULL "
                             "GROUP BY sentiment ORDER BY sentiment"),
     "tokenize": R(f"""

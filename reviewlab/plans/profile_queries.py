@@ -153,6 +153,21 @@ def brand_crosstab(spark, sf_dir):
     return pf.brand_crosstab(_reviews(spark, sf_dir))
 
 
+def _by_language(spark, sf_dir):
+    """The review view with the language as label (some null) and the source as brand."""
+    d = tb.read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    label = F.when(F.col("doc_id") % 13 == 0, F.lit(None).cast("string")).otherwise(F.col("lang"))
+    return d.select(label.alias(C.label), F.col("source").alias(C.brand))
+
+
+def brand_crosstab_lang(spark, sf_dir):
+    return pf.brand_crosstab(_by_language(spark, sf_dir))
+
+
+def label_distribution_lang(spark, sf_dir):
+    return rounded(pf.label_distribution(_by_language(spark, sf_dir)))
+
+
 def brand_crosstab_pct(spark, sf_dir):
     return pf.brand_crosstab_pct(_reviews(spark, sf_dir))
 

@@ -20,19 +20,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Hash-repartition by ``key`` only when the scan gives fewer partitions than the
-    cluster can run at once (e.g. one large row group); text work is CPU-bound.
-    At scale the scan already has many splits and this is a no-op."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want, key) if key else df.repartition(want)
-
-
 def documents(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
-    d = read_table(spark, sf_dir, "documents").select(*columns)
-    return spread(d, "doc_id") if "text" in columns else d
+    return read_table(spark, sf_dir, "documents").select(*columns)
 
 
 def review_texts(spark: SparkSession, sf_dir: str) -> DataFrame:

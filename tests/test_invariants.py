@@ -178,9 +178,20 @@ def test_svd_projection_matches_numpy(spark):
     assert abs(xs.mean()) < 1e-9 and abs(xs.std(ddof=0) - 1.0) < 1e-9
 
 
-def test_confusion_matrix_class_guard(spark):
+def test_confusion_matrix_many_labels_and_given_list(spark):
     from reviewlab.operators import evaluate as ev
     df = spark.createDataFrame([("a", "b"), ("a", "a"), ("c", "a")], "y_true string, y_pred string")
-    assert ev.confusion_matrix(df, max_classes=3).count() == 9
-    with pytest.raises(Exception, match="more than 2 labels"):
-        ev.confusion_matrix(df, max_classes=2).collect()
+    assert ev.confusion_matrix(df).count() == 9
+    got = {(r["y_true"], r["y_pred"]): r["count"] for r in ev.confusion_matrix(df, labels=["a", "z"]).collect()}
+    assert got == {("a", "a"): 1, ("a", "z"): 0, ("z", "a"): 0, ("z", "z"): 0}
+    many = spark.range(3000).select(F.concat(F.lit("l"), F.col("id") % 300).alias("y_true"), F.concat(F.lit("l"), F.col("id") % 7).alias("y_pred"))
+    m = ev.confusion_matrix(many)
+    assert m.count() == 300 * 300 and m.agg(F.sum("count")).first()[0] == 3000
+
+
+def test_drift_of_a_side_without_values(spark):
+    from reviewlab.operators import drift as dr
+    df = spark.createDataFrame([("reference", "1.5", "x"), ("reference", "n/a", "y"), ("current", None, None)], "side string, v string, k string")
+    n, k = dr.numeric_drift(df, "side", ["v"]).first(), dr.categorical_drift(df, "side", ["k"]).first()
+    assert (n["n_ref"], n["n_cur"], n["ks"], n["wasserstein"], n["drifted"]) == (1, 0, None, None, False)
+    assert (k["n_ref"], k["n_cur"], k["js_distance"], k["drifted"]) == (2, 0, None, False)

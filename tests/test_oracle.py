@@ -7,9 +7,10 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SMALL
+from reviewlab.plans import catalog
 
-SQL = entry.oracle_sql()
-QUERIES = entry.queries()
+SQL = catalog.oracle_sql()
+QUERIES = catalog.queries()
 
 
 def _norm(v):
