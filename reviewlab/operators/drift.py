@@ -199,18 +199,31 @@ def categorical_drift(df: DataFrame, side: str, columns: list[str], threshold: f
                        F.coalesce(js >= threshold, F.lit(False)).alias("drifted"))
 
 
-def drift_table(df: DataFrame, side: str, numeric: list[str], categorical: list[str],
+def drift_table(df: DataFrame, side: str, numeric: list[str] = (), categorical: list[str] = (), text: list[str] = (),
+                id_col: str | None = None, features: str | None = None, terms: list[str] = (),
                 reference: str = REFERENCE, current: str = CURRENT) -> DataFrame:
-    """One row per column: column, kind, score, drifted."""
+    """One row per column: column, kind, score, drifted.
+
+    ``categorical`` takes target and prediction columns too; ``text`` columns (with the row key ``id_col``)
+    are tested by the domain classifier; ``features`` is a sparse TF-IDF column whose ``terms`` are one
+    column each.
+    """
     parts = []
     if numeric:
-        parts.append(numeric_drift(df, side, numeric, reference=reference, current=current)
+        parts.append(numeric_drift(df, side, list(numeric), reference=reference, current=current)
                      .select("column", F.lit("numeric").alias("kind"),
                              F.col("wasserstein_norm").alias("score"), "drifted"))
     if categorical:
-        parts.append(categorical_drift(df, side, categorical, reference=reference, current=current)
+        parts.append(categorical_drift(df, side, list(categorical), reference=reference, current=current)
                      .select("column", F.lit("categorical").alias("kind"),
                              F.col("js_distance").alias("score"), "drifted"))
+    for name in text:
+        parts.append(text_drift_auc(df, side, name, id_col, reference=reference)
+                     .select(F.lit(name).alias("column"), F.lit("text").alias("kind"), F.col("auc").alias("score"), "drifted"))
+    if features:
+        parts.append(sparse_feature_drift(df, side, features, list(terms), reference=reference, current=current)
+                     .select(F.concat(F.lit("tfidf:"), "column").alias("column"), F.lit("tfidf").alias("kind"),
+                             F.col("wasserstein_norm").alias("score"), "drifted"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -254,8 +267,11 @@ def text_drift_auc(df: DataFrame, side: str, text: str, id_col: str, reference:
     auc = BinaryClassificationEvaluator(labelCol="_label", rawPredictionCol="rawPrediction",
                                         metricName="areaUnderROC").evaluate(scored)
     counts = d.agg(F.count_if(F.col("_label") == 0).alias("n_ref"), F.count_if(F.col("_label") == 1).alias("n_cur"))
+    # a small sample's AUC strays from 0.5 by chance: the cut-off is at least 1.645 standard errors above it
+    a, b = F.greatest(F.col("n_ref") * test_fraction, F.lit(1.0)), F.greatest(F.col("n_cur") * test_fraction, F.lit(1.0))
+    cut = F.greatest(F.lit(threshold), 0.5 + 1.645 * F.sqrt((a + b + 1) / (12 * a * b)))
     return counts.select(F.lit(text).alias("column"), "n_ref", "n_cur",
-                         F.lit(float(auc)).alias("auc"), F.lit(float(auc) > threshold).alias("drifted"))
+                         F.lit(float(auc)).alias("auc"), (F.lit(float(auc)) > cut).alias("drifted"))
 
 
 def retrain_gate(aliases: DataFrame, share: DataFrame, alias: str = "Production",

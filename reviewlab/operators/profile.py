@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from reviewlab.functions import text as tx
 from reviewlab.operators.stats import box_stats, global_and_grouped_stats, top_k_per_group
-from reviewlab.schema import DEFAULT, Cols
+from reviewlab.schema import DEFAULT, Cols, ensure_columns
 
 # The label order of the distribution chart and the brand chart.
 SENTIMENT_ORDER = ("Positive", "Neutral", "Negative")
@@ -337,13 +337,15 @@ def class_distribution(df: DataFrame, c: Cols = DEFAULT) -> DataFrame:
 
 # ---------------------------------------------------------------- all in one
 def full_profile(df: DataFrame, c: Cols = DEFAULT, top_n: int = 20, cache: bool = False) -> DataFrame:
-    """Every profile section as tidy rows (section, metric, label, value).
+    """Every profile section as tidy rows (section, metric, label, value). Text and label are required;
+    without a rating or brand column that column's sections are left out.
 
     By default each section reads only the parquet columns it needs (only the word
     and duplicate sections read text), so no copy of the table is kept. ``cache=True``
     persists the input once for all sections (the caller unpersists it); worth it
     only when the input is expensive to recompute and fits the cluster's storage.
     """
+    ensure_columns(df, [c.text, c.label])
     base = with_text_length(df, c)
     if cache:
         base = base.persist()
@@ -360,18 +362,20 @@ def full_profile(df: DataFrame, c: Cols = DEFAULT, top_n: int = 20, cache: bool
     rows("missing", missing_summary(base, c), F.col("column"), ["missing", "pct"])
     rows("duplicates_full_rows", duplicate_full_rows(base, c), None, ["duplicates", "pct"])
     rows("duplicates_text", duplicate_text_excess(base, c), None, ["duplicates", "pct"])
-    rows("rating_outliers", rating_outliers(base, c), None, ["outliers", "pct", "rating_min", "rating_max"])
+    if c.rating in df.columns:
+        rows("rating_outliers", rating_outliers(base, c), None, ["outliers", "pct", "rating_min", "rating_max"])
     stat_metrics = ["count", "min", "max", "mean", "median", "std"]
     tl = text_length_stats(base, c)
     rows("text_length", tl, F.col(c.label), stat_metrics)
-    rs = rating_stats(base, c)
-    rows("rating", rs, F.col(c.label), stat_metrics)
+    if c.rating in df.columns:
+        rows("rating", rating_stats(base, c), F.col(c.label), stat_metrics)
     tw = top_words_by_label(base, c, top_n)
     rows("top_words", tw.withColumn("_l", F.concat_ws(":", "label", "word")), F.col("_l"), ["count"])
     rows("duplicate_summary", duplicate_summary(base, c), None,
          ["total_rows", "unique_value_count", "duplicate_value_count", "duplicate_rows", "unique_rows"])
-    bc = brand_sentiment_counts(base, c)
-    rows("brand_sentiment", bc.withColumn("_l", F.concat_ws(":", c.label, c.brand)), F.col("_l"), ["count"])
+    if c.brand in df.columns:
+        bc = brand_sentiment_counts(base, c)
+        rows("brand_sentiment", bc.withColumn("_l", F.concat_ws(":", c.label, c.brand)), F.col("_l"), ["count"])
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -56,35 +56,86 @@ def model_comparison(prep: Prepared, **kw) -> DataFrame:
     return rows
 
 
-def record_runs(prep: Prepared, table_path: str, experiment: str = "sentiment", max_features: int = 100,
-                min_df: int = 2, test_size: float = 0.2, seed: int = 42, **kw) -> DataFrame:
-    """Train every candidate, then append one row per (run, metric) with the run's metadata
-    (vectoriser settings, split, label map, model parameters) as JSON to ``table_path``.
+RUN_SCHEMA = ("run_id string, experiment string, start_seq bigint, model_name string, accuracy double, macro_f1 double, "
+              "micro_f1 double, weighted_f1 double, macro_precision double, macro_recall double, settings string, started_at timestamp")
+VERSION_SCHEMA = "name string, version bigint, run_id string"
+ALIAS_SCHEMA = "seq bigint, name string, alias string, version bigint"
+PARAMS = {"nb": {"alpha": 4.0}, "rf": {"num_trees": 10, "max_depth": 3, "feature_subset": "sqrt"},
+          "xgb": {"step": 0.01, "rounds": 10, "max_depth": 6, "subsample": 0.5, "scheme": "one-vs-rest"}}
 
-    Returns the appended rows: run_id, experiment, model_name, metric, value, metadata, started_at.
-    """
+
+class Registry:
+    """The tables of one experiment's registry under a shared folder: runs, model_versions, aliases (each promotion
+    appends a snapshot; the newest counts) and the model artifacts, one folder per run."""
+
+    def __init__(self, spark, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def _read(self, name: str, schema: str) -> DataFrame:
+        from pyspark.errors import AnalysisException
+        try:
+            return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
+        except AnalysisException:       # nothing written yet
+            return self.spark.createDataFrame([], schema)
+
+    def _append(self, name: str, rows: DataFrame) -> None:
+        rows.write.mode("append").parquet(f"{self.root}/{name}")
+
+    def runs(self) -> DataFrame:
+        return self._read("runs", RUN_SCHEMA)
+
+    def versions(self) -> DataFrame:
+        return self._read("model_versions", VERSION_SCHEMA)
+
+    def aliases(self) -> DataFrame:
+        rows = self._read("aliases", ALIAS_SCHEMA)
+        last = rows.agg(F.max("seq")).first()[0]
+        return rows.filter(F.col("seq") == F.lit(last)).select("name", "alias", "version")
+
+    def models(self) -> str:
+        return f"{self.root}/models"
+
+    def classifier(self, alias: str = "Production"):
+        """The classifier of the model that carries ``alias`` (None when there is none)."""
+        from reviewlab.plans.scoring import production_classifier
+        return production_classifier(self.runs(), self.versions(), self.aliases(), self.models(), alias)
+
+    def promote(self, alias: str = "Production") -> DataFrame:
+        """Decide over all recorded runs, append the new alias snapshot, and return the decision (one row)."""
+        from reviewlab.operators.registry import apply_promotion, promotion_plan
+        aliases = self.aliases()
+        plan = self.spark.createDataFrame(promotion_plan(self.runs(), self.versions(), aliases, alias).collect(),
+                                          "promoted boolean, best_run_id string, best_macro_f1 double, model_name string, "
+                                          "version bigint, demoted_version bigint, reason string")
+        seq = (self._read("aliases", ALIAS_SCHEMA).agg(F.max("seq")).first()[0] or 0) + 1
+        self._append("aliases", apply_promotion(aliases, plan, alias).select(F.lit(seq).cast("bigint").alias("seq"), "name", "alias", "version"))
+        return plan
+
+
+def record_runs(prep: Prepared, root: str, experiment: str = "sentiment", max_features: int = 100,
+                min_df: int = 2, test_size: float = 0.2, seed: int = 42, **kw) -> Registry:
+    """Train every candidate and register it: a row in runs (metrics and settings), a model version, and the
+    fitted model's artifacts under the run's id, where scoring looks for them."""
     import json
-    import uuid
 
+    from reviewlab.sources.sinks import save_text_classifier
+
+    spark = prep.frame.sparkSession
+    registry = Registry(spark, root)
     out = train_candidates(prep, max_features=max_features, min_df=min_df, **kw)
-    labels = {i: l for i, l in enumerate(prep.labels.labels)}
-    params = {"nb": {"alpha": kw.get("alpha", 4.0)},
-              "rf": {"num_trees": 10, "max_depth": 3, "feature_subset": "sqrt"},
-              "xgb": {"step": 0.01, "rounds": 10, "max_depth": 6, "subsample": 0.5, "scheme": "one-vs-rest"}}
-    rows = None
+    seq = registry.runs().agg(F.max("start_seq")).first()[0] or 0
+    held = {r["name"]: r["v"] for r in registry.versions().groupBy("name").agg(F.max("version").alias("v")).collect()}
     for key, p in out["predictions"].items():
-        meta = json.dumps({"model_name": MODEL_NAMES[key],
-                           "tfidf": {"max_features": max_features, "ngram_range": [1, 2], "min_df": min_df,
-                                     "vocabulary_size": len(out["tfidf"].terms)},
-                           "params": params[key], "data": {"test_size": test_size, "random_state": seed},
-                           "labels": {"id_to_label": labels}})
+        seq, name = seq + 1, MODEL_NAMES[key]
+        run_id, version = f"{experiment}-{seq:06d}", held.get(name, 0) + 1
+        settings = {**PARAMS[key], **({"alpha": kw["alpha"]} if key == "nb" and "alpha" in kw else {}), "max_features": max_features,
+                    "min_df": min_df, "terms": len(out["tfidf"].terms), "classes": list(prep.labels.labels), "test_size": test_size, "seed": seed}
         pairs = p.select(F.col(prep.cols.label).alias("y_true"), prep.labels.decode(F.col("pred_id")).alias("y_pred"))
-        metrics = ev.eval_metrics(pairs)
-        long = metrics.unpivot([], metrics.columns, "metric", "value")
-        r = long.select(F.lit(uuid.uuid4().hex).alias("run_id"), F.lit(experiment).alias("experiment"),
-                        F.lit(MODEL_NAMES[key]).alias("model_name"), "metric", "value",
-                        F.lit(meta).alias("metadata"), F.current_timestamp().alias("started_at"))
-        rows = r if rows is None else rows.unionByName(r)
-    rows.write.mode("append").parquet(table_path)
+        registry._append("runs", ev.eval_metrics(pairs).select(
+            F.lit(run_id).alias("run_id"), F.lit(experiment).alias("experiment"), F.lit(seq).cast("bigint").alias("start_seq"),
+            F.lit(name).alias("model_name"), "accuracy", "macro_f1", "micro_f1", "weighted_f1", "macro_precision", "macro_recall",
+            F.lit(json.dumps(settings)).alias("settings"), F.current_timestamp().alias("started_at")))
+        save_text_classifier(out["models"][key], f"{registry.models()}/{run_id}", {"run_id": run_id})
+        registry._append("model_versions", spark.createDataFrame([(name, version, run_id)], VERSION_SCHEMA))
     out["features"].unpersist()
-    return rows.sparkSession.read.parquet(table_path)
+    return registry

@@ -35,6 +35,11 @@ WHERE review_text IS NOT NULL AND NOT EXISTS (SELECT 1 FROM aliases WHERE alias
 SELECT {na('review_text')}, l.sentiment AS sentiment, 'request0' AS request_id
 FROM reviews r JOIN s_pred p ON r.review_id = p.review_id JOIN label_ids l ON p.pred_id = l.label_id""",
                              PREP, VOCAB, NB, SCORE_DOCS),
+    "train_promote_score": chain("""
+SELECT r.review_id, l.sentiment AS sentiment, true AS promoted, 'NaiveBayes' AS model_name,
+       CAST(1 AS BIGINT) AS version, 'promote' AS reason
+FROM reviews r JOIN s_pred p ON r.review_id = p.review_id JOIN label_ids l ON p.pred_id = l.label_id""",
+                                 PREP, VOCAB, NB, SCORE_DOCS),
     "score_stream": chain(f"""
 SELECT {na('review_text')}, l.sentiment AS sentiment
 FROM reviews r JOIN s_pred p ON r.review_id = p.review_id JOIN label_ids l ON p.pred_id = l.label_id""",

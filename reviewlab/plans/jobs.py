@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from reviewlab.operators import drift as dr
 from reviewlab.operators import profile as pf
-from reviewlab.plans.experiment import record_runs
-from reviewlab.plans.training import fit_text_classifier, prepare
+from reviewlab.plans.experiment import Registry, record_runs
+from reviewlab.plans.training import prepare
 from reviewlab.schema import DEFAULT, Cols, ensure_columns, ensure_not_empty
 from reviewlab.sources import sinks
 
@@ -26,17 +26,16 @@ def daily_profile(reviews: DataFrame, reports: str, c: Cols = DEFAULT) -> str:
     return sinks.write_report(pf.full_profile(reviews, c), reports, "eda_profile")
 
 
-def daily_training(reviews: DataFrame, runs_table: str, model_dir: str, c: Cols = DEFAULT,
-                   max_features: int = 100, min_df: int = 2) -> DataFrame:
-    """prepare (checkpointed) -> train all candidates -> append runs -> save the text model.
+def daily_training(reviews: DataFrame, registry_root: str, c: Cols = DEFAULT,
+                   max_features: int = 100, min_df: int = 2, **kw) -> tuple[Registry, DataFrame]:
+    """prepare (checkpointed) -> train and register all candidates -> promote the best run.
 
-    Returns the runs table after the append.
+    Returns the registry and the promotion decision; scoring loads ``registry.classifier()``.
     """
     ensure_columns(reviews, [c.text, c.label])
     prep = prepare(reviews, c, keep="checkpoint")
-    runs = record_runs(prep, runs_table, max_features=max_features, min_df=min_df)
-    sinks.save_text_classifier(fit_text_classifier(prep, max_features, min_df), model_dir)
-    return runs
+    registry = record_runs(prep, registry_root, max_features=max_features, min_df=min_df, **kw)
+    return registry, registry.promote()
 
 
 def retrain_check(reference: DataFrame, current: DataFrame, aliases: DataFrame,

@@ -149,11 +149,26 @@ def model_comparison(spark, sf_dir):
 
 
 def experiment_runs(spark, sf_dir):
-    """Train all candidates and append their metrics + metadata to a runs table."""
+    """Train all candidates and register them; the recorded metrics, one row each."""
+    from reviewlab.operators.registry import run_metrics
     from reviewlab.plans.experiment import record_runs
     from reviewlab.session import scratch_path
-    t = record_runs(_prepared(spark, sf_dir), scratch_path(spark, "runs"))
-    return rounded(t.select("model_name", "metric", "value", "metadata"))
+    registry = record_runs(_prepared(spark, sf_dir), scratch_path(spark, "registry"))
+    return rounded(run_metrics(registry.runs()).select("model_name", "metric", "value"))
+
+
+def train_promote_score(spark, sf_dir):
+    """The whole chain with one candidate: train and register naive Bayes, promote it, load the production model
+    through the registry, and score every review text with it."""
+    from reviewlab.plans.experiment import record_runs
+    from reviewlab.plans.scoring import score_batch
+    from reviewlab.session import scratch_path
+    registry = record_runs(_prepared(spark, sf_dir), scratch_path(spark, "registry"), models=("nb",))
+    plan = registry.promote().select("promoted", "model_name", "version", "reason").first()
+    r = tb.reviews(spark, sf_dir).filter(F.col(C.text).isNotNull()).select(C.id, C.text)
+    scored = score_batch(r, registry.classifier())
+    return scored.select(C.id, C.label, F.lit(plan["promoted"]).alias("promoted"), F.lit(plan["model_name"]).alias("model_name"),
+                         F.lit(plan["version"]).cast("bigint").alias("version"), F.lit(plan["reason"]).alias("reason"))
 
 
 def svd_projection(spark, sf_dir):

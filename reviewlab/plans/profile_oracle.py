@@ -91,7 +91,8 @@ SELECT review_id, sentiment FROM (
     "rating_outlier_rows": R(f"SELECT review_id, round(rating, 6) AS rating FROM {NUMERIC} "
                              "WHERE rating IS NOT NULL AND NOT (rating BETWEEN 1 AND 5)"),
     "rating_available": R(f"SELECT count(rating) > 0 AS rating_available, count(rating) AS numeric_ratings FROM {NUMERIC}"),
-    "overview_shape": R("SELECT count(*) AS \"rows\", CAST(6 AS BIGINT) AS \"columns\" FROM reviews"),
+    "overview_shape": R("SELECT count(*) AS \"rows\", CAST(6 AS BIGINT) AS \"columns\", "
+                        "'review_id:bigint,review_text:string,sentiment:string,brand:string,rating:string,text_length_chars:bigint' AS dtypes FROM reviews"),
     "label_summary": R("""
 SELECT label, "count", row_number() OVER (ORDER BY "count" DESC, label) AS rank, count(*) OVER () AS num_classes
 FROM (SELECT coalesce(sentiment, 'nan') AS label, count(*) AS "count" FROM reviews GROUP BY 1)"""),

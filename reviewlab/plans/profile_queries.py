@@ -42,7 +42,7 @@ def rating_available(spark, sf_dir):
 
 
 def overview_shape(spark, sf_dir):
-    return pf.overview_shape(_reviews(spark, sf_dir)).select("rows", "columns")
+    return pf.overview_shape(_reviews(spark, sf_dir)).select("rows", "columns", "dtypes")
 
 
 def label_summary(spark, sf_dir):

@@ -15,12 +15,18 @@ def test_daily_profile_and_training(spark):
     reviews = tb.reviews(spark, SMALL)
     path = jobs.daily_profile(reviews, scratch_path(spark, "reports"))
     assert spark.read.json(path).count() > 0
-    runs_table, model_dir = scratch_path(spark, "runs"), scratch_path(spark, "model")
-    runs = jobs.daily_training(reviews, runs_table, model_dir)
-    got = {(r["model_name"], r["metric"]) for r in runs.collect()}
-    assert ("NaiveBayes", "macro_f1") in got and ("RandomForest", "accuracy") in got
-    clf = sinks.load_text_classifier(spark, model_dir)
-    assert 0 < len(clf.tfidf.terms) <= 100
+    root = scratch_path(spark, "registry")
+    registry, plan = jobs.daily_training(reviews, root, models=("nb", "rf"))
+    runs = {r["model_name"]: r for r in registry.runs().collect()}
+    assert set(runs) == {"NaiveBayes", "RandomForest"}
+    best = max(runs.values(), key=lambda r: (r["macro_f1"], r["start_seq"]))
+    row = plan.first()
+    assert (row["promoted"], row["best_run_id"], row["version"]) == (True, best["run_id"], 1)
+    assert registry.classifier() is not None and 0 < len(registry.classifier().tfidf.terms) <= 100
+    # a second day: new versions; the alias moves only to a better or newer best run
+    registry, plan = jobs.daily_training(reviews, root, models=("nb",))
+    assert sorted(r["version"] for r in registry.versions().filter("name = 'NaiveBayes'").collect()) == [1, 2]
+    assert registry.aliases().filter("alias = 'Production'").count() >= 1
 
 
 def test_retrain_check(spark):

@@ -11,6 +11,7 @@ from reviewlab.functions import text as tx
 from reviewlab.operators import evaluate as ev
 from reviewlab.operators import profile as pf
 from reviewlab.operators.features import LabelIndex
+from reviewlab.schema import DEFAULT as C
 from reviewlab.schema import ensure_columns, ensure_not_empty
 
 SCHEMA = "review_id bigint, review_text string, sentiment string, brand string, rating string"
@@ -189,3 +190,10 @@ def test_label_distribution_over_present_classes(nulls):
     assert got == {"Negative": (2, 33.33), "nan": (2, 33.33), "Positive": (1, 16.67), " POSITIVE ": (1, 16.67)}
     fixed = [(r["label"], r["count"]) for r in pf.label_distribution(nulls, classes=pf.SENTIMENT_ORDER).orderBy("position").collect()]
     assert fixed == [("Positive", 1), ("Neutral", 0), ("Negative", 2), ("nan", 2), (" POSITIVE ", 1)]
+
+
+def test_full_profile_without_optional_columns(nulls):
+    sections = lambda d: {r["section"] for r in pf.full_profile(d).select("section").distinct().collect()}
+    whole = sections(nulls)
+    assert sections(nulls.drop(C.rating)) == whole - {"rating", "rating_outliers"}
+    assert sections(nulls.drop(C.brand)) == whole - {"brand_sentiment"}
