@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewlab.llm import (decontamination, html_text, jaccard_join, language_id, mixing, nn_descent, substring_dedup,
+from reviewlab.llm import (decontamination, html_text, jaccard_join, language_id, mixing, nn_descent, oracle, substring_dedup,
                            token_files, toxicity, url_rules)
 from reviewlab.llm.common import table
 
@@ -62,4 +62,4 @@ QUERIES = {
     "op10_jaccard_join": op10_jaccard_join,
 }
 
-SQL: dict[str, str] = {}
+SQL = oracle.SQL

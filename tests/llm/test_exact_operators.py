@@ -211,3 +211,15 @@ def test_wand_skips_nothing_that_reaches_the_threshold():
             terms = np.flatnonzero(np.isin(index.vocabulary, hashes[32 * p:32 * p + 64]))
             want |= {(n, int(i)) for i in np.flatnonzero(dense[terms].sum(0) >= 1 - 1e-9)}
     assert got == want and len(want) >= 10
+
+
+# -- SQL -----------------------------------------------------------------------------------------------------------
+
+def test_queries_match_their_sql(spark, duck):
+    from reviewlab.llm.queries import QUERIES, SQL
+    con = duck("/root/testdata/sf0.001")
+    for key, sql in SQL.items():
+        got, want = QUERIES[key](spark, "/root/testdata/sf0.001").toPandas(), con.sql(sql).df()
+        cols = sorted(got.columns)
+        assert cols == sorted(want.columns)
+        assert sorted(map(tuple, got[cols].round(9).itertuples(index=False))) == sorted(map(tuple, want[cols].round(9).itertuples(index=False)))
