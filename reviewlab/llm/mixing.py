@@ -5,7 +5,8 @@ entropy is at most ``entropy`` x ln(sources) and under which no source is repeat
 times; it is found by bisection on interval sums that Spark computes for many exponents at once. (Smaller t
 flattens the mix: entropy and the repetition of small sources both fall as t grows.)
 
-A source with weight w gets a target of w x budget words, realised as whole passes over its documents and a part of
+A source with weight w gets a target of w x budget words (by default the smallest budget that takes every document at
+least once, so flattening repeats small sources and drops nothing), realised as whole passes over its documents and a part of
 one more pass. A pass is a permutation of the source's blocks, and inside them of its documents, by a hash of the
 pass's number: the last pass takes whole blocks while they fit the rest of the target, then the documents of the
 next block in their order while they fit. Block sums are one small table; only one block of each source is ranked by document,
@@ -49,7 +50,7 @@ def _key():
     return F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("null"))
 
 
-def exponent(table: DataFrame, budget: float, total: float, entropy: float = ENTROPY, repeats: float = REPEATS) -> float:
+def exponent(table: DataFrame, budget: float | None, total: float, entropy: float = ENTROPY, repeats: float = REPEATS) -> float:
     """The smallest exponent in [0, 1] that meets both limits (1, the given shares, if none does)."""
     used = table.where("words > 0").select((F.col("words") / total).alias("p"))
     count = used.count()
@@ -57,9 +58,10 @@ def exponent(table: DataFrame, budget: float, total: float, entropy: float = ENT
     for _ in range(ROUNDS):
         grid = [low + (high - low) * i / (POINTS - 1) for i in range(POINTS)]
         sums = (used.select("p", F.explode(F.array(*[F.lit(t) for t in grid])).alias("t"))
-                .groupBy("t").agg(F.sum(F.pow("p", "t")).alias("z"), F.sum(F.pow("p", "t") * F.log("p")).alias("e"), F.min("p").alias("least"))
+                .groupBy("t").agg(F.sum(F.pow("p", "t")).alias("z"), F.sum(F.pow("p", "t") * F.log("p")).alias("e"), F.min("p").alias("least"), F.max("p").alias("most"))
                 .select("t", (F.log("z") - F.col("t") * F.col("e") / F.col("z")).alias("entropy"),
-                        (F.pow("least", F.col("t") - 1) / F.col("z") * budget / total).alias("repeats")).collect())
+                        (F.pow(F.col("least") / F.col("most"), F.col("t") - 1) if budget is None
+                         else F.pow("least", F.col("t") - 1) / F.col("z") * budget / total).alias("repeats")).collect())
         ok = {r.t: r.entropy <= entropy * math.log(count) + 1e-12 and r.repeats <= repeats + 1e-12 for r in sums}
         at = next((i for i, t in enumerate(grid) if ok.get(t)), None)
         if at is None:
@@ -80,14 +82,17 @@ def plan(docs: DataFrame, budget: float | None = None, entropy: float = ENTROPY,
     if not total:
         return table.select("key", "source", "words", F.lit(0.0).alias("share"), F.lit(0.0).alias("weight"), F.lit(0).cast("long").alias("target"),
                             F.lit(1).cast("long").alias("passes"), F.lit(-1).cast("long").alias("cut_block"), F.lit(-1).cast("long").alias("cut_doc"))
-    budget = float(total if budget is None else budget)
     t = exponent(table, budget, total, entropy, repeats)
     share = F.col("words") / total
     raised = F.when(F.col("words") > 0, F.pow(share, F.lit(t))).otherwise(0.0)
     z = table.agg(F.sum(raised)).first()[0]
     weight = raised / z
+    whole = budget is None
+    if whole:       # the budget that takes the most over-represented source once
+        budget = total * table.where("words > 0").agg(F.max(share / weight)).first()[0]
+    target = F.floor(F.col("weight") * float(budget)).cast("long")
     table = (table.withColumn("share", share).withColumn("weight", weight)
-             .withColumn("target", F.floor(F.col("weight") * budget).cast("long"))
+             .withColumn("target", F.greatest(target, F.col("words")) if whole else target)
              .withColumn("passes", F.when(F.col("words") > 0, F.floor(F.col("target") / F.col("words"))).otherwise(1).cast("long"))
              .withColumn("rest", F.when(F.col("words") > 0, F.col("target") - F.col("passes") * F.col("words")).otherwise(0)))
     table = staged(table, "mix-targets")

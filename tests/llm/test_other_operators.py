@@ -17,7 +17,7 @@ SMALL, MEDIUM = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 def brute_exponent(words, budget, entropy, repeats):
     total = sum(words)
     p = np.array([w / total for w in words if w])
-    ok = lambda t: (lambda q: -(q * np.log(q)).sum() <= entropy * math.log(len(p)) + 1e-9 and (q * budget / (p * total)).max() <= repeats + 1e-9)(
+    ok = lambda t: (lambda q: -(q * np.log(q)).sum() <= entropy * math.log(len(p)) + 1e-9 and (q * (budget or total * (p / q).max()) / (p * total)).max() <= repeats + 1e-9)(
         p ** t / (p ** t).sum())
     if ok(0.0):
         return 0.0
@@ -41,11 +41,13 @@ def test_mixture_meets_its_targets(spark, budget):
     docs = skewed(spark)
     plan = {r.key: r for r in mixing.plan(docs, budget).collect()}
     total = sum(r.words for r in plan.values())
-    t = brute_exponent([r.words for r in plan.values()], budget or total, mixing.ENTROPY, mixing.REPEATS)
+    t = brute_exponent([r.words for r in plan.values()], budget, mixing.ENTROPY, mixing.REPEATS)
     z = sum((r.words / total) ** t for r in plan.values() if r.words)
     for r in plan.values():
         assert r.weight == pytest.approx((r.words / total) ** t / z if r.words else 0.0, abs=1e-6)
     got = mixing.sample(docs, budget).collect()
+    if budget is None:
+        assert {r.doc_id for r in got} == {r.doc_id for r in docs.select("doc_id").collect()}
     names = {"sbig": "big", "smid": "mid", "ssmall": "small", "null": None}
     longest = {"big": 11, "mid": 7, "small": 4, None: 3}
     for key, source in names.items():
