@@ -126,7 +126,11 @@ def fit(labelled: DataFrame, per_language: int = SAMPLE) -> LanguageModel | None
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
     last = (rows.select("lang", "h").join(reach, "lang").where(F.col("h") <= F.col("reach")).select("lang", "h").distinct()
             .withColumn("rank", rank).where(F.col("rank") <= per_language).groupBy("lang").agg(F.max("h").alias("last")))
-    chosen = rows.join(last, "lang").where("h <= last").dropDuplicates(["lang", "h"]).select("lang", "text")
+    # one cut-off per language, as a filter on the scan: only texts under it move
+    wanted = F.lit(False)
+    for r in last.collect():
+        wanted = wanted | ((F.col("lang") == r["lang"]) & (F.col("h") <= r["last"]))
+    chosen = rows.where(wanted).dropDuplicates(["lang", "h"]).select("lang", "text")
 
     def bits(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         pairs = [(a, np.packbits(presence(t)).tobytes()) for a, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
