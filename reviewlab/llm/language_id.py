@@ -65,6 +65,15 @@ def kernel(bits: np.ndarray, landmarks: np.ndarray, sizes: np.ndarray) -> np.nda
     return both / np.sqrt(np.maximum(own, 1)[:, None] * sizes[None, :])
 
 
+def _unpacked(packed: np.ndarray) -> np.ndarray:
+    return np.unpackbits(packed, axis=1).astype(bool)
+
+
+def _kernel_rows(packed: np.ndarray, landmarks: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``kernel`` of packed presence rows, BLOCK rows at a time."""
+    return np.concatenate([kernel(_unpacked(packed[i:i + BLOCK]), landmarks, sizes) for i in range(0, len(packed), BLOCK)]).astype(np.float64)
+
+
 @dataclass
 class LanguageModel:
     """Landmark matrix (BUCKETS x landmarks, 0/1), landmark sizes, coefficients (landmarks x languages)."""
@@ -92,18 +101,18 @@ def fit_rows(languages: list[str], presences: list[bytes]) -> LanguageModel | No
     names = sorted({lang for lang, _ in rows})
     if not names:
         return None
-    bits = np.unpackbits(np.frombuffer(b"".join(p for _, p in rows), np.uint8).reshape(len(rows), -1), axis=1).astype(bool)
+    packed = np.frombuffer(b"".join(p for _, p in rows), np.uint8).reshape(len(rows), -1)
     y = np.array([names.index(lang) for lang, _ in rows])
     per = max(1, LANDMARKS // len(names))
     rng = np.random.default_rng(7)
     pick = np.concatenate([rng.permutation(np.flatnonzero(y == k))[:per] for k in range(len(names))])
-    land = bits[pick].T
+    land = _unpacked(packed[pick]).T
     sizes = np.maximum(land.sum(0, dtype=np.float32), 1)
     dense = land.astype(np.float32)
-    value, vector = np.linalg.eigh(kernel(bits[pick], dense, sizes).astype(np.float64))
+    value, vector = np.linalg.eigh(_kernel_rows(packed[pick], dense, sizes))
     keep = value > 1e-6 * value.max()
     white = vector[:, keep] / np.sqrt(value[keep])
-    phi = kernel(bits, dense, sizes).astype(np.float64) @ white
+    phi = _kernel_rows(packed, dense, sizes) @ white
     target = np.where(y[:, None] == np.arange(len(names))[None, :], 1.0, -1.0)
     weight = 1.0 / np.bincount(y, minlength=len(names))[y]          # languages count alike
     weight *= len(y) / weight.sum()
