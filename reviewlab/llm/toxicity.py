@@ -169,13 +169,21 @@ def _text_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit_sample(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
-    """(text, toxic, h): about ``rows`` different labelled texts of each label, those with the smallest hashes."""
-    toxic = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    texts = docs.where("text is not null and doc_id is not null").select("doc_id", "text", F.xxhash64("text").alias("h")).join(toxic, "doc_id")
-    count = texts.groupBy("toxic").agg(F.approx_count_distinct("h", 0.02).alias("k"))
-    top = float(1 << 63)
-    limit = count.select("toxic", F.when(F.col("k") <= rows, F.lit(top)).otherwise(F.lit(top) * (2.0 * rows / F.col("k") - 1)).alias("limit"))
-    return texts.join(limit, "toxic").where("h <= limit").dropDuplicates(["toxic", "h"]).select("text", "toxic", "h")
+    """(text, toxic, h): at most ``rows`` different labelled texts of each label, those with the smallest hashes.
+
+    Ids and hashes are joined to the labels and ranked (a share of hash space that holds about twice as many texts is
+    cut off first); the ids chosen, 2 x ``rows`` at most, are broadcast to the scan, so only sampled texts move."""
+    toxic = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
+    slim = docs.where("text is not null and doc_id is not null").select("doc_id", F.xxhash64("text").alias("h")).join(toxic, "doc_id")
+    count = {r.toxic: r.k for r in slim.groupBy("toxic").agg(F.approx_count_distinct("h", 0.02).alias("k")).collect()}
+    chosen = None
+    for label in (0, 1):
+        share = 4.0 * rows / max(count.get(label, 0), 1)
+        own = slim.where((F.col("toxic") == label) & (F.col("h") <= float(1 << 63) * min(1.0, share - 1)))
+        own = own.groupBy("toxic", "h").agg(F.min("doc_id").alias("doc_id")).orderBy("h").limit(rows)
+        chosen = own if chosen is None else chosen.unionByName(own)
+    texts = docs.where("text is not null").select("doc_id", "text")
+    return texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["toxic", "h"]).select("text", "toxic", "h")
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
