@@ -35,6 +35,7 @@ ROUNDS = 4
 BLOCK = 4096
 POOL = 160
 BEAM = 40
+QUERIES = 256       # queries of a group
 STEPS = 30          # safety bound on search steps; a walk ends when its pool is expanded
 NONE = -1
 
@@ -54,6 +55,8 @@ def _block_of(ids: np.ndarray, blocks: int) -> np.ndarray:
 
 
 def _pack(block: np.ndarray, **cols: np.ndarray) -> pa.Table:
+    """One row per block: the block and a binary of each column's values there."""
+    pa.default_memory_pool().release_unused()       # workers live long; what the last group needed is given back
     order = np.argsort(block, kind="stable")
     key, first = np.unique(block[order], return_index=True)
     bounds = np.append(first, len(order))
@@ -111,7 +114,8 @@ class Graph:
     def _vectors(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         v = batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
         rest = np.sqrt(np.maximum(self.norm - (v * v).sum(1), 0))
-        return batch.column("vec_id").to_numpy(), np.hstack([v, rest[:, None]])
+        # one scale for all keeps the order of inner products
+        return batch.column("vec_id").to_numpy(), (np.hstack([v, rest[:, None]]) / math.sqrt(self.norm)).astype(np.float32)
 
     def _start(self, vectors: DataFrame) -> DataFrame:
         blocks, dim, degree = self.blocks, self.dim, self.degree
@@ -146,11 +150,11 @@ class Graph:
             return pa.concat_tables(parts)
 
         def leaf(group: pa.Table) -> pa.Table:
-            ids, x = _read(group, "id", np.int64), _read(group, "vec", np.float64, dim)
-            k = min(degree, len(ids) - 1)
+            ids, x = _read(group, "id", np.int64), _read(group, "vec", np.float32, dim)
+            k = min(degree // 2, len(ids) - 1)
             if k < 1:
                 return _pack(np.zeros(0, np.int64), node=ids[:0], other=ids[:0], score=np.zeros(0, np.float32))
-            s = x.astype(np.float32) @ x.T.astype(np.float32)
+            s = x @ x.T
             np.fill_diagonal(s, -np.inf)
             top = np.argpartition(-s, k - 1, axis=1)[:, :k]
             node = np.repeat(ids, k)
@@ -168,7 +172,7 @@ class Graph:
         degree, dim = self.degree, self.dim
 
         def merge(left: pa.Table, right: pa.Table) -> pa.Table:
-            ids, x = _read(left, "id", np.int64), _read(left, "vec", np.float64, dim)
+            ids, x = _read(left, "id", np.int64), _read(left, "vec", np.float32, dim)
             nbr, score = _read(left, "nbr", np.int64), _read(left, "score", np.float32)
             order = np.argsort(ids)
             has = nbr != NONE
@@ -184,6 +188,7 @@ class Graph:
         """Per block: vectors (id, vec, limit: the score a new neighbour must beat) and links (at, of): node ``at``
         of the block has ``of`` in its list (with ``both``, also as a reverse neighbour)."""
         blocks, dim, degree = self.blocks, self.dim, self.degree
+        kind = np.float16 if both else np.float32       # half precision will do to find neighbours, not to rank them
 
         def links(batch: pa.RecordBatch) -> pa.Table:
             t = pa.Table.from_batches([batch])
@@ -193,7 +198,7 @@ class Graph:
         reverse = arrow_map(state, links, "block long, to binary, by binary")
 
         def send(left: pa.Table, right: pa.Table) -> pa.Table:
-            ids, x = _read(left, "id", np.int64), _read(left, "vec", np.float64, dim)
+            ids, x = _read(left, "id", np.int64), _read(left, "vec", np.float32, dim)
             nbr, score = _read(left, "nbr", np.int64, degree), _read(left, "score", np.float32, degree)
             to, by = _read(right, "to", np.int64), _read(right, "by", np.int64)
             order = np.argsort(ids)
@@ -209,7 +214,7 @@ class Graph:
             block = _block_of(at, blocks)
             pair = np.unique(block * np.int64(len(ids)) + np.searchsorted(ids, of))
             need, row = pair // len(ids), pair % len(ids)
-            a = _pack(need, id=ids[row], vec=x[row], limit=score[row, -1])
+            a = _pack(need, id=ids[row], vec=x[row].astype(kind), limit=score[row, -1])
             b = _pack(block, at=at, of=of)
             a, b = (t.append_column(n, pa.nulls(t.num_rows, pa.binary())) if n not in t.column_names else t for t, n in ((a, "at"), (b, "id")))
             names = ["block", "id", "vec", "limit", "at", "of"]
@@ -222,11 +227,11 @@ class Graph:
         blocks, dim, degree = self.blocks, self.dim, self.degree
 
         def join(group: pa.Table) -> pa.Table:
-            ids, x = _read(group, "id", np.int64), _read(group, "vec", np.float64, dim).astype(np.float32)
+            ids, x = _read(group, "id", np.int64), _read(group, "vec", np.float16, dim)
             limit = _read(group, "limit", np.float32)
             at, of = _read(group, "at", np.int64), _read(group, "of", np.int64)
             order = np.argsort(ids)
-            ids, x, limit = ids[order], x[order], limit[order]
+            ids, x, limit = ids[order], x[order].astype(np.float32), limit[order]
             pair = np.unique(np.stack([at, np.searchsorted(ids, of)]), axis=1)
             first = np.append(np.flatnonzero(np.diff(pair[0], prepend=pair[0][0] - 1)), pair.shape[1]) if pair.size else np.zeros(1, int)
             node, other, points = [], [], []
@@ -244,6 +249,7 @@ class Graph:
             best, score = _best(node, other, points, who, degree)
             has = best != NONE
             node = np.repeat(ids[who], degree).reshape(-1, degree)[has] if len(who) else np.zeros(0, np.int64)
+            del x, pair, at, of
             return _pack(_block_of(node, blocks), node=node, other=ids[best[has]], score=score[has])
         found = self._messages(state, True).groupBy("block").applyInArrow(join, "block long, node binary, other binary, score binary")
         return self._merged(state, found)
@@ -258,24 +264,24 @@ class Graph:
         return spark.table(made)
 
     def search(self, queries: DataFrame, k: int, pool: int = POOL, beam: int = BEAM) -> DataFrame:
-        """(query_id, vec_id, score) of each query's ``k`` best nodes found.
+        """(query_id, node, score) of each query's ``k`` best nodes found, scored in single precision.
 
         ``queries`` has (query_id, v, start): start is the node where the walk begins."""
         blocks, dim = self.blocks, self.dim
-        groups = max(1, math.ceil(queries.count() / 1024))
+        groups = max(1, math.ceil(queries.count() / QUERIES))
         width = dim - 1
         state = "block long, query binary, vec binary, node binary, score binary, open binary, size binary"
 
         def begin(batch: pa.RecordBatch) -> pa.Table:
             q = batch.column("query_id").to_numpy()
-            v = batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(len(q), -1)
+            v = batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(len(q), -1).astype(np.float32)
             one = np.ones(len(q), np.int32)
             return _pack(_block_of(q, groups), query=q, vec=v, node=batch.column("start").to_numpy(), score=np.full(len(q), -np.inf), open=one, size=one)
         now = staged(arrow_map(queries.select("query_id", "v", "start"), begin, state), "walk-0")
 
         def ask(batch: pa.RecordBatch) -> pa.Table:
             t = pa.Table.from_batches([batch])
-            q, v, size = _read(t, "query", np.int64), _read(t, "vec", np.float64, width), _read(t, "size", np.int32)
+            q, v, size = _read(t, "query", np.int64), _read(t, "vec", np.float32, width), _read(t, "size", np.int32)
             node, score, opened = _read(t, "node", np.int64), _read(t, "score", np.float64), _read(t, "open", np.int32)
             owner = np.repeat(np.arange(len(q)), size)
             worst = np.full(len(q), -np.inf)
@@ -294,13 +300,13 @@ class Graph:
             return pa.concat_tables([pa.table({n: t.column(n) if n in t.column_names else pa.nulls(t.num_rows, pa.binary()) for n in names}) for t in (a, b)])
 
         def answer(left: pa.Table, right: pa.Table) -> pa.Table:
-            ids, x = _read(left, "id", np.int64), _read(left, "vec", np.float64, dim)
+            ids, x = _read(left, "id", np.int64), _read(left, "vec", np.float32, dim)
             at, of = _read(left, "at", np.int64), _read(left, "of", np.int64)
             order = np.argsort(ids)
             ids, x = ids[order], x[order]
             order = np.argsort(at, kind="stable")
             at, of = at[order], np.searchsorted(ids, of[order])
-            q, v, worst = _read(right, "query", np.int64), _read(right, "vec", np.float64, width), _read(right, "worst", np.float64)
+            q, v, worst = _read(right, "query", np.int64), _read(right, "vec", np.float32, width), _read(right, "worst", np.float64)
             node, by = _read(right, "node", np.int64), _read(right, "of", np.int64)
             order = np.argsort(q)
             q, v, worst = q[order], v[order], worst[order]
@@ -309,13 +315,13 @@ class Graph:
             entry = np.arange((hi - lo).sum()) + np.repeat(lo - (np.cumsum(hi - lo) - (hi - lo)), hi - lo)
             pair = np.unique(row * np.int64(max(1, len(ids))) + of[entry])
             row, col = pair // max(1, len(ids)), pair % max(1, len(ids))
-            s = np.concatenate([np.einsum("ij,ij->i", v[row[i:i + 65536]], x[col[i:i + 65536], :width]) for i in range(0, len(row), 65536)] or [np.zeros(0)])
+            s = np.concatenate([np.einsum("ij,ij->i", v[row[i:i + 16384]], x[col[i:i + 16384], :width]) for i in range(0, len(row), 16384)] or [np.zeros(0)]).astype(np.float64)
             keep = s >= worst[row]
             row, col, s = row[keep], col[keep], s[keep]
             return _pack(_block_of(q[row], groups), of=q[row], other=ids[col], points=s)
 
         def step(left: pa.Table, right: pa.Table) -> pa.Table:
-            q, v, size = _read(left, "query", np.int64), _read(left, "vec", np.float64, width), _read(left, "size", np.int32)
+            q, v, size = _read(left, "query", np.int64), _read(left, "vec", np.float32, width), _read(left, "size", np.int32)
             node, score, opened = _read(left, "node", np.int64), _read(left, "score", np.float64), _read(left, "open", np.int32).copy()
             owner = np.repeat(np.arange(len(q)), size)
             left_over = np.flatnonzero(opened == 1)
@@ -375,10 +381,11 @@ def nearest(table: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     queries = (rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "v").distinct()
                .join(nodes.select("v", F.col("node").alias("start")), "v"))
     queries = staged(queries, "queries")
-    found = staged(graph.search(queries, k + 1), "found-nodes")
-    # a query's own node is at hand even where no neighbour lists it
-    own = queries.select("query_id", F.col("start").alias("node"), F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x).alias("own"))
-    found = (found.join(own, ["query_id", "node"], "full").select("query_id", "node", F.coalesce("score", "own").alias("score")))
+    # the walk compares in single precision; twice as many nodes as needed are scored again on the original vectors,
+    # and a query's own node, which may stand for other rows too
+    found = graph.search(queries, 2 * k + 2).select("query_id", "node").union(queries.select("query_id", F.col("start").alias("node"))).distinct()
+    found = (found.join(queries.select("query_id", F.col("v").alias("q")), "query_id").join(nodes.select("node", "v"), "node")
+             .select("query_id", "node", F.aggregate(F.zip_with("q", "v", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x).alias("score")))
     member = rows.select("vec_id", "v").distinct().join(nodes.where("copies > 1"), "v").select("node", "vec_id")
     member = member.withColumn("r", F.row_number().over(Window.partitionBy("node").orderBy("vec_id"))).where(F.col("r") <= k + 1).select("node", "vec_id")
     hits = (found.join(member, "node", "left").select("query_id", F.coalesce("vec_id", "node").alias("vec_id"), "score")
