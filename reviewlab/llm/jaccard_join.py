@@ -18,7 +18,9 @@ A document's set is its distinct 5-word shingles (64-bit hashes); two documents
 
 Index rows of a hot shingle are spread over many tasks, never gathered in one. Defined cases: null, empty or
 white-space text is an empty set, linked with nothing; fewer than five words make one shingle of the whole
-sequence; repeated rows of a doc_id are linked through it; a null doc_id is left out of the result.
+sequence; rows of one doc_id are linked through it, whatever their texts. Null doc_ids link nothing, their rows stay
+in the result; a component without any doc_id is named by its smallest row key (null where such a row's set is empty).
+Where a doc_id is null or repeated, index, sketches and verification go by a hash of id and text.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewlab.llm.common import arrow_map, blobs, flat_blobs, importable, shared_path, staged, texts_of
@@ -280,10 +282,15 @@ def _bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
     return spark.table(made)
 
 
-def similar_components(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id of every document."""
-    importable(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
+def row_keys(docs: DataFrame) -> tuple[Column, bool]:
+    """A long that tells rows of different ids or texts apart, and whether it is doc_id itself (never null or repeated)."""
+    doc_id = F.col("doc_id").cast("long")
+    plain = docs.groupBy(doc_id.alias("doc_id")).count().where("doc_id is null or count > 1").isEmpty()
+    return doc_id if plain else F.xxhash64(doc_id, F.col("text").cast("string")), plain
+
+
+def _linked(docs: DataFrame, plain: bool) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n, rep, sketch) of every row and the links (u, v) of their representatives; doc_id is the row key here."""
     sets = staged(set_digests(docs), "shingle-sets")
     classes = sets.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("k")).where("k > 1")
     members = staged(sets.join(classes, "digest", "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"), "sketch"), "shingle-members")
@@ -302,8 +309,8 @@ def similar_components(docs: DataFrame) -> DataFrame:
                .withColumn("lone", F.col("pos") - F.row_number().over(own.orderBy("pos")) + 1)
                .withColumn("shared", F.count("*").over(own)))
     entries = staged(entries, "shingle-entries")
-    texts = _bucketed(docs.join(entries.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"),
-                      "doc_id", "shingle-texts")
+    texts = docs.join(entries.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    texts = _bucketed(texts if plain else texts.dropDuplicates(["doc_id"]), "doc_id", "shingle-texts")
 
     # links of one pivot per list
     pivots = (entries.groupBy("token").agg(F.min(F.struct((F.col("n") - F.col("shared") - _tail(F.col("n"))) / F.col("n"), "rep", "n", "lone", "shared", "sketch")).alias("p"))
@@ -329,24 +336,60 @@ def similar_components(docs: DataFrame) -> DataFrame:
     second = staged(_across(open_lists.where("not long"), False).unionByName(_across(open_lists.where("long"), True)).distinct()
                     .join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "cross-pairs")
     links = links.unionByName(_verified(second, texts))
-    label = components(links)
+    return members, links
+
+
+def _keyed(docs: DataFrame, key: Column) -> DataFrame:
+    return docs.select(key.alias("doc_id"), F.col("text").cast("string").alias("text"))
+
 
-    comp = label.select(F.col("id").alias("rep"), "component")
-    # rows of one doc_id with different texts are linked through that id
-    twice = members.groupBy("doc_id").agg(F.min("rep").alias("v"), F.max("rep").alias("w")).where("v <> w")
-    if not twice.isEmpty():
-        ids = members.join(twice, "doc_id", "left_semi").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
-        comp = components(links.unionByName(ids)).select(F.col("id").alias("rep"), "component")
-    return (members.join(comp, "rep", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id")))
+def _components_of(members: DataFrame, links: DataFrame) -> DataFrame:
+    """``members`` with the component of each row's representative."""
+    label = components(links).select(F.col("id").alias("rep"), "component")
+    return members.join(label, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+
+
+def _owned(docs: DataFrame, key: Column, members: DataFrame) -> DataFrame:
+    """(key, doc_id, n, rep) of every row of ``docs``."""
+    sets = members.select(F.col("doc_id").alias("key"), "n", "rep").distinct()
+    return staged(docs.select(key.alias("key"), F.col("doc_id").cast("long").alias("doc_id")).join(sets, "key"), "shingle-owners")
+
+
+def similar_components(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id of every document."""
+    importable(docs.sparkSession)
+    key, plain = row_keys(docs)
+    members, links = _linked(_keyed(docs, key), plain)
+    if plain:
+        return _components_of(members, links).select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+    rows = _owned(docs, key, members)
+    twice = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min("rep").alias("v"), F.max("rep").alias("w")).where("v <> w")
+    ids = rows.join(twice, "doc_id").select(F.col("rep").alias("u"), "v").distinct()
+    whole = _components_of(rows, links.unionByName(ids))
+    lowest = whole.groupBy("component").agg(F.min("doc_id").alias("lowest"))
+    return whole.join(lowest, "component").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("lowest", F.when(F.col("n") > 0, F.col("component"))).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """Pipeline stage: keep the document with the smallest doc_id of every component; columns stay.
-
-    Of rows that repeat a doc_id one stays; rows without a doc_id go."""
-    result = staged(similar_components(docs), "near-duplicates")
-    kept = result.where("doc_id = component_id").select("doc_id").distinct()
-    if not result.groupBy("doc_id").count().where("count > 1").isEmpty():
-        docs = docs.dropDuplicates(["doc_id"])
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    """Pipeline stage: keep the row with the smallest doc_id (null last) of every group of near copies; columns stay.
+
+    Texts alone make near copies: rows of one doc_id with different texts all stay. Of rows that repeat both one stays,
+    but rows with neither doc_id nor words are nobody's copies and all stay."""
+    importable(docs.sparkSession)
+    key, plain = row_keys(docs)
+    members, links = _linked(_keyed(docs, key), plain)
+    if plain:
+        kept = staged(_components_of(members, links).where("doc_id = component").select("doc_id"), "near-duplicates")
+        return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    rows = _components_of(_owned(docs, key, members), links)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("first")
+    name = "row_key"
+    while name in docs.columns:
+        name += "_"
+    copied = rows.where("n > 0").groupBy("component").agg(first).select(F.col("first.key").alias(name), F.lit(False).alias(f"{name}_bare"))
+    bare = rows.where("n = 0").select(F.col("key").alias(name), F.col("doc_id").isNull().alias(f"{name}_bare")).distinct()
+    kept = staged(copied.unionByName(bare), "near-duplicates")
+    found = docs.withColumn(name, key).join(kept, name)
+    once = found.where(~F.col(f"{name}_bare")).dropDuplicates([name])
+    return once.unionByName(found.where(F.col(f"{name}_bare"))).select(*docs.columns)

@@ -143,6 +143,25 @@ def test_one_of_each_keeps_columns(frame):
     assert jaccard_join.similar_components(frame.limit(0)).collect() == []
 
 
+def test_jaccard_keys_rows_not_ids(spark):
+    """An id with two texts, null ids with and without copies: near copies are found by row, and no other row goes."""
+    def text(name, edit=None):
+        return " ".join("other" if i == edit else f"{name}{i}" for i in range(120))
+    rows = [(1, text("a")), (1, text("b")), (7, text("b", 60)), (8, text("c")), (None, text("c", 50)), (None, text("d")), (None, text("e")),
+            (None, text("e")), (None, text("e", 40)), (None, ""), (None, ""), (3, None), (9, text("f")), (9, text("f"))]
+    for turn in (rows, rows[::-1]):
+        df = spark.createDataFrame([(*r, i) for i, r in enumerate(turn)], "doc_id long, text string, row_key int").repartition(3)
+        got = jaccard_join.similar_components(df).collect()
+        assert len(got) == len(rows)
+        assert {r.doc_id: r.component_id for r in got if r.doc_id is not None} == {1: 1, 7: 1, 8: 8, 3: 3, 9: 9}
+        free = [r.component_id for r in got if r.doc_id is None]
+        assert free.count(8) == 1 and free.count(None) == 2 and len(set(free)) == 4       # 8, d, e (three rows), no words
+        kept = jaccard_join.one_of_each(df)
+        assert kept.columns == df.columns
+        names = sorted((r.doc_id or 0, ("-" if r.text is None else r.text[:1])) for r in kept.collect())
+        assert names == [(0, ""), (0, ""), (0, "d"), (0, "e"), (1, "a"), (1, "b"), (3, "-"), (8, "c"), (9, "f")]
+
+
 # -- op1 -----------------------------------------------------------------------------------------------------------
 
 def plain(text):
