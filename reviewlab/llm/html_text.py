@@ -7,8 +7,10 @@ element, are good; long blocks without stop words are bad; short or unclear ones
 gives each undecided block the label of its nearest decided neighbour (of two as near, the one before it). The good blocks make the text, in page order, separated by an empty line.
 
 Rows are independent, so this is one map over the pages. Character references are decoded, white space inside a block
-becomes one space. Defined cases: null or empty html gives an empty text; broken markup is read as far as it goes
-(open elements end with the page); very long pages are read whole; other columns are ignored.
+becomes one space. Elements whose end tag HTML lets a page omit end where HTML ends them: head at the first body
+content, p at a block's start, li, dt, dd and the parts of a table at the next of their kind. Defined cases: null or
+empty html gives an empty text; broken markup is read as far as it goes (open elements end with the page); very long
+pages are read whole; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,6 +33,10 @@ LINKS_HIGH = 0.5        # share of characters inside links
 BLOCK_TAGS = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
                        "head header hr html legend li main nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split())
 SKIPPED_TAGS = frozenset("script style template noscript textarea select button iframe object svg canvas audio video math head title datalist".split())
+HEAD_TAGS = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
+ITEMS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}}     # what an item's start ends, unless another list lies between
+CELLS, GROUPS = {"td", "th", "caption"}, {"tbody", "thead", "tfoot"}
+TABLE_PARTS = {"td": CELLS, "th": CELLS, "tr": CELLS | {"tr"}, **dict.fromkeys(GROUPS, CELLS | {"tr"} | GROUPS)}
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BAD_TAGS = frozenset("nav footer aside form menu dialog".split())
 CORE_TAGS = frozenset("article main".split())
@@ -56,6 +62,7 @@ class _Blocks(HTMLParser):
         self.open: list[tuple[str, bool, bool, bool]] = []      # tag, bad, core, skipped
         self.parts: list[str] = []
         self.linked = self.links = 0
+        self.headed = False
 
     def _end_block(self) -> None:
         text = " ".join("".join(self.parts).split())
@@ -64,17 +71,44 @@ class _Blocks(HTMLParser):
             self.blocks.append([text, self.linked, bad, any(x[2] for x in self.open)])
         self.parts, self.linked = [], 0
 
+    def _imply_ends(self, tag: str) -> None:
+        """End the open elements that the start of block ``tag`` ends."""
+        if tag in ITEMS:
+            for i in range(len(self.open) - 1, -1, -1):
+                if self.open[i][0] in ITEMS[tag]:
+                    del self.open[i:]
+                    break
+                if self.open[i][0] not in ("address", "div", "p"):
+                    break
+        elif tag in TABLE_PARTS:
+            cut = len(self.open)
+            for i in range(len(self.open) - 1, -1, -1):
+                if self.open[i][0] in ("table", "template"):
+                    break
+                if self.open[i][0] in TABLE_PARTS[tag]:
+                    cut = i
+            del self.open[cut:]
+        self._close("p")
+
     def handle_starttag(self, tag: str, attrs) -> None:
+        if tag == "head":
+            if self.headed:
+                return
+            self.headed = True
+        elif tag == "body" and not any(x[0] == "template" for x in self.open):
+            self._close("head")
+        elif tag not in HEAD_TAGS and self.open and self.open[-1][0] == "head":
+            self.open.pop()
         if tag in VOID_TAGS:
             if tag == "hr":
                 self._end_block()
+                self._close("p")
             elif tag == "br" or tag == "img":
                 self.parts.append(" ")
             return
         if tag in BLOCK_TAGS:
             self._end_block()
-            if tag == "p":
-                self._close("p")
+            self._imply_ends(tag)
             self.links = 0
         if tag == "a":
             self.links += 1
@@ -105,6 +139,8 @@ class _Blocks(HTMLParser):
             self._close(tag)
 
     def handle_data(self, data: str) -> None:
+        if self.open and self.open[-1][0] == "head" and data.strip():
+            self.open.pop()
         if any(x[3] for x in self.open):
             return
         self.parts.append(data)

@@ -148,6 +148,24 @@ def test_second_pass_inherits_from_neighbours():
     assert html_text.main_text("<p>alone</p>") == "alone"
 
 
+def test_html_optional_end_tags():
+    """A page without the end tags that HTML lets it omit reads like the page that has them."""
+    import re
+    good = "It is the long one of the running texts and that is for all of the words in it to be read as a whole."
+    whole = (f"<html><head><title>no</title><script>x()</script></head><body><p>{good} P.</p><div>{good} D.</div>"
+             f"<ul><li class='ad'>{good} A.<ol><li>{good} B.</li></ol></li><li>{good} C.</li></ul>"
+             f"<dl><dt class='promo'>{good} E.</dt><dd>{good} F.</dd><dd class='ad'>{good} G.</dd><dt>{good} H.</dt></dl>"
+             f"<table><thead><tr class='ad'><th>{good} I.</th></tr></thead><tbody><tr class='ad'><td>{good} J.</td></tr><tr><td class='ad'>"
+             f"<table><tr><td>{good} K.</td></tr></table></td><td>{good} L.</td></tr></tbody></table>"
+             f"<p class='ad'>{good} M.</p><div>{good} N.</div><p class='ad'>{good} O.</p><hr>{good} Q.</body></html>")
+    kept = [t[-2] for t in html_text.main_text(whole).split("\n\n")]
+    assert kept == list("PDCFHLNQ")
+    assert html_text.main_text(re.sub("</(head|body|html|p|li|dt|dd|thead|tbody|tr|td|th)>", "", whole)) == html_text.main_text(whole)
+    for start in ("<p>", "<div>", "<body>", "<body class='x'><span>", "", "<br>", "<a href='/'></a>"):
+        assert html_text.main_text(f"<!doctype html><html><head><meta charset='u'><title>no</title><style>p{{}}</style>\n{start}{good}") == good
+    assert html_text.main_text(f"<head><title>a</title> <noscript><p>{good}</p></noscript></head><body><p>b</p></body>") == "b"
+
+
 def test_extract_pages(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (None, "v", "<article>" + "é" * 100_000 + "</article>")]
     df = spark.createDataFrame([(*r, 3) for r in rows], "page_id long, url string, html string, n_chars int")
