@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reviewlab.operators import drift as dr
 from reviewlab.operators import evaluate as ev
 from reviewlab.operators import trees
 from reviewlab.operators.features import fit_tfidf
@@ -22,26 +23,27 @@ MODEL_NAMES = {"nb": "NaiveBayes", "rf": "RandomForest", "xgb": "XGBoost"}
 
 def train_candidates(prep: Prepared, max_features: int = 100, min_df: int = 2, alpha: float = 4.0,
                      models=("nb", "rf", "xgb")) -> dict:
-    """Returns {"tfidf", "features" (persisted), "predictions": {key: DataFrame}, "models": {...}}."""
+    """Returns {"tfidf", "features" (persisted), "predictions": {key: DataFrame of the validation rows}, "scored": the same of
+    all rows, "models": {...}}."""
     c: Cols = prep.cols
     train = prep.train()
     tfidf = fit_tfidf(train, c.text, max_features, min_df, id_col=c.id)
     feats = prep.frame.withColumn(FEATURES, tfidf.weights(F.col(c.text)))
     feats = trees.vectors(feats, tfidf, FEATURES, LABEL_ID).persist()
     ftrain = feats.filter(F.col(SPLIT) == "train")
-    fval = feats.filter(F.col(SPLIT) == "val")
-    preds: dict[str, DataFrame] = {}
+    scored: dict[str, DataFrame] = {}
     fitted: dict = {}
     if "nb" in models:
         nb = fit_naive_bayes(ftrain, LABEL_ID, FEATURES, tfidf, alpha)
         fitted["nb"] = TextClassifier(tfidf, nb, prep.labels)
-        preds["nb"] = fval.withColumn("pred_id", nb.predict(F.col(FEATURES)))
+        scored["nb"] = feats.withColumn("pred_id", nb.predict(F.col(FEATURES)))
     for key, est in (("rf", trees.random_forest()), ("xgb", trees.boosted_trees())):
         if key in models:
             m = est.fit(ftrain)
             fitted[key] = VectorTextClassifier(tfidf, m, prep.labels)
-            preds[key] = m.transform(fval).withColumn("pred_id", F.col("prediction").cast("bigint")).drop("prediction")
-    return {"tfidf": tfidf, "features": feats, "predictions": preds, "models": fitted}
+            scored[key] = m.transform(feats).withColumn("pred_id", F.col("prediction").cast("bigint")).drop("prediction")
+    preds = {key: p.filter(F.col(SPLIT) == "val") for key, p in scored.items()}
+    return {"tfidf": tfidf, "features": feats, "predictions": preds, "scored": scored, "models": fitted}
 
 
 def model_comparison(prep: Prepared, **kw) -> DataFrame:
@@ -57,7 +59,8 @@ def model_comparison(prep: Prepared, **kw) -> DataFrame:
 
 
 RUN_SCHEMA = ("run_id string, experiment string, start_seq bigint, model_name string, accuracy double, macro_f1 double, "
-              "micro_f1 double, weighted_f1 double, macro_precision double, macro_recall double, settings string, started_at timestamp")
+              "micro_f1 double, weighted_f1 double, macro_precision double, macro_recall double, settings string, started_at timestamp, "
+              "drift_share double")
 VERSION_SCHEMA = "name string, version bigint, run_id string"
 ALIAS_SCHEMA = "seq bigint, name string, alias string, version bigint"
 PARAMS = {"nb": {"alpha": 4.0}, "rf": {"num_trees": 10, "max_depth": 3, "feature_subset": "sqrt"},
@@ -92,6 +95,12 @@ class Registry:
         last = rows.agg(F.max("seq")).first()[0]
         return rows.filter(F.col("seq") == F.lit(last)).select("name", "alias", "version")
 
+    def drift_share(self, alias: str = "Production") -> DataFrame:
+        """One row: the share that the run of the model carrying ``alias`` stored (null when there is none)."""
+        from reviewlab.operators.registry import production_model
+        run = production_model(self.runs(), self.versions(), self.aliases(), alias).select("run_id")
+        return self.runs().join(run, "run_id", "left_semi").agg(F.max("drift_share").alias("share"))
+
     def models(self) -> str:
         return f"{self.root}/models"
 
@@ -114,7 +123,8 @@ class Registry:
 
 def record_runs(prep: Prepared, root: str, experiment: str = "sentiment", max_features: int = 100,
                 min_df: int = 2, test_size: float = 0.2, seed: int = 42, **kw) -> Registry:
-    """Train every candidate and register it: a row in runs (metrics and settings), a model version, and the
+    """Train every candidate and register it: a row in runs (metrics, settings, and the drift share of the validation
+    rows against the training rows over text, target, prediction and TF-IDF columns), a model version, and the
     fitted model's artifacts under the run's id, where scoring looks for them."""
     import json
 
@@ -125,17 +135,25 @@ def record_runs(prep: Prepared, root: str, experiment: str = "sentiment", max_fe
     out = train_candidates(prep, max_features=max_features, min_df=min_df, **kw)
     seq = registry.runs().agg(F.max("start_seq")).first()[0] or 0
     held = {r["name"]: r["v"] for r in registry.versions().groupBy("name").agg(F.max("version").alias("v")).collect()}
+    c: Cols = prep.cols
+    sides = {"reference": "train", "current": "val"}
+    drifts = dr.drift_table(out["features"], SPLIT, categorical=[c.label], text=[c.text], id_col=c.id, features=FEATURES,
+                            terms=out["tfidf"].terms, **sides).persist()     # the same for every candidate
     for key, p in out["predictions"].items():
         seq, name = seq + 1, MODEL_NAMES[key]
         run_id, version = f"{experiment}-{seq:06d}", held.get(name, 0) + 1
         settings = {**PARAMS[key], **({"alpha": kw["alpha"]} if key == "nb" and "alpha" in kw else {}), "max_features": max_features,
                     "min_df": min_df, "terms": len(out["tfidf"].terms), "classes": list(prep.labels.labels), "test_size": test_size, "seed": seed}
         pairs = p.select(F.col(prep.cols.label).alias("y_true"), prep.labels.decode(F.col("pred_id")).alias("y_pred"))
+        predicted = out["scored"][key].select(SPLIT, prep.labels.decode(F.col("pred_id")).alias("prediction"))
+        share = dr.drift_share(drifts.unionByName(dr.drift_table(predicted, SPLIT, categorical=["prediction"], **sides))).first()["share"]
         registry._append("runs", ev.eval_metrics(pairs).select(
             F.lit(run_id).alias("run_id"), F.lit(experiment).alias("experiment"), F.lit(seq).cast("bigint").alias("start_seq"),
             F.lit(name).alias("model_name"), "accuracy", "macro_f1", "micro_f1", "weighted_f1", "macro_precision", "macro_recall",
-            F.lit(json.dumps(settings)).alias("settings"), F.current_timestamp().alias("started_at")))
+            F.lit(json.dumps(settings)).alias("settings"), F.current_timestamp().alias("started_at"),
+            F.lit(share).cast("double").alias("drift_share")))
         save_text_classifier(out["models"][key], f"{registry.models()}/{run_id}", {"run_id": run_id})
         registry._append("model_versions", spark.createDataFrame([(name, version, run_id)], VERSION_SCHEMA))
+    drifts.unpersist()
     out["features"].unpersist()
     return registry

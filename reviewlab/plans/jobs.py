@@ -39,10 +39,18 @@ def daily_training(reviews: DataFrame, registry_root: str, c: Cols = DEFAULT,
 
 
 def retrain_check(reference: DataFrame, current: DataFrame, aliases: DataFrame,
-                  numeric: list[str], categorical: list[str], side: str = "side") -> DataFrame:
-    """Drift of ``current`` against ``reference`` on the given columns, then the gate decision."""
+                  numeric: list[str], categorical: list[str], side: str = "side", text: list[str] = (),
+                  id_col: str | None = None, features: str | None = None, terms: list[str] = ()) -> DataFrame:
+    """Drift of ``current`` against ``reference`` on the given columns, then the gate decision.
+
+    Target and prediction columns go with ``categorical``; ``text`` columns need the row key ``id_col``;
+    ``features`` is a sparse TF-IDF column whose ``terms`` are one column each."""
     both = (reference.withColumn(side, F.lit(dr.REFERENCE))
             .unionByName(current.withColumn(side, F.lit(dr.CURRENT))))
-    share = dr.drift_share(dr.drift_table(both, side, numeric, categorical))
+    share = dr.drift_share(dr.drift_table(both, side, numeric, categorical, text, id_col, features, terms))
     return dr.retrain_gate(aliases, share)
 
+
+def production_check(registry: Registry, alias: str = "Production") -> DataFrame:
+    """The gate decision on the drift share that the production model's own run stored."""
+    return dr.retrain_gate(registry.aliases(), registry.drift_share(alias), alias)

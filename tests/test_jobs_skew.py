@@ -40,6 +40,43 @@ def test_retrain_check(spark):
     assert same["drift_share"] == 0.0 and same["decision"] == "stop"
 
 
+def test_retrain_check_sees_drift_of_texts_labels_and_features(spark):
+    """Equal lengths and languages on both sides; texts, labels and TF-IDF weights differ, each alone enough."""
+    def side(word, label, weight, start):
+        rows = [(start + i, f"{word} w{i % 7} end", 11, "en", label if i % 3 else "mid", [(f"t{i % 3}", weight)]) for i in range(400)]
+        return spark.createDataFrame(rows, "review_id long, review_text string, n_chars int, lang string, label string, "
+                                           "tfidf array<struct<term:string,weight:double>>")
+    ref = side("good", "pos", 0.5, 0)
+    aliases = spark.createDataFrame([("m", "Production", 1)], "name string, alias string, version long")
+    plain, terms = (["n_chars"], ["lang"]), ["t0", "t1", "t2"]
+    text = {"text": ["review_text"], "id_col": "review_id"}
+    for cur, kw, categorical in ((side("fine", "pos", 0.5, 1000), text, ["lang"]), (side("good", "neg", 0.5, 1000), {}, ["lang", "label"]),
+                                 (side("good", "pos", 0.9, 1000), {"features": "tfidf", "terms": terms}, ["lang"])):
+        assert jobs.retrain_check(ref, cur, aliases, *plain).first()["decision"] == "stop"
+        assert jobs.retrain_check(ref, cur, aliases, plain[0], categorical, **kw).first()["decision"] == "train"
+    same = jobs.retrain_check(ref, side("good", "pos", 0.5, 1000), aliases, plain[0], ["lang", "label"], features="tfidf", terms=terms, **text).first()
+    assert (same["drift_share"], same["decision"]) == (0.0, "stop")
+
+
+def test_gate_reads_the_production_runs_own_share(spark):
+    from reviewlab.plans import experiment as ex
+    from reviewlab.plans.training import prepare
+    registry = ex.record_runs(prepare(tb.reviews(spark, SMALL)), scratch_path(spark, "registry"), models=("nb",))
+    assert jobs.production_check(registry).first()["reason"] == "no production model"
+    registry.promote()
+    run, gate = registry.runs().first(), jobs.production_check(registry).first()
+    columns = len(registry.classifier().tfidf.terms) + 3                      # text, target, prediction
+    drifted = run["drift_share"] * columns
+    assert abs(drifted - round(drifted)) < 1e-6 and gate["drift_share"] == run["drift_share"]
+    assert gate["decision"] == ("train" if run["drift_share"] > 0.3 else "stop")
+    for share, decision in ((0.9, "train"), (0.3, "stop"), (None, "stop")):
+        other = ex.Registry(spark, scratch_path(spark, "registry"))
+        other._append("runs", registry.runs().drop("drift_share").withColumn("drift_share", F.lit(share).cast("double")))
+        other._append("model_versions", registry.versions())
+        other._append("aliases", registry._read("aliases", ex.ALIAS_SCHEMA))
+        assert jobs.production_check(other).first()["decision"] == decision
+
+
 def test_dedupe_and_duplicates_with_a_hot_text(spark):
     n = 30000
     df = spark.range(n).select(
