@@ -99,8 +99,9 @@ def drift_from_counts(cnt: DataFrame, threshold: float = NUMERIC_THRESHOLD, bloc
     # that is pushed under one branch's aggregate only, and cnt is computed twice
     cnt = cnt.select(F.coalesce(F.col("column").cast("string"), F.lit("")).alias("column"), "value", "r", "c")
     probs = [i / blocks for i in range(1, blocks)]
-    # one row per column: cut points (< blocks doubles), totals and the reference mean;
-    # it reads all of cnt's columns, so cnt's shuffle is shared with the branch below
+    # one row per column: cut points (< blocks doubles), totals and the reference mean. The
+    # totals are used both from cb and from its per-block aggregate: column pruning then
+    # leaves both branches with all of cnt's columns, and cnt's shuffle is shared
     cuts = cnt.groupBy("column").agg(
         F.array_sort(F.array_distinct(F.percentile_approx("value", probs, QUANTILE_ACCURACY))).alias("_cuts"),
         F.sum("r").alias("nr"), F.sum("c").alias("nc"),
@@ -108,19 +109,19 @@ def drift_from_counts(cnt: DataFrame, threshold: float = NUMERIC_THRESHOLD, bloc
     cb = (cnt.join(cuts, "column")
           .select("column", "value", "r", "c", "nr", "nc", "_mean",
                   _block_of(F.col("value"), F.col("_cuts"), len(probs)).alias("blk")))
-    per_block = cb.groupBy("column", "blk").agg(F.sum("r").alias("br"), F.sum("c").alias("bc"),
-                                                F.min("value").alias("bmin"))
+    per_block = cb.groupBy("column", "blk").agg(F.sum("r").alias("br"), F.sum("c").alias("bc"), F.min("value").alias("bmin"),
+                                                F.first("nr").alias("tr"), F.first("nc").alias("tc"))
     by_col = Window.partitionBy("column").orderBy("blk")    # <= blocks rows per column
     before = by_col.rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_block.select(
-        "column", "blk",
+        "column", "blk", "tr", "tc",
         F.coalesce(F.sum("br").over(before), F.lit(0)).alias("r0"),
         F.coalesce(F.sum("bc").over(before), F.lit(0)).alias("c0"),
         F.lead("bmin").over(by_col).alias("next_min"))
     upto = Window.partitionBy("column", "blk").orderBy("value")
     cdf = (cb.join(offsets, ["column", "blk"])  # columns x blocks rows; broadcast by Spark where small
-           .withColumn("gap", F.abs(F.try_divide(F.col("r0") + F.sum("r").over(upto), F.col("nr"))
-                                    - F.try_divide(F.col("c0") + F.sum("c").over(upto), F.col("nc"))))
+           .withColumn("gap", F.abs(F.try_divide(F.col("r0") + F.sum("r").over(upto), F.col("tr"))
+                                    - F.try_divide(F.col("c0") + F.sum("c").over(upto), F.col("tc"))))
            .withColumn("width", F.coalesce(F.lead("value").over(upto), F.col("next_min")) - F.col("value")))
     out = cdf.groupBy("column").agg(
         F.first("nr").alias("n_ref"), F.first("nc").alias("n_cur"),

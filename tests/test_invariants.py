@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import MEDIUM, SMALL
+from review_paths import MEDIUM, SMALL
 from reviewlab.operators import registry as rg
 from reviewlab.operators.features import fit_vocabulary, stratified_split, vocabulary_frame
 from reviewlab.operators.stats import top_k_per_group

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SMALL
+from review_paths import SMALL
 from reviewlab.operators import profile as pf
 from reviewlab.plans import jobs
 from reviewlab.schema import DEFAULT as C

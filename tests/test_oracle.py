@@ -6,7 +6,7 @@ import math
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SMALL
+from review_paths import SMALL
 from reviewlab.plans import catalog
 
 SQL = catalog.oracle_sql()

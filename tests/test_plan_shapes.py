@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from conftest import SMALL
+from review_paths import SMALL
 
 
 def _final_plan(df) -> str:
