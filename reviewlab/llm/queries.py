@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewlab.llm import (decontamination, html_text, jaccard_join, language_id, mixing, nn_descent, oracle, substring_dedup,
-                           token_files, toxicity, url_rules)
+from reviewlab.llm import (decontamination, html_text, jaccard_join, language_id, merkle_manifest, mixing, nn_descent, oracle,
+                           substring_dedup, token_files, toxicity, url_rules)
 from reviewlab.llm.common import table
 
 
@@ -49,6 +49,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_components(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_token_files": op2_token_files,
@@ -60,6 +64,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 SQL = oracle.SQL
