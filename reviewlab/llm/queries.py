@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewlab.llm import (decontamination, html_text, jaccard_join, language_id, merkle_manifest, mixing, nn_descent, oracle,
-                           substring_dedup, token_files, toxicity, url_rules)
+from reviewlab.llm import (decontamination, fingerprints, html_text, jaccard_join, language_id, merkle_manifest, mixing,
+                           nn_descent, oracle, substring_dedup, token_files, toxicity, url_rules)
 from reviewlab.llm.common import table
 
 
@@ -53,6 +53,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest.audit(table(spark, sf_dir, "documents"))
 
 
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_token_files": op2_token_files,
@@ -65,6 +69,7 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_jaccard_join": op10_jaccard_join,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_fingerprints": op12_fingerprints,
 }
 
 SQL = oracle.SQL
