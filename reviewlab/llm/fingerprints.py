@@ -1,13 +1,14 @@
-"""Document fingerprints: a Merkle tree over sections, paragraphs and their sentences.
+"""Document fingerprints: a Merkle tree over sections and paragraphs.
 
-A paragraph is a line of the text; its leaves are its sentences (cut at ``LONGEST`` code points where no sentence ends). A
-paragraph whose digest is divisible by ``SECTION`` ends a section, so an edit moves section borders near it only. Digests are
-SHA-256: of a sentence's UTF-8 bytes, of a paragraph's sentence digests, a section's paragraph digests, and the document's section
-digests (the root), each level with a prefix of its own.
+A paragraph is a line of the text. A paragraph whose digest is divisible by ``SECTION`` ends a section, so an edit moves section
+borders near it only. Digests are SHA-256: of a paragraph's UTF-8 bytes, of a section's paragraph digests, and of the document's
+section digests (the root), each level with a prefix of its own. A paragraph also lists its phrases (a phrase ends with white
+space after a word that ends in a mark or one of two letters, or after ``LONGEST`` code points), so a change inside a paragraph
+leaves the rest of it comparable.
 
-The fingerprint is text: the root in hex, then ``/`` and each section; a section is its paragraphs joined by ``.``; a paragraph
-is ten hex digits per sentence (32 bits of its digest, its length). Equal roots mean equal texts. Unequal fingerprints
-are compared from the top: equal sections match whole, then equal paragraphs of the other sections, then equal sentences of
+The fingerprint is text: the root in hex, ``:`` and the text's length, then ``/`` and each section; a section is its paragraphs
+joined by ``.``; a paragraph has four base-64 signs per phrase (18 bits of its CRC, its length in six). Equal roots mean equal texts. Unequal fingerprints
+are compared from the top: equal sections match whole, then equal paragraphs of the other sections, then equal phrases of
 the other paragraphs. What is left says where the texts differ (``differences``); the matched share of both texts' code
 points (Dice) is their likeness, below 1 for unequal roots.
 
@@ -24,8 +25,10 @@ from __future__ import annotations
 import bisect
 import hashlib
 import re
+from base64 import urlsafe_b64decode, urlsafe_b64encode
 from collections import Counter
 from collections.abc import Iterator
+from zlib import crc32
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,29 +36,37 @@ from pyspark.sql import functions as F
 
 from reviewlab.llm.common import arrow_map, importable, texts_of
 
-LONGEST = 200               # code points of a sentence before a cut; with its end marks and spaces at most 232
+LONGEST = 60                # code points of a phrase before a cut; up to three of white space follow
 SECTION = 8                 # paragraphs per section, on average
 BLOCK_ROWS = 2048           # rows per block, about
 MOST_BLOCKS = 1 << 16       # bounds held by the driver; beyond this the blocks grow
 SAMPLED = 8                 # keys sampled per block
 
-_END = ".!?。！？"
-_SENTENCES = re.compile(rf"[^{_END}]{{1,{LONGEST}}}[{_END}]{{0,16}}\s{{0,16}}|[{_END}\s]{{1,{LONGEST}}}")
-ROOT = 64
+_PHRASES = re.compile(rf"\S.{{0,{LONGEST - 2}}}?(?:(?<=[ae.,;:!?。！？])\s{{1,3}}|$)|\S.{{0,{LONGEST - 1}}}|\s{{1,{LONGEST}}}")
+SIGNS = 4                   # signs of a phrase
+_LENGTH = bytes(i & 63 for i in range(256))
 
 
 def _hash(prefix: bytes, data: bytes) -> bytes:
     return hashlib.sha256(prefix + data).digest()
 
 
+def _prints(line: str) -> str:
+    return urlsafe_b64encode(b"".join([((crc32(s.encode()) & 0x3FFFF) << 6 | len(s)).to_bytes(3) for s in _PHRASES.findall(line)])).decode()
+
+
+def _weight(prints: str) -> int:
+    """Code points of the phrases with these prints."""
+    return sum(urlsafe_b64decode(prints)[2::3].translate(_LENGTH))
+
+
 def fingerprint(text: str | None) -> str:
     """The fingerprint of one text (see the module)."""
     sections, branch, digests, tops = [], [], [], []
     for line in (text or "").split("\n"):
-        leaves = [(_hash(b"l", s.encode()), len(s)) for s in _SENTENCES.findall(line)]
-        digest = _hash(b"p", b"".join(d for d, _ in leaves))
+        digest = _hash(b"p", line.encode())
         digests.append(digest)
-        branch.append("".join([f"{d[:4].hex()}{n:02x}" for d, n in leaves]))
+        branch.append(_prints(line))
         if digest[-1] % SECTION == 0:
             sections.append(".".join(branch))
             tops.append(_hash(b"s", b"".join(digests)))
@@ -63,18 +74,15 @@ def fingerprint(text: str | None) -> str:
     if digests:
         sections.append(".".join(branch))
         tops.append(_hash(b"s", b"".join(digests)))
-    return "/".join([_hash(b"r", b"".join(tops)).hex(), *sections])
-
-
-def _weight(paragraph: str) -> int:
-    """Code points of a paragraph, its line feed included."""
-    return 1 + sum(int(paragraph[i:i + 2], 16) for i in range(8, len(paragraph), 10))
+    return "/".join([f"{_hash(b'r', b''.join(tops)).hex()}:{len(text or '')}", *sections])
 
 
-def _left(a: list[str], b: list[str]) -> tuple[list[str], list[str]]:
-    """The items of each list without a partner in the other, in order."""
+def _paired(a: list[str], b: list[str]) -> tuple[Counter, list[str], list[str]]:
+    """Items that both lists hold (with multiplicity), and the rest of each in order."""
     both = Counter(a) & Counter(b)
-    out = []
+    if not both:
+        return both, a, b
+    rests = []
     for items in (a, b):
         free, rest = both.copy(), []
         for x in items:
@@ -82,30 +90,33 @@ def _left(a: list[str], b: list[str]) -> tuple[list[str], list[str]]:
                 free[x] -= 1
             else:
                 rest.append(x)
-        out.append(rest)
-    return out[0], out[1]
+        rests.append(rest)
+    return both, *rests
 
 
 def likeness(a: str, b: str) -> float:
     """Share (0 to 1) of code points in branches that both fingerprints hold; 1 only for equal roots."""
-    if a[:ROOT] == b[:ROOT]:
+    (top_a, *sa), (top_b, *sb) = a.split("/"), b.split("/")
+    if top_a == top_b:
         return 1.0
-    sa, sb = a[ROOT + 1:].split("/"), b[ROOT + 1:].split("/")
-    whole = sum(_weight(p) for s in sa + sb for p in s.split("."))
-    sa, sb = _left(sa, sb)
-    pa_, pb = _left([p for s in sa for p in s.split(".")], [p for s in sb for p in s.split(".")])
-    la, lb = _left(*[[p[i:i + 10] for p in ps for i in range(0, len(p), 10)] for ps in (pa_, pb)])
-    apart = sum(int(x[8:], 16) for x in la + lb) + len(pa_) + len(pb)
-    return min(1.0 - apart / whole, 1.0 - 1.0 / (whole + 1))
+    whole = int(top_a.split(":")[1]) + int(top_b.split(":")[1]) + 2         # code points, and a line feed per text more
+    sections, sa, sb = _paired(sa, sb)
+    paragraphs, la, lb = _paired([p for s in sa for p in s.split(".")], [p for s in sb for p in s.split(".")])
+    for s, n in sections.items():
+        for p in s.split("."):
+            paragraphs[p] += n
+    la, lb = [[p[i:i + SIGNS] for p in ps for i in range(0, len(p), SIGNS)] for ps in (la, lb)]
+    shared = sum(n * (1 + _weight(p)) for p, n in paragraphs.items()) + _weight("".join((Counter(la) & Counter(lb)).elements()))
+    return min(2 * shared / whole, 1.0 - 1.0 / (whole + 1))
 
 
 def differences(a: str, b: str) -> list[tuple[int, int]]:
     """(section, paragraph) of ``a``, from 0, whose branches ``b`` does not hold: where the texts differ."""
-    if a[:ROOT] == b[:ROOT]:
+    (top_a, *ours), (top_b, *theirs) = a.split("/"), b.split("/")
+    if top_a == top_b:
         return []
-    theirs = b[ROOT + 1:].split("/")
     free, out, open_ = Counter(theirs), [], []
-    for n, s in enumerate(a[ROOT + 1:].split("/")):
+    for n, s in enumerate(ours):
         if free[s] > 0:
             free[s] -= 1
         else:
