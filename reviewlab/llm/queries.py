@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from reviewlab.llm import (decontamination, fingerprints, html_text, jaccard_join, language_id, merkle_manifest, mixing,
-                           nn_descent, oracle, substring_dedup, token_files, toxicity, url_rules)
+                           nn_descent, oracle, prefix_trie, substring_dedup, token_files, toxicity, url_rules)
 from reviewlab.llm.common import table
 
 
@@ -57,6 +57,10 @@ def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_token_files": op2_token_files,
@@ -70,6 +74,7 @@ QUERIES = {
     "op10_jaccard_join": op10_jaccard_join,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_fingerprints": op12_fingerprints,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 SQL = oracle.SQL

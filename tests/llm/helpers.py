@@ -61,3 +61,79 @@ def removed_windows(rows, window=35):
 
 def held_out(doc_id):
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 4 == 2
+
+
+def H(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def encoded(value):
+    return "-" if value is None else f"{len(str(value).encode())}:{value}"
+
+
+def climbed(nodes, fan=3):
+    """(top, [(left, right) siblings from bottom to top] per node)."""
+    paths, cover = [[] for _ in nodes], [[i] for i in range(len(nodes))]
+    while len(nodes) > 1:
+        tops, covers = [], []
+        for a in range(0, len(nodes), fan):
+            run = nodes[a:a + fan]
+            for k in range(len(run)):
+                for leaf in cover[a + k]:
+                    paths[leaf].append(("".join(run[:k]), "".join(run[k + 1:])))
+            tops.append(H(*run))
+            covers.append(sum(cover[a:a + fan], []))
+        nodes, cover = tops, covers
+    return nodes[0], paths
+
+
+def manifest_rows(rows):
+    """[(doc_id, leaf, subroot, root, proof_sha256, folded_root, verified)]; rows: (doc_id, source, lang, n_chars, text)."""
+    groups = {}
+    for r in rows:
+        groups.setdefault(r[1], []).append((r[0], H(*map(encoded, r)), r))
+    subs, found = [], []
+    for source in sorted(groups, key=lambda x: (x is not None, (x or "").encode())):
+        leaves = sorted(groups[source], key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+        sub, paths = climbed([x[1] for x in leaves])
+        subs.append(sub)
+        found.append((leaves, paths))
+    if not subs:
+        return []
+    root, up = climbed(subs)
+    out = []
+    for (leaves, paths), sub, above in zip(found, subs, up):
+        for (i, leaf, r), path in zip(leaves, paths):
+            node = leaf
+            if i is not None and zlib.crc32(str(i).encode()) % 2 == 0 and r[4] is not None:
+                node = H(*map(encoded, (*r[:4], r[4].replace("\n", ""))))
+            for left, right in path + above:
+                node = H(left, node, right)
+            out.append((i, leaf, sub, root, H(*[a + b for a, b in path + above]), node, node == root))
+    return out
+
+
+def trie_rows(rows):
+    """[(conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256)]; rows: (conv_id, turn, role, text)."""
+    own = {}
+    for c, t, role, text in rows:
+        if c is not None:
+            own.setdefault(c, []).append((t is not None, t or 0, role or "", hashlib.sha256(
+                f"{len((role or '').encode())}:{role or ''}{text or ''}".encode()).digest(), text or ""))
+    own = {c: [(x[2], x[4]) for x in sorted(v)] for c, v in own.items()}
+    nodes = {}
+    for c, v in own.items():
+        h = zlib.crc32(str(c).encode()) % 4
+        seq = tuple(own.get(c - c % 20, [])[:h] + v[h:])
+        for d in range(len(seq) + 1):
+            nodes.setdefault(seq[:d], []).append((c, d == len(seq)))
+    first = {p: min(c for c, _ in m) for p, m in nodes.items()}
+    children = collections.Counter(p[:-1] for p in nodes if p)
+    leaves, saved = collections.Counter(), collections.Counter()
+    for p, m in nodes.items():
+        gain = (len(m) - 1) * len(words(p[-1][1])) if p else 0
+        for d in range(len(p) + 1):
+            leaves[p[:d]] += children[p] == 0
+            saved[p[:d]] += gain
+    return [(first[p], len(p), first[p[:-1]] if p else None, len(m), children[p], leaves[p], saved[p],
+             H(",".join(str(c) for c in sorted(c for c, end in m if end)))) for p, m in nodes.items()]
