@@ -120,12 +120,12 @@ def word_ngrams(tokens: Column) -> Column:
     return let(tokens, body)
 
 
-def term_counts(terms: Column) -> Column:
-    """Run-length count of an array of terms -> array<struct<term, tf>> sorted by term.
+def term_counts(terms: Column, kind: str = "string") -> Column:
+    """Run-length count of an array of terms (of type ``kind``) -> array<struct<term, tf>> sorted by term.
 
     Runs inside the row (sort + one pass), so counting needs no shuffle.
     """
-    empty = F.array().cast("array<struct<term:string,tf:bigint>>")
+    empty = F.array().cast(f"array<struct<term:{kind},tf:bigint>>")
 
     def counted(s):
         n = F.size(s)

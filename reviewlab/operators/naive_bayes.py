@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewlab.functions.text import let
-from reviewlab.operators.features import LabelIndex, TfidfModel
+from reviewlab.operators.features import TfidfModel, literal
 
 SCORE_DIGITS = 9   # log-scores are rounded before arg-max so ties resolve the same everywhere
 
@@ -28,13 +28,12 @@ class NaiveBayesModel:
     log_prior: tuple[float, ...]
 
     def joint_log_likelihood(self, weights: Column) -> Column:
-        """array<double> of per-class scores, in ``classes`` order."""
+        """array<double> of per-class scores, in ``classes`` order; an entry's table row is read by its code."""
         k = len(self.classes)
-        table = F.create_map(*[x for j, t in enumerate(self.terms)
-                               for x in (F.lit(t), F.array(*[F.lit(self.log_prob[c][j]) for c in range(k)]))])
+        table = literal([[self.log_prob[c][j] for c in range(k)] for j in range(len(self.terms))], "array<array<double>>")
         zero = F.array(*[F.lit(0.0) for _ in range(k)])
         dot = F.aggregate(weights, zero, lambda acc, x: F.zip_with(
-            acc, F.element_at(table, x["term"]), lambda a, b: a + x["weight"] * b))
+            acc, F.element_at(table, x["code"] + 1), lambda a, b: a + x["weight"] * b))
         prior = F.array(*[F.lit(p) for p in self.log_prior])
         return F.zip_with(dot, prior, lambda a, b: a + b)
 
@@ -79,7 +78,3 @@ def fit_naive_bayes(train: DataFrame, label_id: str, weights: str, tfidf: TfidfM
     total = sum(counts.values())
     log_prior = tuple(math.log(counts[c]) - math.log(total) for c in classes)
     return NaiveBayesModel(classes, terms, tuple(log_prob), log_prior)
-
-
-def decode(labels: LabelIndex, pred_id: Column) -> Column:
-    return labels.decode(pred_id)

@@ -61,7 +61,7 @@ def tfidf_vocabulary(spark, sf_dir):
 def tfidf_weights(spark, sf_dir):
     clf = _classifier(spark, sf_dir)
     f = clf.features(_prepared(spark, sf_dir).frame, C.text, already_clean=True)
-    return rounded(f.select(C.id, SPLIT, F.inline(FEATURES)))
+    return rounded(f.select(C.id, SPLIT, F.inline(FEATURES)).drop("code"))
 
 
 def nb_model(spark, sf_dir):
