@@ -1,10 +1,7 @@
 """Tree classifiers and the 2-D projection on the TF-IDF features (Spark ML / MLlib).
 
 - random forest: 10 trees, depth 3, seed 42, sqrt feature subsets (Spark ML);
-- boosted trees: Spark's GBT is binary, so three-class boosting is one-vs-rest
-  GBT (step 0.01, 10 rounds, depth 6, subsample 0.5); OneVsRest emits no
-  probability column, so probabilities are the softmax of the per-class raw
-  margins. This is not the same loss as a multiclass softmax booster;
+- boosted trees are in ``softmax_boost`` (Spark ML's GBT is binary);
 - projection: rank-2 SVD of the uncentred feature matrix (top eigenvectors of
   the Gram matrix built from distributed column statistics), then standardised
   with population statistics.
@@ -14,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,13 +36,6 @@ def random_forest(num_trees: int = 10, max_depth: int = 3, seed: int = 42) -> Ra
                                   maxDepth=max_depth, seed=seed, featureSubsetStrategy="sqrt")
 
 
-def boosted_trees(step: float = 0.01, rounds: int = 10, max_depth: int = 6, subsample: float = 0.5,
-                  seed: int = 42, parallelism: int = 3) -> OneVsRest:
-    gbt = GBTClassifier(stepSize=step, maxIter=rounds, maxDepth=max_depth, subsamplingRate=subsample, seed=seed)
-    # the per-class binary models are independent: fit them concurrently
-    return OneVsRest(classifier=gbt, featuresCol=FEATURES_VEC, labelCol=LABEL_DOUBLE, parallelism=parallelism)
-
-
 def softmax(raw: Column) -> Column:
     def body(a):
         e = F.transform(a, lambda x: F.exp(x - F.array_max(a)))
@@ -58,7 +48,8 @@ def class_probabilities(scored: DataFrame) -> Column:
     """array<double> class probabilities of a scored frame (softmax of raw margins
     when the model has no probability column)."""
     if "probability" in scored.columns:
-        return vector_to_array(F.col("probability"))
+        as_array = scored.schema["probability"].dataType.typeName() == "array"
+        return F.col("probability") if as_array else vector_to_array(F.col("probability"))
     return softmax(F.col("rawPrediction"))
 
 

@@ -2,7 +2,7 @@
 tabulate hold-out metrics (the daily training job).
 
 prepare (checkpointed) -> TF-IDF fit on train -> features for all rows (persisted)
--> naive Bayes, random forest, one-vs-rest boosted trees -> validation metrics.
+-> naive Bayes, random forest, softmax-boosted trees -> validation metrics.
 """
 
 from __future__ import annotations
@@ -15,14 +15,16 @@ from reviewlab.operators import evaluate as ev
 from reviewlab.operators import trees
 from reviewlab.operators.features import fit_tfidf
 from reviewlab.operators.naive_bayes import fit_naive_bayes
-from reviewlab.plans.training import FEATURES, LABEL_ID, SPLIT, Prepared, TextClassifier, VectorTextClassifier
+from reviewlab.operators.softmax_boost import BoostParams, fit_softmax_boost
+from reviewlab.plans.training import (FEATURES, LABEL_ID, SPLIT, BoostedTextClassifier, Prepared, TextClassifier,
+                                      VectorTextClassifier)
 from reviewlab.schema import Cols
 
 MODEL_NAMES = {"nb": "NaiveBayes", "rf": "RandomForest", "xgb": "XGBoost"}
 
 
 def train_candidates(prep: Prepared, max_features: int = 100, min_df: int = 2, alpha: float = 4.0,
-                     models=("nb", "rf", "xgb")) -> dict:
+                     models=("nb", "rf", "xgb"), boost: BoostParams = BoostParams()) -> dict:
     """Returns {"tfidf", "features" (persisted), "predictions": {key: DataFrame of the validation rows}, "scored": the same of
     all rows, "models": {...}}."""
     c: Cols = prep.cols
@@ -37,11 +39,15 @@ def train_candidates(prep: Prepared, max_features: int = 100, min_df: int = 2, a
         nb = fit_naive_bayes(ftrain, LABEL_ID, FEATURES, tfidf, alpha)
         fitted["nb"] = TextClassifier(tfidf, nb, prep.labels)
         scored["nb"] = feats.withColumn("pred_id", nb.predict(F.col(FEATURES)))
-    for key, est in (("rf", trees.random_forest()), ("xgb", trees.boosted_trees())):
-        if key in models:
-            m = est.fit(ftrain)
-            fitted[key] = VectorTextClassifier(tfidf, m, prep.labels)
-            scored[key] = m.transform(feats).withColumn("pred_id", F.col("prediction").cast("bigint")).drop("prediction")
+    if "rf" in models:
+        m = trees.random_forest().fit(ftrain)
+        fitted["rf"] = VectorTextClassifier(tfidf, m, prep.labels)
+        scored["rf"] = m.transform(feats).withColumn("pred_id", F.col("prediction").cast("bigint")).drop("prediction")
+    if "xgb" in models:
+        boosted = fit_softmax_boost(ftrain, c.id, LABEL_ID, FEATURES, boost)
+        fitted["xgb"] = BoostedTextClassifier(tfidf, boosted, prep.labels)
+        scored["xgb"] = (feats.withColumn("probability", boosted.probabilities(F.col(FEATURES)))
+                         .withColumn("pred_id", boosted.predict(F.col(FEATURES))))
     preds = {key: p.filter(F.col(SPLIT) == "val") for key, p in scored.items()}
     return {"tfidf": tfidf, "features": feats, "predictions": preds, "scored": scored, "models": fitted}
 
@@ -64,7 +70,7 @@ RUN_SCHEMA = ("run_id string, experiment string, start_seq bigint, model_name st
 VERSION_SCHEMA = "name string, version bigint, run_id string"
 ALIAS_SCHEMA = "seq bigint, name string, alias string, version bigint"
 PARAMS = {"nb": {"alpha": 4.0}, "rf": {"num_trees": 10, "max_depth": 3, "feature_subset": "sqrt"},
-          "xgb": {"step": 0.01, "rounds": 10, "max_depth": 6, "subsample": 0.5, "scheme": "one-vs-rest"}}
+          "xgb": {"step": 0.01, "rounds": 10, "max_depth": 6, "subsample": 0.5, "objective": "softmax"}}
 
 
 class Registry:

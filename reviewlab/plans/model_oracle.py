@@ -144,6 +144,38 @@ FROM (SELECT review_id, label, e / sum(e) OVER (PARTITION BY review_id) AS p FRO
 }
 
 
+# first boosting round: margins are 0, so every class has p = 1/K; sums of whole numbers of 2**-24; rows drawn by md5
+BOOST = [
+    ("k", "SELECT count(*)::DOUBLE AS k FROM label_ids"),
+    ("drawn", "SELECT review_id, label_id FROM split WHERE split = 'train' "
+              "AND substr(md5(CAST(review_id AS VARCHAR) || ':42:1'), 1, 8) < '80000000'"),
+    ("gh", """
+SELECT d.review_id, l.label_id, CAST(round((1 / k - CASE WHEN l.label_id = d.label_id THEN 1 ELSE 0 END) * 16777216) AS BIGINT) AS g,
+       CAST(round(greatest(2 * (1 / k) * (1 - 1 / k), 1e-16) * 16777216) AS BIGINT) AS h
+FROM drawn d CROSS JOIN label_ids l CROSS JOIN k"""),
+    ("binned", "SELECT review_id, term, CAST(greatest(1, least(64, ceil(round(weight * 64, 9)))) AS BIGINT) AS bin FROM tfidf"),
+    ("hist", "SELECT label_id, term, bin, sum(g)::DOUBLE AS g, sum(h)::DOUBLE AS h FROM gh JOIN binned USING (review_id) GROUP BY ALL"),
+    ("total", "SELECT label_id, sum(g)::DOUBLE AS tg, sum(h)::DOUBLE AS th FROM gh GROUP BY label_id"),
+    ("cand", """
+SELECT label_id, term, bin, tg, th, tg - sum(g) OVER w + sum(g) OVER u AS lg, th - sum(h) OVER w + sum(h) OVER u AS lh
+FROM (SELECT label_id, term, bin, g, h FROM hist UNION ALL SELECT DISTINCT label_id, term, 0, 0.0, 0.0 FROM hist) JOIN total USING (label_id)
+WINDOW w AS (PARTITION BY label_id, term), u AS (PARTITION BY label_id, term ORDER BY bin)"""),
+    ("gains", """
+SELECT label_id, term, bin, round(pow(lg / 16777216, 2) / (lh / 16777216 + 1) + pow((tg - lg) / 16777216, 2) / ((th - lh) / 16777216 + 1)
+                                  - pow(tg / 16777216, 2) / (th / 16777216 + 1), 9) AS gain
+FROM cand WHERE lh >= 16777216 AND th - lh >= 16777216"""),
+]
+
+SQL.update({
+    "gbt_root_histogram": chain("SELECT label_id, term, bin, round(g / 16777216, 6) AS sum_g, round(h / 16777216, 6) AS sum_h FROM hist",
+                                PREP, VOCAB, BOOST),
+    "gbt_root_split": chain("""
+SELECT label_id, term, bin, round(gain, 6) AS gain FROM (
+  SELECT *, row_number() OVER (PARTITION BY label_id ORDER BY gain DESC, term, bin) AS rn FROM gains WHERE gain > 1e-6) WHERE rn = 1""",
+                            PREP, VOCAB, BOOST),
+})
+
+
 def eval_ctes(source: str) -> list[tuple[str, str]]:
     return [
         ("cm", f"SELECT y_true, y_pred, count(*) AS n FROM {source} "

@@ -139,10 +139,54 @@ def rf_predict(spark, sf_dir):
 
 
 def gbt_predict(spark, sf_dir):
-    """One-vs-rest boosted-tree predictions on the validation split with confidence."""
+    """Softmax-boosted tree predictions on the validation split with confidence."""
     return rounded(_tree_scores(spark, sf_dir, "xgb"))
 
 
+def _boosted(spark, sf_dir):
+    from reviewlab.operators.softmax_boost import fit_softmax_boost
+    key = ("boosted", spark.sparkContext.applicationId, sf_dir)
+    if key not in _FITTED:
+        clf = _classifier(spark, sf_dir)
+        train = clf.features(_prepared(spark, sf_dir).train(), C.text, already_clean=True)
+        _FITTED[key] = fit_softmax_boost(train.select(C.id, LABEL_ID, FEATURES), C.id, LABEL_ID, FEATURES)
+    return _FITTED[key]
+
+
+def gbt_training_loss(spark, sf_dir):
+    """Mean log loss of the training rows before the first and after every boosting round."""
+    losses = _boosted(spark, sf_dir).training_loss
+    return rounded(spark.createDataFrame([(r, float(x)) for r, x in enumerate(losses)], "round bigint, log_loss double"))
+
+
+def gbt_root_histogram(spark, sf_dir):
+    """Gradient sums of the first round's roots per class, term and bin."""
+    from reviewlab.operators import softmax_boost as sb
+    hist, terms = _root_histogram(spark, sf_dir)
+    named = hist.where("f >= 0").withColumn("term", F.element_at(terms, F.col("f") + 1))
+    return rounded(named.select(F.col("k").cast("bigint").alias("label_id"), "term", F.col("b").cast("bigint").alias("bin"),
+                                (F.col("g") / sb.SCALE).alias("sum_g"), (F.col("h") / sb.SCALE).alias("sum_h")))
+
+
+def _root_histogram(spark, sf_dir):
+    from reviewlab.operators import softmax_boost as sb
+    from reviewlab.operators.features import literal
+    clf, p = _classifier(spark, sf_dir), sb.BoostParams()
+    train = clf.features(_prepared(spark, sf_dir).train(), C.text, already_clean=True)
+    classes = tuple(range(len(clf.labels.labels)))
+    rows = sb.start_rows(train, C.id, LABEL_ID, FEATURES, classes, p).where(sb.drawn(F.col("id"), 1, p))
+    return sb.histogram(rows, [sb._Tree(0) for _ in classes], 0), literal(clf.tfidf.terms, "array<string>")
+
+
+def gbt_root_split(spark, sf_dir):
+    """Best first split of each class's first tree: term, bin and gain."""
+    from reviewlab.operators import softmax_boost as sb
+    hist, terms = _root_histogram(spark, sf_dir)
+    best = sb.best_splits(hist, sb.BoostParams()).where("f IS NOT NULL")
+    return rounded(best.select(F.col("k").cast("bigint").alias("label_id"), F.element_at(terms, F.col("f") + 1).alias("term"),
+                               F.col("b").cast("bigint").alias("bin"), "gain"))
+
+
 def model_comparison(spark, sf_dir):
     from reviewlab.plans.experiment import model_comparison as compare
     return rounded(compare(_prepared(spark, sf_dir)))

@@ -17,6 +17,7 @@ from reviewlab.operators import profile as pf
 from reviewlab.operators.features import (LabelIndex, TfidfModel, fit_label_index, fit_tfidf,
                                           stratified_split)
 from reviewlab.operators.naive_bayes import NaiveBayesModel, fit_naive_bayes
+from reviewlab.operators.softmax_boost import SoftmaxBoostModel
 from reviewlab.schema import DEFAULT, Cols
 
 LABEL_ID = "label_id"
@@ -125,6 +126,31 @@ class VectorTextClassifier:
                 .drop("rawPrediction"))
 
 
+@dataclass
+class BoostedTextClassifier:
+    """Fitted vectoriser + softmax-boosted trees + label map."""
+
+    tfidf: TfidfModel
+    boosted: SoftmaxBoostModel
+    labels: LabelIndex
+    clean: bool = True
+
+    def _weights(self, text: str, already_clean: bool):
+        t = F.col(text)
+        return self.tfidf.weights(tx.clean_text(t) if self.clean and not already_clean else t)
+
+    def predict(self, df: DataFrame, text: str, out: str = "prediction", already_clean: bool = False) -> DataFrame:
+        return (df.withColumn("pred_id", self.boosted.predict(self._weights(text, already_clean)))
+                .withColumn(out, self.labels.decode(F.col("pred_id"))))
+
+    def predict_proba(self, df: DataFrame, text: str, already_clean: bool = False) -> DataFrame:
+        """Adds ``probability`` (map label -> p), ``confidence`` (max p) and ``prediction``."""
+        names = F.array(*[self.labels.decode(F.lit(c)) for c in self.boosted.classes])
+        f = df.withColumn("_w", self._weights(text, already_clean)).withColumn("_p", self.boosted.probabilities(F.col("_w")))
+        return (f.withColumn("probability", F.map_from_arrays(names, F.col("_p"))).withColumn("confidence", F.array_max("_p"))
+                .withColumn("prediction", self.labels.decode(self.boosted.predict(F.col("_w")))).drop("_p", "_w"))
+
+
 def fit_text_classifier(prep: Prepared, max_features: int = 100, min_df: int = 2,
                         alpha: float = 4.0) -> TextClassifier:
     """Tokenise the training rows once (persisted); the vocabulary and the naive
