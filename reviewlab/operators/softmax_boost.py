@@ -7,6 +7,9 @@ first; only non-zero features are counted, and a feature's zeros are what its no
 rows a level. Rows find their node by walking the trees grown so far, which are small constants of the plan: nothing but
 histograms is shuffled.
 
+A round whose drawn rows have at most ``LOCAL_ENTRIES`` entries is grown by one task per class instead, level by level in numpy
+with the same sums, candidates and ties, so it gives the same trees without a job per level.
+
 Gradients are summed as whole numbers of 2**-24, so sums do not depend on the order of rows or tasks. Features are TF-IDF
 weights in (0, 1], cut into ``bins`` equal steps; bin 0 is an absent term. A split sends bins up to its own to the left.
 Rows are drawn by a hash of their id and the round.
@@ -17,6 +20,8 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +32,7 @@ SCALE = 1 << 24
 BINNED = "array<struct<f:int,b:int>>"
 NODES = "array<struct<f:int,b:int,v:double>>"
 LEAST_GAIN = 1e-6
+LOCAL_ENTRIES = 1 << 22     # entries (feature values) that one task may hold
 CHECKPOINT_ROUNDS = 20      # margins' lineage is cut this often
 
 
@@ -56,30 +62,34 @@ def drawn(id_col: Column, round_: int, p: BoostParams) -> Column:
     return mark < F.lit(f"{int(p.subsample * (1 << 32)):08x}")
 
 
-def softmax(margins: Column) -> Column:
-    def body(m):
-        e = F.transform(m, lambda x: F.exp(x - F.array_max(m)))
-        return let(e, lambda v: let(F.aggregate(v, F.lit(0.0), lambda a, b: a + b), lambda t: F.transform(v, lambda x: x / t)))
-    return let(margins, body)
+_SOFTMAX = ("transform(array(transform({m}, x -> exp(x - array_max({m})))), "
+            "e -> transform(e, x -> x / aggregate(e, 0D, (a, b) -> a + b)))[0]")
+
+
+def softmax(margins: str) -> Column:
+    return F.expr(_SOFTMAX.format(m=margins))
 
 
-def _walk(tree: Column, bins_of: Column, depth: int) -> Column:
-    """Heap position (from 0) of the node that a row reaches in at most ``depth`` steps; ``bins_of`` maps feature to bin."""
-    def step(node, _):
-        def move(e):
-            right = F.coalesce(F.element_at(bins_of, e["f"]), F.lit(0)) > e["b"]
-            return F.when(e["f"].isNull(), node).otherwise(2 * node + 1 + right.cast("int"))
-        return let(F.element_at(tree, node + 1), move)
-    return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(0), step) if depth else F.lit(0)
+def _walk(depth: int) -> str:
+    """Heap position (from 0) of the node of ``tree`` that a row reaches in at most ``depth`` steps; ``bins`` maps feature to bin."""
+    if not depth:
+        return "0"
+    step = "2 * n + 1 + int(coalesce(try_element_at(bins, e.f), 0) > e.b)"
+    return (f"aggregate(sequence(1, {depth}), 0, (n, i) -> transform(array(get(tree, n)), "
+            f"e -> if(e.f IS NULL, n, {step}))[0])")
 
 
-def _values(trees: Column, features: Column, depth: int) -> Column:
+def _per_tree(trees: list, features: str, body: str) -> str:
+    """``body`` for each of the trees (node lists), with ``tree`` and ``bins`` bound."""
+    return f"transform(array(map_from_entries({features})), bins -> transform(from_json('{json.dumps(trees)}', 'array<{NODES}>'), tree -> {body}))[0]"
+
+
+def _values(trees: list, features: str, depth: int) -> Column:
     """The leaf value of every tree for one row."""
-    return let(F.map_from_entries(features), lambda bins_of: F.transform(
-        trees, lambda tree: F.element_at(tree, _walk(tree, bins_of, depth) + 1)["v"]))
+    return F.expr(_per_tree(trees, features, f"get(tree, {_walk(depth)}).v"))
 
 
-class _Tree:
+class Tree:
     """A tree under growth: nodes in heap order, (feature, bin) of a split, value of a leaf."""
 
     def __init__(self, depth: int):
@@ -97,12 +107,25 @@ class SoftmaxBoostModel:
         """array<double> in ``classes`` order: the sum of the leaf values of each class's trees."""
         k = len(self.classes)
         trees = literal([nodes for row in self.trees for nodes in row], f"array<{NODES}>")
-        values = _values(trees, binned(weights, self.params.bins), self.params.max_depth)
+
+        def value(bins_of):
+            def reach(tree):
+                def step(node, _):
+                    def move(e):
+                        right = F.coalesce(F.element_at(bins_of, e["f"]), F.lit(0)) > e["b"]
+                        return F.when(e["f"].isNull(), node).otherwise(2 * node + 1 + right.cast("int"))
+                    return let(F.element_at(tree, node + 1), move)
+                return F.element_at(tree, F.aggregate(F.sequence(F.lit(1), F.lit(self.params.max_depth)), F.lit(0), step) + 1)["v"]
+            return F.transform(trees, reach)
+        values = let(F.map_from_entries(binned(weights, self.params.bins)), value)
         return let(values, lambda v: F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda c: F.aggregate(
             F.filter(v, lambda _, i: i % k == c), F.lit(0.0), lambda a, b: a + b)))
 
     def probabilities(self, weights: Column) -> Column:
-        return softmax(self.margins(weights))
+        def body(m):
+            e = F.transform(m, lambda x: F.exp(x - F.array_max(m)))
+            return let(e, lambda v: let(F.aggregate(v, F.lit(0.0), lambda a, b: a + b), lambda t: F.transform(v, lambda x: x / t)))
+        return let(self.margins(weights), body)
 
     def predict(self, weights: Column) -> Column:
         """Class id with the largest rounded margin (smallest id on ties)."""
@@ -132,60 +155,124 @@ class SoftmaxBoostModel:
         return SoftmaxBoostModel(tuple(d["classes"]), BoostParams(**d["params"]), tuple(tuple(r) for r in d["trees"]), tuple(d["training_loss"]))
 
 
-def gradients(rows: DataFrame, k: int) -> Column:
-    """array<struct<k, g, h>> of a row's classes, as whole numbers of 1 / SCALE."""
-    fixed = lambda x: F.round(x * SCALE).cast("bigint")
-    return let(softmax(F.col("margins")), lambda p: F.transform(p, lambda x, c: F.struct(
-        c.alias("k"), fixed(x - (F.col("y") == c).cast("double")).alias("g"), fixed(F.greatest(2 * x * (1 - x), F.lit(1e-16))).alias("h"))))
+_GRADIENTS = (f"transform({_SOFTMAX.format(m='margins')}, (x, c) -> named_struct('k', c, "
+              f"'g', bigint(round((x - if(y = c, 1D, 0D)) * {SCALE})), 'h', bigint(round(greatest(2 * x * (1 - x), 1e-16D) * {SCALE}))))")
 
 
-def histogram(rows: DataFrame, trees: list[_Tree], depth: int) -> DataFrame:
-    """(k, node, f, b, g, h) of ``rows`` (y, margins, features) at the nodes of this depth; f = -1 holds a node's totals."""
-    grown = literal([t.nodes for t in trees], f"array<{NODES}>")
-    nodes = let(F.map_from_entries("features"), lambda m: F.transform(grown, lambda tree: _walk(tree, m, depth)))
-    each = rows.select(F.concat("features", F.array(F.struct(F.lit(-1).alias("f"), F.lit(0).alias("b")))).cast(BINNED).alias("features"),
-                       F.zip_with(gradients(rows, len(trees)), nodes, lambda x, n: F.struct(
-                           x["k"].alias("k"), n.alias("node"), x["g"].alias("g"), x["h"].alias("h"))).alias("at"))
-    each = each.select(F.filter("at", lambda x: x["node"] >= 2 ** depth - 1).alias("at"), F.inline("features"))
+def root_sums(classes: int) -> list[Column]:
+    """Aggregates g0, h0, g1, ... over the rows with ``used``: each class's sums, as whole numbers of 1 / SCALE."""
+    return [F.expr(f"coalesce(sum(if(used, ({_GRADIENTS})[{c}].{x}, 0L)), 0L)").alias(f"{x}{c}") for c in range(classes) for x in "gh"]
+
+
+def histogram(rows: DataFrame, trees: list[Tree], depth: int) -> DataFrame:
+    """(k, node, f, b, g, h): sums over ``rows`` (y, margins, features) at the nodes of this depth, of non-zero features."""
+    nodes = _per_tree([t.nodes for t in trees], "features", _walk(depth))
+    at = f"filter(zip_with({_GRADIENTS}, {nodes}, (x, n) -> named_struct('k', x.k, 'node', n, 'g', x.g, 'h', x.h)), x -> x.node >= {2 ** depth - 1})"
+    each = rows.select(F.expr(at).alias("at"), "features").select("at", F.inline("features"))
     return each.select("f", "b", F.inline("at")).groupBy("k", "node", "f", "b").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
 
 
-def best_splits(hist: DataFrame, p: BoostParams) -> DataFrame:
-    """(k, node, total_g, total_h, gain, f, b, left_g, left_h): each node's totals and its best split (null when none is allowed)."""
-    totals = hist.where("f = -1").select("k", "node", F.col("g").alias("total_g"), F.col("h").alias("total_h"))
-    upto = Window.partitionBy("k", "node", "f").orderBy("b")            # at most ``bins`` rows
-    whole = Window.partitionBy("k", "node", "f")
-    used = hist.where("f >= 0").join(totals, ["k", "node"])
-    zero_g, zero_h = F.col("total_g") - F.sum("g").over(whole), F.col("total_h") - F.sum("h").over(whole)
-    at_bin = used.select("k", "node", "f", "b", "total_g", "total_h", (zero_g + F.sum("g").over(upto)).alias("left_g"),
-                         (zero_h + F.sum("h").over(upto)).alias("left_h"))
-    at_zero = used.groupBy("k", "node", "f", "total_g", "total_h").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).select(
-        "k", "node", "f", F.lit(0).alias("b"), "total_g", "total_h", (F.col("total_g") - F.col("g")).alias("left_g"),
-        (F.col("total_h") - F.col("h")).alias("left_h"))
-    score = lambda g, h: (g / SCALE) * (g / SCALE) / (h / SCALE + p.reg_lambda)
-    right_g, right_h = F.col("total_g") - F.col("left_g"), F.col("total_h") - F.col("left_h")
-    gain = F.round(score(F.col("left_g"), F.col("left_h")) + score(right_g, right_h) - score(F.col("total_g"), F.col("total_h")), 9)
+def best_splits(hist: DataFrame, totals: dict, p: BoostParams) -> DataFrame:
+    """(k, node, gain, f, b, left_g, left_h): the best allowed split of each node; ``totals``: {(k, node): (g, h)} of the open nodes."""
+    known = json.dumps({f"{k}:{n}": {"g": g, "h": h} for (k, n), (g, h) in totals.items()})
+    total = F.expr(f"try_element_at(from_json('{known}', 'map<string,struct<g:bigint,h:bigint>>'), concat(k, ':', node))")
+    by = Window.partitionBy("k", "node", "f")                           # at most ``bins`` rows
+    upto = by.orderBy("b")
+    rows = hist.select("*", F.sum("g").over(upto).alias("upto_g"), F.sum("h").over(upto).alias("upto_h"), F.sum("g").over(by).alias("all_g"),
+                       F.sum("h").over(by).alias("all_h"), (F.row_number().over(upto) == 1).alias("first"), total.alias("t"))
+    # left of a split are the node's rows without the feature and those up to the bin; the first row also stands for bin 0
+    rows = rows.select("k", "node", "f", "t", F.expr("""inline(array_compact(array(
+        named_struct('b', b, 'left_g', t.g - all_g + upto_g, 'left_h', t.h - all_h + upto_h),
+        if(first, named_struct('b', 0, 'left_g', t.g - all_g, 'left_h', t.h - all_h), NULL))))"""))
+    score = f"pow({{g}} / {SCALE}D, 2) / ({{h}} / {SCALE}D + {p.reg_lambda}D)"
+    right = {"g": "(t.g - left_g)", "h": "(t.h - left_h)"}
+    gain = f"round({score.format(g='left_g', h='left_h')} + {score.format(**right)} - {score.format(g='t.g', h='t.h')}, 9)"
     least = int(p.min_child * SCALE)
-    allowed = at_zero.unionByName(at_bin).where((F.col("left_h") >= least) & (right_h >= least)).withColumn("gain", gain).where(
-        F.col("gain") > LEAST_GAIN)
-    best = allowed.groupBy("k", "node").agg(F.max_by(F.struct("gain", "f", "b", "left_g", "left_h"),
-                                                    F.struct("gain", -F.col("f"), -F.col("b"))).alias("s")).select("k", "node", "s.*")
-    return totals.join(best, ["k", "node"], "left")
+    allowed = rows.where(f"left_h >= {least} AND {right['h']} >= {least}").withColumn("gain", F.expr(gain)).where(f"gain > {LEAST_GAIN}D")
+    return allowed.groupBy("k", "node").agg(F.max_by(F.struct("gain", "f", "b", "left_g", "left_h"),
+                                                     F.struct("gain", -F.col("f"), -F.col("b"))).alias("s")).select("k", "node", "s.*")
+
+
+def _by_level(splits: list) -> list[list]:
+    """Splits in the order of their nodes' depths."""
+    levels: dict[int, list] = {}
+    for s in splits:
+        levels.setdefault((s["node"] + 1).bit_length(), []).append(s)
+    return [levels[d] for d in sorted(levels)]
 
 
-def _grow(trees: list[_Tree], splits: list, p: BoostParams, last: bool) -> bool:
-    """Write the level's splits into the trees; values of leaves are shrunk by the step. True if any node was split."""
+def _grow(trees: list[Tree], totals: dict, splits: list, p: BoostParams) -> dict:
+    """Write a level's splits into the trees; the sums of the children, each a leaf until it is split."""
     value = lambda g, h: -p.step * (g / SCALE) / (h / SCALE + p.reg_lambda)
+    children = {}
     for s in splits:
-        nodes = trees[s["k"]].nodes
-        if s["f"] is None:
-            nodes[s["node"]]["v"] = value(s["total_g"], s["total_h"])
-            continue
-        nodes[s["node"]].update(f=s["f"], b=s["b"])
-        if last:                                # children are leaves: their sums are known from the split
-            nodes[2 * s["node"] + 1]["v"] = value(s["left_g"], s["left_h"])
-            nodes[2 * s["node"] + 2]["v"] = value(s["total_g"] - s["left_g"], s["total_h"] - s["left_h"])
-    return any(s["f"] is not None for s in splits)
+        k, n = s["k"], s["node"]
+        g, h = totals[k, n]
+        trees[k].nodes[n].update(f=s["f"], b=s["b"])
+        children[k, 2 * n + 1] = s["left_g"], s["left_h"]
+        children[k, 2 * n + 2] = g - s["left_g"], h - s["left_h"]
+    for (k, n), (g, h) in children.items():
+        trees[k].nodes[n]["v"] = value(g, h)
+    return children
+
+
+def _local_tree(g: np.ndarray, h: np.ndarray, row: np.ndarray, f: np.ndarray, b: np.ndarray, p: BoostParams) -> list[tuple]:
+    """[(node, f, b, left_g, left_h)] of one tree; entry i says that row ``row[i]`` has feature ``f[i]`` in bin ``b[i]``."""
+    order = np.lexsort((b, f))
+    row, f, b = row[order], f[order], b[order]
+    node, out = np.zeros(len(g), np.int64), []
+    score = lambda x, y: (x / SCALE) ** 2 / (y / SCALE + p.reg_lambda)
+    least = int(p.min_child * SCALE)
+    for depth in range(p.max_depth):
+        open_ = np.flatnonzero(node[row] >= 2 ** depth - 1)
+        open_ = open_[np.argsort(node[row[open_]], kind="stable")]            # by node, feature, bin
+        if not len(open_):
+            break
+        r, ff, bb = row[open_], f[open_], b[open_]
+        nn = node[r]
+        new = np.concatenate([[True], (nn[1:] != nn[:-1]) | (ff[1:] != ff[:-1])])
+        cell = np.flatnonzero(new | np.concatenate([[True], bb[1:] != bb[:-1]]))
+        cg, ch = np.add.reduceat(g[r], cell), np.add.reduceat(h[r], cell)
+        first = np.flatnonzero(new[cell])                                       # each (node, feature)'s first cell
+        group = np.cumsum(new[cell]) - 1
+        tg, th = np.bincount(node, g, 2 ** (depth + 1)).astype(np.int64), np.bincount(node, h, 2 ** (depth + 1)).astype(np.int64)
+        at = nn[cell]
+        before_g, before_h = np.concatenate([[0], np.cumsum(cg)]), np.concatenate([[0], np.cumsum(ch)])
+        ends = np.append(first[1:], len(cell))
+        zero_g, zero_h = tg[at[first]] - (before_g[ends] - before_g[first]), th[at[first]] - (before_h[ends] - before_h[first])
+        left_g = np.concatenate([zero_g, zero_g[group] + before_g[1:] - before_g[first][group]])
+        left_h = np.concatenate([zero_h, zero_h[group] + before_h[1:] - before_h[first][group]])
+        cand = [np.concatenate([x[first], x]) for x in (at, ff[cell])] + [np.concatenate([np.zeros(len(first), np.int64), bb[cell]])]
+        all_g, all_h = tg[cand[0]], th[cand[0]]
+        gain = np.round(score(left_g, left_h) + score(all_g - left_g, all_h - left_h) - score(all_g, all_h), 9)
+        fit = np.flatnonzero((left_h >= least) & (all_h - left_h >= least) & (gain > LEAST_GAIN))
+        fit = fit[np.lexsort((cand[2][fit], cand[1][fit], -gain[fit], cand[0][fit]))]
+        best = fit[np.concatenate([[True], cand[0][fit][1:] != cand[0][fit][:-1]])] if len(fit) else fit
+        value = {}
+        for i in best:
+            value[int(cand[0][i])] = (int(cand[1][i]), int(cand[2][i]))
+            out.append((int(cand[0][i]), int(cand[1][i]), int(cand[2][i]), int(left_g[i]), int(left_h[i])))
+        right = np.zeros(len(g), bool)
+        has_f = np.array([value.get(n, (-1, 0))[0] for n in range(2 ** (depth + 1))])
+        has_b = np.array([value.get(n, (-1, 0))[1] for n in range(2 ** (depth + 1))])
+        right[r[(ff == has_f[nn]) & (bb > has_b[nn])]] = True
+        node = np.where((node >= 2 ** depth - 1) & (has_f[np.minimum(node, 2 ** (depth + 1) - 1)] >= 0), 2 * node + 1 + right, node)
+    return out
+
+
+def local_splits(rows: DataFrame, p: BoostParams) -> DataFrame:
+    """(k, node, f, b, left_g, left_h): all splits of a round's trees, one task per class (bounded by ``LOCAL_ENTRIES``)."""
+    each = rows.select(F.col("features.f").alias("f"), F.col("features.b").alias("b"), F.expr(f"inline({_GRADIENTS})"))
+
+    def grow(table: pa.Table) -> pa.Table:
+        sizes = np.array([len(x) for x in table["f"].to_pylist()], np.int64)
+        flat = lambda c: np.asarray(table[c].combine_chunks().flatten().to_numpy(zero_copy_only=False), np.int64)
+        found = _local_tree(table["g"].to_numpy(), table["h"].to_numpy(), np.repeat(np.arange(len(sizes)), sizes), flat("f"), flat("b"), p)
+        k = table["k"][0].as_py()
+        cols = list(zip(*found)) or [()] * 5
+        return pa.table([pa.array([k] * len(found), pa.int32()), *[pa.array(c, t) for c, t in zip(
+            cols, (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()))]], names=["k", "node", "f", "b", "left_g", "left_h"])
+    return each.groupBy("k").applyInArrow(grow, "k int, node int, f int, b int, left_g long, left_h long")
 
 
 def start_rows(train: DataFrame, id_col: str, label_id: str, weights: str, classes: tuple[int, ...], p: BoostParams) -> DataFrame:
@@ -195,27 +282,44 @@ def start_rows(train: DataFrame, id_col: str, label_id: str, weights: str, class
                         F.array(*[F.lit(0.0) for _ in classes]).alias("margins"))
 
 
-def fit_softmax_boost(train: DataFrame, id_col: str, label_id: str, weights: str, params: BoostParams = BoostParams()) -> SoftmaxBoostModel:
+def fit_softmax_boost(train: DataFrame, id_col: str, label_id: str, weights: str, params: BoostParams = BoostParams(),
+                      local_entries: int = LOCAL_ENTRIES) -> SoftmaxBoostModel:
     """Fit on rows (id, label id, TF-IDF entries). The driver holds the trees and, per level, one row per open node."""
     p = params
     classes = tuple(sorted(r[0] for r in train.select(F.col(label_id).cast("bigint")).where(F.col(label_id).isNotNull()).distinct().collect()))
     if not classes:
         raise ValueError("no labelled rows to fit")
-    loss = F.avg(let(softmax(F.col("margins")), lambda v: -F.log(F.element_at(v, F.col("y") + 1))))
+    n = len(classes)
+    loss = F.expr(f"-avg(ln(get({_SOFTMAX.format(m='margins')}, y)))").alias("loss")
     rows = start_rows(train.where(F.col(label_id).isNotNull()), id_col, label_id, weights, classes, p).persist()
-    grown, losses = [], [rows.agg(loss).first()[0]]
-    for r in range(1, p.rounds + 1):
-        trees = [_Tree(p.max_depth) for _ in classes]
-        sample = rows.where(drawn(F.col("id"), r, p))
-        for depth in range(p.max_depth):
-            splits = best_splits(histogram(sample, trees, depth), p).collect()      # at most classes x 2**depth rows
-            if not _grow(trees, splits, p, depth == p.max_depth - 1):
+    grown, losses = [], []
+    for r in range(1, p.rounds + 2):
+        # one pass for the loss so far and the sums at the roots of this round's trees
+        drawn_now = drawn(F.col("id"), r, p)
+        now = rows.withColumn("used", drawn_now).agg(
+            loss, F.sum(F.expr("if(used, size(features) + 1L, 0L)")).alias("entries"), *root_sums(n)).first()
+        losses.append(now["loss"])
+        if r > p.rounds:
+            break
+        sample = rows.where(drawn_now)
+        trees = [Tree(p.max_depth) for _ in classes]
+        totals = {(c, 0): (now[f"g{c}"], now[f"h{c}"]) for c in range(n)}
+        for (c, _), (g, h) in totals.items():
+            trees[c].nodes[0]["v"] = -p.step * (g / SCALE) / (h / SCALE + p.reg_lambda)
+        if now["entries"] <= local_entries:
+            for level in _by_level(local_splits(sample, p).collect()):              # at most classes x 2**max_depth rows
+                totals.update(_grow(trees, totals, level, p))
+            totals = {}
+        for depth in range(p.max_depth if totals else 0):
+            splits = best_splits(histogram(sample, trees, depth), totals, p).collect()      # at most classes x 2**depth rows
+            totals = _grow(trees, totals, splits, p)
+            if not totals:
                 break
         grown.append(tuple(t.nodes for t in trees))
-        added = _values(literal([t.nodes for t in trees], f"array<{NODES}>"), F.col("features"), p.max_depth)
+        added = _values([t.nodes for t in trees], "features", p.max_depth)
         after = rows.withColumn("margins", F.zip_with("margins", added, lambda a, b: a + b))
         after = after.checkpoint(eager=False) if r % CHECKPOINT_ROUNDS == 0 else after.persist()
-        losses.append(after.agg(loss).first()[0])
+        after.count()
         rows.unpersist()
         rows = after
     rows.unpersist()

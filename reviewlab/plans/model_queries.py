@@ -140,7 +140,11 @@ def rf_predict(spark, sf_dir):
 
 def gbt_predict(spark, sf_dir):
     """Softmax-boosted tree predictions on the validation split with confidence."""
-    return rounded(_tree_scores(spark, sf_dir, "xgb"))
+    from reviewlab.plans.training import BoostedTextClassifier
+    prep, clf = _prepared(spark, sf_dir), _classifier(spark, sf_dir)
+    scored = BoostedTextClassifier(clf.tfidf, _boosted(spark, sf_dir), prep.labels).predict_proba(prep.val(), C.text, already_clean=True)
+    return rounded(scored.select(C.id, "prediction", "confidence", F.aggregate(
+        F.map_values("probability"), F.lit(0.0), lambda a, b: a + b).alias("probability_sum")))
 
 
 def _boosted(spark, sf_dir):
@@ -162,8 +166,8 @@ def gbt_training_loss(spark, sf_dir):
 def gbt_root_histogram(spark, sf_dir):
     """Gradient sums of the first round's roots per class, term and bin."""
     from reviewlab.operators import softmax_boost as sb
-    hist, terms = _root_histogram(spark, sf_dir)
-    named = hist.where("f >= 0").withColumn("term", F.element_at(terms, F.col("f") + 1))
+    hist, terms, _ = _root_histogram(spark, sf_dir)
+    named = hist.withColumn("term", F.element_at(terms, F.col("f") + 1))
     return rounded(named.select(F.col("k").cast("bigint").alias("label_id"), "term", F.col("b").cast("bigint").alias("bin"),
                                 (F.col("g") / sb.SCALE).alias("sum_g"), (F.col("h") / sb.SCALE).alias("sum_h")))
 
@@ -175,14 +179,17 @@ def _root_histogram(spark, sf_dir):
     train = clf.features(_prepared(spark, sf_dir).train(), C.text, already_clean=True)
     classes = tuple(range(len(clf.labels.labels)))
     rows = sb.start_rows(train, C.id, LABEL_ID, FEATURES, classes, p).where(sb.drawn(F.col("id"), 1, p))
-    return sb.histogram(rows, [sb._Tree(0) for _ in classes], 0), literal(clf.tfidf.terms, "array<string>")
+    hist = sb.histogram(rows, [sb.Tree(0) for _ in classes], 0)
+    return hist, literal(clf.tfidf.terms, "array<string>"), rows
 
 
 def gbt_root_split(spark, sf_dir):
     """Best first split of each class's first tree: term, bin and gain."""
     from reviewlab.operators import softmax_boost as sb
-    hist, terms = _root_histogram(spark, sf_dir)
-    best = sb.best_splits(hist, sb.BoostParams()).where("f IS NOT NULL")
+    hist, terms, rows = _root_histogram(spark, sf_dir)
+    k = len(_classifier(spark, sf_dir).labels.labels)
+    sums = rows.withColumn("used", F.lit(True)).agg(*sb.root_sums(k)).first()
+    best = sb.best_splits(hist, {(c, 0): (sums[f"g{c}"], sums[f"h{c}"]) for c in range(k)}, sb.BoostParams())
     return rounded(best.select(F.col("k").cast("bigint").alias("label_id"), F.element_at(terms, F.col("f") + 1).alias("term"),
                                F.col("b").cast("bigint").alias("bin"), "gain"))
 

@@ -86,11 +86,12 @@ def sample(spark, n=240, v=9, seed=1):
     return rows, spark.createDataFrame(rows, f"id long, label long, w {TFIDF_TYPE}")
 
 
-@pytest.mark.parametrize("p", [sb.BoostParams(step=0.3, rounds=3, max_depth=3, bins=16),
-                               sb.BoostParams(step=0.3, rounds=2, max_depth=4, bins=8, subsample=1.0, min_child=2.0)])
-def test_equals_numpy_on_fixed_bins(spark, p):
+@pytest.mark.parametrize("p, local", [(sb.BoostParams(step=0.3, rounds=2, max_depth=3, bins=16), 0),
+                                      (sb.BoostParams(step=0.3, rounds=4, max_depth=5, bins=16), sb.LOCAL_ENTRIES),
+                                      (sb.BoostParams(step=0.3, rounds=2, max_depth=4, bins=8, subsample=1.0, min_child=2.0), sb.LOCAL_ENTRIES)])
+def test_equals_numpy_on_fixed_bins(spark, p, local):
     rows, df = sample(spark)
-    model = sb.fit_softmax_boost(df, "id", "label", "w", p)
+    model = sb.fit_softmax_boost(df, "id", "label", "w", p, local_entries=local)
     bins = np.zeros((len(rows), 9), int)
     for i, _, w in rows:
         for _, x, c in w:
