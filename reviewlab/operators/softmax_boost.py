@@ -12,7 +12,8 @@ with the same sums, candidates and ties, so it gives the same trees without a jo
 
 Gradients are summed as whole numbers of 2**-24, so sums do not depend on the order of rows or tasks. Features are TF-IDF
 weights in (0, 1], cut into ``bins`` equal steps; bin 0 is an absent term. A split sends bins up to its own to the left.
-Rows are drawn by a hash of their id and the round.
+Rows are drawn by a hash of their id and the round. The rows with their margins are written to the shared folder after each
+round, so plans stay short and a lost executor costs no more than its tasks.
 """
 
 from __future__ import annotations
@@ -27,13 +28,13 @@ from pyspark.sql import functions as F
 
 from reviewlab.functions.text import let
 from reviewlab.operators.features import literal
+from reviewlab.session import written
 
 SCALE = 1 << 24
 BINNED = "array<struct<f:int,b:int>>"
 NODES = "array<struct<f:int,b:int,v:double>>"
 LEAST_GAIN = 1e-6
 LOCAL_ENTRIES = 1 << 22     # entries (feature values) that one task may hold
-CHECKPOINT_ROUNDS = 20      # margins' lineage is cut this often
 
 
 @dataclass(frozen=True)
@@ -291,7 +292,8 @@ def fit_softmax_boost(train: DataFrame, id_col: str, label_id: str, weights: str
         raise ValueError("no labelled rows to fit")
     n = len(classes)
     loss = F.expr(f"-avg(ln(get({_SOFTMAX.format(m='margins')}, y)))").alias("loss")
-    rows = start_rows(train.where(F.col(label_id).isNotNull()), id_col, label_id, weights, classes, p).persist()
+    rows = start_rows(train.where(F.col(label_id).isNotNull()), id_col, label_id, weights, classes, p)
+    rows = written(rows, "boost-rows")
     grown, losses = [], []
     for r in range(1, p.rounds + 2):
         # one pass for the loss so far and the sums at the roots of this round's trees
@@ -317,10 +319,5 @@ def fit_softmax_boost(train: DataFrame, id_col: str, label_id: str, weights: str
                 break
         grown.append(tuple(t.nodes for t in trees))
         added = _values([t.nodes for t in trees], "features", p.max_depth)
-        after = rows.withColumn("margins", F.zip_with("margins", added, lambda a, b: a + b))
-        after = after.checkpoint(eager=False) if r % CHECKPOINT_ROUNDS == 0 else after.persist()
-        after.count()
-        rows.unpersist()
-        rows = after
-    rows.unpersist()
+        rows = written(rows.withColumn("margins", F.zip_with("margins", added, lambda a, b: a + b)), "boost-rows")
     return SoftmaxBoostModel(classes, p, tuple(grown), tuple(losses))
