@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reviewlab.functions import text as tx
+from reviewlab.operators.select import below, hash_thresholds
 
 TFIDF_TYPE = "array<struct<term:string,weight:double,code:int>>"
 LOOKUP_TERMS = 1 << 18      # a dictionary of more terms is joined instead of travelling with the plan
@@ -87,22 +88,13 @@ def stratified_split(df: DataFrame, id_col: str, label: str, test_size: float =
     """Exact, repeatable stratified hold-out: per label, the round(test_size * n) rows
     with the smallest md5(id || ':' || seed) go to 'val', the rest to 'train'.
 
-    Equal to ranking each label's rows by hash, but without a window over a whole
-    label: rows are bucketed by the first ``bucket_hex`` hex digits of the hash, a
-    small (label, bucket) histogram gives each bucket's starting rank, and rows are
-    ranked only inside their (label, bucket).
+    The hash at which each label is cut is found by counting hash prefixes (``bucket_hex`` hex digits a round) over ids and
+    labels alone; a row is then labelled by comparing its own hash, so no other column is moved. Rows of one id
+    stay on one side.
     """
-    h = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")))
-    d = df.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, bucket_hex))
-    hist = d.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_nb"))
-    per_label = Window.partitionBy(label)
-    before = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    hist = (hist.withColumn("_before", F.coalesce(F.sum("_nb").over(before), F.lit(0)))
-            .withColumn("_k", F.round(F.lit(test_size) * F.sum("_nb").over(per_label))))
-    j = d.join(hist.drop("_nb"), [label, "_b"])
-    rank = F.col("_before") + F.row_number().over(Window.partitionBy(label, "_b").orderBy("_h", id_col))
-    split = F.when(rank <= F.col("_k"), "val").otherwise("train").alias(out)
-    return j.select(*[F.col(x) for x in df.columns], split)
+    mark = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")))
+    cuts = hash_thresholds(df, label, mark, test_size, bucket_hex)
+    return df.withColumn(out, F.when(below(df, label, mark, cuts), "val").otherwise("train"))
 
 
 # ---------------------------------------------------------------- tf-idf

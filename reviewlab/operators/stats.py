@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewlab.operators.select import SMALL_TABLE, exact_quantiles
+
+STATS = ["count", "min", "max", "mean", "median", "std"]
+
 
 def stat_columns(value: Column, approx: bool = False) -> list[Column]:
     """count, min, max, mean, median, sample std of non-null values (doubles).
 
     The exact median keeps a value->count map per group (partial aggregation merges
-    maps), so memory follows the number of distinct values, not rows.
-    ``approx=True`` switches to ``percentile_approx`` for continuous columns.
+    maps), so memory follows the number of distinct values, not rows: ``global_and_grouped_stats``
+    uses it for small tables only. ``approx=True`` switches to ``percentile_approx``.
     """
     v = value.cast("double")
     median = F.percentile_approx(v, 0.5, 10000) if approx else F.median(v)
@@ -25,11 +29,21 @@ def stat_columns(value: Column, approx: bool = False) -> list[Column]:
     ]
 
 
-def global_and_grouped_stats(df: DataFrame, value: str, group: str, approx: bool = False) -> DataFrame:
+def global_and_grouped_stats(df: DataFrame, value: str, group: str, approx: bool = False, small_table: int = SMALL_TABLE) -> DataFrame:
     """One pass (ROLLUP) giving the global summary and one summary per non-null group.
 
     Output: scope ('global' | 'group'), <group>, count, min, max, mean, median, std.
+
+    The exact median of a table of more than ``small_table`` rows is found by rank selection (bounded memory).
     """
+    if not approx and df.count() > small_table:
+        both = df.select(F.col(value).alias("v"), F.explode(F.array(
+            F.struct(F.lit("global").alias("scope"), F.lit(None).cast(df.schema[group].dataType).alias("of")),
+            F.struct(F.lit("group").alias("scope"), F.col(group).alias("of")))).alias("k")).where("k.scope = 'global' OR k.of IS NOT NULL")
+        rest = both.groupBy("k").agg(*[c for c, n in zip(stat_columns(F.col("v"), True), STATS) if n != "median"])
+        med = exact_quantiles(both, F.col("k"), F.col("v"), [0.5]).select(F.col("g").alias("k"), F.col("q")[0].alias("median"))
+        out = rest.join(med, "k", "left").select(F.col("k.scope").alias("scope"), F.col("k.of").alias(group), *STATS)
+        return out
     g = F.grouping(group)
     out = (df.rollup(group).agg(*stat_columns(F.col(value), approx), g.alias("_g")))
     out = out.filter((F.col("_g") == 1) | F.col(group).isNotNull())
@@ -38,20 +52,26 @@ def global_and_grouped_stats(df: DataFrame, value: str, group: str, approx: bool
                       "count", "min", "max", "mean", "median", "std")
 
 
-def box_stats(df: DataFrame, value: str, group: str, whis: float = 1.5) -> DataFrame:
+def box_stats(df: DataFrame, value: str, group: str, whis: float = 1.5, small_table: int = SMALL_TABLE) -> DataFrame:
     """Box-plot statistics per group: quartiles, whiskers (most extreme values inside
     q1 - whis*iqr .. q3 + whis*iqr) and outlier count.
 
     Two aggregations: quartiles, then whiskers against the per-group fences. The
-    fence table has one row per group and is joined back on the group key.
+    fence table has one row per group and is joined back on the group key. Quartiles of a table of more than
+    ``small_table`` rows are found by rank selection, and its rows are counted against the fences as they are.
     """
     v = F.col(value).cast("double")
     rows = df.select(F.col(group), v.alias("_v")).filter(F.col(group).isNotNull() & F.col("_v").isNotNull())
-    # one row per distinct value first: a hot group sends its values, not its rows
-    base = rows.groupBy(group, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    q = (base.groupBy(group)
-         .agg(F.percentile("_v", [0.25, 0.5, 0.75], F.col("_n")).alias("_q"))
-         .select(group, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3")))
+    probs = [0.25, 0.5, 0.75]
+    if df.count() > small_table:
+        rows = rows.where(~F.isnan("_v"))
+        base = rows.withColumn("_n", F.lit(1).cast("long"))
+        q = exact_quantiles(rows, F.col(group), F.col("_v"), probs).select(F.col("g").alias(group), F.col("q").alias("_q"))
+    else:
+        # one row per distinct value first: a hot group sends its values, not its rows
+        base = rows.groupBy(group, "_v").agg(F.count(F.lit(1)).alias("_n"))
+        q = base.groupBy(group).agg(F.percentile("_v", probs, F.col("_n")).alias("_q"))
+    q = (q.select(group, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3")))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     q = (q.withColumn("_lo", F.col("q1") - whis * F.col("iqr"))
          .withColumn("_hi", F.col("q3") + whis * F.col("iqr")))
