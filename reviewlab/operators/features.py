@@ -21,7 +21,7 @@ from reviewlab.functions import text as tx
 from reviewlab.operators.select import below, hash_thresholds
 
 TFIDF_TYPE = "array<struct<term:string,weight:double,code:int>>"
-LOOKUP_TERMS = 1 << 18      # a dictionary of more terms is joined instead of travelling with the plan
+LOOKUP_TERMS = 1 << 17      # a dictionary of more terms is joined instead of travelling with the plan
 
 
 # ---------------------------------------------------------------- dictionaries
