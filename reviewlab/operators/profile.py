@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from reviewlab.functions import text as tx
 from reviewlab.operators.stats import box_stats, global_and_grouped_stats, top_k_per_group
 from reviewlab.schema import DEFAULT, Cols, ensure_columns
+from reviewlab.session import written
 
 # The label order of the distribution chart and the brand chart.
 SENTIMENT_ORDER = ("Positive", "Neutral", "Negative")
@@ -340,15 +341,17 @@ def full_profile(df: DataFrame, c: Cols = DEFAULT, top_n: int = 20, cache: bool
     """Every profile section as tidy rows (section, metric, label, value). Text and label are required;
     without a rating or brand column that column's sections are left out.
 
-    By default each section reads only the parquet columns it needs (only the word
-    and duplicate sections read text), so no copy of the table is kept. ``cache=True``
-    persists the input once for all sections (the caller unpersists it); worth it
-    only when the input is expensive to recompute and fits the cluster's storage.
+    The columns besides the text (label, rating, brand, text length) are read once and written to the shared folder as a
+    narrow table, which most sections read; so are the top words per label. The word and duplicate sections read the texts
+    themselves. ``cache=True`` persists the input once for these (the caller unpersists it); worth it only when the input is
+    expensive to recompute and fits the cluster's storage.
     """
     ensure_columns(df, [c.text, c.label])
     base = with_text_length(df, c)
     if cache:
         base = base.persist()
+    has_rating, has_brand = c.rating in df.columns, c.brand in df.columns
+    narrow = written(base.select(c.label, c.length, *[x for x, has in ((c.rating, has_rating), (c.brand, has_brand)) if has]), "profile-columns")
     parts: list[DataFrame] = []
 
     def rows(section: str, d: DataFrame, label: Column | None, metrics: list[str]) -> None:
@@ -357,25 +360,42 @@ def full_profile(df: DataFrame, c: Cols = DEFAULT, top_n: int = 20, cache: bool
         parts.append(d.select(F.lit(section).alias("section"), lab.alias("label"), F.inline(arr))
                      .select("section", "metric", "label", "value"))
 
+    def pair(a: str, b: str) -> Column:
+        return F.concat_ws(":", F.col(a).cast("string"), F.col(b).cast("string"))
+
+    stat_metrics = ["count", "min", "max", "mean", "median", "std"]
+    box_metrics = ["n", "q1", "median", "q3", "iqr", "whisker_low", "whisker_high", "outliers"]
     rows("shape", overview_shape(base, c), None, ["rows", "columns"])
-    rows("label_summary", label_summary(base, c), F.col("label"), ["count"])
+    rows("label_summary", label_summary(narrow, c), F.col("label"), ["count"])
+    rows("label_distribution", label_distribution(narrow, c), F.col("label"), ["count", "pct"])
+    rows("class_distribution", class_distribution(narrow, c), F.col(c.label), ["count"])
+    rows("sentiment_cards", sentiment_cards(narrow, c), None, ["positive", "negative", "neutral", "total"])
     rows("missing", missing_summary(base, c), F.col("column"), ["missing", "pct"])
     rows("duplicates_full_rows", duplicate_full_rows(base, c), None, ["duplicates", "pct"])
     rows("duplicates_text", duplicate_text_excess(base, c), None, ["duplicates", "pct"])
-    if c.rating in df.columns:
-        rows("rating_outliers", rating_outliers(base, c), None, ["outliers", "pct", "rating_min", "rating_max"])
-    stat_metrics = ["count", "min", "max", "mean", "median", "std"]
-    tl = text_length_stats(base, c)
-    rows("text_length", tl, F.col(c.label), stat_metrics)
-    if c.rating in df.columns:
-        rows("rating", rating_stats(base, c), F.col(c.label), stat_metrics)
-    tw = top_words_by_label(base, c, top_n)
-    rows("top_words", tw.withColumn("_l", F.concat_ws(":", "label", "word")), F.col("_l"), ["count"])
+    rows("text_length", text_length_stats(narrow, c), F.col(c.label), stat_metrics)
+    rows("text_length_box", text_length_box(narrow, c), F.col(c.label), box_metrics)
+    if has_rating:
+        rows("rating_outliers", rating_outliers(narrow, c), None, ["outliers", "pct", "rating_min", "rating_max"])
+        rows("rating", rating_stats(narrow, c), F.col(c.label), stat_metrics)
+        rows("rating_label_counts", rating_label_counts(narrow, c), pair(c.label, c.rating), ["count"])
+        rows("rating_mean", rating_mean_by_label(narrow, c), F.col(c.label), ["mean_rating"])
+        rows("rating_box", rating_box(narrow, c), F.col(c.label), box_metrics)
+    tw = written(top_words_by_label(base, c, top_n), "profile-words")
+    rows("top_words", tw, pair("label", "word"), ["count"])
+    rows("top_words_chart", top_words_chart(tw), pair("label_slug", "word"), ["count"])
+    rows("wordcloud", wordcloud_weights(tw), pair("label", "word"), ["weight"])
+    rows("corpus_terms", corpus_term_weights(base, c), F.col("word"), ["count", "weight"])
     rows("duplicate_summary", duplicate_summary(base, c), None,
          ["total_rows", "unique_value_count", "duplicate_value_count", "duplicate_rows", "unique_rows"])
-    if c.brand in df.columns:
-        bc = brand_sentiment_counts(base, c)
-        rows("brand_sentiment", bc.withColumn("_l", F.concat_ws(":", c.label, c.brand)), F.col("_l"), ["count"])
+    rows("repeated_texts", duplicated_reviews(base, c), F.col("text"), ["count"])
+    rows("duplicate_examples", duplicate_examples(base, c), F.col("text"), ["count"])
+    rows("unique_vs_duplicate", unique_vs_duplicate(base, c), F.col("type"), ["count"])
+    if has_brand:
+        rows("brand_sentiment", brand_sentiment_counts(narrow, c), pair(c.label, c.brand), ["count"])
+        rows("brand_grid", brand_sentiment_grid(narrow, c), pair("label", "brand"), ["count", "has_chart"])
+        rows("brand_crosstab", brand_crosstab(narrow, c), pair("brand", "label"), ["count"])
+        rows("brand_crosstab_pct", brand_crosstab_pct(narrow, c), pair("brand", "label"), ["pct"])
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -206,7 +206,24 @@ def _section(name: str, key: str, label: str, metrics: list[str]) -> str:
 
 
 _STATS = ["count", "min", "max", "mean", "median", "std"]
+_BOX = ["n", "q1", "median", "q3", "iqr", "whisker_low", "whisker_high", "outliers"]
 FULL_PROFILE_SECTIONS = [
+    ("label_distribution", "label_distribution", "label", ["count", "pct"]),
+    ("class_distribution", "class_distribution", "sentiment", ["count"]),
+    ("sentiment_cards", "sentiment_cards", "NULL", ["positive", "negative", "neutral", "total"]),
+    ("text_length_box", "text_length_box", "sentiment", _BOX),
+    ("rating_label_counts", "rating_label_counts", "sentiment || ':' || CAST(rating AS VARCHAR)", ["count"]),
+    ("rating_mean", "rating_mean_by_label", "sentiment", ["mean_rating"]),
+    ("rating_box", "rating_box", "sentiment", _BOX),
+    ("top_words_chart", "top_words_chart", "label_slug || ':' || word", ["count"]),
+    ("wordcloud", "wordcloud_weights", "label || ':' || word", ["weight"]),
+    ("corpus_terms", "corpus_term_weights", "word", ["count", "weight"]),
+    ("repeated_texts", "duplicated_reviews", "text", ["count"]),
+    ("duplicate_examples", "duplicate_examples", "text", ["count"]),
+    ("unique_vs_duplicate", "unique_vs_duplicate", "type", ["count"]),
+    ("brand_grid", "brand_sentiment_grid", "label || ':' || brand", ["count", "has_chart"]),
+    ("brand_crosstab", "brand_crosstab", "brand || ':' || label", ["count"]),
+    ("brand_crosstab_pct", "brand_crosstab_pct", "brand || ':' || label", ["pct"]),
     ("shape", "overview_shape", "NULL", ["rows", "columns"]),
     ("label_summary", "label_summary", "label", ["count"]),
     ("missing", "missing_summary", "\"column\"", ["missing", "pct"]),

@@ -195,5 +195,5 @@ def test_label_distribution_over_present_classes(nulls):
 def test_full_profile_without_optional_columns(nulls):
     sections = lambda d: {r["section"] for r in pf.full_profile(d).select("section").distinct().collect()}
     whole = sections(nulls)
-    assert sections(nulls.drop(C.rating)) == whole - {"rating", "rating_outliers"}
-    assert sections(nulls.drop(C.brand)) == whole - {"brand_sentiment"}
+    assert sections(nulls.drop(C.rating)) == whole - {"rating", "rating_outliers", "rating_label_counts", "rating_mean", "rating_box"}
+    assert sections(nulls.drop(C.brand)) == whole - {"brand_sentiment", "brand_grid", "brand_crosstab", "brand_crosstab_pct"}
