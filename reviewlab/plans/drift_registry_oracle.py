@@ -218,3 +218,22 @@ FROM bestn b LEFT JOIN bv ON true LEFT JOIN pm ON true""", PROD + [
 SELECT snapshot_day, event_id, event_type, round(value, 6) AS value FROM snapshots
 WHERE snapshot_day = (SELECT max(snapshot_day) FROM snapshots)"""),
 }
+
+MODEL_COLUMNS = f"""
+SELECT "column", 'categorical' AS kind, js_distance AS score, drifted FROM ({SQL["target_drift"]})
+UNION ALL SELECT "column", 'categorical', js_distance, drifted FROM ({SQL["prediction_drift"]})
+UNION ALL SELECT 'tfidf:' || "column", 'tfidf', wasserstein_norm, drifted FROM ({SQL["feature_drift"]})"""
+MODEL_SHARE = f"""
+SELECT n_columns, n_drifted, coalesce(n_drifted::DOUBLE / nullif(n_columns, 0), 0.0) AS share
+FROM (SELECT count(*) AS n_columns, count(*) FILTER (WHERE drifted) AS n_drifted FROM ({MODEL_COLUMNS}))"""
+
+SQL.update({
+    "model_drift_columns": MODEL_COLUMNS,
+    "model_drift_share": f"SELECT n_columns, n_drifted, round(share, 6) AS share, share > 0.3 AS dataset_drift FROM ({MODEL_SHARE})",
+    "model_retrain_gate": with_views(["aliases"], f"""
+SELECT h AS has_production, round(s, 6) AS drift_share,
+       CASE WHEN NOT h OR s > 0.3 THEN 'train' ELSE 'stop' END AS decision,
+       CASE WHEN NOT h THEN 'no production model' WHEN s > 0.3 THEN 'drift above threshold'
+            ELSE 'drift at or below threshold' END AS reason
+FROM (SELECT (SELECT count(*) FROM aliases WHERE alias = 'Production') > 0 AS h, (SELECT share FROM ({MODEL_SHARE})) AS s)"""),
+})

@@ -118,6 +118,31 @@ def feature_drift(spark, sf_dir):
     return rounded(d.select("column", "n_ref", "n_cur", "ks", "ks_pvalue", "wasserstein_norm", "drifted"))
 
 
+def _model_columns(spark, sf_dir):
+    """Drift of the validation rows against the training rows over the target, the prediction and every TF-IDF column."""
+    from reviewlab.plans import model_queries as mq
+    from reviewlab.plans.training import FEATURES
+    clf = mq._classifier(spark, sf_dir)
+    f = clf.features(mq._prepared(spark, sf_dir).frame, C.text, already_clean=True)
+    f = f.withColumn("prediction", clf.labels.decode(clf.nb.predict(F.col(FEATURES)))).select(C.id, SPLIT, C.label, "prediction", FEATURES)
+    return dr.drift_table(f, SPLIT, categorical=[C.label, "prediction"], features=FEATURES, terms=clf.tfidf.terms,
+                          reference="train", current="val")
+
+
+def model_drift_columns(spark, sf_dir):
+    return rounded(_model_columns(spark, sf_dir))
+
+
+def model_drift_share(spark, sf_dir):
+    """Share of drifted columns over target, prediction and TF-IDF columns."""
+    return rounded(dr.drift_share(_model_columns(spark, sf_dir)))
+
+
+def model_retrain_gate(spark, sf_dir):
+    """The retrain decision from that share."""
+    return rounded(dr.retrain_gate(tb.aliases(spark, sf_dir), dr.drift_share(_model_columns(spark, sf_dir))))
+
+
 def retrain_promotion(spark, sf_dir):
     """Promotion after a retrain batch (here: every tracked run is the batch)."""
     runs = tb.runs(spark, sf_dir)
