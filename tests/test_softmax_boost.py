@@ -130,3 +130,26 @@ def test_odd_rows(spark):
     assert [r[0] for r in df.select(model.predict(F.col("w"))).collect()] == [5, 5, 5]
     with pytest.raises(ValueError):
         sb.fit_softmax_boost(df.limit(0), "id", "label", "w", p)
+
+
+def test_saved_classifier_scores_alike(spark):
+    from reviewlab.operators.features import LabelIndex, TfidfModel
+    from reviewlab.plans.training import BoostedTextClassifier
+    from reviewlab.session import scratch_path
+    from reviewlab.sources.sinks import load_text_classifier, save_text_classifier
+    rows = [(i, i % 2, ("good phone" if i % 2 else "bad screen") + " today" * (i % 3)) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, label long, text string")
+    terms = ("bad", "good", "phone", "screen", "today")
+    tfidf = TfidfModel(terms, (30, 30, 30, 30, 40), 60)
+    feats = df.withColumn("w", tfidf.weights(F.col("text")))
+    model = sb.fit_softmax_boost(feats, "id", "label", "w", sb.BoostParams(step=0.3, rounds=2, max_depth=2, subsample=1.0))
+    clf = BoostedTextClassifier(tfidf, model, LabelIndex(("Negative", "Positive")), clean=False)
+    path = scratch_path(spark, "boosted")
+    save_text_classifier(clf, path)
+    back = load_text_classifier(spark, path)
+    assert type(back) is BoostedTextClassifier and back.boosted == model and back.tfidf.terms == terms and back.clean is False
+    got = back.predict_proba(df, "text").orderBy("id").collect()
+    assert [(r.prediction, r.probability) for r in got] == \
+        [(r.prediction, r.probability) for r in clf.predict_proba(df, "text").orderBy("id").collect()]
+    assert all((r.prediction == "Positive") == (r.id % 2 == 1) and sum(r.probability.values()) == pytest.approx(1.0) for r in got)
+    assert [r.prediction for r in back.predict(df, "text").orderBy("id").collect()] == [r.prediction for r in got]
