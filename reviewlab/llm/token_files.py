@@ -131,11 +131,13 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def file_offsets(stored: DataFrame) -> DataFrame:
-    """(file, base): ids in all files before each one. One row per file is added up, in document order."""
-    files = stored.groupBy("file").agg(F.max(F.col("local_start") + F.col("n_tokens")).alias("held"),
+    """(file, base): what ``local_start`` lacks in each file. A task may write several files, so a file's own first
+    ``local_start`` is taken off. One row per file is added up, in document order."""
+    files = stored.groupBy("file").agg(F.sum("n_tokens").alias("held"), F.min("local_start").alias("first"),
                                        F.min(F.struct(F.col("doc_id").isNotNull(), "doc_id")).alias("lowest"))
-    before = Window.orderBy("lowest", "file").rowsBetween(Window.unboundedPreceding, -1)
-    return files.select("file", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("base"))
+    # files that hold rows of one id follow each other as their task wrote them
+    before = Window.orderBy("lowest", "first", "file").rowsBetween(Window.unboundedPreceding, -1)
+    return files.select("file", (F.coalesce(F.sum("held").over(before), F.lit(0)) - F.col("first")).alias("base"))
 
 
 def lookup(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:

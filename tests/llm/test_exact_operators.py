@@ -69,6 +69,17 @@ def test_token_files_round_trip(spark, docs, frame):
         assert sorted(got, key=lambda r: r[1]) == brute_tokens(rows_of(df))
 
 
+def test_token_files_several_files_a_task(spark, docs):
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 7)
+    try:
+        same = spark.createDataFrame([(5, f"text {i}") for i in range(20)] + [(None, f"no id {i}") for i in range(20)], "doc_id long, text string")
+        df = docs.select(*PAIRS).union(same)
+        got = [(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in token_files.token_output(df).collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert sorted(got, key=lambda r: r[1]) == brute_tokens(rows_of(df))
+
+
 def test_token_files_empty_and_lookup(spark, docs, tmp_path):
     assert token_files.token_output(docs.limit(0)).collect() == []
     path = str(tmp_path / "orc")
