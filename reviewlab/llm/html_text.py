@@ -16,6 +16,8 @@ pages are read whole; other columns are ignored.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections import defaultdict
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -54,40 +56,51 @@ _EDGE = re.compile(r"^\W+|\W+$")
 
 
 class _Blocks(HTMLParser):
-    """Collects [text, link characters, bad, core] per block."""
+    """Collects [text, link characters, bad, core] per block. Open elements are counted and found by tag, so deep nesting
+    costs no more than flat pages."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.blocks: list[list] = []
         self.open: list[tuple[str, bool, bool, bool]] = []      # tag, bad, core, skipped
+        self.places: dict[str, list[int]] = defaultdict(list)   # where each tag stands in `open`
+        self.solid: list[int] = []                              # where tags stand that a list item's search does not pass
+        self.held = [0, 0, 0]                                   # open elements that are bad, core, skipped
         self.parts: list[str] = []
         self.linked = self.links = 0
         self.headed = False
 
+    def _push(self, tag: str, *flags: bool) -> None:
+        self.places[tag].append(len(self.open))
+        if tag not in ("address", "div", "p"):
+            self.solid.append(len(self.open))
+        self.open.append((tag, *flags))
+        self.held = [n + f for n, f in zip(self.held, flags)]
+
+    def _cut(self, size: int) -> None:
+        """Close all open elements but the first ``size``."""
+        while len(self.open) > size:
+            tag, *flags = self.open.pop()
+            self.places[tag].pop()
+            if tag not in ("address", "div", "p"):
+                self.solid.pop()
+            self.held = [n - f for n, f in zip(self.held, flags)]
+
     def _end_block(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            bad = any(x[1] for x in self.open)
-            self.blocks.append([text, self.linked, bad, any(x[2] for x in self.open)])
+            self.blocks.append([text, self.linked, self.held[0] > 0, self.held[1] > 0])
         self.parts, self.linked = [], 0
 
     def _imply_ends(self, tag: str) -> None:
         """End the open elements that the start of block ``tag`` ends."""
         if tag in ITEMS:
-            for i in range(len(self.open) - 1, -1, -1):
-                if self.open[i][0] in ITEMS[tag]:
-                    del self.open[i:]
-                    break
-                if self.open[i][0] not in ("address", "div", "p"):
-                    break
+            if self.solid and self.open[self.solid[-1]][0] in ITEMS[tag]:
+                self._cut(self.solid[-1])
         elif tag in TABLE_PARTS:
-            cut = len(self.open)
-            for i in range(len(self.open) - 1, -1, -1):
-                if self.open[i][0] in ("table", "template"):
-                    break
-                if self.open[i][0] in TABLE_PARTS[tag]:
-                    cut = i
-            del self.open[cut:]
+            table = max((self.places[t][-1] for t in ("table", "template") if self.places[t]), default=-1)
+            inside = ((self.places[t], bisect_right(self.places[t], table)) for t in TABLE_PARTS[tag])
+            self._cut(min((at[i] for at, i in inside if i < len(at)), default=len(self.open)))
         self._close("p")
 
     def handle_starttag(self, tag: str, attrs) -> None:
@@ -95,10 +108,10 @@ class _Blocks(HTMLParser):
             if self.headed:
                 return
             self.headed = True
-        elif tag == "body" and not any(x[0] == "template" for x in self.open):
+        elif tag == "body" and not self.places["template"]:
             self._close("head")
         elif tag not in HEAD_TAGS and self.open and self.open[-1][0] == "head":
-            self.open.pop()
+            self._cut(len(self.open) - 1)
         if tag in VOID_TAGS:
             if tag == "hr":
                 self._end_block()
@@ -119,16 +132,13 @@ class _Blocks(HTMLParser):
             core = tag in CORE_TAGS or (have.get("role") or "").lower() in ("main", "article")
             bad = (tag in BAD_TAGS or (have.get("role") or "").lower() in BAD_ROLES or "hidden" in have or have.get("aria-hidden") == "true"
                    or (tag not in ("body", "html", "article", "main") and bool(names & BAD_WORDS)) or "display:none" in (have.get("style") or "").replace(" ", "")
-                   or (tag == "header" or "header" in names) and not any(x[2] for x in self.open) and tag not in ("body", "html", "article", "main"))
-            self.open.append((tag, bad, core, tag in SKIPPED_TAGS))
+                   or (tag == "header" or "header" in names) and not self.held[1] and tag not in ("body", "html", "article", "main"))
+            self._push(tag, bool(bad), core, tag in SKIPPED_TAGS)
 
     def _close(self, tag: str) -> None:
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                del self.open[i:]
-                return
-            if tag == "p" and self.open[i][0] != "p":
-                return
+        at = self.places[tag]
+        if at and (tag != "p" or at[-1] == len(self.open) - 1):
+            self._cut(at[-1])
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "a":
@@ -140,8 +150,8 @@ class _Blocks(HTMLParser):
 
     def handle_data(self, data: str) -> None:
         if self.open and self.open[-1][0] == "head" and data.strip():
-            self.open.pop()
-        if any(x[3] for x in self.open):
+            self._cut(len(self.open) - 1)
+        if self.held[2]:
             return
         self.parts.append(data)
         if self.links:
