@@ -4,8 +4,10 @@ A URL's host and path come from built-in string functions. An explicit rule fits
 path starts with the rule's path; the longest fitting rule decides. All other URLs are judged by rules that Spark's
 FP-growth mines from labelled URLs: items are the URL's tokens (host labels, words of the path, parameter names) and
 the label; rules "tokens -> bad" are kept above a support, a confidence and a lift, and rules that a shorter
-one already covers are pruned. Rules are matched through an inverted index: each rule stands under its rarest
-token, URLs look up their tokens and check the rest of the rule.
+one already covers are pruned. Tokens that stand in exactly the same labelled URLs (a site's parameter names) are mined
+as one, so a template of many names does not multiply the item sets; a rule then takes any of them. Rules are
+matched through an inverted index: each rule stands under its rarest token and that one's equals, URLs look up their
+tokens and check the rest of the rule.
 
 A URL is labelled by the document that its last number names: bad if that document's quality is 0 or it is toxic. Hot
 hosts are no keys here: rows meet rules by token, and the rules' side is small. Defined cases: null URLs and URLs without
@@ -68,19 +70,36 @@ def labelled_urls(parts: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.select(F.when(F.col("bad") == 1, F.array_append("items", F.lit(BAD))).otherwise(F.col("items")).alias("items")).where(F.size("items") > 0)
 
 
+RULE = "tokens array<string>, confidence double, support double, lift double, choices array<array<string>>"
+
+
+def token_classes(items: DataFrame, total: int, support: float) -> list[list[str]]:
+    """The tokens that can be in a rule, those with equal sets of rows together; the label stands alone.
+
+    Only tokens with enough bad rows matter (at most tokens per URL / SUPPORT of them); those in nearly all URLs tell
+    nothing. Row sets are compared by their size and two sums of 64-bit row hashes."""
+    row = items.select(F.monotonically_increasing_id().alias("i"), F.array_contains("items", BAD).cast("int").alias("bad"), "items")
+    count = row.select("i", "bad", F.explode(F.array_distinct("items")).alias("t")).groupBy("t").agg(
+        F.count("*").alias("n"), F.sum("bad").alias("bad"), F.bit_xor(F.xxhash64("i")).alias("x"),
+        F.sum(F.xxhash64("i", F.lit("second")).cast("decimal(20,0)")).alias("y"))
+    used = count.where((F.col("bad") >= support * total) & ((F.col("n") < 0.95 * total) | (F.col("t") == BAD))).collect()
+    classes = {}
+    for r in sorted(used, key=lambda r: r.t):
+        classes.setdefault((r.t == BAD, r.n, r.x, r.y), []).append(r.t)
+    return list(classes.values())
+
+
 def mine(items: DataFrame) -> DataFrame:
-    """(tokens, confidence, support, lift): pruned rules tokens -> bad."""
+    """(tokens, confidence, support, lift, choices): pruned rules tokens -> bad; in a rule of several tokens, the ``choices`` of
+    a token are the tokens with the same labelled URLs, any of which will do (the token is the first of them)."""
     from pyspark.ml.fpm import FPGrowth
     items = staged(items, "url-items")
-    total = items.count()
+    spark, total = items.sparkSession, items.count()
     if not total:
-        return items.sparkSession.createDataFrame([], "tokens array<string>, confidence double, support double, lift double")
+        return spark.createDataFrame([], RULE)
     support = min(1.0, max(SUPPORT, LEAST_ROWS / total))
-    # only tokens frequent enough to be in a rule matter (at most tokens per URL / SUPPORT of them); those in nearly
-    # all URLs tell nothing
-    count = items.select(F.explode("items").alias("t")).groupBy("t").count()
-    used = sorted(r.t for r in count.where((F.col("count") >= support * total) & ((F.col("count") < 0.95 * total) | (F.col("t") == BAD))).collect())
-    baskets = items.select(F.array_intersect("items", F.array(*[F.lit(t) for t in used]).cast("array<string>")).alias("items"))
+    classes = token_classes(items, total, support)
+    baskets = items.select(F.array_intersect("items", F.array(*[F.lit(c[0]) for c in classes]).cast("array<string>")).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=CONFIDENCE).fit(baskets)
     rules = model.associationRules.where(F.array_contains("consequent", BAD) & (F.col("lift") >= LIFT)) \
         .select(F.array_sort("antecedent").alias("tokens"), "confidence", "support", "lift")
@@ -90,20 +109,30 @@ def mine(items: DataFrame) -> DataFrame:
     shorter = rules.select(F.col("tokens").alias("part"), F.col("confidence").alias("c"), F.col("tokens")[0].alias("t"))
     covered = (each.join(shorter, "t").where((F.size("part") < F.size("tokens")) & (F.col("c") >= F.col("confidence"))
                                              & (F.size(F.array_except("part", "tokens")) == 0)).select("tokens").distinct())
-    return rules.join(covered, "tokens", "left_anti")
+    rules = rules.join(covered, "tokens", "left_anti")
+    equal = spark.createDataFrame([(c[0], c) for c in classes], "t string, choices array<string>")
+    choices = (rules.select("tokens", F.explode("tokens").alias("t")).join(equal, "t")
+               .groupBy("tokens").agg(F.array_sort(F.collect_list("choices")).alias("choices")))
+    rules = rules.join(choices, "tokens").select("tokens", "confidence", "support", "lift", "choices")
+    # a rule of one token is written out, a rule for each of its equals
+    alone = rules.where(F.size("tokens") == 1).withColumn("t", F.explode(F.col("choices")[0])).select(
+        F.array("t").alias("tokens"), "confidence", "support", "lift", F.array(F.array("t")).alias("choices"))
+    return rules.where(F.size("tokens") > 1).union(alone)
 
 
 def blocked_urls(parts: DataFrame, rules: DataFrame) -> DataFrame:
     """(url): the URLs that some mined rule matches."""
     urls = parts.where(F.col("host") != "").select("url", tokens().alias("items"))
     count = urls.select(F.explode("items").alias("t")).groupBy("t").count()
-    index = (rules.withColumn("rule", F.concat_ws(" ", "tokens")).select("rule", "tokens", F.explode("tokens").alias("t")).join(count, "t", "left")
-             .withColumn("r", F.row_number().over(Window.partitionBy("rule").orderBy(F.coalesce("count", F.lit(0)), "t"))).where("r = 1").select("t", "tokens"))
+    each = rules.select("tokens", "choices", F.posexplode("choices").alias("place", "same")).select("*", F.explode("same").alias("t")).join(count, "t", "left")
+    size = each.groupBy("tokens", "place").agg(F.sum(F.coalesce("count", F.lit(0))).alias("size"))
+    rarest = size.groupBy("tokens").agg(F.min(F.struct("size", "place")).alias("m")).select("tokens", F.col("m.place").alias("place"))
+    index = each.join(rarest, ["tokens", "place"]).select("t", "choices")
     index = staged(index, "url-rule-index")
     if index.isEmpty():
         return parts.select("url").limit(0)
     return (urls.select("url", "items", F.explode("items").alias("t")).join(index, "t")
-            .where(F.size(F.array_except("tokens", "items")) == 0).select("url").distinct())
+            .where(F.forall("choices", lambda c: F.arrays_overlap(c, F.col("items")))).select("url").distinct())
 
 
 def verdicts(pages: DataFrame, labels: DataFrame) -> DataFrame:
