@@ -122,6 +122,31 @@ def test_neighbours_odd_vectors_and_copies(spark):
     assert nn_descent.nearest(df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("lengths", [0.2, 0.5, 1.0, 1.5, "x10", "x100", "x1000"])
+def test_neighbours_of_spread_lengths(spark, monkeypatch, lengths):
+    """Log-normal lengths, and one vector much longer than the others, over some twenty partitions and four blocks."""
+    for name, value in (("LEAF", 100), ("LONGEST", 32), ("BLOCK", 512)):
+        monkeypatch.setattr(nn_descent, name, value)
+    x = np.array([r.embedding for r in table(spark, MEDIUM, "embeddings").collect()], float)
+    if isinstance(lengths, float):
+        x *= np.exp(np.random.default_rng(3).standard_normal(len(x)) * lengths)[:, None]
+    else:
+        x[7] *= float(lengths[1:])
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(x)]
+    got = nn_descent.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert recall(got, exact_nearest(rows)) >= 0.95
+
+
+def test_parallel_vectors(spark):
+    """Many vectors of one direction and different lengths, beside others: the longest of them win."""
+    rng = np.random.default_rng(5)
+    line = rng.standard_normal(16)
+    x = np.vstack([line * s for s in rng.permutation(700) + 1.0] + [rng.standard_normal((700, 16))])
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(x)]
+    got = nn_descent.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert recall(got, exact_nearest(rows)) >= 0.95
+
+
 # -- op5 -----------------------------------------------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p><p>no";</script></head><body>
@@ -166,6 +191,16 @@ def test_html_optional_end_tags():
     assert html_text.main_text(f"<head><title>a</title> <noscript><p>{good}</p></noscript></head><body><p>b</p></body>") == "b"
 
 
+def test_deep_nesting_costs_no_more_than_flat_pages():
+    import time
+    n = 30000
+    start = time.time()
+    assert html_text.main_text("<div>x" * n) == "\n\n".join(["x"] * n)
+    assert html_text.main_text("<ul><li><ul>" + "<div>" * n + "<li>a</li>" * n) == "\n\n".join(["a"] * n)
+    assert html_text.main_text("<table>" + "<div>" * n + "<td>a</td></section>" * n) == "\n\n".join(["a"] * n)
+    assert time.time() - start < 30
+
+
 def test_extract_pages(spark):
     rows = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (None, "v", "<article>" + "é" * 100_000 + "</article>")]
     df = spark.createDataFrame([(*r, 3) for r in rows], "page_id long, url string, html string, n_chars int")
@@ -246,6 +281,30 @@ def test_url_parts_and_rules(spark):
     assert url_rules.verdicts(pages.limit(0), spark.createDataFrame([], "doc_id long, quality int, toxic int")).collect() == []
 
 
+def test_a_template_of_many_parameters_is_mined_at_once(spark):
+    query = "&".join(f"name{k:02d}=1" for k in range(30))
+    names = [f"q:name{k:02d}" for k in range(30)]
+    items = [(["h:shop", "p:list", *names] + ([url_rules.BAD] if i % 10 else []),) for i in range(200)]
+    items += [(["h:shop", f"p:w{i % 7}"] + ([url_rules.BAD] if i % 10 == 0 else []),) for i in range(400)]
+    rules = url_rules.mine(spark.createDataFrame(items, "items array<string>"))
+    got = {tuple(r.tokens): r.confidence for r in rules.collect()}
+    assert got == {(t,): pytest.approx(0.9) for t in ["p:list", *names]}
+    pages = spark.createDataFrame([("http://shop/x?" + query,), ("http://shop/x?name07=2",), ("http://shop/x?other=2",), ("http://a/list",)], "url string")
+    hit = {r.url for r in url_rules.blocked_urls(url_rules.with_parts(pages), rules).collect()}
+    assert hit == {"http://shop/x?" + query, "http://shop/x?name07=2", "http://a/list"}
+
+
+def test_rules_of_tokens_with_equal_rows(spark):
+    """a and its equal b are bad only together with c and its equal d."""
+    items = [(["a", "b", "c", "d", url_rules.BAD],)] * 60 + [(["a", "b", "e"],)] * 90 + [(["c", "d", "f"],)] * 90 + [(["e", "f"],)] * 60
+    items = [(["h:" + t if t != url_rules.BAD else t for t in r],) for r, in items]
+    rules = url_rules.mine(spark.createDataFrame(items, "items array<string>"))
+    assert [(r.tokens, r.choices) for r in rules.collect()] == [(["h:a", "h:c"], [["h:a", "h:b"], ["h:c", "h:d"]])]
+    urls = [f"http://{x}.{y}/" for x in "abe" for y in "cdf"]
+    hit = url_rules.blocked_urls(url_rules.with_parts(spark.createDataFrame([(u,) for u in urls], "url string")), rules)
+    assert {r.url for r in hit.collect()} == {f"http://{x}.{y}/" for x in "ab" for y in "cd"}
+
+
 def test_mined_rules(spark):
     urls, labels = [], []
     for i in range(400):
