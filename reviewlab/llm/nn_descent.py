@@ -20,7 +20,9 @@ part; ties go to the smaller vec_id; with fewer candidates than asked for, all c
 
 from __future__ import annotations
 
+import ctypes
 import math
+import sys
 
 import numpy as np
 import pyarrow as pa
@@ -38,11 +40,11 @@ TREES = 8
 LEAF = 500          # vectors of a partition
 CODES = 1 << 16     # partitions of a tree, at most
 ROUNDS = 4
-BLOCK = 2048
-PAIRS = 1 << 20     # compared pairs that a task holds before it keeps the best
+BLOCK = 1024
+PAIRS = 1 << 18     # compared pairs that a task holds before it keeps the best
 POOL = 160
 BEAM = 40
-QUERIES = 256       # queries of a group
+QUERIES = 128       # queries of a group
 STEPS = 30          # safety bound on search steps; a walk ends when its pool is expanded
 NONE = -1
 
@@ -68,13 +70,22 @@ def directions(column: pa.Array, rows: int, scale: float) -> tuple[np.ndarray, n
     return (v / size[:, None]).astype(np.float32), (size * (top[:, 0] / scale)).astype(np.float32)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: workers live long, and what the last group needed would stay with them."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc has it
+        if trim:
+            trim(0)
+
+
 def _block_of(ids: np.ndarray, blocks: int) -> np.ndarray:
     return (mix(ids.view(np.uint64)) % np.uint64(blocks)).astype(np.int64)
 
 
 def _pack(block: np.ndarray, **cols: np.ndarray) -> pa.Table:
     """One row per block: the block and a binary of each column's values there."""
-    pa.default_memory_pool().release_unused()       # workers live long; what the last group needed is given back
+    give_back()
     order = np.argsort(block, kind="stable")
     key, first = np.unique(block[order], return_index=True)
     bounds = np.append(first, len(order))
@@ -219,12 +230,14 @@ class Graph:
         def own(batch: pa.RecordBatch) -> pa.Table:
             ids, x, norm = read(batch)
             far, y, length = longest.value
-            points = (x @ y.T) * length
-            points[ids[:, None] == far] = -np.inf
             k = min(PRODUCT, len(far))
-            top = np.argpartition(-points, k - 1, axis=1)[:, :k]
             nbr, score = np.full((len(ids), WIDTH), NONE, np.int64), np.full((len(ids), WIDTH), -np.inf, np.float32)
-            nbr[:, DIRECTION:DIRECTION + k], score[:, DIRECTION:DIRECTION + k] = far[top], np.take_along_axis(points, top, 1)
+            for lo in range(0, len(ids), BLOCK):
+                some, to = slice(lo, lo + BLOCK), slice(DIRECTION, DIRECTION + k)
+                points = (x[some] @ y.T) * length
+                points[ids[some, None] == far] = -np.inf
+                top = np.argpartition(-points, k - 1, axis=1)[:, :k]
+                nbr[some, to], score[some, to] = far[top], np.take_along_axis(points, top, 1)
             nbr[score == -np.inf] = NONE
             return _pack(_block_of(ids, blocks), id=ids, vec=x, norm=norm, nbr=nbr, score=score)
         return self._merged(arrow_map(vectors, own, STATE), found)
