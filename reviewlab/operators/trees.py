@@ -1,21 +1,19 @@
-"""Tree classifiers and the 2-D projection on the TF-IDF features (Spark ML / MLlib).
+"""Tree classifiers on sparse TF-IDF vectors (Spark ML).
 
-- random forest: 10 trees, depth 3, seed 42, sqrt feature subsets (Spark ML);
-- boosted trees are in ``softmax_boost`` (Spark ML's GBT is binary);
-- projection: rank-2 SVD of the uncentred feature matrix (top eigenvectors of
-  the Gram matrix built from distributed column statistics), then standardised
-  with population statistics.
+- random forest: 10 trees, depth 3, seed 42, sqrt feature subsets;
+- boosted trees are in ``softmax_boost`` (Spark ML's GBT is binary).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reviewlab.functions import text as tx
 from reviewlab.functions.text import let
 from reviewlab.operators.features import TfidfModel
 
@@ -23,9 +21,16 @@ FEATURES_VEC = "features"
 LABEL_DOUBLE = "label"
 
 
-def vectors(df: DataFrame, tfidf: TfidfModel, weights: str, label_id: str | None = None) -> DataFrame:
-    """Adds a dense ML vector column (vocabulary order) and a double label."""
-    out = df.withColumn(FEATURES_VEC, array_to_vector(tfidf.dense(F.col(weights))))
+def vectors(df: DataFrame, tfidf: TfidfModel, tokens: Column, label_id: str | None = None) -> DataFrame:
+    """Adds the sparse TF-IDF vector (vocabulary order) of an array of vectoriser tokens (null: zero), and a double label."""
+    grams, counts, scaled = "_grams", "_counts", "_scaled"
+    steps = [CountVectorizerModel.from_vocabulary(list(tfidf.terms), inputCol=grams, outputCol=counts, minTF=1.0),
+             ElementwiseProduct(scalingVec=Vectors.dense(tfidf.idf), inputCol=counts, outputCol=scaled),
+             Normalizer(p=2.0, inputCol=scaled, outputCol=FEATURES_VEC)]
+    out = df.withColumn(grams, F.coalesce(tx.word_ngrams(tokens), F.array().cast("array<string>")))
+    for step in steps:
+        out = step.transform(out)
+    out = out.drop(grams, counts, scaled)
     if label_id:
         out = out.withColumn(LABEL_DOUBLE, F.col(label_id).cast("double"))
     return out
@@ -53,53 +58,6 @@ def class_probabilities(scored: DataFrame) -> Column:
     return softmax(F.col("rawPrediction"))
 
 
-@dataclass
-class Projection:
-    v: tuple[tuple[float, float], ...]    # V (n_features x 2)
-    mean: tuple[float, float]
-    std: tuple[float, float]
-
-    def apply(self, dense: Column) -> tuple[Column, Column]:
-        cols = []
-        for k in range(2):
-            comp = F.array(*[F.lit(row[k]) for row in self.v])
-            dot = F.aggregate(F.zip_with(dense, comp, lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-            std = self.std[k] if self.std[k] > 0 else 1.0
-            cols.append((dot - F.lit(self.mean[k])) / F.lit(std))
-        return cols[0], cols[1]
-
-
-def fit_projection(df: DataFrame, tfidf: TfidfModel, weights: str) -> Projection:
-    """Rank-2 SVD of the (uncentred) TF-IDF matrix X.
-
-    The right singular vectors are the top eigenvectors of the Gram matrix
-    X'X = (n - 1) * Cov + n * mean mean', assembled from Spark ML's distributed
-    correlation and column summaries (JVM-side); the Gram matrix is
-    vocabulary x vocabulary, so its eigen-decomposition runs on the driver.
-    """
-    import numpy as np
-    from pyspark.ml.stat import Correlation, Summarizer
-
-    vec = df.select(array_to_vector(tfidf.dense(F.col(weights))).alias("v")).persist()
-    corr = np.nan_to_num(Correlation.corr(vec, "v").head()[0].toArray())
-    s = vec.select(Summarizer.metrics("mean", "variance", "count").summary(F.col("v")).alias("s")).head()["s"]
-    vec.unpersist()
-    mean, var, n = s["mean"].toArray(), s["variance"].toArray(), float(s["count"])
-    gram = (n - 1) * corr * np.sqrt(np.outer(var, var)) + n * np.outer(mean, mean)
-    w, vecs = np.linalg.eigh(gram)
-    v = vecs[:, np.argsort(w)[::-1][:2]].copy()
-    # deterministic sign: the largest-magnitude loading of each component is positive
-    for k in range(v.shape[1]):
-        if v[abs(v[:, k]).argmax(), k] < 0:
-            v[:, k] = -v[:, k]
-    vt = tuple((float(v[j, 0]), float(v[j, 1]) if v.shape[1] > 1 else 0.0) for j in range(v.shape[0]))
-    proj = Projection(vt, (0.0, 0.0), (1.0, 1.0))
-    x, y = proj.apply(tfidf.dense(F.col(weights)))
-    st = df.select(x.alias("x"), y.alias("y")).agg(
-        F.avg("x"), F.avg("y"), F.stddev_pop("x"), F.stddev_pop("y")).collect()[0]
-    return Projection(vt, (float(st[0] or 0.0), float(st[1] or 0.0)), (float(st[2] or 0.0), float(st[3] or 0.0)))
-
-
 def confidence_columns(scored: DataFrame, names: Column) -> tuple[Column, Column]:
     """(confidence, label -> probability map) of a scored frame.
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reviewlab.functions import text as tx
 from reviewlab.operators import drift as dr
 from reviewlab.operators import evaluate as ev
 from reviewlab.operators import trees
@@ -19,6 +20,7 @@ from reviewlab.operators.softmax_boost import BoostParams, fit_softmax_boost
 from reviewlab.plans.training import (FEATURES, LABEL_ID, SPLIT, BoostedTextClassifier, Prepared, TextClassifier,
                                       VectorTextClassifier)
 from reviewlab.schema import Cols
+from reviewlab.session import ensure_checkpoint_dir
 
 MODEL_NAMES = {"nb": "NaiveBayes", "rf": "RandomForest", "xgb": "XGBoost"}
 
@@ -30,8 +32,11 @@ def train_candidates(prep: Prepared, max_features: int = 100, min_df: int = 2, a
     c: Cols = prep.cols
     train = prep.train()
     tfidf = fit_tfidf(train, c.text, max_features, min_df, id_col=c.id)
-    feats = prep.frame.withColumn(FEATURES, tfidf.weights(F.col(c.text)))
-    feats = trees.vectors(feats, tfidf, FEATURES, LABEL_ID).persist()
+    tokens = tx.vectorizer_tokens(F.col(c.text))
+    feats = prep.frame.withColumn(FEATURES, tfidf.weights_from_tokens(tokens))
+    if "rf" in models:
+        feats = trees.vectors(feats, tfidf, tokens, LABEL_ID)
+    feats = feats.persist()
     ftrain = feats.filter(F.col(SPLIT) == "train")
     scored: dict[str, DataFrame] = {}
     fitted: dict = {}
@@ -53,7 +58,8 @@ def train_candidates(prep: Prepared, max_features: int = 100, min_df: int = 2, a
 
 
 def model_comparison(prep: Prepared, **kw) -> DataFrame:
-    """One row of validation metrics per candidate model."""
+    """One row of validation metrics per candidate model; the features are released, the rows are read from a checkpoint."""
+    ensure_checkpoint_dir(prep.frame.sparkSession)
     out = train_candidates(prep, **kw)
     rows = None
     for key, p in out["predictions"].items():
@@ -61,6 +67,8 @@ def model_comparison(prep: Prepared, **kw) -> DataFrame:
                          prep.labels.decode(F.col("pred_id")).alias("y_pred"))
         m = ev.eval_metrics(pairs).select(F.lit(MODEL_NAMES[key]).alias("model_name"), "*")
         rows = m if rows is None else rows.unionByName(m)
+    rows = rows.checkpoint(eager=True)
+    out["features"].unpersist()
     return rows
 
 

@@ -120,6 +120,10 @@ SQL: dict[str, str] = {
                                     "WHERE review_text IS NOT NULL")] + terms_ctes("r", "rdocs", "z")),
     "tfidf_vocabulary": chain("SELECT term, df AS doc_freq, round(idf, 6) AS idf FROM idf", PREP, VOCAB),
     "tfidf_weights": chain("SELECT review_id, split, term, round(weight, 6) AS weight FROM tfidf", PREP, VOCAB),
+    "svd_gram_product": chain("""
+SELECT t.term, round(sum(t.weight * r.ones), 6) AS by_ones, round(sum(t.weight * r.lengths), 6) AS by_length
+FROM tfidf t JOIN (SELECT review_id, sum(weight) AS ones, sum(weight * length(term)) AS lengths FROM tfidf GROUP BY review_id) r
+  ON t.review_id = r.review_id GROUP BY t.term""", PREP, VOCAB),
     "nb_model": chain("""
 SELECT f.label_id, f.term, round(f.lp, 6) AS log_prob, round(p.lp, 6) AS log_prior
 FROM flp f JOIN prior p ON f.label_id = p.label_id""", PREP, VOCAB, NB),

@@ -223,13 +223,25 @@ def train_promote_score(spark, sf_dir):
 
 
 def svd_projection(spark, sf_dir):
-    from reviewlab.operators.trees import fit_projection
+    from reviewlab.operators.svd import fit_projection
     clf = _classifier(spark, sf_dir)
-    f = clf.features(_prepared(spark, sf_dir).frame, C.text, already_clean=True).persist()
-    proj = fit_projection(f, clf.tfidf, FEATURES)
-    x, y = proj.apply(clf.tfidf.dense(F.col(FEATURES)))
+    f = clf.features(_prepared(spark, sf_dir).frame, C.text, already_clean=True)
+    x, y = fit_projection(f, clf.tfidf, FEATURES).apply(F.col(FEATURES))
     return rounded(f.select(C.id, C.label, x.alias("x"), y.alias("y")))
 
 
+def svd_gram_product(spark, sf_dir):
+    """X'Xq of the TF-IDF rows for two fixed vectors, all ones and the terms' lengths: the product that the SVD repeats."""
+    import numpy as np
+
+    from reviewlab.operators.features import literal
+    from reviewlab.operators.svd import gram_product, sparse_rows
+    clf = _classifier(spark, sf_dir)
+    f = clf.features(_prepared(spark, sf_dir).frame, C.text, already_clean=True)
+    q = np.array([[1.0, len(t)] for t in clf.tfidf.terms]).reshape(-1, 2)
+    term = F.element_at(literal(clf.tfidf.terms, "array<string>"), F.col("code") + 1)
+    return rounded(gram_product(sparse_rows(f, FEATURES), q).select(term.alias("term"), F.col("q0").alias("by_ones"), F.col("q1").alias("by_length")))
+
+
 QUERIES = {name: fn for name, fn in dict(globals()).items()
            if callable(fn) and not name.startswith("_") and getattr(fn, "__module__", None) == __name__}

@@ -95,7 +95,7 @@ class TextClassifier:
 
 @dataclass
 class VectorTextClassifier:
-    """Fitted vectoriser + a Spark ML classifier on dense TF-IDF vectors + label map."""
+    """Fitted vectoriser + a Spark ML classifier on sparse TF-IDF vectors + label map."""
 
     tfidf: TfidfModel
     model: object
@@ -107,7 +107,7 @@ class VectorTextClassifier:
         t = F.col(text)
         if self.clean and not already_clean:
             t = tx.clean_text(t)
-        v = trees.vectors(df.withColumn(FEATURES, self.tfidf.weights(t)), self.tfidf, FEATURES).drop(FEATURES)
+        v = trees.vectors(df, self.tfidf, tx.vectorizer_tokens(t))
         return self.model.transform(v).drop(trees.FEATURES_VEC)
 
     def predict(self, df: DataFrame, text: str, out: str = "prediction", already_clean: bool = False) -> DataFrame:

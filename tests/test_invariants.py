@@ -165,16 +165,17 @@ def test_registry_cases(spark):
 
 
 def test_svd_projection_matches_numpy(spark):
-    from reviewlab.operators.trees import fit_projection
+    from reviewlab.operators.svd import fit_projection
     clf = mq._classifier(spark, SMALL)
     f = clf.features(mq._prepared(spark, SMALL).frame, C.text, already_clean=True)
     X = np.array([r[0] for r in f.select(clf.tfidf.dense(F.col(FEATURES))).collect()])
-    _, _, vt = np.linalg.svd(X, full_matrices=False)
+    _, sv, vt = np.linalg.svd(X, full_matrices=False)
     p = fit_projection(f, clf.tfidf, FEATURES)
+    assert np.allclose(p.singular, sv[:2], rtol=1e-9)
     v = np.array(p.v)
     for k in range(2):
         assert abs(abs(float(v[:, k] @ vt[k])) - 1.0) < 1e-6
-    xs = f.select(p.apply(clf.tfidf.dense(F.col(FEATURES)))[0].alias("x")).toPandas()["x"]
+    xs = f.select(p.apply(F.col(FEATURES))[0].alias("x")).toPandas()["x"]
     assert abs(xs.mean()) < 1e-9 and abs(xs.std(ddof=0) - 1.0) < 1e-9
 
 
