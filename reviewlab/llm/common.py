@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
+import sys
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -29,20 +33,59 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return importable(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path under the folder that ``spark.checkpoint.dir`` names."""
+_MADE: list[list[str]] = []         # paths made inside each open ``scratch`` block, innermost last
+
+
+def shared_path(spark: SparkSession, name: str, keep: bool = False) -> str:
+    """A new path under the folder that ``spark.checkpoint.dir`` names; ``keep`` outlives the innermost ``scratch`` block."""
     base = importable(spark).conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    owners = _MADE[:-1] if keep else _MADE
+    if owners:
+        owners[-1].append(path)
+    return path
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
-    path = shared_path(spark, name)
+    path = shared_path(spark, name, keep)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_staged(spark: SparkSession, path: str) -> None:
+    """Delete a staged folder that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def let_go(spark: SparkSession) -> None:
+    """Have both collectors run: Spark removes shuffle files and broadcasts of finished plans only once their
+    driver objects are collected, which a driver with memory to spare puts off."""
+    gc.collect()
+    spark._jvm.System.gc()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc has it
+        if trim:
+            trim(0)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are deleted at the end, but for those made with ``keep``; nothing lazy may leave the block
+    that still reads them. After an error they stay."""
+    _MADE.append([])
+    try:
+        yield
+    except BaseException:
+        _MADE.pop()
+        raise
+    for path in _MADE.pop():
+        drop_staged(spark, path)
+    let_go(spark)
+
+
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table | None], schema: str) -> DataFrame:
     """Apply ``fn`` to every Arrow batch of ``df``; empty results are skipped."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

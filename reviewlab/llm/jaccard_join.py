@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewlab.llm.common import arrow_map, blobs, flat_blobs, importable, shared_path, staged, texts_of
+from reviewlab.llm.common import arrow_map, blobs, flat_blobs, importable, let_go, scratch, shared_path, staged, texts_of
 from reviewlab.llm.components import components
 from reviewlab.llm.words import distinct_per_text, mix, text_slices, words_of
 
@@ -271,15 +271,16 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return arrow_map(pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb"), run, "u long, v long")
 
 
-def _bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
-    """Write ``df`` bucketed by ``key`` in the shared folder, so that joins on it move the other side only."""
+def _bucketed(df: DataFrame, key: str, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` bucketed by ``key`` in the shared folder, so that joins on it move the other side only; and the table's
+    name, to be dropped when done."""
     spark = df.sparkSession
     path = shared_path(spark, name)
     n = max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
     made = "llm_" + path.rsplit("/", 1)[1].replace("-", "_")
     (df.repartition(n, key).write.format("parquet").option("path", path).option("compression", "zstd")
      .bucketBy(n, key).saveAsTable(made))
-    return spark.table(made)
+    return spark.table(made), made
 
 
 def row_keys(docs: DataFrame) -> tuple[Column, bool]:
@@ -291,6 +292,7 @@ def row_keys(docs: DataFrame) -> tuple[Column, bool]:
 
 def _linked(docs: DataFrame, plain: bool) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n, rep, sketch) of every row and the links (u, v) of their representatives; doc_id is the row key here."""
+    spark = docs.sparkSession
     sets = staged(set_digests(docs), "shingle-sets")
     classes = sets.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("k")).where("k > 1")
     members = staged(sets.join(classes, "digest", "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"), "sketch"), "shingle-members")
@@ -310,7 +312,8 @@ def _linked(docs: DataFrame, plain: bool) -> tuple[DataFrame, DataFrame]:
                .withColumn("shared", F.count("*").over(own)))
     entries = staged(entries, "shingle-entries")
     texts = docs.join(entries.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    texts = _bucketed(texts if plain else texts.dropDuplicates(["doc_id"]), "doc_id", "shingle-texts")
+    texts, made = _bucketed(texts if plain else texts.dropDuplicates(["doc_id"]), "doc_id", "shingle-texts")
+    let_go(spark)       # the shuffles so far are done with
 
     # links of one pivot per list
     pivots = (entries.groupBy("token").agg(F.min(F.struct((F.col("n") - F.col("shared") - _tail(F.col("n"))) / F.col("n"), "rep", "n", "lone", "shared", "sketch")).alias("p"))
@@ -321,6 +324,7 @@ def _linked(docs: DataFrame, plain: bool) -> tuple[DataFrame, DataFrame]:
              .groupBy("a", "b").agg(F.count("*").alias("tokens")).select("a", "b"))
     first = staged(first, "pivot-pairs")
     links = staged(_verified(first, texts), "pivot-links")
+    let_go(spark)
     label = components(links)
 
     # pairs across components: entries outside a list's largest component against the list's size blocks
@@ -335,7 +339,9 @@ def _linked(docs: DataFrame, plain: bool) -> tuple[DataFrame, DataFrame]:
                         .withColumn("shared", F.count("*").over(own)).withColumn("frequent", F.sum(F.col("long").cast("long")).over(own)), "open-lists")
     second = staged(_across(open_lists.where("not long"), False).unionByName(_across(open_lists.where("long"), True)).distinct()
                     .join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "cross-pairs")
-    links = links.unionByName(_verified(second, texts))
+    let_go(spark)
+    links = links.unionByName(staged(_verified(second, texts), "cross-links"))
+    spark.sql(f"DROP TABLE {made}")
     return members, links
 
 
@@ -357,7 +363,12 @@ def _owned(docs: DataFrame, key: Column, members: DataFrame) -> DataFrame:
 
 def similar_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
-    importable(docs.sparkSession)
+    spark = importable(docs.sparkSession)
+    with scratch(spark):
+        return staged(_similar_components(docs), "components", keep=True)
+
+
+def _similar_components(docs: DataFrame) -> DataFrame:
     key, plain = row_keys(docs)
     members, links = _linked(_keyed(docs, key), plain)
     if plain:
@@ -376,20 +387,27 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     Texts alone make near copies: rows of one doc_id with different texts all stay. Of rows that repeat both one stays,
     but rows with neither doc_id nor words are nobody's copies and all stay."""
-    importable(docs.sparkSession)
+    spark = importable(docs.sparkSession)
+    name = "row_key"
+    while name in docs.columns:
+        name += "_"
+    with scratch(spark):
+        key, kept = _kept_rows(docs, name)
+    if kept.columns == ["doc_id"]:
+        return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    found = docs.withColumn(name, key).join(kept, name)
+    once = found.where(~F.col(f"{name}_bare")).dropDuplicates([name])
+    return once.unionByName(found.where(F.col(f"{name}_bare"))).select(*docs.columns)
+
+
+def _kept_rows(docs: DataFrame, name: str) -> tuple[Column, DataFrame]:
+    """The row key and the kept keys: doc_ids where those are keys, else column ``name`` and whether rows have neither id nor words."""
     key, plain = row_keys(docs)
     members, links = _linked(_keyed(docs, key), plain)
     if plain:
-        kept = staged(_components_of(members, links).where("doc_id = component").select("doc_id"), "near-duplicates")
-        return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+        return key, staged(_components_of(members, links).where("doc_id = component").select("doc_id"), "near-duplicates", keep=True)
     rows = _components_of(_owned(docs, key, members), links)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("first")
-    name = "row_key"
-    while name in docs.columns:
-        name += "_"
     copied = rows.where("n > 0").groupBy("component").agg(first).select(F.col("first.key").alias(name), F.lit(False).alias(f"{name}_bare"))
     bare = rows.where("n = 0").select(F.col("key").alias(name), F.col("doc_id").isNull().alias(f"{name}_bare")).distinct()
-    kept = staged(copied.unionByName(bare), "near-duplicates")
-    found = docs.withColumn(name, key).join(kept, name)
-    once = found.where(~F.col(f"{name}_bare")).dropDuplicates([name])
-    return once.unionByName(found.where(F.col(f"{name}_bare"))).select(*docs.columns)
+    return key, staged(copied.unionByName(bare), "near-duplicates", keep=True)

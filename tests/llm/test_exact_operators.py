@@ -253,3 +253,21 @@ def test_queries_match_their_sql(spark, duck):
         cols = sorted(got.columns)
         assert cols == sorted(want.columns)
         assert sorted(map(tuple, got[cols].round(9).itertuples(index=False))) == sorted(map(tuple, want[cols].round(9).itertuples(index=False)))
+
+
+def test_op10_leaves_no_table_and_no_staged_folder(spark):
+    """Only the result's own folder outlives the join; the catalog is as before."""
+    import os
+
+    from reviewlab.llm import jaccard_join
+    from reviewlab.llm.common import shared_path
+    words = [f"w{i}" for i in range(40)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words[:39])), (3, "a b c d e f"), (4, None)], "doc_id long, text string")
+    base = os.path.dirname(shared_path(spark, "x").removeprefix("file:"))
+    tables, folders = len(spark.catalog.listTables()), set(os.listdir(base))
+    rows = {r["doc_id"]: r["component_id"] for r in jaccard_join.similar_components(docs).collect()}
+    kept = jaccard_join.one_of_each(docs)
+    left = {f.rsplit("-", 1)[0] for f in set(os.listdir(base)) - folders}
+    assert rows == {1: 1, 2: 1, 3: 3, 4: 4}
+    assert left == {"components", "near-duplicates"} and len(spark.catalog.listTables()) == tables
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3, 4]
