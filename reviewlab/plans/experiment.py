@@ -7,6 +7,8 @@ prepare (checkpointed) -> TF-IDF fit on train -> features for all rows (persiste
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,7 @@ from reviewlab.plans.training import (FEATURES, LABEL_ID, SPLIT, BoostedTextClas
                                       VectorTextClassifier)
 from reviewlab.schema import Cols
 from reviewlab.session import ensure_checkpoint_dir
+from reviewlab.sources.commit_log import CommitLog, State
 
 MODEL_NAMES = {"nb": "NaiveBayes", "rf": "RandomForest", "xgb": "XGBoost"}
 
@@ -77,26 +80,26 @@ RUN_SCHEMA = ("run_id string, experiment string, start_seq bigint, model_name st
               "drift_share double")
 VERSION_SCHEMA = "name string, version bigint, run_id string"
 ALIAS_SCHEMA = "seq bigint, name string, alias string, version bigint"
+PLAN_SCHEMA = ("promoted boolean, best_run_id string, best_macro_f1 double, model_name string, version bigint, "
+               "demoted_version bigint, reason string")
 PARAMS = {"nb": {"alpha": 4.0}, "rf": {"num_trees": 10, "max_depth": 3, "feature_subset": "sqrt"},
           "xgb": {"step": 0.01, "rounds": 10, "max_depth": 6, "subsample": 0.5, "objective": "softmax"}}
 
 
 class Registry:
     """The tables of one experiment's registry under a shared folder: runs, model_versions, aliases (each promotion
-    appends a snapshot; the newest counts) and the model artifacts, one folder per run."""
+    appends a snapshot; the newest counts) and the model artifacts, one folder per run. Writers may run at the same time:
+    every change is one commit of a log, built again when another writer was first."""
 
     def __init__(self, spark, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self.log = CommitLog(spark, self.root)
 
     def _read(self, name: str, schema: str) -> DataFrame:
-        from pyspark.errors import AnalysisException
-        try:
-            return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
-        except AnalysisException:       # nothing written yet
-            return self.spark.createDataFrame([], schema)
+        return self.log.state().table(name, schema)
 
     def _append(self, name: str, rows: DataFrame) -> None:
-        rows.write.mode("append").parquet(f"{self.root}/{name}")
+        self.log.commit(lambda state: {name: rows})
 
     def runs(self) -> DataFrame:
         return self._read("runs", RUN_SCHEMA)
@@ -105,9 +108,7 @@ class Registry:
         return self._read("model_versions", VERSION_SCHEMA)
 
     def aliases(self) -> DataFrame:
-        rows = self._read("aliases", ALIAS_SCHEMA)
-        last = rows.agg(F.max("seq")).first()[0]
-        return rows.filter(F.col("seq") == F.lit(last)).select("name", "alias", "version")
+        return _newest_aliases(self.log.state())
 
     def drift_share(self, alias: str = "Production") -> DataFrame:
         """One row: the share that the run of the model carrying ``alias`` stored (null when there is none)."""
@@ -123,16 +124,40 @@ class Registry:
         from reviewlab.plans.scoring import production_classifier
         return production_classifier(self.runs(), self.versions(), self.aliases(), self.models(), alias)
 
+    def add_run(self, experiment: str, run_id: str, name: str, values: dict) -> int:
+        """Record a run and the next version of its model in one commit; returns the version."""
+        given = []
+
+        def build(state: State) -> dict[str, DataFrame]:
+            seq = (state.table("runs", RUN_SCHEMA).agg(F.max("start_seq")).first()[0] or 0) + 1
+            held = state.table("model_versions", VERSION_SCHEMA).where(F.col("name") == F.lit(name)).agg(F.max("version")).first()[0]
+            given.append((held or 0) + 1)
+            row = {**values, "run_id": run_id, "experiment": experiment, "start_seq": seq, "model_name": name}
+            runs = self.spark.createDataFrame([row], RUN_SCHEMA).withColumn("started_at", F.coalesce("started_at", F.current_timestamp()))
+            return {"runs": runs, "model_versions": self.spark.createDataFrame([(name, given[-1], run_id)], VERSION_SCHEMA)}
+        self.log.commit(build)
+        return given[-1]
+
     def promote(self, alias: str = "Production") -> DataFrame:
-        """Decide over all recorded runs, append the new alias snapshot, and return the decision (one row)."""
+        """Decide over all recorded runs, append the new alias snapshot, and return the decision (one row). Overtaken by
+        another writer, the decision is taken again over what that one wrote."""
         from reviewlab.operators.registry import apply_promotion, promotion_plan
-        aliases = self.aliases()
-        plan = self.spark.createDataFrame(promotion_plan(self.runs(), self.versions(), aliases, alias).collect(),
-                                          "promoted boolean, best_run_id string, best_macro_f1 double, model_name string, "
-                                          "version bigint, demoted_version bigint, reason string")
-        seq = (self._read("aliases", ALIAS_SCHEMA).agg(F.max("seq")).first()[0] or 0) + 1
-        self._append("aliases", apply_promotion(aliases, plan, alias).select(F.lit(seq).cast("bigint").alias("seq"), "name", "alias", "version"))
-        return plan
+        plans = []
+
+        def build(state: State) -> dict[str, DataFrame]:
+            aliases = _newest_aliases(state)
+            plan = promotion_plan(state.table("runs", RUN_SCHEMA), state.table("model_versions", VERSION_SCHEMA), aliases, alias)
+            plans.append(self.spark.createDataFrame(plan.collect(), PLAN_SCHEMA))
+            seq = F.lit(state.number + 1).cast("bigint").alias("seq")
+            return {"aliases": apply_promotion(aliases, plans[-1], alias).select(seq, "name", "alias", "version")}
+        self.log.commit(build)
+        return plans[-1]
+
+
+def _newest_aliases(state: State) -> DataFrame:
+    rows = state.table("aliases", ALIAS_SCHEMA)
+    last = rows.agg(F.max("seq")).first()[0]
+    return rows.filter(F.col("seq") == F.lit(last)).select("name", "alias", "version")
 
 
 def record_runs(prep: Prepared, root: str, experiment: str = "sentiment", max_features: int = 100,
@@ -147,27 +172,21 @@ def record_runs(prep: Prepared, root: str, experiment: str = "sentiment", max_fe
     spark = prep.frame.sparkSession
     registry = Registry(spark, root)
     out = train_candidates(prep, max_features=max_features, min_df=min_df, **kw)
-    seq = registry.runs().agg(F.max("start_seq")).first()[0] or 0
-    held = {r["name"]: r["v"] for r in registry.versions().groupBy("name").agg(F.max("version").alias("v")).collect()}
     c: Cols = prep.cols
     sides = {"reference": "train", "current": "val"}
     drifts = dr.drift_table(out["features"], SPLIT, categorical=[c.label], text=[c.text], id_col=c.id, features=FEATURES,
                             terms=out["tfidf"].terms, **sides).persist()     # the same for every candidate
     for key, p in out["predictions"].items():
-        seq, name = seq + 1, MODEL_NAMES[key]
-        run_id, version = f"{experiment}-{seq:06d}", held.get(name, 0) + 1
+        run_id = f"{experiment}-{uuid.uuid4().hex[:12]}"        # no other writer's, whatever number it gets
         settings = {**PARAMS[key], **({"alpha": kw["alpha"]} if key == "nb" and "alpha" in kw else {}), "max_features": max_features,
                     "min_df": min_df, "terms": len(out["tfidf"].terms), "classes": list(prep.labels.labels), "test_size": test_size, "seed": seed}
         pairs = p.select(F.col(prep.cols.label).alias("y_true"), prep.labels.decode(F.col("pred_id")).alias("y_pred"))
         predicted = out["scored"][key].select(SPLIT, prep.labels.decode(F.col("pred_id")).alias("prediction"))
         share = dr.drift_share(drifts.unionByName(dr.drift_table(predicted, SPLIT, categorical=["prediction"], **sides))).first()["share"]
-        registry._append("runs", ev.eval_metrics(pairs).select(
-            F.lit(run_id).alias("run_id"), F.lit(experiment).alias("experiment"), F.lit(seq).cast("bigint").alias("start_seq"),
-            F.lit(name).alias("model_name"), "accuracy", "macro_f1", "micro_f1", "weighted_f1", "macro_precision", "macro_recall",
-            F.lit(json.dumps(settings)).alias("settings"), F.current_timestamp().alias("started_at"),
-            F.lit(share).cast("double").alias("drift_share")))
+        metrics = ev.eval_metrics(pairs).select("accuracy", "macro_f1", "micro_f1", "weighted_f1", "macro_precision", "macro_recall").first()
         save_text_classifier(out["models"][key], f"{registry.models()}/{run_id}", {"run_id": run_id})
-        registry._append("model_versions", spark.createDataFrame([(name, version, run_id)], VERSION_SCHEMA))
+        registry.add_run(experiment, run_id, MODEL_NAMES[key], {
+            **metrics.asDict(), "settings": json.dumps(settings), "started_at": None, "drift_share": None if share is None else float(share)})
     drifts.unpersist()
     out["features"].unpersist()
     return registry
