@@ -60,15 +60,21 @@ def drop_staged(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: processes live long, and what the last work needed would stay with them."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc has it
+        if trim:
+            trim(0)
+
+
 def let_go(spark: SparkSession) -> None:
     """Have both collectors run: Spark removes shuffle files and broadcasts of finished plans only once their
     driver objects are collected, which a driver with memory to spare puts off."""
     gc.collect()
     spark._jvm.System.gc()
-    if sys.platform == "linux":
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc has it
-        if trim:
-            trim(0)
+    give_back()
 
 
 @contextmanager
@@ -104,6 +110,7 @@ def keep_rows(df: DataFrame, wanted: Callable[[pa.RecordBatch], np.ndarray]) ->
         for batch in batches:
             if batch.num_rows:
                 yield batch.filter(pa.array(wanted(batch)))
+        give_back()
     importable(df.sparkSession)
     return df.mapInArrow(run, df.schema)
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewlab.llm.common import arrow_map, blobs, flat_blobs, importable, let_go, scratch, shared_path, staged, texts_of
+from reviewlab.llm.common import arrow_map, blobs, flat_blobs, give_back, importable, let_go, scratch, shared_path, staged, texts_of
 from reviewlab.llm.components import components
 from reviewlab.llm.words import distinct_per_text, mix, text_slices, words_of
 
@@ -93,6 +93,7 @@ def _new_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, n
                 n = np.diff(b)[keep]
                 nb = np.concatenate([[0], np.cumsum(n)])
                 yield ids[lo:hi][keep], v[np.repeat(b[keep] - nb[:-1], n) + np.arange(nb[-1])], nb
+    give_back()
 
 
 def prefix_length(n):

@@ -20,16 +20,14 @@ part; ties go to the smaller vec_id; with fewer candidates than asked for, all c
 
 from __future__ import annotations
 
-import ctypes
 import math
-import sys
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewlab.llm.common import arrow_map, blobs, flat_blobs, importable, shared_path, staged
+from reviewlab.llm.common import arrow_map, blobs, flat_blobs, give_back, importable, shared_path, staged
 from reviewlab.llm.words import mix
 
 DIRECTION = 24      # nearest by angle in a node's list
@@ -70,15 +68,6 @@ def directions(column: pa.Array, rows: int, scale: float) -> tuple[np.ndarray, n
     return (v / size[:, None]).astype(np.float32), (size * (top[:, 0] / scale)).astype(np.float32)
 
 
-def give_back() -> None:
-    """Return freed memory to the system: workers live long, and what the last group needed would stay with them."""
-    pa.default_memory_pool().release_unused()
-    if sys.platform == "linux":
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc has it
-        if trim:
-            trim(0)
-
-
 def _block_of(ids: np.ndarray, blocks: int) -> np.ndarray:
     return (mix(ids.view(np.uint64)) % np.uint64(blocks)).astype(np.int64)
 

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reviewlab.llm.common import importable, shared_path, texts_of
+from reviewlab.llm.common import give_back, importable, shared_path, texts_of
 from reviewlab.llm.words import text_slices
 
 END_ID = 0
@@ -116,6 +116,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None,
                     pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(flat))],
                     names=["doc_id", "n_tokens", "local_start", "tokens"])
                 start += int(bounds[-1])
+        give_back()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     (rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(run, FILE_SCHEMA)
