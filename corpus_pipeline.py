@@ -13,9 +13,12 @@ from reviewlab.llm import decontamination, jaccard_join, language_id, mixing, to
 from reviewlab.llm.common import let_go, staged, table
 
 
+LEAST_LANGUAGE = 0.65       # score under which a document's language counts as unknown
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a letter or in no known language."""
-    return language_id.language_filter(docs)
+    """Drop documents without a letter or in no known language: the identifier's best score must reach ``LEAST_LANGUAGE``."""
+    return language_id.language_filter(docs, least=LEAST_LANGUAGE)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -370,3 +370,17 @@ def test_pipeline_stages_match_brute_force(spark, docs):
     want = brute_tokens([(r.doc_id, r.text) for r in kept["mixing"]])
     assert sorted(((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in kept["token_files"]), key=lambda r: r[1]) == want
     assert token_files and decontamination
+
+
+def test_language_stage_drops_unknown_languages(spark, docs):
+    """The identifier decides: shuffled letters and mixed languages score under the threshold, whole texts do not."""
+    import random
+
+    import corpus_pipeline
+    rng = random.Random(5)
+    noise = " ".join("".join(rng.choice("qwxzkjvy") for _ in range(rng.randint(2, 9))) for _ in range(60))
+    by = {r.lang: r.text for r in docs.where("length(text) between 400 and 4000").orderBy("doc_id").collect()}
+    mixed = " ".join(by[x][:200] for x in sorted(by))
+    odd = spark.createDataFrame([(7001, noise, None, "src1", 0), (7002, mixed, None, "src1", 0)], docs.schema)
+    ids = {r.doc_id for r in corpus_pipeline.language(spark, docs.union(odd), SMALL).collect()}
+    assert ids == {r.doc_id for r in docs.collect()}
