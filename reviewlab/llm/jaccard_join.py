@@ -272,11 +272,11 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return arrow_map(pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb"), run, "u long, v long")
 
 
-def _bucketed(df: DataFrame, key: str, name: str) -> tuple[DataFrame, str]:
+def _bucketed(df: DataFrame, key: str, name: str, keep: bool = False) -> tuple[DataFrame, str]:
     """Write ``df`` bucketed by ``key`` in the shared folder, so that joins on it move the other side only; and the table's
     name, to be dropped when done."""
     spark = df.sparkSession
-    path = shared_path(spark, name)
+    path = shared_path(spark, name, keep)
     n = max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
     made = "llm_" + path.rsplit("/", 1)[1].replace("-", "_")
     (df.repartition(n, key).write.format("parquet").option("path", path).option("compression", "zstd")
@@ -291,8 +291,9 @@ def row_keys(docs: DataFrame) -> tuple[Column, bool]:
     return doc_id if plain else F.xxhash64(doc_id, F.col("text").cast("string")), plain
 
 
-def _linked(docs: DataFrame, plain: bool) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n, rep, sketch) of every row and the links (u, v) of their representatives; doc_id is the row key here."""
+def _linked(docs: DataFrame, plain: bool, stored: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n, rep, sketch) of every row and the links (u, v) of their representatives; doc_id is the row key here.
+    ``stored`` holds the same rows bucketed by doc_id, where they are at hand."""
     spark = docs.sparkSession
     sets = staged(set_digests(docs), "shingle-sets")
     classes = sets.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("k")).where("k > 1")
@@ -312,8 +313,11 @@ def _linked(docs: DataFrame, plain: bool) -> tuple[DataFrame, DataFrame]:
                .withColumn("lone", F.col("pos") - F.row_number().over(own.orderBy("pos")) + 1)
                .withColumn("shared", F.count("*").over(own)))
     entries = staged(entries, "shingle-entries")
-    texts = docs.join(entries.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    texts, made = _bucketed(texts if plain else texts.dropDuplicates(["doc_id"]), "doc_id", "shingle-texts")
+    if stored is None:
+        texts = docs.join(entries.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+        texts, made = _bucketed(texts if plain else texts.dropDuplicates(["doc_id"]), "doc_id", "shingle-texts")
+    else:
+        texts, made = stored if plain else stored.dropDuplicates(["doc_id"]), None
     let_go(spark)       # the shuffles so far are done with
 
     # links of one pivot per list
@@ -342,7 +346,8 @@ def _linked(docs: DataFrame, plain: bool) -> tuple[DataFrame, DataFrame]:
                     .join(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "cross-pairs")
     let_go(spark)
     links = links.unionByName(staged(_verified(second, texts), "cross-links"))
-    spark.sql(f"DROP TABLE {made}")
+    if made:
+        spark.sql(f"DROP TABLE {made}")
     return members, links
 
 
@@ -393,22 +398,28 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     while name in docs.columns:
         name += "_"
     with scratch(spark):
-        key, kept = _kept_rows(docs, name)
-    if kept.columns == ["doc_id"]:
-        return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
-    found = docs.withColumn(name, key).join(kept, name)
+        key, plain = row_keys(docs)
+        # the whole rows are moved once: verification and the last join read them in their buckets
+        rows, made = _bucketed(docs.withColumn(name, key), name, "shingle-rows", keep=True)
+        kept = _kept_rows(rows, name, plain)
+        spark.sql(f"DROP TABLE {made}")     # the files stay
+    found = rows.join(kept, name)
+    if plain:
+        return found.select(*docs.columns)
     once = found.where(~F.col(f"{name}_bare")).dropDuplicates([name])
     return once.unionByName(found.where(F.col(f"{name}_bare"))).select(*docs.columns)
 
 
-def _kept_rows(docs: DataFrame, name: str) -> tuple[Column, DataFrame]:
-    """The row key and the kept keys: doc_ids where those are keys, else column ``name`` and whether rows have neither id nor words."""
-    key, plain = row_keys(docs)
-    members, links = _linked(_keyed(docs, key), plain)
+def _kept_rows(rows: DataFrame, name: str, plain: bool) -> DataFrame:
+    """The kept keys in column ``name``, and whether their rows have neither id nor words (column ``name``_bare) unless ``plain``.
+    ``rows`` are bucketed by ``name``, their key."""
+    key = F.col(name)
+    docs = _keyed(rows, key)
+    members, links = _linked(docs, plain, docs)
     if plain:
-        return key, staged(_components_of(members, links).where("doc_id = component").select("doc_id"), "near-duplicates", keep=True)
-    rows = _components_of(_owned(docs, key, members), links)
+        return staged(_components_of(members, links).where("doc_id = component").select(F.col("doc_id").alias(name)), "near-duplicates", keep=True)
+    rows = _components_of(_owned(rows, key, members), links)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("first")
     copied = rows.where("n > 0").groupBy("component").agg(first).select(F.col("first.key").alias(name), F.lit(False).alias(f"{name}_bare"))
     bare = rows.where("n = 0").select(F.col("key").alias(name), F.col("doc_id").isNull().alias(f"{name}_bare")).distinct()
-    return key, staged(copied.unionByName(bare), "near-duplicates", keep=True)
+    return staged(copied.unionByName(bare), "near-duplicates", keep=True)
