@@ -272,11 +272,11 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return arrow_map(pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb"), run, "u long, v long")
 
 
-def _bucketed(df: DataFrame, key: str, name: str, keep: bool = False) -> tuple[DataFrame, str]:
+def _bucketed(df: DataFrame, key: str, name: str) -> tuple[DataFrame, str]:
     """Write ``df`` bucketed by ``key`` in the shared folder, so that joins on it move the other side only; and the table's
     name, to be dropped when done."""
     spark = df.sparkSession
-    path = shared_path(spark, name, keep)
+    path = shared_path(spark, name)
     n = max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
     made = "llm_" + path.rsplit("/", 1)[1].replace("-", "_")
     (df.repartition(n, key).write.format("parquet").option("path", path).option("compression", "zstd")
@@ -400,14 +400,14 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     with scratch(spark):
         key, plain = row_keys(docs)
         # the whole rows are moved once: verification and the last join read them in their buckets
-        rows, made = _bucketed(docs.withColumn(name, key), name, "shingle-rows", keep=True)
-        kept = _kept_rows(rows, name, plain)
-        spark.sql(f"DROP TABLE {made}")     # the files stay
-    found = rows.join(kept, name)
-    if plain:
-        return found.select(*docs.columns)
-    once = found.where(~F.col(f"{name}_bare")).dropDuplicates([name])
-    return once.unionByName(found.where(F.col(f"{name}_bare"))).select(*docs.columns)
+        rows, made = _bucketed(docs.withColumn(name, key), name, "shingle-rows")
+        found = rows.join(_kept_rows(rows, name, plain), name)
+        if not plain:
+            once = found.where(~F.col(f"{name}_bare")).dropDuplicates([name])
+            found = once.unionByName(found.where(F.col(f"{name}_bare")))
+        out = staged(found.select(*docs.columns), "near-duplicates", keep=True)
+        spark.sql(f"DROP TABLE {made}")
+    return out
 
 
 def _kept_rows(rows: DataFrame, name: str, plain: bool) -> DataFrame:
@@ -417,9 +417,9 @@ def _kept_rows(rows: DataFrame, name: str, plain: bool) -> DataFrame:
     docs = _keyed(rows, key)
     members, links = _linked(docs, plain, docs)
     if plain:
-        return staged(_components_of(members, links).where("doc_id = component").select(F.col("doc_id").alias(name)), "near-duplicates", keep=True)
+        return staged(_components_of(members, links).where("doc_id = component").select(F.col("doc_id").alias(name)), "kept-rows")
     rows = _components_of(_owned(rows, key, members), links)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("first")
     copied = rows.where("n > 0").groupBy("component").agg(first).select(F.col("first.key").alias(name), F.lit(False).alias(f"{name}_bare"))
     bare = rows.where("n = 0").select(F.col("key").alias(name), F.col("doc_id").isNull().alias(f"{name}_bare")).distinct()
-    return staged(copied.unionByName(bare), "near-duplicates", keep=True)
+    return staged(copied.unionByName(bare), "kept-rows")
