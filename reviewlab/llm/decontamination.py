@@ -34,6 +34,7 @@ SHINGLE = 5
 BLOCK = 4
 SHARD_ITEMS = 50_000
 SHARD_WORDS = 5_000_000
+LOOKED_UP = 1 << 18        # index blocks looked up at once for a slice's passages (one passage's blocks at least)
 
 
 def _runs(start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -42,6 +43,17 @@ def _runs(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(end[-1] if len(end) else 0) + np.repeat(start - (end - size), size)
 
 
+def _passage_cuts(passage: np.ndarray, size: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of whole passages (in rising order) whose sizes add up to LOOKED_UP at most, or of one passage."""
+    first = np.append(np.flatnonzero(np.diff(passage, prepend=-1)), len(passage))
+    total = np.concatenate([[0], np.cumsum(size)])[first]
+    lo = 0
+    while lo < len(first) - 1:
+        hi = max(lo + 1, int(np.searchsorted(total, total[lo] + LOOKED_UP, "right")) - 1)
+        yield int(first[lo]), int(first[hi])
+        lo = hi
+
+
 class ItemIndex:
     """Inverted index of benchmark items; contributions are divided by each item's threshold, so 1.0 retrieves."""
 
@@ -103,10 +115,7 @@ class ItemIndex:
         if not len(passage):
             return none
         size = self.block_first[term + 1] - self.block_first[term]
-        entry = _runs(self.block_first[term], size)
-        where = np.repeat(passage, size) * np.int64(self.blocks) + self.block_id[entry]
-        blocks, inv = np.unique(where, return_inverse=True)
-        blocks = blocks[np.bincount(inv, weights=self.block_max[entry]) >= 1 - 1e-9]
+        blocks = np.concatenate([self._reaching(passage[lo:hi], term[lo:hi], size[lo:hi]) for lo, hi in _passage_cuts(passage, size)])
         start = np.searchsorted(passage, blocks // self.blocks)
         end = np.searchsorted(passage, blocks // self.blocks, "right")
         found = set()
@@ -116,6 +125,13 @@ class ItemIndex:
         got = np.array(sorted(found), np.int64).reshape(-1, 2)
         return got[:, 0], got[:, 1]
 
+    def _reaching(self, passage: np.ndarray, term: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """passage * blocks + block of every block whose upper bound reaches the threshold; ``size``: each term's blocks."""
+        entry = _runs(self.block_first[term], size)
+        where = np.repeat(passage, size) * np.int64(self.blocks) + self.block_id[entry]
+        blocks, inv = np.unique(where, return_inverse=True)
+        return blocks[np.bincount(inv, weights=self.block_max[entry]) >= 1 - 1e-9]
+
     def _part(self, term: int, block: int) -> tuple[list, list, float] | None:
         """A term's items, contributions and largest contribution in one block."""
         if (term, block) not in self.cache:

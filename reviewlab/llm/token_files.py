@@ -29,8 +29,9 @@ END_ID = 0
 STRIPE_BYTES = 64 << 20
 ROW_INDEX_STRIDE = 1000
 BLOOM_FPP = 0.01
-SLICE_BYTES = 16 << 20     # larger slices find more repeated words
+SLICE_BYTES = 8 << 20      # larger slices find more repeated words
 GLUE = 2000                # words encoded in one call
+PUT_BACK = 1 << 18         # pieces whose ids are put back in place at once
 
 FILE_SCHEMA = "doc_id long, n_tokens long, local_start long, tokens array<int>"
 
@@ -63,19 +64,20 @@ def encode(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     follows); each distinct piece is encoded once and the ids are put back in place.
     """
     tokenizer, width = _load(path)
-    raw = [t.encode() for t in texts.to_pylist()]
-    blob = b"".join(raw)
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+    if not len(ends) or not ends[-1]:
+        return np.zeros(0, np.uint32), np.zeros(len(ends) + 1, np.int64)
+    before = int(np.frombuffer(texts.buffers()[1], np.int32, 1, 4 * texts.offset)[0])
+    blob = texts.buffers()[2].slice(before, int(ends[-1]))          # the texts' bytes one after the other, not copied
     data = np.frombuffer(blob, np.uint8)
-    ends = np.cumsum([len(t) for t in raw])
-    if not len(data):
-        return np.zeros(0, np.uint32), np.zeros(len(raw) + 1, np.int64)
     cut = np.zeros(len(data) + 1, bool)
-    cut[:-2] = (data[:-1] == 32) & _SOLID[data[1:]]
+    at = np.flatnonzero(data[:-1] == 32)
+    cut[at[_SOLID[data[at + 1]]]] = True
     cut[ends[ends > 0] - 1] = False         # the next byte belongs to another text
     cut[0] = True
     cut[ends] = True
     off = np.flatnonzero(cut).astype(np.int32)
-    pieces = pa.StringArray.from_buffers(len(off) - 1, pa.py_buffer(off), pa.py_buffer(blob)).dictionary_encode()
+    pieces = pa.StringArray.from_buffers(len(off) - 1, pa.py_buffer(off), blob).dictionary_encode()
     unique, index = pieces.dictionary, pieces.indices.to_numpy()
     calls, now = [], []
     for s in unique.to_pylist():
@@ -91,9 +93,13 @@ def encode(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     pos = np.searchsorted(at, edge)
     if not np.array_equal(at[pos], edge):
         raise ValueError("token boundaries do not match word boundaries")
-    size, first = np.diff(pos)[index], pos[:-1][index]
-    total = np.concatenate([[0], np.cumsum(size)])
-    out = flat[np.repeat(first - total[:-1], size) + np.arange(total[-1])]
+    size = np.diff(pos).astype(np.int32)[index]
+    total = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+    out = np.empty(total[-1], np.uint32)
+    for lo in range(0, len(size), PUT_BACK):                        # in parts: positions take more room than ids
+        part = slice(lo, lo + PUT_BACK)
+        a, b = total[lo], total[min(lo + PUT_BACK, len(size))]
+        out[a:b] = flat[np.repeat(pos[index[part]] - total[:-1][part], size[part]) + np.arange(a, b)]
     return out, np.concatenate([[0], total[np.searchsorted(off, ends)]])
 
 
