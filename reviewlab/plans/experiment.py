@@ -170,12 +170,13 @@ def record_runs(prep: Prepared, root: str, experiment: str = "sentiment", max_fe
     from reviewlab.sources.sinks import save_text_classifier
 
     spark = prep.frame.sparkSession
+    ensure_checkpoint_dir(spark)
     registry = Registry(spark, root)
     out = train_candidates(prep, max_features=max_features, min_df=min_df, **kw)
     c: Cols = prep.cols
     sides = {"reference": "train", "current": "val"}
     drifts = dr.drift_table(out["features"], SPLIT, categorical=[c.label], text=[c.text], id_col=c.id, features=FEATURES,
-                            terms=out["tfidf"].terms, **sides).persist()     # the same for every candidate
+                            terms=out["tfidf"].terms, **sides).checkpoint(eager=True)    # the same for every candidate; a union loses sight of a cached one
     for key, p in out["predictions"].items():
         run_id = f"{experiment}-{uuid.uuid4().hex[:12]}"        # no other writer's, whatever number it gets
         settings = {**PARAMS[key], **({"alpha": kw["alpha"]} if key == "nb" and "alpha" in kw else {}), "max_features": max_features,
@@ -187,6 +188,5 @@ def record_runs(prep: Prepared, root: str, experiment: str = "sentiment", max_fe
         save_text_classifier(out["models"][key], f"{registry.models()}/{run_id}", {"run_id": run_id})
         registry.add_run(experiment, run_id, MODEL_NAMES[key], {
             **metrics.asDict(), "settings": json.dumps(settings), "started_at": None, "drift_share": None if share is None else float(share)})
-    drifts.unpersist()
     out["features"].unpersist()
     return registry

@@ -77,6 +77,18 @@ def test_gate_reads_the_production_runs_own_share(spark):
         assert jobs.production_check(other).first()["decision"] == decision
 
 
+def test_drift_of_the_features_is_counted_once_for_all_candidates(spark, monkeypatch):
+    from reviewlab.plans import experiment as ex
+    from reviewlab.plans.training import prepare
+    plans, share = [], ex.dr.drift_share
+    monkeypatch.setattr(ex.dr, "drift_share", lambda d: plans.append(d._jdf.queryExecution().optimizedPlan().toString()) or share(d))
+    words = ["good", "bad", "fine", "poor", "film", "plot"]
+    rows = [(i, f"{words[i % 6]} {words[i * 5 % 6]} review {words[i // 7 % 6]} n{i}", "pos" if i % 6 in (0, 2) else "neg") for i in range(120)]
+    ex.record_runs(prepare(spark.createDataFrame(rows, f"{C.id} long, {C.text} string, {C.label} string")),
+                   scratch_path(spark, "registry"), models=("nb", "rf"))
+    assert len(plans) == 2 and not any("tfidf:" in p for p in plans)         # the union with a cached table counted it again
+
+
 def test_dedupe_and_duplicates_with_a_hot_text(spark):
     n = 30000
     df = spark.range(n).select(
