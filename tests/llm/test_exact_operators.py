@@ -63,6 +63,56 @@ def test_pieces_encode_like_whole_texts():
         assert flat[bounds[i]:bounds[i + 1]].tolist() == t.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_pieces_of_random_texts_encode_like_whole_texts():
+    import random
+
+    from tokenizers import Tokenizer
+    path = token_files.default_tokenizer()
+    t, rng = Tokenizer.from_file(path), random.Random(5)
+    parts = [*"a s 1 . , ! ' '' - _ é É × ÷ Ж ё ł ñ ª ½ ² … » 日本 😀 e\u0301 The there 'll n't don <|endoftext|> <| endoftext |> 23".split(" "),
+             " ", " ", "  ", "\n", "\n\n", "\t", "\r\n", "\x0b", "\x1c", "\x00", "\x7f", "\x85", "\xa0", "\u2003", "\u3000", "\ufeff"]
+    for some in (6, 15, len(parts)):
+        for _ in range(12):
+            kept = rng.sample(parts, some)
+            texts = ["".join(rng.choices(kept, k=rng.randrange(12))) for _ in range(150)]
+            flat, bounds = token_files.encode(pa.array(["é ", *texts]).slice(1), path)
+            for i, e in enumerate(t.encode_batch(texts, add_special_tokens=False)):
+                assert flat[bounds[i]:bounds[i + 1]].tolist() == e.ids, repr(texts[i])
+
+
+def test_words_are_encoded_once_whatever_stands_around_them(monkeypatch):
+    seen = []
+    ids_of_words, ids_of_pieces = token_files._ids_of_words, token_files._ids_of_pieces
+    monkeypatch.setattr(token_files, "_ids_of_words", lambda w, *a: (seen.append(w.to_pylist()), ids_of_words(w, *a))[1])
+    monkeypatch.setattr(token_files, "_ids_of_pieces", lambda p, *a: (seen.append(p.to_pylist()), ids_of_pieces(p, *a))[1])
+    text = "so été, so été. so été\nso? so été! (so) so;\nso's"
+    flat, bounds = token_files.encode(pa.array([text] * 3), token_files.default_tokenizer())
+    assert [sorted(s) for s in seen] == [[" so", " été", "so"], ["\n", " (", "!", "'s", ")", ",", ".", ";", "?"]]
+    from tokenizers import Tokenizer
+    assert flat.tolist() == 3 * Tokenizer.from_file(token_files.default_tokenizer()).encode(text, add_special_tokens=False).ids
+
+
+def test_other_pre_tokenizers_keep_their_own_words(tmp_path):
+    import random
+
+    from tokenizers import AddedToken, Regex, Tokenizer, pre_tokenizers
+    path, rng = str(tmp_path / "t.json"), random.Random(6)
+    t = Tokenizer.from_file(token_files.default_tokenizer())
+    t.add_tokens([AddedToken("the", normalized=False)])
+    t.save(path)
+    first = [path]
+    t = Tokenizer.from_file(token_files.default_tokenizer())
+    t.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(Regex(r" ?[^\s]+|\s+(?!\S)|\s+"), "isolated"),
+                                               pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    t.save(str(tmp_path / "u.json"))
+    for path in [*first, str(tmp_path / "u.json")]:
+        t = Tokenizer.from_file(path)
+        texts = ["".join(rng.choices(["the", "a", "ther", " ", " ", ".", "1", "\n", "n't"], k=rng.randrange(12))) for _ in range(300)]
+        flat, bounds = token_files.encode(pa.array(texts), path)
+        for i, text in enumerate(texts):
+            assert flat[bounds[i]:bounds[i + 1]].tolist() == t.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_token_files_round_trip(spark, docs, frame):
     for df in (docs, frame.select(*PAIRS).union(frame.select(*PAIRS).limit(3)).union(spark.createDataFrame([(None, "no id")], "doc_id long, text string"))):
         got = [(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in token_files.token_output(df).collect()]
